@@ -6,5 +6,6 @@ def load_all():
     catalog module."""
     from marketweave.plans import catalog
     from marketweave.plans import market_queries  # noqa: F401
+    from marketweave.plans import text_queries  # noqa: F401
 
     return catalog

@@ -51,7 +51,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "v_news_raw": ((), f"""
         SELECT doc_id,
                CASE WHEN doc_id % 13 = 0 THEN NULL ELSE split_part(text, chr(10), 1) END AS title,
-               CASE WHEN doc_id % 11 = 0 THEN ' ' || chr(9) || ' ' ELSE substring(text, 1, 80) END
+               CASE WHEN doc_id % 11 = 0 THEN ' ' || chr(9) || ' ' ELSE split_part(text, chr(10), 2) END
                  AS description,
                CASE doc_id % 6
                  WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ')
@@ -71,7 +71,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                     WHEN doc_id % 31 = 0 THEN '  ' || chr(10) || ' '
                     ELSE (CASE doc_id % 4 WHEN 0 THEN 'https://t.co/x1 ' WHEN 1 THEN '@né_1 '
                                           WHEN 2 THEN '#été2024 ' ELSE 'www.a.b/c ' END)
-                         || substring(text, 1, 120) END AS text,
+                         || text END AS text,
                CASE WHEN doc_id % 19 = 0 THEN 'yesterday'
                     ELSE strftime(TIMESTAMP '{BASE_TS}' + to_minutes(doc_id * 7),
                                   '%a %b %d %H:%M:%S +0000 %Y') END AS created_at,

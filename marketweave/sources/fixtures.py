@@ -87,8 +87,9 @@ def sent_price(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def news_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """News articles from documents with missing titles, blank descriptions, null
-    authors and publishedAt written in six ways (4 formats, junk, null)."""
+    """News articles from documents: title = first line, description = second line
+    (whole lines), with missing titles, blank descriptions, null authors and publishedAt
+    written in six ways (4 formats, junk, null)."""
     d = read_table(spark, sf_dir, "documents", "doc_id", "text", "source")
     k = F.col("doc_id")
     ts = _base_ts(k)
@@ -101,7 +102,7 @@ def news_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.when(k % 13 == 0, F.lit(None).cast("string"))
          .otherwise(F.substring_index("text", "\n", 1)).alias("title"),
-        F.when(k % 11 == 0, F.lit(" \t ")).otherwise(F.substring("text", 1, 80))
+        F.when(k % 11 == 0, F.lit(" \t ")).otherwise(F.split_part("text", F.lit("\n"), F.lit(2)))
          .alias("description"),
         published.alias("publishedAt"),
         F.when(k % 4 == 0, F.lit(None).cast("string"))
@@ -119,7 +120,7 @@ def tweets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefix = (F.when(k % 4 == 0, F.lit("https://t.co/x1 ")).when(k % 4 == 1, F.lit("@né_1 "))
                .when(k % 4 == 2, F.lit("#été2024 ")).otherwise(F.lit("www.a.b/c ")))
     text = (F.when(k % 37 == 0, F.lit(None).cast("string")).when(k % 31 == 0, F.lit("  \n "))
-             .otherwise(F.concat(prefix, F.substring("text", 1, 120))))
+             .otherwise(F.concat(prefix, F.col("text"))))
     ts = _base_ts(k * 7)
     created = F.when(k % 19 == 0, F.lit("yesterday")).otherwise(
         F.date_format(ts, "EEE MMM dd HH:mm:ss '+0000' yyyy"))
