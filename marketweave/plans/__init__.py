@@ -7,5 +7,6 @@ def load_all():
     from marketweave.plans import catalog
     from marketweave.plans import market_queries  # noqa: F401
     from marketweave.plans import text_queries  # noqa: F401
+    from marketweave.plans import table_queries  # noqa: F401
 
     return catalog
