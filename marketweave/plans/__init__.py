@@ -8,5 +8,6 @@ def load_all():
     from marketweave.plans import market_queries  # noqa: F401
     from marketweave.plans import text_queries  # noqa: F401
     from marketweave.plans import table_queries  # noqa: F401
+    from marketweave.plans import sentiment_queries  # noqa: F401
 
     return catalog

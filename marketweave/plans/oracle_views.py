@@ -141,4 +141,7 @@ def with_views(sql: str, *names: str) -> str:
     if not order:
         return sql
     ctes = ",\n".join(f"{n} AS ({VIEWS[n][1]})" for n in order)
+    body = sql.lstrip()
+    if body[:5].upper() == "WITH ":
+        return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{sql}"
