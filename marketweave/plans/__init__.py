@@ -10,5 +10,6 @@ def load_all():
     from marketweave.plans import table_queries  # noqa: F401
     from marketweave.plans import sentiment_queries  # noqa: F401
     from marketweave.plans import feature_queries  # noqa: F401
+    from marketweave.plans import stream_queries  # noqa: F401
 
     return catalog
