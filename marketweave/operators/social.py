@@ -84,11 +84,11 @@ def clean_tweets(df: DataFrame, as_of: str, order_by: Sequence[str] = ("doc_id",
 
 
 def per_term_cap(df: DataFrame, n: int, term: str = "event_type",
-                 order_by: Sequence = (F.desc("doc_id"),)) -> DataFrame:
+                 order_by: Sequence | None = None) -> DataFrame:
     """At most ``n`` rows per search term, latest first. The rank filter is planned as a
     WindowGroupLimit before the shuffle, so each task forwards at most ``n`` rows per
     term however hot the term is."""
-    w = Window.partitionBy(term).orderBy(*order_by)
+    w = Window.partitionBy(term).orderBy(*(order_by or [F.desc("doc_id")]))
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
