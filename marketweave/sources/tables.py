@@ -4,14 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marketweave.session import ensure_parallelism
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
+# Dimension tables: small by construction, joined by broadcast — never spread.
+DIMENSIONS = ("region", "nation", "supplier", "part", "customer")
+
 
+def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str,
+               spread: bool = True) -> DataFrame:
+    """Read ``{sf_dir}/{name}.parquet``; listing ``columns`` makes the pruning explicit.
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Read ``{sf_dir}/{name}.parquet``; listing ``columns`` makes the pruning explicit."""
+    ``spread`` (default) makes sure a fact/text table's scan feeds at least the default
+    parallelism of tasks (``ensure_parallelism``): a no-op for inputs with enough
+    splits; dimension tables are never spread.
+    """
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return ensure_parallelism(df) if spread and name not in DIMENSIONS else df
