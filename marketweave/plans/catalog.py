@@ -88,3 +88,8 @@ def D(expr: str, alias: str | None = None) -> str:
 
 def TS(expr: str, alias: str | None = None) -> str:
     return f"strftime({expr}, '%Y-%m-%d %H:%M:%S.%f')" + (f" AS {alias}" if alias else "")
+
+
+def NN(expr: str) -> str:
+    """NaN → NULL (DuckDB returns NaN where Spark returns null, e.g. 0/0 slopes)."""
+    return f"CASE WHEN isnan({expr}) THEN NULL ELSE {expr} END"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marketweave.functions.formatting import fixed2_sql
 from marketweave.operators import analytics as A
 from marketweave.operators import stock as S
-from marketweave.plans.catalog import D, R, dtxt, query, report
+from marketweave.plans.catalog import NN, D, R, dtxt, query, report
 from marketweave.sources import fixtures as fx
 
 PRICE = ("open", "high", "low", "close")
@@ -66,9 +66,9 @@ def q_corr_strength(spark, sf):
     SELECT symbol, n, {R('r', 'correlation')}, {_STRENGTH_SQL} AS strength,
            {R('slope', 'slope')}, {R('intercept', 'intercept')}, {R('r2', 'r2')}
     FROM (SELECT symbol, count(xx) FILTER (WHERE yy IS NOT NULL) AS n, {_CORR_SQL} AS r,
-                 regr_slope(price, sentiment_score) AS slope,
-                 regr_intercept(price, sentiment_score) AS intercept,
-                 regr_r2(price, sentiment_score) AS r2
+                 {NN('regr_slope(price, sentiment_score)')} AS slope,
+                 {NN('regr_intercept(price, sentiment_score)')} AS intercept,
+                 {NN('regr_r2(price, sentiment_score)')} AS r2
           FROM {_CORR_FROM} GROUP BY symbol)""", ("v_sent_price",))
 def q_correlation_report(spark, sf):
     """Flagship: J01 -> A04 + A05 + A06 in one aggregate per symbol."""
@@ -81,9 +81,9 @@ def q_correlation_report(spark, sf):
 
 @query("ols_trend", f"""
     SELECT symbol, regr_count(price, sentiment_score) AS n,
-           {R('regr_slope(price, sentiment_score)', 'slope')},
-           {R('regr_intercept(price, sentiment_score)', 'intercept')},
-           {R('regr_r2(price, sentiment_score)', 'r2')}
+           {R(NN('regr_slope(price, sentiment_score)'), 'slope')},
+           {R(NN('regr_intercept(price, sentiment_score)'), 'intercept')},
+           {R(NN('regr_r2(price, sentiment_score)'), 'r2')}
     FROM v_sent_price GROUP BY symbol""", ("v_sent_price",))
 def q_ols_trend(spark, sf):
     t = A.ols_trend(fx.sent_price(spark, sf)).withColumn("n", F.col("n").cast("bigint"))
