@@ -28,6 +28,23 @@ def flatten_ticker_map(raw: DataFrame, col: str = "value", bar_schema: str | Non
     return e.select("ticker", F.inline("_bars"))
 
 
+def flatten_colnames(df: DataFrame) -> DataFrame:
+    """Multi-level column names → their first level: a struct column holding a single
+    second-level field (e.g. ``Close.{ticker}`` of a one-ticker download) becomes a plain
+    column named after the first level; map keys are rendered as text."""
+    out = []
+    for f in df.schema.fields:
+        dt = f.dataType
+        if dt.typeName() == "struct" and len(dt.fields) == 1:
+            out.append(F.col(f"`{f.name}`.`{dt.fields[0].name}`").alias(f.name))
+        elif dt.typeName() == "map":
+            out.append(F.transform_keys(F.col(f"`{f.name}`"), lambda k, _v: k.cast("string"))
+                        .alias(f.name))
+        else:
+            out.append(F.col(f"`{f.name}`"))
+    return df.select(*out)
+
+
 def bar_range(df: DataFrame, high: str = "high", low: str = "low") -> DataFrame:
     """``volatility = high - low`` per bar."""
     return df.withColumn("volatility", F.col(high) - F.col(low))

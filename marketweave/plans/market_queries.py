@@ -100,6 +100,18 @@ def q_dual_series(spark, sf):
 
 # ------------------------------------------------------------ stock cleaner
 
+@query("flatten_colnames", f"""
+    SELECT symbol, {D('date', 'date')}, close AS "Close", volume AS "Volume" FROM v_bars""",
+       ("v_bars",))
+def q_flatten_colnames(spark, sf):
+    """Bars shaped like a one-ticker multi-level download (``Close.<ticker>``) flattened
+    to first-level names."""
+    b = fx.bars(spark, sf).select(
+        "symbol", "date", F.struct(F.col("close").alias("ticker")).alias("Close"),
+        F.struct(F.col("volume").alias("ticker")).alias("Volume"))
+    return report(S.flatten_colnames(b), date_cols=("date",))
+
+
 @query("bar_range", f"""
     SELECT symbol, {D('date', 'date')}, high, low, high - low AS volatility FROM v_bars""",
        ("v_bars",))
