@@ -85,14 +85,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` (default: the cluster's
-    default parallelism) when its scan yields fewer splits — e.g. one large row group
-    in one file — so CPU-heavy row work is not confined to one task. On inputs that
-    already have enough splits (the normal case at scale) this is a no-op and adds no
-    shuffle. Deciding needs only the planned partition count, no job."""
+def ensure_parallelism(df: DataFrame, key: str | None = None,
+                       min_partitions: int | None = None) -> DataFrame:
+    """Spread ``df`` over at least ``min_partitions`` (default: the cluster's default
+    parallelism) when its scan yields fewer splits — e.g. one large row group in one
+    file — so CPU-heavy row work (tokenising, regexes) is not confined to one task. With
+    a unique ``key`` the spread is a hash partitioning (no pre-sort needed, no skew);
+    otherwise round-robin. On inputs that already have enough splits (the normal case at
+    scale) this is a no-op and adds no shuffle. Deciding needs only the planned partition
+    count, no job."""
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
+    if key is not None and key in df.columns:
+        return df.repartition(target, key)
     return df.repartition(target)
