@@ -32,9 +32,10 @@ def ustrip(x: str | Column) -> Column:
 
 
 def is_blank(x: str | Column) -> Column:
-    """True for null or whitespace-only text."""
+    """True for null or whitespace-only text (same as ``strip(x) == ''``; the search
+    stops at the first non-space character instead of rewriting the whole text)."""
     c = _c(x)
-    return c.isNull() | (ustrip(c) == "")
+    return c.isNull() | ~c.rlike(r"(?U)\S")
 
 
 def clean_text(x: str | Column) -> Column:

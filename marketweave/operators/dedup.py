@@ -19,6 +19,15 @@ def _order(cols: Sequence[str | Column]) -> Column:
     return F.struct(*[F.col(c) if isinstance(c, str) else c for c in cols])
 
 
+def _group_cols(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """Grouping columns; string keys get a leading 64-bit hash so the sort-based
+    aggregate compares long texts only when their hashes tie (still exact: the text
+    itself stays in the key)."""
+    types = dict(df.dtypes)
+    lead = [F.xxhash64(F.col(k)).alias(f"_h_{k}") for k in keys if types.get(k) == "string"]
+    return [*lead, *[F.col(k) for k in keys]]
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column],
                pass_null_keys: bool = False) -> DataFrame:
     """One row per ``keys`` (nulls group together): the one first in ``order_by``, which
@@ -33,7 +42,8 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Colu
             all_null = all_null & F.col(k).isNull()
         passthru = df.where(all_null)
         src = df.where(~all_null)
-    g = src.groupBy(*keys).agg(F.min_by(F.struct(*cols), _order(order_by)).alias("_r"))
+    g = src.groupBy(*_group_cols(src, keys)).agg(
+        F.min_by(F.struct(*cols), _order(order_by)).alias("_r"))
     out = g.select("_r.*")
     return out.unionByName(passthru) if passthru is not None else out
 
@@ -50,6 +60,7 @@ def keep_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Colum
             all_null = all_null & F.col(k).isNull()
         passthru = df.where(all_null)
         src = df.where(~all_null)
-    g = src.groupBy(*keys).agg(F.max_by(F.struct(*cols), _order(order_by)).alias("_r"))
+    g = src.groupBy(*_group_cols(src, keys)).agg(
+        F.max_by(F.struct(*cols), _order(order_by)).alias("_r"))
     out = g.select("_r.*")
     return out.unionByName(passthru) if passthru is not None else out

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketweave.functions.dates import parse_news_date
-from marketweave.functions.text import ustrip
+from marketweave.functions.text import is_blank, ustrip
 from marketweave.operators.dedup import keep_first
 
 # Required article columns and the defaults of the news cleaner.
@@ -133,8 +133,8 @@ def drop_blank_articles(df: DataFrame) -> DataFrame:
     out = df.withColumn("title", F.coalesce("title", F.lit("")))
     if "description" in df.columns:
         out = out.withColumn("description", F.coalesce("description", F.lit("")))
-        return out.where(~((ustrip("title") == "") & (ustrip("description") == "")))
-    return out.where(ustrip("title") != "")
+        return out.where(~(is_blank("title") & is_blank("description")))
+    return out.where(~is_blank("title"))
 
 
 def fill_defaults(df: DataFrame, defaults: dict[str, str] = FILL_DEFAULTS) -> DataFrame:
