@@ -1,11 +1,16 @@
 """Lexicon sentiment and keyword tagging as Spark jobs.
 
 The third-party scorers the reference calls are not available; the lexicon is a table
-the caller supplies (token, valence) or (token, polarity, subjectivity). Scoring is a
-join: texts are tokenised JVM-side, exploded, joined to the lexicon (broadcast when the
-lexicon is provably small, shuffled otherwise), and aggregated per text with map-side
-partial aggregation — a text's tokens never leave the task that tokenised them until
-they are one partial row. Scores are joined back to the input by id.
+the caller supplies (token, valence) or (token, polarity, subjectivity). Two plans:
+
+* lexicon up to ``MAP_LEXICON_ROWS`` entries (all published sentiment lexicons): the
+  lexicon becomes one constant map in the expression (the same bytes a broadcast join
+  would ship), and each text is scored in place with higher-order functions over its
+  token array — no explode, no shuffle, no join back; the text never moves.
+* larger lexicons: texts are tokenised, exploded, joined to the lexicon (shuffled), and
+  aggregated per text with map-side partial aggregation; scores are joined back by id.
+
+Both round the valence sums identically, so they give the same numbers.
 
 Valence formulas (rule-based valence scoring as published by Hutto & Gilbert, 2014;
 negation/intensifier rules are not applied):
@@ -32,6 +37,7 @@ POLARITY_BINS = ((-1.0, -0.2, "negative"), (-0.2, 0.2, "neutral"), (0.2, 1.0, "p
 ALPHA = 15.0
 SUM_DIGITS = 6
 MAX_LEXICON_ROWS = 500_000
+MAP_LEXICON_ROWS = 100_000
 
 
 def pick_text_column(columns: Sequence[str]) -> str | None:
@@ -51,14 +57,76 @@ def _token_rows(df: DataFrame, id_cols: Sequence[str], text: str) -> DataFrame:
     return df.select(*id_cols, F.explode(tokens(text)).alias("token"))
 
 
+def _clean_lexicon(lexicon: DataFrame, value_cols: Sequence[str]) -> DataFrame:
+    """Lower-cased tokens (texts are lower-cased when tokenised), one entry per token
+    (duplicates keep their largest entry), values as double."""
+    lex = lexicon.select(F.lower("token").alias("token"),
+                         *[F.col(c).cast("double").alias(c) for c in value_cols])
+    return (lex.groupBy("token").agg(F.max(F.struct(*value_cols)).alias("_v"))
+               .select("token", *[F.col(f"_v.{c}").alias(c) for c in value_cols]))
+
+
+def _lexicon_maps(lexicon: DataFrame, value_cols: Sequence[str]) -> dict[str, Column] | None:
+    """The lexicon as constant ``map<token, value>`` columns (one per value column) when
+    it has at most ``MAP_LEXICON_ROWS`` tokens (checked with one bounded ``limit``
+    probe); None above the bound. Array literals keep the plan compact."""
+    rows = _clean_lexicon(lexicon, value_cols).limit(MAP_LEXICON_ROWS + 1).collect()
+    if len(rows) > MAP_LEXICON_ROWS:
+        return None
+    toks = [r.token for r in rows]
+    out = {}
+    for c in value_cols:
+        vals = [float(getattr(r, c)) if getattr(r, c) is not None else None for r in rows]
+        out[c] = F.map_from_arrays(F.lit(toks).cast("array<string>"),
+                                   F.lit(vals).cast("array<double>"))
+    return out
+
+
+def valence_expr(text: Column, lexmap: Column, sum_digits: int = SUM_DIGITS) -> Column:
+    """``struct<neg, neu, pos, compound>`` of one text, computed in place: the token
+    array is mapped to valences once and folded in a single ``aggregate`` pass. Usable
+    on a column or inside a higher-order function (e.g. per comment)."""
+    vals = F.transform(tokens(text), lambda t: F.try_element_at(lexmap, t))
+    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("p"), F.lit(0.0).alias("n"),
+                    F.lit(0).alias("z"))
+
+    def step(acc, x):
+        return F.struct((acc["s"] + F.coalesce(x, F.lit(0.0))).alias("s"),
+                        (acc["p"] + F.when(x > 0, x + 1).otherwise(F.lit(0.0))).alias("p"),
+                        (acc["n"] + F.when(x < 0, x - 1).otherwise(F.lit(0.0))).alias("n"),
+                        (acc["z"] + F.when(x.isNull() | (x == 0), 1).otherwise(0)).alias("z"))
+
+    def finish(acc):
+        sv = _z(F.round(acc["s"], sum_digits))
+        pv = F.round(acc["p"], sum_digits)
+        nv = F.abs(F.round(acc["n"], sum_digits))
+        tot = pv + nv + acc["z"]
+        some = tot > 0
+        return F.struct(
+            F.when(some, _z(nv / tot)).otherwise(F.lit(0.0)).alias("neg"),
+            F.when(some, _z(acc["z"] / tot)).otherwise(F.lit(0.0)).alias("neu"),
+            F.when(some, _z(pv / tot)).otherwise(F.lit(0.0)).alias("pos"),
+            F.when(some, _z(sv / F.sqrt(sv * sv + F.lit(ALPHA)))).otherwise(F.lit(0.0))
+             .alias("compound"))
+
+    zeros = F.struct(*[F.lit(0.0).alias(k) for k in ("neg", "neu", "pos", "compound")])
+    return F.coalesce(F.aggregate(vals, zero, step, finish), zeros)
+
+
+def _valence_in_row(df: DataFrame, text: str, lexmap: Column, p: str, sum_digits: int
+                    ) -> DataFrame:
+    out = df.withColumn("_vx", valence_expr(F.col(text), lexmap, sum_digits))
+    return out.withColumns({f"{p}_{k}": F.col(f"_vx.{k}")
+                            for k in ("neg", "neu", "pos", "compound")}).drop("_vx")
+
+
 def valence_scores(df: DataFrame, id_cols: Sequence[str], text: str, lexicon: DataFrame,
                    prefix: str | None = None, sum_digits: int = SUM_DIGITS) -> DataFrame:
     """Per id: ``<prefix>_neg/_neu/_pos/_compound``. Ids whose text has no tokens are
     absent (``lexicon_valence`` fills them with 0). Sums are rounded to ``sum_digits``
     decimals so results do not depend on summation order (partitioning)."""
     p = prefix or text
-    lex = bounded_broadcast(lexicon.select("token", F.col("valence").cast("double")),
-                            MAX_LEXICON_ROWS)
+    lex = bounded_broadcast(_clean_lexicon(lexicon, ["valence"]), MAX_LEXICON_ROWS)
     t = _token_rows(df, id_cols, text).join(lex, "token", "left")
     v = F.col("valence")
     g = t.groupBy(*id_cols).agg(
@@ -82,6 +150,9 @@ def lexicon_valence(df: DataFrame, id_cols: Sequence[str], lexicon: DataFrame,
     col = text or pick_text_column(df.columns)
     if col is None:
         return df
+    maps = _lexicon_maps(lexicon, ["valence"])
+    if maps is not None:
+        return _valence_in_row(df, col, maps["valence"], col, SUM_DIGITS)
     sc = valence_scores(df, id_cols, col, lexicon)
     out = df.join(sc, list(id_cols), "left")
     return out.na.fill(0.0, subset=[f"{col}_{s}" for s in ("neg", "neu", "pos", "compound")])
@@ -91,8 +162,7 @@ def polarity_scores(df: DataFrame, id_cols: Sequence[str], text: str, lexicon: D
                     prefix: str | None = None, sum_digits: int = SUM_DIGITS) -> DataFrame:
     """Per id: mean polarity and subjectivity of the tokens found in the lexicon."""
     p = prefix or text
-    lex = bounded_broadcast(lexicon.select("token", F.col("polarity").cast("double"),
-                                           F.col("subjectivity").cast("double")),
+    lex = bounded_broadcast(_clean_lexicon(lexicon, ["polarity", "subjectivity"]),
                             MAX_LEXICON_ROWS)
     t = _token_rows(df, id_cols, text).join(lex, "token", "inner")
     g = t.groupBy(*id_cols).agg(F.round(F.sum("polarity"), sum_digits).alias("_ps"),
@@ -107,6 +177,17 @@ def lexicon_polarity(df: DataFrame, id_cols: Sequence[str], lexicon: DataFrame,
     col = text or pick_text_column(df.columns)
     if col is None:
         return df
+    maps = _lexicon_maps(lexicon, ["polarity", "subjectivity"])
+    if maps is not None:
+        toks = F.filter(tokens(col), lambda t: F.try_element_at(maps["polarity"], t).isNotNull())
+        k = F.size(toks)
+
+        def mean(field):
+            vals = F.transform(toks, lambda t: F.try_element_at(maps[field], t))
+            tot = F.round(F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x), SUM_DIGITS)
+            return F.when(F.col(col).isNull() | (k == 0), F.lit(0.0)).otherwise(_z(tot / k))
+        return df.withColumns({f"{col}_polarity": mean("polarity"),
+                               f"{col}_subjectivity": mean("subjectivity")})
     sc = polarity_scores(df, id_cols, col, lexicon)
     out = df.join(sc, list(id_cols), "left")
     return out.na.fill(0.0, subset=[f"{col}_polarity", f"{col}_subjectivity"])
@@ -138,13 +219,28 @@ def post_sentiment(df: DataFrame, model: str = "valence") -> DataFrame:
 
 def comment_sentiment(posts: DataFrame, id_col: str, lexicon: DataFrame,
                       comments: str = "comments", flat: bool = False) -> DataFrame:
-    """Valence scores of every comment. ``flat=True`` gives one row per comment
-    (id, pos, scores); otherwise the scores are written back into the comment structs,
-    regrouped per post (a post's comments are one bounded thread)."""
+    """Valence scores of every comment, written into the comment structs (``flat=True``:
+    one row per comment with its position). With a map-sized lexicon the comments are
+    scored inside the array; otherwise exploded, scored by the join path and regrouped
+    per post (a post's comments are one bounded thread)."""
+    cols = [f"comment_{s}" for s in ("neg", "neu", "pos", "compound")]
+    maps = _lexicon_maps(lexicon, ["valence"])
+    if maps is not None:
+        # scored inside the array: no explode, no regroup, no join back
+        def score(c):
+            v = valence_expr(c["comment_text"], maps["valence"])
+            out = c
+            for k in ("neg", "neu", "pos", "compound"):
+                out = out.withField(f"comment_{k}", v[k])
+            return out
+        scored = posts.withColumn(comments, F.transform(comments, score))
+        if not flat:
+            return scored
+        e = scored.select(id_col, F.posexplode(comments).alias("pos", "_c"))
+        return e.select(id_col, "pos", *[F.col(f"_c.{c}").alias(c) for c in cols])
     e = posts.select(id_col, F.posexplode(comments).alias("_i", "_c"))
     e = e.select(id_col, "_i", F.col("_c.comment_text").alias("comment_text"), "_c")
     sc = valence_scores(e, [id_col, "_i"], "comment_text", lexicon, prefix="comment")
-    cols = [f"comment_{s}" for s in ("neg", "neu", "pos", "compound")]
     j = e.join(sc, [id_col, "_i"], "left").na.fill(0.0, subset=cols)
     if flat:
         return j.select(id_col, F.col("_i").alias("pos"), *cols)

@@ -192,3 +192,27 @@ def test_keyword_tag_needs_all_tokens(spark):
 def test_find_documents_null_equality(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "id int, k string")
     assert [r.id for r in A.find_documents(df, {"k": None}).collect()] == [1]
+
+
+def test_lexicon_map_and_join_paths_agree(spark, monkeypatch):
+    from marketweave.sources import fixtures as fx
+    from marketweave.sources.tables import read_table
+    from tests.conftest import SMALL
+
+    d = read_table(spark, SMALL, "documents", "doc_id", "text")
+    cols = ["doc_id", "text_neg", "text_neu", "text_pos", "text_compound"]
+    a = sorted(tuple(r) for r in X.lexicon_valence(d, ["doc_id"], fx.lexicon(spark))
+               .select(*cols).collect())
+    pa = sorted(tuple(r) for r in X.lexicon_polarity(d, ["doc_id"], fx.polarity_lexicon(spark))
+                .select("doc_id", "text_polarity", "text_subjectivity").collect())
+    posts = fx.posts_raw(spark, SMALL)
+    ca = sorted(tuple(r) for r in X.comment_sentiment(posts, "conv_id", fx.lexicon(spark),
+                                                      flat=True).collect())
+    monkeypatch.setattr(X, "MAP_LEXICON_ROWS", 0)
+    b = sorted(tuple(r) for r in X.lexicon_valence(d, ["doc_id"], fx.lexicon(spark))
+               .select(*cols).collect())
+    pb = sorted(tuple(r) for r in X.lexicon_polarity(d, ["doc_id"], fx.polarity_lexicon(spark))
+                .select("doc_id", "text_polarity", "text_subjectivity").collect())
+    cb = sorted(tuple(r) for r in X.comment_sentiment(posts, "conv_id", fx.lexicon(spark),
+                                                      flat=True).collect())
+    assert a == b and pa == pb and ca == cb
