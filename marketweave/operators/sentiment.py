@@ -68,17 +68,27 @@ def _clean_lexicon(lexicon: DataFrame, value_cols: Sequence[str]) -> DataFrame:
 
 def _lexicon_maps(lexicon: DataFrame, value_cols: Sequence[str]) -> dict[str, Column] | None:
     """The lexicon as constant ``map<token, value>`` columns (one per value column) when
-    it has at most ``MAP_LEXICON_ROWS`` tokens (checked with one bounded ``limit``
-    probe); None above the bound. Array literals keep the plan compact."""
-    rows = _clean_lexicon(lexicon, value_cols).limit(MAP_LEXICON_ROWS + 1).collect()
+    it has at most ``MAP_LEXICON_ROWS`` rows (checked by fetching at most one row more);
+    None above the bound. Tokens are lower-cased, duplicates keep their largest entry
+    (as ``_clean_lexicon``). Array literals keep the plan compact."""
+    rows = (lexicon.select(F.lower("token").alias("token"),
+                           *[F.col(c).cast("double").alias(c) for c in value_cols])
+            .limit(MAP_LEXICON_ROWS + 1).collect())
     if len(rows) > MAP_LEXICON_ROWS:
         return None
-    toks = [r.token for r in rows]
+    best: dict[str, tuple] = {}
+    for r in rows:
+        if r.token is None:
+            continue
+        v = tuple(getattr(r, c) for c in value_cols)
+        key = tuple((x is not None, x if x is not None else 0.0) for x in v)
+        if r.token not in best or key > best[r.token][0]:
+            best[r.token] = (key, v)
+    toks = sorted(best)
     out = {}
-    for c in value_cols:
-        vals = [float(getattr(r, c)) if getattr(r, c) is not None else None for r in rows]
+    for i, c in enumerate(value_cols):
         out[c] = F.map_from_arrays(F.lit(toks).cast("array<string>"),
-                                   F.lit(vals).cast("array<double>"))
+                                   F.lit([best[t][1][i] for t in toks]).cast("array<double>"))
     return out
 
 

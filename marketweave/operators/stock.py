@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 PRICE_COLS = ("open", "high", "low", "close")
 ESSENTIAL_COLS = ("open", "high", "low", "close", "volume")
 FENCE_K = 3.0  # fixed value: fences at Q1 - 3*IQR and Q3 + 3*IQR
+# Exact quantiles merge a group's values in one task; above this many rows the
+# mergeable sketch (percentile_approx) is used instead.
+EXACT_QUANTILE_MAX_ROWS = 10_000_000
 
 
 def flatten_ticker_map(raw: DataFrame, col: str = "value", bar_schema: str | None = None
@@ -64,15 +67,18 @@ def calendar_features(df: DataFrame, date: str = "date") -> DataFrame:
 
 
 def iqr_bounds(df: DataFrame, cols: Sequence[str] = PRICE_COLS, by: Sequence[str] = (),
-               k: float = FENCE_K, exact: bool = True) -> DataFrame:
+               k: float = FENCE_K, exact: bool | None = None) -> DataFrame:
     """Q1, Q3 (linear interpolation), IQR and fences ``Q1 - k*IQR``, ``Q3 + k*IQR`` of each
     column: one row per (group, column).
 
-    ``exact=True`` uses ``percentile`` (equals pandas/SQL ``quantile_cont``); its buffer
-    holds the distinct values of a group in one task, which is fine for bar tables (one
-    row per ticker-day). ``exact=False`` switches to ``percentile_approx`` (bounded-size
-    sketch, mergeable map-side) for raw tick-sized inputs.
+    ``exact=True`` uses ``percentile`` (equals pandas/SQL ``quantile_cont``); its final
+    merge holds a group's distinct values in one task. ``exact=False`` uses
+    ``percentile_approx`` (bounded-size sketch, mergeable map-side). ``None`` (default)
+    decides by size: exact when the input has at most ``EXACT_QUANTILE_MAX_ROWS`` rows
+    (one bounded ``limit`` count), the sketch above.
     """
+    if exact is None:
+        exact = df.limit(EXACT_QUANTILE_MAX_ROWS + 1).count() <= EXACT_QUANTILE_MAX_ROWS
     aggs = []
     for c in cols:
         if exact:
@@ -92,7 +98,7 @@ def iqr_bounds(df: DataFrame, cols: Sequence[str] = PRICE_COLS, by: Sequence[str
 
 def outlier_ffill(df: DataFrame, cols: Sequence[str] = PRICE_COLS, ticker: str = "symbol",
                   order_by: Sequence[str] = ("date",), fence_by: str | None = None,
-                  k: float = FENCE_K, exact: bool = True) -> DataFrame:
+                  k: float = FENCE_K, exact: bool | None = None) -> DataFrame:
     """Values outside the ``k``·IQR fences become null and are forward-filled.
 
     Fences are computed over all tickers together by default (``fence_by=None``, as the
@@ -102,8 +108,7 @@ def outlier_ffill(df: DataFrame, cols: Sequence[str] = PRICE_COLS, ticker: str =
     global window, would run in a single task. A leading outlier therefore stays null.
 
     Plan: one aggregate for all fences (a handful of numbers) — a scalar subquery when
-    global, a broadcast of one row per fence group otherwise (bounded by the number of
-    tickers) — then one window per ticker.
+    global, a join with one row per fence group otherwise — then one window per ticker.
     """
     by = [fence_by] if fence_by else []
     fences = iqr_bounds(df, cols, by, k, exact)
@@ -111,7 +116,8 @@ def outlier_ffill(df: DataFrame, cols: Sequence[str] = PRICE_COLS, ticker: str =
         F.first(F.when(F.col("column") == c, F.struct("lower", "upper")), ignorenulls=True)
          .alias(f"_f_{c}") for c in cols])
     if by:
-        j = df.join(F.broadcast(wide), by, "left")
+        # one row per ticker: joined on the key, AQE broadcasts it when measured small
+        j = df.join(wide, by, "left")
     else:
         # global fences: one scalar subquery yielding a struct of all fences
         fs = wide.select(F.struct(*[f"_f_{c}" for c in cols]).alias("_fs")).scalar()

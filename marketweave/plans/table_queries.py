@@ -292,11 +292,12 @@ def q_scan_json_records(spark, sf):
 @query("normalise_root", """
     SELECT event_id, json_extract_string(props, '$.k') AS k FROM events""")
 def q_normalise_root(spark, sf):
-    """Per user and day, events packed as an object root (even users) or an array root
-    (odd users), normalised to records and exploded."""
+    """Per user, day and input split, events packed as an object root (even users) or an
+    array root (odd users), normalised to records and exploded. Packing per input split
+    bounds every document by one split's rows, however active a user is."""
     e = read_table(spark, sf, "events", "event_id", "ts", "user_id", "props")
     rec = F.to_json(F.struct("event_id", F.get_json_object("props", "$.k").alias("k")))
-    g = e.groupBy("user_id", F.to_date("ts").alias("d")).agg(
+    g = e.groupBy("user_id", F.to_date("ts").alias("d"), F.spark_partition_id()).agg(
         F.collect_list(F.struct(F.col("event_id").cast("string").alias("id"), rec.alias("r")))
          .alias("recs"))
     as_obj = F.to_json(F.map_from_entries(F.transform("recs", lambda x: F.struct(

@@ -35,14 +35,23 @@ def scan_json_records(spark: SparkSession, path: str, schema: T.StructType | str
     return df.where(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
 
 
-def write_json_arrays(df: DataFrame, path: str, group: str, record: Column) -> None:
-    """Write one JSON-array file per value of ``group`` (the records of that group,
-    as written by a collector). Groups must be bounded in size (e.g. a day of one
-    source); each becomes one file under ``group=<value>/``."""
-    arrays = (df.groupBy(group)
-                .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list(F.to_json(record))),
-                              F.lit("]")).alias("value")))
-    arrays.repartition(group).write.mode("overwrite").partitionBy(group).text(path)
+def write_json_arrays(df: DataFrame, path: str, group: str, record: Column,
+                      max_records: int = 100_000) -> None:
+    """Write the records as JSON-array files (the collectors' landing format) under
+    ``group=<value>/_part=<b>/``, one array per file. A group holding more than
+    ``max_records`` records is split into ``ceil(n / max_records)`` hash buckets, so no
+    array (and no task) holds an unbounded group however hot the group value is."""
+    sizes = df.groupBy(group).agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(max_records)).cast("int").alias("_nb"))
+    rec = F.to_json(record)
+    j = df.select(group, rec.alias("_r")).join(sizes, group)
+    j = j.withColumn("_part", F.pmod(F.xxhash64("_r"), F.col("_nb")).cast("int"))
+    arrays = (j.groupBy(group, "_part")
+                .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("_r")), F.lit("]"))
+                     .alias("value")))
+    # each (group, part) folder is written by exactly one task → one array per file
+    (arrays.repartition(group, "_part")
+           .write.mode("overwrite").partitionBy(group, "_part").text(path))
 
 
 def normalise_root(text: str | Column) -> Column:
