@@ -80,7 +80,7 @@ def q_correlation_report(spark, sf):
 
 
 @query("ols_trend", f"""
-    SELECT symbol, regr_count(price, sentiment_score) AS n,
+    SELECT symbol, CAST(regr_count(price, sentiment_score) AS BIGINT) AS n,
            {R(NN('regr_slope(price, sentiment_score)'), 'slope')},
            {R(NN('regr_intercept(price, sentiment_score)'), 'intercept')},
            {R(NN('regr_r2(price, sentiment_score)'), 'r2')}
