@@ -77,6 +77,33 @@ def q_stream_upsert(spark, sf):
     return report(latest_version(spark, table), ts_cols=("created_at", "updated_at"))
 
 
+@query("stream_upsert_log", """
+    WITH t AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+               WHERE c_custkey % 3 <> 0),
+         b AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal + 100 AS c_acctbal, c_mktsegment
+               FROM customer WHERE c_custkey % 3 <> 1)
+    SELECT coalesce(t.c_custkey, b.c_custkey) AS c_custkey,
+           coalesce(b.c_name, t.c_name) AS c_name,
+           coalesce(b.c_nationkey, t.c_nationkey) AS c_nationkey,
+           coalesce(b.c_acctbal, t.c_acctbal) AS c_acctbal,
+           coalesce(b.c_mktsegment, t.c_mktsegment) AS c_mktsegment
+    FROM t FULL OUTER JOIN b ON t.c_custkey = b.c_custkey""")
+def q_stream_upsert_log(spark, sf):
+    """The same upsert kept as an append-only log (the stored customers as the base
+    version -1, each micro-batch one version) and resolved at read time."""
+    cols = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+    table = scratch_path(spark, "cust-log")
+    (spark.read.parquet(f"{sf}/customer.parquet").select(*cols)
+     .where(F.col("c_custkey") % 3 != 0)
+     .write.parquet(f"{table}/batch=-1"))
+    s = (J.read_table_stream(spark, sf, "customer").select(*cols)
+         .where(F.col("c_custkey") % 3 != 1)
+         .withColumn("c_acctbal", F.col("c_acctbal") + 100))
+    q = J.start(s, J.upsert_log_sink(table), scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    return J.resolve_upserts(spark.read.parquet(table), ["c_custkey"], ["batch"]).select(*cols)
+
+
 @query("stream_ttl", f"""
     SELECT event_id, {TS('ts', 'created_at')} FROM events
     WHERE ts IS NULL OR ts > TIMESTAMP '{AS_OF}' - INTERVAL 86400 SECOND""")

@@ -1,8 +1,8 @@
 """JSON sources: record-array files, root-shape normalisation, corrupt-record handling.
 
-Files are read by Spark's JSON source with an explicit schema (no inference pass) in
-PERMISSIVE mode, so a corrupt file yields null rows in ``_corrupt`` for a quarantine
-sink instead of failing the job.
+Files are read by Spark's JSON source with an explicit schema (no inference pass); a
+corrupt file is dropped (or kept as a ``_corrupt`` row for a quarantine sink) instead of
+failing the job.
 """
 
 from __future__ import annotations
@@ -18,21 +18,23 @@ CORRUPT_COL = "_corrupt"
 def scan_json_records(spark: SparkSession, path: str, schema: T.StructType | str,
                       keep_corrupt: bool = False) -> DataFrame:
     """Read JSON-array files (one array of flat records per file). A missing path gives
-    an empty result with the schema instead of an error; corrupt files produce rows
-    with ``_corrupt`` set, which are dropped unless ``keep_corrupt``."""
+    an empty result with the schema instead of an error; a corrupt file contributes no
+    rows (``DROPMALFORMED``). ``keep_corrupt=True`` reads PERMISSIVE instead and keeps
+    corrupt files as rows with the raw text in ``_corrupt`` (for a quarantine sink)."""
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
-    read_schema = T.StructType(list(st.fields) + [T.StructField(CORRUPT_COL, T.StringType())])
+    r = spark.read.option("multiLine", True)
+    if keep_corrupt:
+        r = (r.schema(T.StructType(list(st.fields) +
+                                   [T.StructField(CORRUPT_COL, T.StringType())]))
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL))
+    else:
+        r = r.schema(st).option("mode", "DROPMALFORMED")
     try:
-        df = (spark.read.schema(read_schema).option("multiLine", True)
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL)
-              .json(path))
+        return r.json(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return spark.createDataFrame([], st)
         raise
-    if keep_corrupt:
-        return df
-    return df.where(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
 
 
 def write_json_arrays(df: DataFrame, path: str, group: str, record: Column,

@@ -98,6 +98,28 @@ def upsert_sink(table_path: str, keys: Sequence[str], arrival: Sequence[str], as
     return sink
 
 
+def upsert_log_sink(table_path: str, batch_col: str = "batch"
+                    ) -> Callable[[DataFrame, int], None]:
+    """T03 at scale (merge-on-read): each micro-batch is appended as its own
+    ``batch=<id>`` folder (overwrite: a replay rewrites only itself) — no rewrite of the
+    stored table per batch. ``resolve_upserts`` gives the current table at read time;
+    a periodic compaction writes that result as a new base."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table_path}/{batch_col}={batch_id}")
+    return sink
+
+
+def resolve_upserts(log: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Current state of an upsert log: per key, each field takes its latest non-null
+    value (``$set`` of present fields) by ``order`` (e.g. batch id, then arrival).
+    One aggregate with map-side partial aggregation: a hot key costs one partial row
+    per task."""
+    ordc = F.struct(*[F.col(c) for c in order])
+    fields = [c for c in log.columns if c not in keys and c not in order]
+    return log.groupBy(*keys).agg(*[
+        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordc)).alias(c) for c in fields])
+
+
 def insert_ignore_sink(table_path: str, keys: Sequence[str], order_by: Sequence[str],
                        initial: str) -> Callable[[DataFrame, int], None]:
     """T03 for append-only kinds: insert-ignore each micro-batch."""
