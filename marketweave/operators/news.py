@@ -150,14 +150,12 @@ def stamp_processed(df: DataFrame, as_of: str, col: str = "processed_date") -> D
 
 def default_row_if_empty(df: DataFrame, placeholder: dict | None = None) -> DataFrame:
     """Empty input → exactly one placeholder row; non-empty input unchanged. Decided
-    inside the plan (an anti join against one probe row), no driver-side count."""
+    inside the plan by an uncorrelated ``NOT EXISTS`` subquery (it stops at the first
+    row), no driver-side count."""
     spark = df.sparkSession
     values = dict(PLACEHOLDER if placeholder is None else placeholder)
-    row = spark.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()],
-                                F.lit(1).alias("_k"))
-    probe = df.limit(1).select(F.lit(1).alias("_k"))
-    fill = row.join(probe, "_k", "left_anti").drop("_k")
-    return df.unionByName(fill, allowMissingColumns=True)
+    row = spark.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()])
+    return df.unionByName(row.where(~df.exists()), allowMissingColumns=True)
 
 
 def clean_news(df: DataFrame, as_of: str, order_by: Sequence[str] = ("doc_id",)) -> DataFrame:
