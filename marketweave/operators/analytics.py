@@ -181,8 +181,9 @@ def confusion_matrix(df: DataFrame, actual_ret: str = "actual_return",
 
 
 def best_symbol(metrics: DataFrame, by: str = "symbol", score: str = "accuracy") -> DataFrame:
-    """The group with the highest ``score``; ties go to the smallest ``by`` (first in
-    symbol order), with its RMSE. One global aggregate over the (small) metric table."""
+    """The group with the highest ``score`` and its RMSE; ties go to the first ``by`` in
+    name order (the reference takes the first in its fixed symbol list). Planned as a
+    top-1 ``TakeOrderedAndProject`` (per-task top-1, then a merge)."""
     ranked = metrics.select(by, "rmse", score)
     return (ranked.orderBy(F.desc_nulls_last(score), F.asc(by)).limit(1))
 
@@ -262,14 +263,18 @@ def year_range(df: DataFrame, lo: int, hi: int, year_col: str = "year") -> DataF
     return df.where(F.col(year_col).between(lo, hi))
 
 
-def calendar_spine(starts: DataFrame, days: int, by: str = "symbol", start: str = "start"
-                   ) -> DataFrame:
+def calendar_spine(starts: DataFrame, days: int, by: str = "symbol", start: str = "start",
+                   noise_seed: int | None = None) -> DataFrame:
     """Daily dates ``start .. start + days - 1`` per group with a deterministic trend
-    value ``100 + i`` (the dashboard's fallback series)."""
+    value ``100 + i`` (the dashboard's fallback series); ``noise_seed`` adds standard
+    normal noise (opt-in, seeded)."""
     s = starts.select(by, F.posexplode(F.sequence(F.col(start),
                                                   F.date_add(F.col(start), days - 1)))
                       .alias("i", "date"))
-    return s.select(by, "date", (F.lit(100.0) + F.col("i")).alias("trend"))
+    trend = F.lit(100.0) + F.col("i")
+    if noise_seed is not None:
+        trend = trend + F.randn(noise_seed)
+    return s.select(by, "date", trend.alias("trend"))
 
 
 # ---------------------------------------------------------------- P24 / P27 / U01-U02
