@@ -146,11 +146,11 @@ def daily_return(df: DataFrame, close: str = "close", ticker: str = "symbol",
 
 
 def clean_bars(df: DataFrame, ticker: str = "symbol", date: str = "date",
-               fence_by: str | None = None) -> DataFrame:
+               fence_by: str | None = None, exact: bool | None = None) -> DataFrame:
     """The stock cleaner: drop incomplete bars → outlier fences + fill → daily return →
-    calendar names."""
+    calendar names. ``exact`` as in ``iqr_bounds`` (None: decided by a size probe)."""
     out = drop_incomplete_bars(df)
-    out = outlier_ffill(out, ticker=ticker, order_by=(date,), fence_by=fence_by)
+    out = outlier_ffill(out, ticker=ticker, order_by=(date,), fence_by=fence_by, exact=exact)
     out = daily_return(out, ticker=ticker, order_by=(date,))
     return out.withColumns({"day_of_week": F.date_format(date, "EEEE"),
                             "month": F.date_format(date, "MMMM")})
