@@ -11,5 +11,6 @@ def load_all():
     from marketweave.plans import sentiment_queries  # noqa: F401
     from marketweave.plans import feature_queries  # noqa: F401
     from marketweave.plans import stream_queries  # noqa: F401
+    from marketweave.plans import process_queries  # noqa: F401
 
     return catalog
