@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketweave.functions.text import tokens
@@ -280,8 +280,9 @@ def keyword_tag(df: DataFrame, id_col: str, text: str, terms: DataFrame,
     per-(id, term) count compared with the term's size.
     """
     tt = terms.select("term", F.lower("token").alias("token")).distinct()
-    size = tt.groupBy("term").agg(F.count(F.lit(1)).alias("_k"))
-    tt = bounded_broadcast(tt.join(size, "term"), max_term_rows)
+    # the term table is a small parameter table: its per-term size is a window over it
+    tt = tt.withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy("term")))
+    tt = bounded_broadcast(tt, max_term_rows)
     d = df.select(id_col, F.explode(F.array_distinct(tokens(text))).alias("token"))
     hits = d.join(tt, "token")
     g = hits.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("_n"), F.max("_k").alias("_k"))
