@@ -95,8 +95,11 @@ def ensure_parallelism(df: DataFrame, key: str | None = None,
     scale) this is a no-op and adds no shuffle. Deciding needs only the planned partition
     count, no job."""
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD view of the plan (e.g. a remote session)
         return df
     if key is not None and key in df.columns:
         return df.repartition(target, key)
