@@ -12,12 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketweave.operators.quantiles import exact_quantiles
+
 PRICE_COLS = ("open", "high", "low", "close")
 ESSENTIAL_COLS = ("open", "high", "low", "close", "volume")
 FENCE_K = 3.0  # fixed value: fences at Q1 - 3*IQR and Q3 + 3*IQR
-# Exact quantiles merge a group's values in one task; above this many rows the
-# mergeable sketch (percentile_approx) is used instead.
-EXACT_QUANTILE_MAX_ROWS = 10_000_000
 
 
 def flatten_ticker_map(raw: DataFrame, col: str = "value", bar_schema: str | None = None
@@ -71,14 +70,21 @@ def iqr_bounds(df: DataFrame, cols: Sequence[str] = PRICE_COLS, by: Sequence[str
     """Q1, Q3 (linear interpolation), IQR and fences ``Q1 - k*IQR``, ``Q3 + k*IQR`` of each
     column: one row per (group, column).
 
-    ``exact=True`` uses ``percentile`` (equals pandas/SQL ``quantile_cont``); its final
-    merge holds a group's distinct values in one task. ``exact=False`` uses
-    ``percentile_approx`` (bounded-size sketch, mergeable map-side). ``None`` (default)
-    decides by size: exact when the input has at most ``EXACT_QUANTILE_MAX_ROWS`` rows
-    (one bounded ``limit`` count), the sketch above.
+    ``exact=None`` (default): exact values with bounded memory (``exact_quantiles``: a
+    sketch brackets the ranks, a second pass resolves them) — safe at any size.
+    ``exact=True``: one-pass ``percentile`` (equals SQL ``quantile_cont``); its final
+    merge holds a group's distinct values in one task, so use it only where the input is
+    bounded (e.g. a bar table of a fixed symbol set). ``exact=False``: the
+    ``percentile_approx`` sketch alone.
     """
     if exact is None:
-        exact = df.limit(EXACT_QUANTILE_MAX_ROWS + 1).count() <= EXACT_QUANTILE_MAX_ROWS
+        q = exact_quantiles(df, cols, [0.25, 0.75], by)
+        out = q.groupBy(*by, "column").agg(
+            F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
+            F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q3"))
+        iqr = F.col("q3") - F.col("q1")
+        return out.withColumns({"iqr": iqr, "lower": F.col("q1") - F.lit(k) * iqr,
+                                "upper": F.col("q3") + F.lit(k) * iqr})
     aggs = []
     for c in cols:
         if exact:

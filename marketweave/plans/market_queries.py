@@ -161,6 +161,18 @@ def q_iqr_bounds(spark, sf):
     return report(b, round_cols=("q1", "q3", "iqr", "lower", "upper"))
 
 
+@query("iqr_bounds_scalable", f"""
+    SELECT "column", {R('q1', 'q1')}, {R('q3', 'q3')}, {R('iqr', 'iqr')},
+           {R('lower', 'lower')}, {R('upper', 'upper')}
+    FROM ({_iqr_sql(f"(SELECT * FROM v_bars_dirty WHERE {_COMPLETE})")})""",
+       ("v_bars_dirty",))
+def q_iqr_bounds_scalable(spark, sf):
+    """The same fences through the bounded-memory exact quantiles (sketch bracket +
+    resolve pass), the default for inputs of unknown size."""
+    b = S.iqr_bounds(S.drop_incomplete_bars(fx.bars_dirty(spark, sf)))
+    return report(b, round_cols=("q1", "q3", "iqr", "lower", "upper"))
+
+
 def _ffill_sql(src: str, extra: str = "") -> str:
     fences = ", ".join(
         f"quantile_cont({c}, 0.25) AS {c}_q1, quantile_cont({c}, 0.75) AS {c}_q3" for c in PRICE)

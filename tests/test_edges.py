@@ -249,3 +249,17 @@ def test_corrupt_json_file_dropped_or_quarantined(spark, tmp_path):
     q = scan_json_records(spark, str(tmp_path), "a bigint", keep_corrupt=True)
     rows = q.collect()  # (a query touching only _corrupt is refused by the JSON source)
     assert len([r for r in rows if r._corrupt is not None]) == 1
+
+
+def test_bracketed_quantiles_equal_percentile(spark):
+    from marketweave.operators.quantiles import exact_quantiles
+
+    t = spark.range(0, 50000).select((F.col("id") % 4).alias("g"),
+                                     ((F.col("id") * 7919) % 1013 / 7.0).alias("v"))
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    got = {(r.g, r.p): r for r in exact_quantiles(t, ["v"], probs, by=["g"],
+                                                  accuracy=200).collect()}
+    want = {r.g: r.q for r in t.groupBy("g").agg(F.percentile("v", probs).alias("q")).collect()}
+    for g in range(4):
+        for i, p in enumerate(probs):
+            assert got[(g, p)].exact and got[(g, p)].value == pytest.approx(want[g][i], abs=1e-12)
