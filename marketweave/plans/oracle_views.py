@@ -91,7 +91,13 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                      coalesce(list(struct_pack(pos := turn, comment_text := text,
                                                comment_score := CAST(length(text) % 50 AS BIGINT))
                                    ORDER BY turn) FILTER (WHERE turn > 0), []) AS comments
-              FROM conversations GROUP BY conv_id)"""),
+              FROM (SELECT * FROM conversations WHERE turn = 0
+                    UNION ALL
+                    SELECT * EXCLUDE (rk) FROM (
+                      SELECT *, row_number() OVER (PARTITION BY conv_id
+                                                   ORDER BY length(text) % 50 DESC, turn) AS rk
+                      FROM conversations WHERE turn > 0) WHERE rk <= 5)
+              GROUP BY conv_id)"""),
     "v_econ_raw": ((), """
         SELECT indicator, country, date,
                CASE WHEN n % 7 = 0 THEN 'n/a' ELSE CAST(v AS VARCHAR) END AS value

@@ -27,6 +27,7 @@ POLARITY_ROWS = [("the", 0.3, 0.5), ("of", -0.2, 0.1), ("and", 0.1, 0.9),
                  ("is", -0.4, 0.2), ("et", 0.5, 0.6), ("la", -0.6, 0.4)]
 TERM_ROWS = [("t1", "the"), ("t1", "was"), ("t2", "from"), ("t2", "this"), ("t2", "are")]
 BASE_TS = "2024-01-01 00:00:00"
+TOP_COMMENTS = 5  # fixed value: comments kept per post by the collector
 
 
 def _base_ts(minutes: Column) -> Column:
@@ -132,16 +133,24 @@ def tweets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def posts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forum threads from conversations: turn 0 is the post, later turns its comments.
 
-    The comment array is built per thread (a thread's turns are one post's comments,
-    the reference's data model); ``array_sort`` on the turn makes the order explicit.
+    As the collector does, a post keeps only its top ``TOP_COMMENTS`` comments by score
+    (ties: earlier turn first); the cut is a per-thread ``row_number() <= 5`` that Spark
+    runs as a WindowGroupLimit before the shuffle, so however long a thread is, at most
+    six rows per thread reach the grouping that builds the comment array (ordered by
+    turn with ``array_sort``).
     """
     c = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
     k = F.col("conv_id")
+    score = (F.length("text") % 50).cast("bigint")
+    w = Window.partitionBy("conv_id").orderBy(score.desc(), F.col("turn"))
+    top = (c.where(F.col("turn") > 0).withColumn("_rk", F.row_number().over(w))
+            .where(F.col("_rk") <= TOP_COMMENTS).drop("_rk"))
+    rows = c.where(F.col("turn") == 0).unionByName(top)
     cm = F.struct(F.col("turn").alias("pos"), F.col("text").alias("comment_text"),
-                  (F.length("text") % 50).cast("bigint").alias("comment_score"))
-    g = (c.groupBy("conv_id")
-          .agg(F.max(F.when(F.col("turn") == 0, F.col("text"))).alias("title"),
-               F.array_sort(F.collect_list(F.when(F.col("turn") > 0, cm))).alias("comments")))
+                  score.alias("comment_score"))
+    g = (rows.groupBy("conv_id")
+             .agg(F.max(F.when(F.col("turn") == 0, F.col("text"))).alias("title"),
+                  F.array_sort(F.collect_list(F.when(F.col("turn") > 0, cm))).alias("comments")))
     return g.select(
         "conv_id", "title",
         F.when(k % 17 == 0, F.lit(None).cast("string"))

@@ -46,3 +46,8 @@ def test_scan_prunes_columns(spark):
     plan = _plan(QUERIES["language_flag"](spark, SMALL))
     m = re.search(r"ReadSchema: struct<(.*)>", plan)
     assert m and set(re.findall(r"(\w+):", m.group(1))) == {"doc_id", "lang"}
+
+
+@pytest.mark.parametrize("name", ["per_term_cap", "last_n_by_symbol", "combined_text"])
+def test_top_n_limited_before_shuffle(spark, name):
+    assert "WindowGroupLimit" in _plan(QUERIES[name](spark, SMALL))
