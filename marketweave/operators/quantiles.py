@@ -7,10 +7,10 @@ task. This operator gets the same numbers in two bounded passes:
    merged map-side) giving, for each wanted probability ``p``, a value bracket
    ``[a(p - 2/accuracy), a(p + 2/accuracy)]`` that contains the order statistics around
    rank ``p·(n-1)``;
-2. per group and ``p``: the number of values below the bracket and a count per distinct
-   value inside it (one partial-aggregated pass; a bracket holds about
-   ``4·n/accuracy`` rows), then a running count over the bracket finds the two order
-   statistics to interpolate.
+2. per group and ``p``: the number of values below the bracket, the nearest values just
+   outside it, and a count per distinct value inside it (one partial-aggregated pass; a
+   bracket holds about ``4·n/accuracy`` rows), then a running count over the bracket
+   finds the two order statistics to interpolate.
 
 When a bracket misses its ranks (the sketch's guarantee failed), the sketch value is
 returned and ``exact`` is false for that row.
@@ -54,9 +54,14 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     inside = (F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi"))
     cat = F.when(F.col("x") < F.col("lo"), F.lit(-1)).when(inside, F.lit(0)).otherwise(F.lit(1))
     cnt = (j.groupBy(*keys, "i", cat.alias("cat"), F.when(inside, F.col("x")).alias("v"))
-            .agg(F.count(F.lit(1)).alias("c")))
-    below = (cnt.where("cat = -1").groupBy(*keys, "i").agg(F.sum("c").alias("below")))
-    br = cnt.where("cat = 0").join(below, [*keys, "i"], "left").fillna(0, subset=["below"])
+            .agg(F.count(F.lit(1)).alias("c"), F.max("x").alias("mx"), F.min("x").alias("mn")))
+    # outside the bracket only the neighbours matter: how many are below, the largest
+    # value below and the smallest above (the ranks just outside the bracket)
+    edge = (cnt.where("cat <> 0").groupBy(*keys, "i").agg(
+        F.sum(F.when(F.col("cat") == -1, F.col("c")).otherwise(F.lit(0))).alias("below"),
+        F.max(F.when(F.col("cat") == -1, F.col("mx"))).alias("below_max"),
+        F.min(F.when(F.col("cat") == 1, F.col("mn"))).alias("above_min")))
+    br = cnt.where("cat = 0").join(edge, [*keys, "i"], "left").fillna(0, subset=["below"])
     w = (Window.partitionBy(*keys, "i").orderBy("v")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     br = br.withColumn("cum", F.col("below") + F.sum("c").over(w))
@@ -65,14 +70,23 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     r_lo = F.floor(h)
     r_hi = F.least(r_lo + 1, F.col("n") - 1)
     picked = br.groupBy(*keys, "i").agg(
-        F.min(F.when(F.col("cum") > r_lo, F.col("v"))).alias("x_lo"),
-        F.min(F.when(F.col("cum") > r_hi, F.col("v"))).alias("x_hi"),
-        F.max("below").alias("below"), F.max("cum").alias("top"),
-        F.first(h - r_lo).alias("frac"), F.first(r_lo).alias("r_lo"),
-        F.first(r_hi).alias("r_hi"))
-    res = tgt.join(picked, [*keys, "i"], "left")
-    ok = ((F.col("below") <= F.col("r_lo")) & (F.col("top") > F.col("r_hi")) &
-          F.col("x_lo").isNotNull() & F.col("x_hi").isNotNull())
-    val = F.col("x_lo") + F.col("frac") * (F.col("x_hi") - F.col("x_lo"))
+        F.min(F.when(F.col("cum") > r_lo, F.col("v"))).alias("in_lo"),
+        F.min(F.when(F.col("cum") > r_hi, F.col("v"))).alias("in_hi"),
+        F.max("cum").alias("top"))
+    res = (tgt.join(edge, [*keys, "i"], "left").fillna(0, subset=["below"])
+              .join(picked, [*keys, "i"], "left"))
+    top = F.coalesce(F.col("top"), F.col("below"))
+    hh = F.col("p") * (F.col("n") - 1)
+    rl = F.floor(hh)
+    rh = F.least(rl + 1, F.col("n") - 1)
+
+    def order_stat(r, inside_val):
+        return (F.when(r == F.col("below") - 1, F.col("below_max"))
+                 .when((r >= F.col("below")) & (r < top), inside_val)
+                 .when(r == top, F.col("above_min")))
+    x_lo = order_stat(rl, F.col("in_lo"))
+    x_hi = order_stat(rh, F.col("in_hi"))
+    ok = x_lo.isNotNull() & x_hi.isNotNull()
+    val = x_lo + (hh - rl) * (x_hi - x_lo)
     return res.select(*keys, "p", F.when(ok, val).otherwise(F.col("approx")).alias("value"),
                       F.coalesce(ok, F.lit(False)).alias("exact"))

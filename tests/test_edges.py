@@ -263,3 +263,16 @@ def test_bracketed_quantiles_equal_percentile(spark):
     for g in range(4):
         for i, p in enumerate(probs):
             assert got[(g, p)].exact and got[(g, p)].value == pytest.approx(want[g][i], abs=1e-12)
+
+
+def test_bracketed_quantiles_small_groups(spark):
+    from marketweave.operators.quantiles import exact_quantiles
+
+    rows = [(g, float(v)) for g in range(1, 7) for v in range(g)]
+    t = spark.createDataFrame(rows, "g int, v double")
+    probs = [0.25, 0.5, 0.75]
+    got = {(r.g, r.p): r for r in exact_quantiles(t, ["v"], probs, by=["g"]).collect()}
+    want = {r.g: r.q for r in t.groupBy("g").agg(F.percentile("v", probs).alias("q")).collect()}
+    for g in range(1, 7):
+        for i, p in enumerate(probs):
+            assert got[(g, p)].exact and got[(g, p)].value == pytest.approx(want[g][i])
