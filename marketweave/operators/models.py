@@ -37,9 +37,9 @@ def _estimator(name: str):
     if name == "elastic_net":
         return LinearRegression(regParam=0.05, elasticNetParam=0.5)
     if name == "random_forest":
-        return RandomForestRegressor(numTrees=20, maxDepth=5, seed=42)
+        return RandomForestRegressor(numTrees=12, maxDepth=5, seed=42)
     if name == "gbt":
-        return GBTRegressor(maxIter=20, maxDepth=3, seed=42, checkpointInterval=10)
+        return GBTRegressor(maxIter=12, maxDepth=3, seed=42, checkpointInterval=5)
     raise ValueError(f"unknown model {name}")
 
 
