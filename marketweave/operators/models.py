@@ -62,20 +62,30 @@ def horizon_rows(features: DataFrame, by: str = "symbol", order: str = "date",
     return e.withColumn("h", (F.col("_i") + 1).cast("double")).drop("_i")
 
 
-def build_pipeline(name: str, by: str = "symbol") -> Pipeline:
+def feature_pipeline(by: str = "symbol") -> Pipeline:
+    """Ticker one-hot + standardised numeric features (statistics fitted on train)."""
     idx = StringIndexer(inputCol=by, outputCol="_sym_idx", handleInvalid="keep")
     ohe = OneHotEncoder(inputCols=["_sym_idx"], outputCols=["_sym_vec"])
     asm = VectorAssembler(inputCols=[*FEATURES, "h"], outputCol="_raw", handleInvalid="skip")
     sc = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True)
     asm2 = VectorAssembler(inputCols=["_scaled", "_sym_vec"], outputCol="features")
-    return Pipeline(stages=[idx, ohe, asm, sc, asm2, _estimator(name)])
+    return Pipeline(stages=[idx, ohe, asm, sc, asm2])
+
+
+def build_pipeline(name: str, by: str = "symbol") -> Pipeline:
+    return Pipeline(stages=[*feature_pipeline(by).getStages(), _estimator(name)])
 
 
 def train_models(rows: DataFrame, names: Sequence[str] = MODEL_NAMES,
                  split_col: str = "split") -> dict[str, PipelineModel]:
-    """Fit every named model on the train split (scaler statistics from train only)."""
-    train = cut_lineage(rows.where(F.col(split_col) == "train"))
-    return {n: build_pipeline(n).fit(train) for n in names}
+    """Fit every named model on the train split. The feature stages (indexer, scaler —
+    statistics from train only) are fitted once; the assembled training vectors are
+    checkpointed into the shared folder and every estimator fits on them."""
+    train = rows.where(F.col(split_col) == "train")
+    feats = feature_pipeline().fit(train)
+    vectors = cut_lineage(feats.transform(train).select("features", "label"))
+    return {n: PipelineModel(stages=[*feats.stages, _estimator(n).fit(vectors)])
+            for n in names}
 
 
 def evaluate(models: dict[str, PipelineModel], rows: DataFrame, split_col: str = "split"
