@@ -12,26 +12,39 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def fixed2(x: str | Column, prefix: str = "", suffix: str = "", signed: bool = False
-           ) -> Column:
-    """``x`` with two decimals, e.g. ``fixed2(p, '$')`` → ``$1029.95``;
-    ``signed=True`` always prints the sign (``+1.23``/``-0.50``)."""
+def fixed(x: str | Column, digits: int = 2, prefix: str = "", suffix: str = "",
+          signed: bool = False) -> Column:
+    """``x`` with ``digits`` decimals (half-up on the scaled value), e.g.
+    ``fixed(p, 2, '$')`` → ``$1029.95``; ``signed=True`` always prints the sign."""
     x = F.col(x) if isinstance(x, str) else x
-    hundredths = F.floor(F.abs(x) * 100 + F.lit(0.5)).cast("bigint")
-    body = F.concat((hundredths / 100).cast("bigint").cast("string"), F.lit("."),
-                    F.lpad((hundredths % 100).cast("string"), 2, "0"))
-    if signed:
-        sign = F.when(x < 0, F.lit("-")).otherwise(F.lit("+"))
-    else:
-        sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
+    scale = 10 ** digits
+    units = F.floor(F.abs(x) * scale + F.lit(0.5)).cast("bigint")
+    whole = (units / scale).cast("bigint").cast("string")
+    body = whole if digits == 0 else F.concat(
+        whole, F.lit("."), F.lpad((units % scale).cast("string"), digits, "0"))
+    sign = F.when(x < 0, F.lit("-")).otherwise(F.lit("+" if signed else ""))
     return F.when(x.isNull(), F.lit(None).cast("string")).otherwise(
         F.concat(sign, F.lit(prefix), body, F.lit(suffix)))
 
 
-def fixed2_sql(x: str, prefix: str = "", suffix: str = "", signed: bool = False) -> str:
-    """DuckDB text of ``fixed2`` (for the oracle)."""
-    h = f"CAST(floor(abs({x}) * 100 + 0.5) AS BIGINT)"
+def fixed2(x: str | Column, prefix: str = "", suffix: str = "", signed: bool = False
+           ) -> Column:
+    """``x`` with two decimals (see ``fixed``)."""
+    return fixed(x, 2, prefix, suffix, signed)
+
+
+def fixed_sql(x: str, digits: int = 2, prefix: str = "", suffix: str = "",
+              signed: bool = False) -> str:
+    """DuckDB text of ``fixed`` (for the oracle)."""
+    scale = 10 ** digits
+    u = f"CAST(floor(abs({x}) * {scale} + 0.5) AS BIGINT)"
     pos = "'+'" if signed else "''"
+    body = f"CAST({u} // {scale} AS VARCHAR)"
+    if digits:
+        body += f" || '.' || lpad(CAST({u} % {scale} AS VARCHAR), {digits}, '0')"
     return (f"CASE WHEN {x} IS NULL THEN NULL ELSE (CASE WHEN {x} < 0 THEN '-' ELSE {pos} END)"
-            f" || '{prefix}' || CAST({h} // 100 AS VARCHAR) || '.' || "
-            f"lpad(CAST({h} % 100 AS VARCHAR), 2, '0') || '{suffix}' END")
+            f" || '{prefix}' || {body} || '{suffix}' END")
+
+
+def fixed2_sql(x: str, prefix: str = "", suffix: str = "", signed: bool = False) -> str:
+    return fixed_sql(x, 2, prefix, suffix, signed)

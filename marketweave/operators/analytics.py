@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketweave.functions.formatting import fixed2
+from marketweave.functions.formatting import fixed, fixed2
 from marketweave.functions.stats import corr_strength, safe_corr
 
 
@@ -289,6 +289,20 @@ def format_metrics(df: DataFrame, price: str = "predicted_price",
         "direction": F.when(F.col(ret) > 0, F.lit("up")).otherwise(F.lit("down"))})
 
 
+# The up / down markers of a formatted prediction.
+UP_MARK, DOWN_MARK = "📈", "📉"
+
+
+def prediction_text(value: str | Column, confidence: str | Column) -> Column:
+    """``📈 +1.23 (85.0% confidence)`` for a positive value, ``📉 -0.45 (...)`` otherwise
+    (zero counts as down)."""
+    v = F.col(value) if isinstance(value, str) else value
+    c = F.col(confidence) if isinstance(confidence, str) else confidence
+    conf = F.concat(F.lit(" ("), fixed(c * 100, 1), F.lit("% confidence)"))
+    return (F.when(v > 0, F.concat(F.lit(UP_MARK + " "), fixed(v, 2, signed=True), conf))
+             .otherwise(F.concat(F.lit(DOWN_MARK + " "), fixed(v, 2), conf)))
+
+
 def rename_display(df: DataFrame, names: dict[str, str]) -> DataFrame:
     """Rename columns to display names."""
     return df.withColumnsRenamed(names)

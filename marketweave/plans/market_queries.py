@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketweave.functions.formatting import fixed2_sql
+from marketweave.functions.formatting import fixed2_sql, fixed_sql
 from marketweave.operators import analytics as A
 from marketweave.operators import stock as S
 from marketweave.plans.catalog import NN, D, R, dtxt, query, report
@@ -504,3 +504,23 @@ def q_find_documents(spark, sf):
                             ["o_orderkey", "o_custkey", "o_totalprice"],
                             [("o_totalprice", -1), ("o_orderkey", 1)], 20)
 
+
+
+@query("format_prediction", f"""
+    SELECT p.symbol, {D('p.date', 'date')},
+           CASE WHEN p.predicted_return * 100 > 0
+                THEN '📈 ' || {fixed_sql('p.predicted_return * 100', 2, signed=True)}
+                ELSE '📉 ' || {fixed_sql('p.predicted_return * 100', 2)} END
+           || ' (' || {fixed_sql('m.accuracy * 100', 1)} || '% confidence)' AS prediction_text
+    FROM v_preds p JOIN (SELECT symbol, {_METRICS_SEL} FROM {_METRICS_FROM} GROUP BY symbol) m
+      ON p.symbol = m.symbol
+    WHERE p.predicted_return IS NOT NULL""", ("v_preds",))
+def q_format_prediction(spark, sf):
+    """Each forecast as the dashboard's marker text, with the symbol's directional
+    accuracy as the confidence (a per-symbol metric joined to its forecasts)."""
+    p = fx.predictions(spark, sf)
+    acc = A.regression_metrics(p).select("symbol", "accuracy")
+    j = p.where(F.col("predicted_return").isNotNull()).join(acc, "symbol")
+    return j.select("symbol", dtxt("date").alias("date"),
+                    A.prediction_text(F.col("predicted_return") * 100, "accuracy")
+                    .alias("prediction_text"))

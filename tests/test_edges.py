@@ -276,3 +276,10 @@ def test_bracketed_quantiles_small_groups(spark):
     for g in range(1, 7):
         for i, p in enumerate(probs):
             assert got[(g, p)].exact and got[(g, p)].value == pytest.approx(want[g][i])
+
+
+def test_prediction_text_markers(spark):
+    df = spark.createDataFrame([(1.234, 0.85), (-0.456, 0.5), (0.0, 1.0)], "v double, c double")
+    got = [r.t for r in df.select(A.prediction_text("v", "c").alias("t")).collect()]
+    assert got == ["📈 +1.23 (85.0% confidence)", "📉 -0.46 (50.0% confidence)",
+                   "📉 0.00 (100.0% confidence)"]
