@@ -62,7 +62,7 @@ def horizon_rows(features: DataFrame, by: str = "symbol", order: str = "date",
     return e.withColumn("h", (F.col("_i") + 1).cast("double")).drop("_i")
 
 
-def feature_pipeline(by: str = "symbol") -> Pipeline:
+def feature_stages(by: str = "symbol") -> Pipeline:
     """Ticker one-hot + standardised numeric features (statistics fitted on train)."""
     idx = StringIndexer(inputCol=by, outputCol="_sym_idx", handleInvalid="keep")
     ohe = OneHotEncoder(inputCols=["_sym_idx"], outputCols=["_sym_vec"])
@@ -72,8 +72,8 @@ def feature_pipeline(by: str = "symbol") -> Pipeline:
     return Pipeline(stages=[idx, ohe, asm, sc, asm2])
 
 
-def build_pipeline(name: str, by: str = "symbol") -> Pipeline:
-    return Pipeline(stages=[*feature_pipeline(by).getStages(), _estimator(name)])
+def model_stages(name: str, by: str = "symbol") -> Pipeline:
+    return Pipeline(stages=[*feature_stages(by).getStages(), _estimator(name)])
 
 
 def train_models(rows: DataFrame, names: Sequence[str] = MODEL_NAMES,
@@ -82,7 +82,7 @@ def train_models(rows: DataFrame, names: Sequence[str] = MODEL_NAMES,
     statistics from train only) are fitted once; the assembled training vectors are
     checkpointed into the shared folder and every estimator fits on them."""
     train = rows.where(F.col(split_col) == "train")
-    feats = feature_pipeline().fit(train)
+    feats = feature_stages().fit(train)
     vectors = cut_lineage(feats.transform(train).select("features", "label"))
     return {n: PipelineModel(stages=[*feats.stages, _estimator(n).fit(vectors)])
             for n in names}
