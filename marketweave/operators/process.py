@@ -10,24 +10,27 @@ from pyspark.sql import DataFrame
 
 from marketweave.operators import macro, news, posts, sentiment, social, stock, tables
 
-KINDS = ("stock", "news", "twitter", "reddit", "economic")
+KINDS = ("stock", "news", "messages", "posts", "macro")
+# The data-type names used by the collectors, mapped to the kinds above.
+KIND_ALIASES = {"twitter": "messages", "reddit": "posts", "economic": "macro"}
 
 
 def process_kind(df: DataFrame, kind: str, as_of: str, lexicon: DataFrame | None = None,
                  id_col: str = "doc_id", exact_quantiles: bool | None = None) -> DataFrame:
     """Clean → (score) → storage form for one kind of record."""
+    kind = KIND_ALIASES.get(kind, kind)
     cleaners: dict[str, Callable[[DataFrame], DataFrame]] = {
         "stock": lambda d: stock.clean_bars(d, exact=exact_quantiles),
         "news": lambda d: news.clean_news(d, as_of, order_by=(id_col,)),
-        "twitter": lambda d: social.clean_tweets(d, as_of, order_by=(id_col,)),
-        "reddit": lambda d: posts.clean_posts(d, as_of),
-        "economic": lambda d: macro.sort_macro(macro.clean_macro(d)),
+        "messages": lambda d: social.clean_tweets(d, as_of, order_by=(id_col,)),
+        "posts": lambda d: posts.clean_posts(d, as_of),
+        "macro": lambda d: macro.sort_macro(macro.clean_macro(d)),
     }
     if kind not in cleaners:
         raise ValueError(f"unknown kind {kind!r}; expected one of {KINDS}")
     out = cleaners[kind](df)
-    if kind in ("news", "twitter", "reddit") and lexicon is not None:
+    if kind in ("news", "messages", "posts") and lexicon is not None:
         out = sentiment.post_sentiment(sentiment.lexicon_valence(out, [id_col], lexicon))
-        if kind == "reddit" and "comments" in out.columns:
+        if kind == "posts" and "comments" in out.columns:
             out = sentiment.comment_sentiment(out, id_col, lexicon)
     return tables.to_document(out)

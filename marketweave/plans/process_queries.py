@@ -38,7 +38,7 @@ _ROUND = tuple(f"{p}_{s}" for p in ("text", "title") for s in SCORES)
     LEFT JOIN ({valence_sql(_TWEETS, 'doc_id', 'text', 'text')}) sc ON c.doc_id = sc.doc_id""",
        ("v_tweets_raw", "v_lexicon"))
 def q_process_tweets(spark, sf):
-    p = process_kind(fx.tweets_raw(spark, sf), "twitter", AS_OF, fx.lexicon(spark))
+    p = process_kind(fx.tweets_raw(spark, sf), "messages", AS_OF, fx.lexicon(spark))
     return report(p, round_cols=_ROUND)
 
 
@@ -85,7 +85,7 @@ _POSTS = f"""
 def q_process_posts(spark, sf):
     """Posts processed with their comments scored in place; the report leaves the nested
     comment array out (post-level columns only)."""
-    p = process_kind(fx.posts_raw(spark, sf), "reddit", AS_OF, fx.lexicon(spark),
+    p = process_kind(fx.posts_raw(spark, sf), "posts", AS_OF, fx.lexicon(spark),
                      id_col="conv_id")
     return report(p.drop("comments"), round_cols=_ROUND)
 
@@ -107,5 +107,5 @@ def q_process_stock(spark, sf):
     FROM ({_CLEAN_MACRO_SQL.replace("strftime(d, '%Y-%m-%d %H:%M:%S.%f') AS date", "d")})
     ORDER BY d DESC NULLS LAST, country""", ("v_econ_raw",))
 def q_process_macro(spark, sf):
-    return process_kind(fx.econ_raw(spark, sf), "economic", AS_OF)
+    return process_kind(fx.econ_raw(spark, sf), "macro", AS_OF)
 
