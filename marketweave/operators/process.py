@@ -34,3 +34,22 @@ def process_kind(df: DataFrame, kind: str, as_of: str, lexicon: DataFrame | None
         if kind == "posts" and "comments" in out.columns:
             out = sentiment.comment_sentiment(out, id_col, lexicon)
     return tables.to_document(out)
+
+
+def process_all(frames: dict[str, DataFrame], out_root: str, as_of: str,
+                lexicon: DataFrame | None = None, id_cols: dict[str, str] | None = None,
+                exact_quantiles: bool | None = None) -> list[tuple[str, str, str]]:
+    """Process every kind into ``<out_root>/<kind>`` (one job per kind, each writing its
+    own table). A failing kind is reported and the others still run; returns
+    ``(kind, path, status)`` per kind."""
+    status = []
+    for kind, df in frames.items():
+        path = f"{out_root.rstrip('/')}/{KIND_ALIASES.get(kind, kind)}"
+        try:
+            out = process_kind(df, kind, as_of, lexicon, (id_cols or {}).get(kind, "doc_id"),
+                               exact_quantiles)
+            out.write.mode("overwrite").parquet(path)
+            status.append((kind, path, "ok"))
+        except Exception as e:  # noqa: BLE001 - isolate one kind's failure
+            status.append((kind, path, f"failed: {type(e).__name__}"))
+    return status

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from marketweave.operators.process import process_kind
+from pyspark.sql import functions as F
+
+from marketweave.operators.process import process_all, process_kind
 from marketweave.plans.catalog import D, R, query, report
 from marketweave.plans.market_queries import _CLEAN_SRC, _ffill_sql
 from marketweave.plans.sentiment_queries import SCORES, _vader_bucket_sql, valence_sql
 from marketweave.plans.text_queries import (_CLEAN_MACRO_SQL, AS_OF, blank_sql, clean_text_sql,
                                             news_date_sql, social_date_sql, strip_sql)
+from marketweave.session import scratch_path
 from marketweave.sources import fixtures as fx
 
 
@@ -109,3 +112,31 @@ def q_process_stock(spark, sf):
 def q_process_macro(spark, sf):
     return process_kind(fx.econ_raw(spark, sf), "macro", AS_OF)
 
+
+
+@query("process_all_kinds", f"""
+    SELECT 'stock' AS kind, count(*) AS n_rows FROM ({_ffill_sql(_CLEAN_SRC)})
+    UNION ALL SELECT 'news', count(*) FROM ({_NEWS})
+    UNION ALL SELECT 'messages', count(*) FROM ({_TWEETS})
+    UNION ALL SELECT 'posts', count(*) FROM ({_POSTS})
+    UNION ALL SELECT 'macro', count(*) FROM v_econ_raw""",
+       ("v_bars_dirty", "v_news_raw", "v_tweets_raw", "v_posts_raw", "v_econ_raw"))
+def q_process_all_kinds(spark, sf):
+    """All five kinds processed in one run, one table per kind (a failing kind does not
+    stop the others); the report counts each written table."""
+    root = scratch_path(spark, "processed")
+    frames = {"stock": fx.bars_dirty(spark, sf), "news": fx.news_raw(spark, sf),
+              "messages": fx.tweets_raw(spark, sf), "posts": fx.posts_raw(spark, sf),
+              "macro": fx.econ_raw(spark, sf)}
+    status = process_all(frames, root, AS_OF, fx.lexicon(spark), {"posts": "conv_id"},
+                         exact_quantiles=True)
+    failed = [s for s in status if s[2] != "ok"]
+    if failed:
+        raise RuntimeError(f"kinds failed: {failed}")
+    parts = [spark.read.parquet(path).groupBy().count()
+             .select(F.lit(kind).alias("kind"), F.col("count").alias("n_rows"))
+             for kind, path, _ in status]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
