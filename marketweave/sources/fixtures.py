@@ -49,10 +49,12 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     px = F.col("p_retailprice") * (F.lit(0.9) + F.col("l_discount") + F.col("l_tax"))
     j = j.select(F.col("p_brand").alias("symbol"), F.to_date("l_shipdate").alias("date"),
                  "l_orderkey", "l_linenumber", "l_quantity", px.alias("px"))
+    # open / close: price of the first / last line of the day in (order, line, price)
+    # order — the min / max of that struct, whose last field is the price itself
     key = F.struct("l_orderkey", "l_linenumber", "px")
     return (j.groupBy("symbol", "date")
-             .agg(F.min_by("px", key).alias("open"), F.max("px").alias("high"),
-                  F.min("px").alias("low"), F.max_by("px", key).alias("close"),
+             .agg(F.min(key)["px"].alias("open"), F.max("px").alias("high"),
+                  F.min("px").alias("low"), F.max(key)["px"].alias("close"),
                   F.sum("l_quantity").cast("bigint").alias("volume")))
 
 
