@@ -35,6 +35,11 @@ VALENCE_BINS = ((-1.0, -0.5, "negative"), (-0.5, 0.1, "slightly negative"),
                 (0.1, 0.5, "neutral"), (0.5, 1.0, "positive"))
 POLARITY_BINS = ((-1.0, -0.2, "negative"), (-0.2, 0.2, "neutral"), (0.2, 1.0, "positive"))
 ALPHA = 15.0
+# Fixed values of the published valence rules: a negation within the three preceding
+# tokens scales a valence by N_SCALAR; a booster word adds its increment, damped by
+# distance (1, 0.95, 0.9 for one, two, three tokens back), in the valence's direction.
+N_SCALAR = -0.74
+BOOSTER_DECAY = (1.0, 0.95, 0.9)
 SUM_DIGITS = 6
 MAX_LEXICON_ROWS = 500_000
 MAP_LEXICON_ROWS = 100_000
@@ -92,11 +97,43 @@ def _lexicon_maps(lexicon: DataFrame, value_cols: Sequence[str]) -> dict[str, Co
     return out
 
 
-def valence_expr(text: Column, lexmap: Column, sum_digits: int = SUM_DIGITS) -> Column:
+def _context_valences(toks: Column, lexmap: Column, negations: Column | None,
+                      boosters: Column | None) -> Column:
+    """Per token: lexicon valence adjusted by the three preceding tokens (boosters, then
+    negation), computed with the element index inside ``transform`` — the in-row
+    counterpart of ``lag(token, 1..3)``. Tokens without a valence stay null."""
+    def one(t, i):
+        v = F.try_element_at(lexmap, t)
+        prev = [F.when(i - k >= 0, F.element_at(toks, i - k + 1)) for k in (1, 2, 3)]
+        if boosters is not None:
+            for k, p in enumerate(prev):
+                b = F.coalesce(F.try_element_at(boosters, p), F.lit(0.0)) * BOOSTER_DECAY[k]
+                # a booster counts only when the word before is not itself in the lexicon
+                b = F.when(F.try_element_at(lexmap, p).isNull(), b).otherwise(F.lit(0.0))
+                v = F.when(v.isNull() | (v == 0), v).otherwise(
+                    v + F.when(v < 0, -b).otherwise(b))
+        if negations is not None:
+            neg = F.lit(False)
+            for p in prev:
+                neg = neg | F.coalesce(F.array_contains(negations, p), F.lit(False))
+            v = F.when(neg, v * N_SCALAR).otherwise(v)
+        return v
+    return F.transform(toks, one)
+
+
+def valence_expr(text: Column, lexmap: Column, sum_digits: int = SUM_DIGITS,
+                 negations: Column | None = None, boosters: Column | None = None,
+                 toks: Column | None = None) -> Column:
     """``struct<neg, neu, pos, compound>`` of one text, computed in place: the token
-    array is mapped to valences once and folded in a single ``aggregate`` pass. Usable
-    on a column or inside a higher-order function (e.g. per comment)."""
-    vals = F.transform(tokens(text), lambda t: F.try_element_at(lexmap, t))
+    array is mapped to valences once (optionally with negation / booster context) and
+    folded in a single ``aggregate`` pass. Usable on a column or inside a higher-order
+    function (e.g. per comment). With context rules pass ``toks`` as a column computed
+    beforehand, so the look-back reads it instead of re-tokenising."""
+    toks = tokens(text) if toks is None else toks
+    if negations is None and boosters is None:
+        vals = F.transform(toks, lambda t: F.try_element_at(lexmap, t))
+    else:
+        vals = _context_valences(toks, lexmap, negations, boosters)
     zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("p"), F.lit(0.0).alias("n"),
                     F.lit(0).alias("z"))
 
@@ -123,9 +160,16 @@ def valence_expr(text: Column, lexmap: Column, sum_digits: int = SUM_DIGITS) ->
     return F.coalesce(F.aggregate(vals, zero, step, finish), zeros)
 
 
-def _valence_in_row(df: DataFrame, text: str, lexmap: Column, p: str, sum_digits: int
+def _valence_in_row(df: DataFrame, text: str, lexmap: Column, p: str, sum_digits: int,
+                    negations: Column | None = None, boosters: Column | None = None
                     ) -> DataFrame:
-    out = df.withColumn("_vx", valence_expr(F.col(text), lexmap, sum_digits))
+    if negations is None and boosters is None:
+        out = df.withColumn("_vx", valence_expr(F.col(text), lexmap, sum_digits))
+    else:
+        # tokens as their own column: the look-back reads it by index (no re-tokenising)
+        out = df.withColumn("_toks", tokens(text)).withColumn(
+            "_vx", valence_expr(F.col(text), lexmap, sum_digits, negations, boosters,
+                                toks=F.col("_toks"))).drop("_toks")
     return out.withColumns({f"{p}_{k}": F.col(f"_vx.{k}")
                             for k in ("neg", "neu", "pos", "compound")}).drop("_vx")
 
@@ -155,14 +199,24 @@ def valence_scores(df: DataFrame, id_cols: Sequence[str], text: str, lexicon: Da
 
 
 def lexicon_valence(df: DataFrame, id_cols: Sequence[str], lexicon: DataFrame,
-                    text: str | None = None) -> DataFrame:
-    """Add the four valence scores of the picked text column (null/empty text → 0)."""
+                    text: str | None = None, negations: Sequence[str] | None = None,
+                    boosters: dict[str, float] | None = None) -> DataFrame:
+    """Add the four valence scores of the picked text column (null/empty text → 0).
+    ``negations`` (words) and ``boosters`` (word → increment) switch on the context
+    rules (in-row path only: they need the lexicon as a map)."""
     col = text or pick_text_column(df.columns)
     if col is None:
         return df
     maps = _lexicon_maps(lexicon, ["valence"])
+    neg = F.lit(sorted({w.lower() for w in negations})).cast("array<string>") \
+        if negations else None
+    boo = F.map_from_arrays(F.lit(sorted(boosters)).cast("array<string>"),
+                            F.lit([float(boosters[k]) for k in sorted(boosters)])
+                            .cast("array<double>")) if boosters else None
     if maps is not None:
-        return _valence_in_row(df, col, maps["valence"], col, SUM_DIGITS)
+        return _valence_in_row(df, col, maps["valence"], col, SUM_DIGITS, neg, boo)
+    if neg is not None or boo is not None:
+        raise ValueError("context rules need a lexicon of at most MAP_LEXICON_ROWS entries")
     sc = valence_scores(df, id_cols, col, lexicon)
     out = df.join(sc, list(id_cols), "left")
     return out.na.fill(0.0, subset=[f"{col}_{s}" for s in ("neg", "neu", "pos", "compound")])

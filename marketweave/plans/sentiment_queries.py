@@ -207,3 +207,57 @@ def q_keyword_tag_messages(spark, sf):
     re-aimed as a join over the stored messages)."""
     t = fx.tweets_raw(spark, sf).select("doc_id", "text")
     return X.keyword_tag(t, "doc_id", "text", fx.terms(spark))
+
+
+def _dmap(d: dict[str, float]) -> str:
+    keys = ", ".join(f"'{k}'" for k in sorted(d))
+    vals = ", ".join(f"CAST({d[k]!r} AS DOUBLE)" for k in sorted(d))
+    return f"MAP([{keys}], [{vals}])"
+
+
+def valence_rules_sql(src: str, ids: str, text: str, prefix: str) -> str:
+    """DuckDB text of valence scoring with negation / booster context (in-row form)."""
+    from marketweave.operators.sentiment import BOOSTER_DECAY, N_SCALAR
+    lex = _dmap(dict(fx.LEXICON_ROWS))
+    boo = _dmap(fx.BOOSTER_WORDS)
+    negs = "[" + ", ".join(f"'{w}'" for w in fx.NEGATION_WORDS) + "]"
+    v = f"map_extract_value({lex}, t)"
+    prev = [f"(CASE WHEN i - {k} >= 1 THEN toks[i - {k}] END)" for k in (1, 2, 3)]
+    for k, p in enumerate(prev):
+        b = (f"(CASE WHEN map_extract_value({lex}, {p}) IS NULL "
+             f"THEN coalesce(map_extract_value({boo}, {p}), 0.0) * {BOOSTER_DECAY[k]} "
+             f"ELSE 0.0 END)")
+        v = f"(CASE WHEN {v} IS NULL OR {v} = 0 THEN {v} ELSE {v} + (CASE WHEN {v} < 0 THEN -{b} ELSE {b} END) END)"
+    neg = " OR ".join(f"coalesce(list_contains({negs}, {p}), false)" for p in prev)
+    v = f"(CASE WHEN {neg} THEN {v} * ({N_SCALAR}) ELSE {v} END)"
+    vals = f"list_transform(toks, lambda t, i: {v})"
+    agg = f"""
+      SELECT {ids}, round(coalesce(list_sum(list_transform(vals, lambda x: coalesce(x, 0.0))), 0.0), 6) AS s,
+             round(coalesce(list_sum(list_transform(vals, lambda x: CASE WHEN x > 0 THEN x + 1 ELSE 0.0 END)), 0.0), 6) AS p,
+             round(coalesce(list_sum(list_transform(vals, lambda x: CASE WHEN x < 0 THEN x - 1 ELSE 0.0 END)), 0.0), 6) AS n,
+             len(list_filter(vals, lambda x: x IS NULL OR x = 0)) AS zc
+      FROM (SELECT {ids}, {vals} AS vals
+            FROM (SELECT {ids}, {tokens_sql(text)} AS toks FROM ({src})))"""
+    tot = "(p + abs(n) + zc)"
+    sz = _z("s")
+    return f"""
+      SELECT {ids},
+             CASE WHEN {tot} > 0 THEN {_z(f'abs(n) / {tot}')} ELSE 0.0 END AS {prefix}_neg,
+             CASE WHEN {tot} > 0 THEN {_z(f'zc / {tot}')} ELSE 0.0 END AS {prefix}_neu,
+             CASE WHEN {tot} > 0 THEN {_z(f'p / {tot}')} ELSE 0.0 END AS {prefix}_pos,
+             CASE WHEN {tot} > 0 THEN {_z(f'({sz}) / sqrt(({sz}) * ({sz}) + 15.0)')} ELSE 0.0 END
+               AS {prefix}_compound
+      FROM ({agg})"""
+
+
+@query("lexicon_valence_rules", f"""
+    SELECT doc_id, {", ".join(R(f"text_{s}", f"text_{s}") for s in SCORES)}
+    FROM ({valence_rules_sql('SELECT doc_id, text FROM documents', 'doc_id', 'text', 'text')})""")
+def q_lexicon_valence_rules(spark, sf):
+    """Valence with the context rules: a negation within three tokens flips and damps a
+    valence, a booster word before it strengthens it (look-back by index, in place)."""
+    d = read_table(spark, sf, "documents", "doc_id", "text")
+    v = X.lexicon_valence(d, ["doc_id"], fx.lexicon(spark), negations=fx.NEGATION_WORDS,
+                          boosters=fx.BOOSTER_WORDS)
+    return report(v.select("doc_id", *[f"text_{s}" for s in SCORES]),
+                  round_cols=tuple(f"text_{s}" for s in SCORES))

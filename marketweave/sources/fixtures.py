@@ -25,6 +25,10 @@ LEXICON_ROWS = [("the", 1.9), ("of", -1.5), ("and", 0.8), ("is", -2.2), ("that",
                 ("was", -3.1), ("de", 0.6), ("la", -1.2)]
 POLARITY_ROWS = [("the", 0.3, 0.5), ("of", -0.2, 0.1), ("and", 0.1, 0.9),
                  ("is", -0.4, 0.2), ("et", 0.5, 0.6), ("la", -0.6, 0.4)]
+# Fixture parameters of the context rules (frequent words of the invented prose, so the
+# rules fire; not a published negation / booster list).
+NEGATION_WORDS = ["in", "un", "die"]
+BOOSTER_WORDS = {"to": 0.293, "le": -0.293, "for": 0.293}
 TERM_ROWS = [("t1", "the"), ("t1", "was"), ("t2", "from"), ("t2", "this"), ("t2", "are")]
 BASE_TS = "2024-01-01 00:00:00"
 TOP_COMMENTS = 5  # fixed value: comments kept per post by the collector

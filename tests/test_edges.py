@@ -283,3 +283,17 @@ def test_prediction_text_markers(spark):
     got = [r.t for r in df.select(A.prediction_text("v", "c").alias("t")).collect()]
     assert got == ["📈 +1.23 (85.0% confidence)", "📉 -0.46 (50.0% confidence)",
                    "📉 0.00 (100.0% confidence)"]
+
+
+def test_valence_context_rules(spark):
+    lex = spark.createDataFrame([("good", 2.0)], "token string, valence double")
+    df = spark.createDataFrame([(1, "not good"), (2, "very good"), (3, "not very good")],
+                               "id int, text string")
+    got = {r.id: r.text_compound for r in X.lexicon_valence(
+        df, ["id"], lex, negations=["not"], boosters={"very": 0.293}).collect()}
+
+    def comp(s):
+        return s / (s * s + 15) ** 0.5
+    assert got[1] == pytest.approx(comp(2.0 * X.N_SCALAR))
+    assert got[2] == pytest.approx(comp(2.293))
+    assert got[3] == pytest.approx(comp(2.293 * X.N_SCALAR))
