@@ -12,8 +12,9 @@ the caller supplies (token, valence) or (token, polarity, subjectivity). Two pla
 
 Both round the valence sums identically, so they give the same numbers.
 
-Valence formulas (rule-based valence scoring as published by Hutto & Gilbert, 2014;
-negation/intensifier rules are not applied):
+Valence formulas (rule-based valence scoring as published by Hutto & Gilbert, 2014; the
+optional context rules scale a valence by ``N_SCALAR`` after a negation within three
+tokens and add a damped booster increment; the word lists are parameters):
 ``s = Σ valence``; ``compound = s / sqrt(s² + 15)``; ``P = Σ(v + 1 | v > 0)``,
 ``N = Σ(v − 1 | v < 0)``, ``Z = #tokens with v = 0 or no entry``, ``T = P + |N| + Z``;
 ``pos = P/T``, ``neg = |N|/T``, ``neu = Z/T``; no tokens (or null text) → all 0.
