@@ -102,6 +102,7 @@ def event_impact(avgs: DataFrame) -> DataFrame:
     return avgs.select(
         "*",
         (d - b).alias("during_change"), (a - d).alias("after_change"),
+        F.abs(d - b).alias("during_change_abs"), F.abs(a - d).alias("after_change_abs"),
         # The impact label texts.
         F.when(d > b, F.lit("increased")).otherwise(F.lit("decreased")).alias("during_label"),
         F.when(a > d, F.lit("continued to increase")).otherwise(F.lit("began to decrease"))

@@ -272,6 +272,29 @@ def q_bounded_history(spark, sf):
     return report(b, date_cols=("date",))
 
 
+@query("bounded_history_by_symbol", f"""
+    SELECT b.symbol, {D('b.date', 'date')}, b.close
+    FROM v_bars b JOIN (SELECT symbol, max(date) AS mx FROM v_bars GROUP BY symbol) m
+      ON b.symbol = m.symbol
+    WHERE b.date > m.mx - 60""", ("v_bars",))
+def q_bounded_history_by_symbol(spark, sf):
+    """The last 60 days of every symbol, each relative to its own latest bar."""
+    b = A.bounded_history(fx.bars(spark, sf).select("symbol", "date", "close"), 60,
+                          by=("symbol",))
+    return report(b, date_cols=("date",))
+
+
+@query("last_n_one_symbol", f"""
+    SELECT symbol, {D('date', 'date')}, close, volume FROM v_bars WHERE symbol = 'Brand#7'
+    ORDER BY date DESC LIMIT 30""", ("v_bars",))
+def q_last_n_one_symbol(spark, sf):
+    """One symbol's latest 30 bars (the dashboard's single-symbol read): equality filter,
+    sort and limit as one find."""
+    b = fx.bars(spark, sf).select("symbol", "date", "close", "volume")
+    return report(A.find_documents(b, {"symbol": "Brand#7"}, sort=[("date", -1)], limit=30),
+                  date_cols=("date",))
+
+
 @query("calendar_spine", f"""
     SELECT symbol, {D('start + CAST(i AS INTEGER)', 'date')}, CAST(100 + i AS DOUBLE) AS trend
     FROM (SELECT symbol, min(date) AS start, unnest(range(30)) AS i
@@ -314,6 +337,7 @@ def q_phase_averages(spark, sf):
 @query("event_impact", f"""
     SELECT symbol, {R('b', 'before_avg')}, {R('d', 'during_avg')}, {R('a', 'after_avg')},
            {R('d - b', 'during_change')}, {R('a - d', 'after_change')},
+           {R('abs(d - b)', 'during_change_abs')}, {R('abs(a - d)', 'after_change_abs')},
            CASE WHEN d > b THEN 'increased' ELSE 'decreased' END AS during_label,
            CASE WHEN a > d THEN 'continued to increase' ELSE 'began to decrease' END
              AS after_label,
@@ -322,7 +346,7 @@ def q_phase_averages(spark, sf):
 def q_event_impact(spark, sf):
     p = A.event_impact(A.phase_averages(A.event_phase(fx.event_prices(spark, sf))))
     return report(p, round_cols=("before_avg", "during_avg", "after_avg", "during_change",
-                                 "after_change"))
+                                 "after_change", "during_change_abs", "after_change_abs"))
 
 
 # ------------------------------------------------------------ forecast page
