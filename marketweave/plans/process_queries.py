@@ -140,3 +140,29 @@ def q_process_all_kinds(spark, sf):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@query("stream_process_news", f"""
+    SELECT c.doc_id, c.title, c.description, {iso_sql('c.ts', '"publishedAt"')}, c.author,
+           c.source, c.url, c.country, c.processed_date, c.sentiment_score, {_scores_sql('title')}
+    FROM ({_NEWS}) c
+    LEFT JOIN ({valence_sql(_NEWS, 'doc_id', 'title', 'title')}) sc ON c.doc_id = sc.doc_id""",
+       ("v_news_raw", "v_lexicon"))
+def q_stream_process_news(spark, sf):
+    """The collection loop as a stream: new document files are shaped into articles and
+    each micro-batch is cleaned, scored and stored (``foreachBatch``, one version per
+    batch id). The cleaner's keep-first dedup acts within a micro-batch; duplicates
+    across runs are the job of ``stream_dedup`` / ``cross_run_dedup``."""
+    from marketweave.streaming import jobs as J
+
+    out = scratch_path(spark, "news-stream")
+    lex = fx.lexicon(spark)
+    s = J.read_table_stream(spark, sf, "documents").select("doc_id", "text", "source")
+
+    def sink(batch, batch_id):
+        process_kind(fx.news_from_documents(batch), "news", AS_OF, lex) \
+            .write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    q = J.start(s, sink, scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    return report(spark.read.parquet(out).drop("batch"), round_cols=_ROUND)

@@ -97,7 +97,12 @@ def news_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """News articles from documents: title = first line, description = second line
     (whole lines), with missing titles, blank descriptions, null authors and publishedAt
     written in six ways (4 formats, junk, null)."""
-    d = read_table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return news_from_documents(read_table(spark, sf_dir, "documents", "doc_id", "text",
+                                          "source"))
+
+
+def news_from_documents(d: DataFrame) -> DataFrame:
+    """The row-wise shaping of ``news_raw`` (also usable on a stream of documents)."""
     k = F.col("doc_id")
     ts = _base_ts(k)
     published = (F.when(k % 6 == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
