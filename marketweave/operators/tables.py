@@ -67,17 +67,24 @@ def insert_counts(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -
 
 def upsert_merge(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
                  arrival: Sequence[str], as_of: str, with_action: bool = True) -> DataFrame:
-    """Keyed upsert: rows with a null key are skipped; within the batch the last row
-    (by ``arrival``) per key wins; an existing row takes every non-null incoming field
-    (``$set`` of the fields present — with a fixed schema "present" means non-null);
-    new keys are inserted. ``updated_at`` is stamped on touched rows, ``created_at``
-    kept or set to ``as_of``. One full-outer join on the key."""
+    """Keyed upsert: rows with a null key are skipped; the batch's rows for one key are
+    applied in ``arrival`` order like sequential ``$set`` updates — each field takes its
+    last present value (with a fixed schema "present" means non-null); an existing row
+    keeps the fields no incoming row sets; new keys are inserted. ``updated_at`` is
+    stamped on touched rows, ``created_at`` kept or set to ``as_of``.
+
+    Plan: one aggregate collapses the batch per key (``max_by`` per field, partial
+    map-side, so a key updated many times costs one row per task), then one full-outer
+    join on the key."""
     fields = [c for c in target.columns if c not in keys and c not in ("created_at",
                                                                        "updated_at")]
-    batch = keep_last(incoming.where(_not_null(keys)), keys, arrival) \
-        .select(*keys, *[c for c in fields if c in incoming.columns])
+    order = F.struct(*[F.col(a) for a in arrival])
+    upd = [c for c in fields if c in incoming.columns]
+    batch = incoming.where(_not_null(keys)).groupBy(*keys).agg(
+        F.lit(True).alias("_in"),
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in upd])
     t = target.alias("t")
-    n = batch.withColumn("_in", F.lit(True)).alias("n")
+    n = batch.alias("n")
     j = t.join(n, _key_cond(keys, "t", "n"), "full_outer")
     ts = F.lit(as_of).cast("timestamp")
     in_new = F.col("n._in").isNotNull()

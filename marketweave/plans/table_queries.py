@@ -69,8 +69,14 @@ def q_insert_counts(spark, sf):
 
 _MERGE_SQL = f"""
     WITH {_BATCH_SQL},
-    b AS (SELECT * FROM inc QUALIFY row_number() OVER (PARTITION BY c_custkey
-                                                       ORDER BY arrival DESC) = 1)
+    b AS (SELECT c_custkey,
+                 arg_max(c_name, arrival) FILTER (WHERE c_name IS NOT NULL) AS c_name,
+                 arg_max(c_nationkey, arrival) FILTER (WHERE c_nationkey IS NOT NULL)
+                   AS c_nationkey,
+                 arg_max(c_acctbal, arrival) FILTER (WHERE c_acctbal IS NOT NULL) AS c_acctbal,
+                 arg_max(c_mktsegment, arrival) FILTER (WHERE c_mktsegment IS NOT NULL)
+                   AS c_mktsegment
+          FROM inc GROUP BY c_custkey)
     SELECT coalesce(t.c_custkey, b.c_custkey) AS c_custkey,
            coalesce(b.c_name, t.c_name) AS c_name,
            coalesce(b.c_nationkey, t.c_nationkey) AS c_nationkey,

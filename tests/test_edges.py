@@ -297,3 +297,13 @@ def test_valence_context_rules(spark):
     assert got[1] == pytest.approx(comp(2.0 * X.N_SCALAR))
     assert got[2] == pytest.approx(comp(2.293))
     assert got[3] == pytest.approx(comp(2.293 * X.N_SCALAR))
+
+
+def test_upsert_applies_batch_rows_in_order_per_field(spark):
+    t = spark.createDataFrame([(1, "old", 0.0, "s")], "k int, name string, x double, seg string")
+    n = spark.createDataFrame([(1, "a", None, None, 1), (1, None, 2.0, None, 2),
+                               (1, "b", None, None, 3), (7, None, 5.0, "z", 1)],
+                              "k int, name string, x double, seg string, o int")
+    got = {r.k: r for r in TB.upsert_merge(t, n, ["k"], ["o"], "2024-01-01 00:00:00").collect()}
+    assert (got[1].name, got[1].x, got[1].seg) == ("b", 2.0, "s")
+    assert (got[7].name, got[7].x, got[7].seg, got[7].action) == (None, 5.0, "z", "insert")
