@@ -49,3 +49,24 @@ def test_stream_equals_batch_dedup(spark):
     s = E.queries()["stream_dedup"](spark, SMALL)
     d = TB.with_content_hash(read_table(spark, SMALL, "documents", "doc_id", "text"))
     assert _rows(s) == _rows(d.select("content_hash").distinct())
+
+
+def test_upsert_independent_of_partitioning(spark):
+    c = read_table(spark, SMALL, "customer", "c_custkey", "c_name", "c_acctbal")
+    inc = c.withColumn("o", F.lit(1)).unionByName(
+        c.withColumn("c_acctbal", F.col("c_acctbal") + 1).withColumn("o", F.lit(2)))
+    a = TB.upsert_merge(c.where("c_custkey % 2 = 0"), inc, ["c_custkey"], ["o"],
+                        "2024-01-01 00:00:00")
+    b = TB.upsert_merge(c.where("c_custkey % 2 = 0").repartition(5),
+                        inc.repartition(7).sortWithinPartitions(F.desc("o")), ["c_custkey"],
+                        ["o"], "2024-01-01 00:00:00")
+    assert _rows(a) == _rows(b)
+
+
+def test_valence_independent_of_partitioning(spark):
+    from marketweave.operators import sentiment as X
+
+    d = read_table(spark, SMALL, "documents", "doc_id", "text")
+    a = X.lexicon_valence(d, ["doc_id"], fx.lexicon(spark)).drop("text")
+    b = X.lexicon_valence(d.repartition(3), ["doc_id"], fx.lexicon(spark)).drop("text")
+    assert _rows(a) == _rows(b)
