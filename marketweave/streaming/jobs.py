@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,15 +85,29 @@ def stream_dedup(df: DataFrame, keys: Sequence[str], ts: str = "ts",
         list(keys))
 
 
+def _previous_version(spark: SparkSession, table_path: str, batch_id: int, initial: str
+                      ) -> str:
+    """The newest ``batch=<id>`` version below ``batch_id`` (or ``initial``). Only the
+    partition column is read, so this is a file listing plus footers."""
+    try:
+        t = spark.read.parquet(table_path)
+    except AnalysisException:
+        return initial
+    last = t.where(F.col("batch") < batch_id).agg(F.max("batch")).first()[0]
+    return initial if last is None else f"{table_path}/batch={last}"
+
+
 def upsert_sink(table_path: str, keys: Sequence[str], arrival: Sequence[str], as_of: str,
                 initial: str) -> Callable[[DataFrame, int], None]:
     """T03: a ``foreachBatch`` sink merging each micro-batch into the keyed table. Version
-    ``batch=<id>`` is written from version ``batch=<id-1>`` (or ``initial``), so a replay
-    of the same batch id rewrites the same version."""
+    ``batch=<id>`` is written from the newest earlier version (or ``initial``), so a
+    replay of the same batch id rewrites the same version; empty micro-batches (e.g. the
+    watermark-only batches of update mode) write nothing."""
     def sink(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         spark = batch.sparkSession
-        prev = initial if batch_id == 0 else f"{table_path}/batch={batch_id - 1}"
-        target = spark.read.parquet(prev)
+        target = spark.read.parquet(_previous_version(spark, table_path, batch_id, initial))
         merged = TB.upsert_merge(target, batch, keys, arrival, as_of, with_action=False)
         merged.write.mode("overwrite").parquet(f"{table_path}/batch={batch_id}")
     return sink
@@ -122,11 +137,13 @@ def resolve_upserts(log: DataFrame, keys: Sequence[str], order: Sequence[str]) -
 
 def insert_ignore_sink(table_path: str, keys: Sequence[str], order_by: Sequence[str],
                        initial: str) -> Callable[[DataFrame, int], None]:
-    """T03 for append-only kinds: insert-ignore each micro-batch."""
+    """T03 for append-only kinds: insert-ignore each micro-batch (versions as in
+    ``upsert_sink``)."""
     def sink(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         spark = batch.sparkSession
-        prev = initial if batch_id == 0 else f"{table_path}/batch={batch_id - 1}"
-        target = spark.read.parquet(prev)
+        target = spark.read.parquet(_previous_version(spark, table_path, batch_id, initial))
         out = TB.insert_ignore(target, batch, keys, order_by)
         out.write.mode("overwrite").parquet(f"{table_path}/batch={batch_id}")
     return sink
