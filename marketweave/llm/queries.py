@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketweave.llm import bpe, mixing, sharding, tokenfiles
-from marketweave.llm.common import spread, table
+from marketweave.llm import bpe, jaccard, mixing, quality, sharding, tokenfiles, toxicity
+from marketweave.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,36 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def held_out() -> Column:
+    """Every fifth id by checksum is kept from learning (a null id counts as '')."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")),
+                  F.lit(5)) == 0
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"),
+                           "toxic", keep=~held_out())
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op2_quality_rules")
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "rule")
+
+
+@query("op3_jaccard_join")
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(
+        table(spark, sf_dir, "documents"), jaccard.Similarity(4, 85, 100)).select(
+        "doc_id", "n_shingles", "component_id")
+
+
 @query("op5_token_files")
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = tokenfiles.scratch_folder(spark)
@@ -35,7 +65,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_bpe_roundtrip")
 def op6_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    docs = table(spark, sf_dir, "documents")
     both = bpe.decode_documents(bpe.encode_documents(docs, TOKENIZER), TOKENIZER)
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
