@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketweave.llm import bpe, jaccard, mixing, quality, sharding, tokenfiles, toxicity
+from marketweave.llm import bpe, embeddings, jaccard, mixing, quality, sharding, tokenfiles, toxicity
 from marketweave.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -115,3 +115,8 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 24).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "n_tokens")
+
+
+@query("op10_embedding_near_dup")
+def op10_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
