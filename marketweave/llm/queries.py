@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketweave.llm import bpe, embeddings, jaccard, mixing, quality, sharding, tokenfiles, toxicity
+from marketweave.llm import bpe, embeddings, jaccard, mixing, quality, revisits, sharding, tokenfiles, toxicity
 from marketweave.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -55,6 +55,55 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+OP4_SQL = r"""
+WITH p AS (
+  SELECT page_id, md5(html) AS tag, strlen(html) AS n_bytes,
+         regexp_replace(url, '#.*$', '') AS bare FROM pages),
+o AS (SELECT *, regexp_extract(bare, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*') AS origin FROM p),
+q AS (SELECT *, substr(bare, length(origin) + 1) AS rest,
+             regexp_replace(regexp_replace(lower(origin), '^(http://.*):80$', '\1'),
+                            '^(https://.*):443$', '\1') AS host FROM o),
+u AS (SELECT *, regexp_extract(rest, '^[^?]*') AS path,
+             list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'),
+                       lambda x: x <> '' AND NOT regexp_matches(x, '^utm_[a-z]+='))) AS params FROM q),
+c AS (SELECT page_id, tag, n_bytes, host || CASE WHEN path = '' THEN '/' ELSE path END ||
+             CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS canonical
+      FROM u),
+full_r AS (SELECT canonical, page_id * 3 AS id, page_id * 60 AS at, tag, page_id, n_bytes FROM c),
+rev AS (
+  SELECT canonical, page_id * 3 + 1 AS record_id, page_id * 60 + 86400 * (1 + page_id % 3) AS at,
+         CASE WHEN page_id % 4 = 0 THEN 'stale' ELSE tag END AS tag, page_id, 0 AS dated FROM c
+  UNION ALL
+  SELECT canonical, page_id * 3 + 2, page_id * 60 - 30, NULL, page_id, 1 FROM c),
+j AS (
+  SELECT r.*, (SELECT arg_max(f.id, f.at * 1000000000 + f.id) FROM full_r f
+               WHERE f.canonical = r.canonical AND f.at < r.at) AS ref FROM rev r),
+k AS (
+  SELECT j.*, f.tag AS ftag, f.page_id AS fpage, f.n_bytes,
+         CASE WHEN ref IS NULL THEN 'orphan'
+              WHEN dated = 0 THEN CASE WHEN j.tag = f.tag THEN 'resolved' ELSE 'changed' END
+              WHEN j.page_id % 7 = f.page_id % 7 THEN 'resolved' ELSE 'changed' END AS outcome
+  FROM j LEFT JOIN full_r f ON f.id = j.ref)
+SELECT record_id, canonical, outcome, CASE WHEN outcome = 'resolved' THEN ref END AS refers_to,
+       CASE WHEN outcome = 'resolved' THEN
+         'content-length=' || n_bytes || ';content-type=text/html;date=day ' ||
+         CASE WHEN dated = 0 THEN page_id + 1 ELSE fpage END || ';etag=' ||
+         CASE WHEN dated = 0 THEN 'W/"' || tag || '"' ELSE '"' || ftag || '"' END ||
+         CASE WHEN dated = 0 THEN ';expires=day ' || (page_id + 2) ELSE '' END ||
+         ';last-modified=day ' || (fpage % 7) END AS merged
+FROM k
+"""
+
+
+@query("op4_revisits", OP4_SQL)
+def op4_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = revisits.resolve_revisits(revisits.captures(table(spark, sf_dir, "pages")))
+    pairs = F.array_sort(F.transform(F.map_entries("headers"),
+                                     lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return out.select("record_id", "canonical", "outcome", "refers_to",
+                      F.array_join(pairs, ";").alias("merged"))
+
+
 @query("op5_token_files")
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = tokenfiles.scratch_folder(spark)
