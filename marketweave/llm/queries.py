@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketweave.llm import bpe, embeddings, jaccard, mixing, quality, revisits, sharding, tokenfiles, toxicity
+from marketweave.llm import bpe, embeddings, jaccard, mixing, quality, revisits, sharding, substrings, tokenfiles, toxicity
 from marketweave.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -120,6 +120,11 @@ def op6_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query("op7_substring_dedup")
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 OP8_SQL = r"""
 WITH d AS (
   SELECT doc_id, source,
