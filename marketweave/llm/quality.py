@@ -56,23 +56,23 @@ STATISTICS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n
               "n_bangs", "n_upper")
 
 
-def text_statistics(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and the ``STATISTICS`` of every row's whole text.
+def text_statistics(docs: DataFrame, *carry: str) -> DataFrame:
+    """``doc_id``, the columns ``carry`` and the ``STATISTICS`` of every row's whole text.
 
     A null text counts as empty (all zero); words are runs of anything but ASCII white space;
     repeated rows are measured each; other columns are ignored."""
     text = F.col("text")
-    d = (docs.select("doc_id", F.coalesce(text, F.lit("")).alias("text"))
+    d = (docs.select("doc_id", F.coalesce(text, F.lit("")).alias("text"), *carry)
          .withColumn("_w", F.filter(F.split(text, SEPARATORS), lambda w: w != ""))
          .withColumn("_l", F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))))
     d = d.select(
-        "doc_id", "_w", F.size("_w").cast("long").alias("n_words"),
+        "doc_id", *carry, "_w", F.size("_w").cast("long").alias("n_words"),
         F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
         _count(text, r"[#*$%&|<>]").alias("n_symbols"),
         F.size("_l").cast("long").alias("n_lines"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
         _count(text, "!").alias("n_bangs"), _count(text, "[A-Z]").alias("n_upper"))
-    return repeated_window_words(d, "_w", "n_repeat_words").select("doc_id", *STATISTICS)
+    return repeated_window_words(d, "_w", "n_repeat_words").select("doc_id", *carry, *STATISTICS)
 
 
 def base_failed() -> Column:
@@ -180,17 +180,20 @@ def _prune(cells: DataFrame, rule: Rule) -> tuple[Rule, int, int]:
     return rule[:k], r[f"p{k}"] or 0, r[f"g{k}"] or 0
 
 
-def learn_rules(stats: DataFrame, labels: DataFrame, label: str = "quality", *,
-                max_rows: int = MAX_ROWS, max_rules: int = 12, max_tests: int = 4,
+def labelled(labels: DataFrame, label: str = "quality", max_rows: int = MAX_ROWS) -> DataFrame:
+    """``(doc_id, bad)`` of at most ``max_rows`` labelled ids, the ones with the smallest
+    hashes. Of several labels of an id the smallest counts; null labels and null ids teach
+    nothing."""
+    return (labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+            .groupBy("doc_id").agg((F.min(label) == 0).cast("int").alias("bad"))
+            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
+
+
+def learn_rules(stats: DataFrame, picked: DataFrame, *, max_rules: int = 12, max_tests: int = 4,
                 precision: float = 0.9, least_share: float = 0.005) -> list[Rule]:
-    """Rules that recognise rows labelled 0, each right on ``precision`` of the held-out rows
-    it covers and covering ``least_share`` of the bad ones.
-
-    Of several labels of an id the smallest counts; null labels and null ids teach nothing;
-    without bad rows there is no rule. At most ``max_rows`` labelled ids are used."""
-    picked = (labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
-              .groupBy("doc_id").agg((F.min(label) == 0).cast("int").alias("bad"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
+    """Rules that recognise bad rows of ``picked`` (see ``labelled``) by their statistics,
+    each right on ``precision`` of the held-out rows it covers and covering ``least_share``
+    of the bad ones; without bad rows there is no rule."""
     feats = rule_features()
     rows = (stats.filter(~base_failed()).join(F.broadcast(picked), "doc_id")
             .select("bad", (F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3)) == 0)
@@ -199,8 +202,10 @@ def learn_rules(stats: DataFrame, labels: DataFrame, label: str = "quality", *,
     cuts = {f: c for f, c in _cuts(rows).items() if c}
     if not cuts:
         return []
+
     def bin_of(f: str) -> Column:
         return F.size(F.filter(F.array(*map(F.lit, cuts[f])), lambda c: F.col(f) > c))
+
     binned = rows.select("bad", "held", *[bin_of(f).alias(f) for f in cuts])
     cells = cut_lineage(binned.groupBy(*binned.columns).agg(F.count(F.lit(1)).alias("n")))
     n_bad = cells.filter("bad = 1 AND held").agg(F.sum("n")).first()[0] or 0
@@ -230,6 +235,18 @@ def judge(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """``doc_id``, the ``STATISTICS``, ``base_failed``, ``rule`` and ``kept`` for every row of
     ``docs``; ``kept`` needs the base test and no rule against the text."""
     stats = cut_lineage(text_statistics(docs))
-    rules = learn_rules(stats, labels, **options)
+    rules = learn_rules(stats, labelled(labels), **options)
     return (stats.withColumn("base_failed", base_failed()).withColumn("rule", verdict(rules))
             .withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0)))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, columns unchanged. Rules are learned from the
+    labelled rows alone; the verdict is evaluated inside each row, without a join."""
+    picked = cut_lineage(labelled(labels))
+    sample = docs.join(F.broadcast(picked.select("doc_id")), "doc_id", "left_semi")
+    rules = learn_rules(cut_lineage(text_statistics(sample)), picked, **options)
+    rows = text_statistics(docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row")), "_row")
+    # through a generator, so that the filter reads the statistics and does not repeat them
+    rows = rows.select("_row", F.explode(F.array(F.struct(*STATISTICS))).alias("_s")).select("_row", "_s.*")
+    return rows.filter(~base_failed() & (verdict(rules) == 0)).select("_row.*")
