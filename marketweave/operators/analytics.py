@@ -70,8 +70,11 @@ def ols_trend(df: DataFrame, x: str = "sentiment_score", y: str = "price",
 
 
 def dual_series(df: DataFrame, by: Sequence[str] = ("symbol",)) -> DataFrame:
-    """date, price, sentiment_score ordered by date — the two-axis plot's data."""
-    return df.select(*by, "date", "price", "sentiment_score").orderBy(*by, "date")
+    """date, price, sentiment_score ordered by date — the two-axis plot's data, with the
+    position of each row in its group (``row_number``)."""
+    at = F.row_number().over(Window.partitionBy(*by).orderBy("date"))
+    return df.select(*by, "date", "price", "sentiment_score", at.alias("row_number")) \
+        .orderBy(*by, "date")
 
 
 # ---------------------------------------------------------------- W03 / A02 / A03
@@ -170,15 +173,16 @@ def regression_metrics(df: DataFrame, by: Sequence[str] = ("symbol",),
 
 def confusion_matrix(df: DataFrame, actual_ret: str = "actual_return",
                      pred_ret: str = "predicted_return") -> DataFrame:
-    """2x2 counts: rows Actual Up / Actual Down, columns Predicted Up / Predicted Down.
-    A return > 0 is Up, otherwise Down (zero goes to Down, as the reference formats)."""
-    d = df.where(F.col(actual_ret).isNotNull() & F.col(pred_ret).isNotNull()).select(
-        F.when(F.col(actual_ret) > 0, "Actual Up").otherwise("Actual Down").alias("actual"),
-        F.when(F.col(pred_ret) > 0, "Predicted Up").otherwise("Predicted Down").alias("pred"))
-    wide = (d.groupBy("actual").pivot("pred", ["Predicted Up", "Predicted Down"]).count()
-             .na.fill(0))
-    return wide.select("actual", F.col("Predicted Up").cast("bigint").alias("predicted_up"),
-                       F.col("Predicted Down").cast("bigint").alias("predicted_down"))
+    """2x2 counts: rows Actual Up / Actual Down, columns Predicted Up / Predicted Down, always
+    both rows. A return > 0 is Up, otherwise Down (zero goes to Down, as the reference
+    formats)."""
+    both = F.col(actual_ret).isNotNull() & F.col(pred_ret).isNotNull()
+    up, said = F.col(actual_ret) > 0, F.col(pred_ret) > 0
+    n = df.where(both).agg(*[F.count_if(c).alias(name) for name, c in (
+        ("uu", up & said), ("ud", up & ~said), ("du", ~up & said), ("dd", ~up & ~said))])
+    row = lambda label, a, b: F.struct(F.lit(label).alias("actual"),
+                                       F.col(a).alias("predicted_up"), F.col(b).alias("predicted_down"))
+    return n.select(F.inline(F.array(row("Actual Up", "uu", "ud"), row("Actual Down", "du", "dd"))))
 
 
 def best_symbol(metrics: DataFrame, by: str = "symbol", score: str = "accuracy") -> DataFrame:

@@ -28,39 +28,40 @@ def _group_cols(df: DataFrame, keys: Sequence[str]) -> list[Column]:
     return [*lead, *[F.col(k) for k in keys]]
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column],
-               pass_null_keys: bool = False) -> DataFrame:
-    """One row per ``keys`` (nulls group together): the one first in ``order_by``, which
-    must end in a unique tie-break. ``pass_null_keys=True`` keeps every row whose keys
-    are all null instead (e.g. rows without a content hash)."""
+def _keep(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], pick,
+          pass_null_keys: bool, count: str | None) -> DataFrame:
     cols = df.columns
-    src = df
-    passthru = None
+    src, passthru = df, None
     if pass_null_keys:
         all_null = F.lit(True)
         for k in keys:
             all_null = all_null & F.col(k).isNull()
         passthru = df.where(all_null)
         src = df.where(~all_null)
-    g = src.groupBy(*_group_cols(src, keys)).agg(
-        F.min_by(F.struct(*cols), _order(order_by)).alias("_r"))
-    out = g.select("_r.*")
-    return out.unionByName(passthru) if passthru is not None else out
+    # the key travels as the group already; only the other columns go into the row struct
+    rest = [c for c in cols if c not in keys]
+    row = F.struct(*rest) if rest else F.lit(True)
+    aggs = [pick(row, _order(order_by)).alias("_r")]
+    if count:
+        aggs.append(F.count(F.lit(1)).alias(count))
+    g = src.groupBy(*_group_cols(src, keys)).agg(*aggs)
+    out = g.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in cols],
+                   *([count] if count else []))
+    if passthru is not None:
+        out = out.unionByName(passthru.withColumn(count, F.lit(1)) if count else passthru)
+    return out
+
+
+def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column],
+               pass_null_keys: bool = False, count: str | None = None) -> DataFrame:
+    """One row per ``keys`` (nulls group together): the one first in ``order_by``, which
+    must end in a unique tie-break. ``pass_null_keys=True`` keeps every row whose keys
+    are all null instead (e.g. rows without a content hash). ``count`` names a column that
+    gets the rows of the key."""
+    return _keep(df, keys, order_by, F.min_by, pass_null_keys, count)
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column],
-              pass_null_keys: bool = False) -> DataFrame:
+              pass_null_keys: bool = False, count: str | None = None) -> DataFrame:
     """Like ``keep_first`` but the last row in ``order_by`` survives."""
-    cols = df.columns
-    src = df
-    passthru = None
-    if pass_null_keys:
-        all_null = F.lit(True)
-        for k in keys:
-            all_null = all_null & F.col(k).isNull()
-        passthru = df.where(all_null)
-        src = df.where(~all_null)
-    g = src.groupBy(*_group_cols(src, keys)).agg(
-        F.max_by(F.struct(*cols), _order(order_by)).alias("_r"))
-    out = g.select("_r.*")
-    return out.unionByName(passthru) if passthru is not None else out
+    return _keep(df, keys, order_by, F.max_by, pass_null_keys, count)

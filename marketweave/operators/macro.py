@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketweave.functions.dates import parse_generic
@@ -63,7 +63,28 @@ def clean_macro(df: DataFrame) -> DataFrame:
     return country_code_name(out)
 
 
+_MACRO_ORDER = (("date", False), ("country", True), ("indicator", True))
+
+
+def _macro_order():
+    return [F.asc_nulls_last(c) if up else F.desc_nulls_last(c) for c, up in _MACRO_ORDER]
+
+
 def sort_macro(df: DataFrame) -> DataFrame:
-    """Newest first, then country ascending; null dates last (a global sort: range
-    partitioned, so it scales; add a tie-break for a total order)."""
-    return df.orderBy(F.desc_nulls_last("date"), F.asc_nulls_last("country"))
+    """Newest first, then country and indicator ascending; nulls last (a global sort: range
+    partitioned, so it scales)."""
+    return df.orderBy(*_macro_order())
+
+
+def number_macro(df: DataFrame) -> DataFrame:
+    """``row_number`` of every row in the order of ``sort_macro``. Per date the rows are
+    numbered among themselves; what precedes a date is a running count over the dates, one
+    row each, so no task orders the whole table."""
+    per = df.groupBy("date").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(F.desc_nulls_last("date")).rowsBetween(Window.unboundedPreceding, -1)
+    base = per.select(F.col("date").alias("_d"),
+                      F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    inside = Window.partitionBy("date").orderBy(*_macro_order()[1:])
+    return (df.join(base, F.col("date").eqNullSafe(F.col("_d")))
+            .withColumn("row_number", (F.col("_base") + F.row_number().over(inside)).cast("long"))
+            .drop("_d", "_base"))

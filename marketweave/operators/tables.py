@@ -20,6 +20,14 @@ from marketweave.operators.dedup import keep_first, keep_last
 TTL_SECONDS = 86_400  # fixed value: retention of stamped documents
 
 
+def _same_key(keys: Sequence[str], left: str, right: str) -> Column:
+    """Keys equal, a null counting as a value of its own (as in a unique index)."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
+    return cond
+
+
 def _key_cond(keys: Sequence[str], left: str, right: str) -> Column:
     cond = F.lit(True)
     for k in keys:
@@ -36,30 +44,37 @@ def _not_null(keys: Sequence[str]) -> Column:
 
 # ---------------------------------------------------------------- K04 / J04 / K13
 
+def tag_stored(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
+               order_by: Sequence[str]) -> DataFrame:
+    """The batch collapsed to one row per key: its first row in ``order_by``, with ``_n`` (rows
+    of the key in the batch) and ``_stored`` (whether the key is in ``target``). A null key is
+    a value like any other: stored once, later ones are duplicates."""
+    first = keep_first(incoming, keys, order_by, count="_n")
+    stored = target.select(*keys).distinct().withColumn("_hit", F.lit(True))
+    return (first.alias("i").join(stored.alias("t"), _same_key(keys, "i", "t"), "left")
+            .select("i.*", F.col("t._hit").isNotNull().alias("_stored")))
+
+
 def insert_ignore(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
                   order_by: Sequence[str], handle_duplicates: bool = True) -> DataFrame:
-    """Append incoming rows whose key is not stored yet; within the batch the first row
-    per key wins. Returns the new table contents. With ``handle_duplicates=False`` a
-    clash raises instead (checked by one ``limit(1)`` probe of the semi join)."""
-    new = keep_first(incoming.where(_not_null(keys)), keys, order_by)
-    if not handle_duplicates:
-        clash = new.join(target.select(*keys), list(keys), "left_semi").limit(1).count()
-        if clash:
-            raise ValueError("duplicate key in insert")
-    fresh = new.join(target.select(*keys), list(keys), "left_anti")
-    return target.unionByName(fresh.select(*target.columns))
-
-
-def insert_counts(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """inserted / duplicate counts of an insert-ignore, in one aggregate: incoming rows
-    are tagged by a left join against the stored keys."""
-    stored = target.select(*keys).distinct().withColumn("_hit", F.lit(True))
-    tagged = incoming.join(stored, list(keys), "left")
-    per_key = tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                        F.max(F.col("_hit").isNotNull()).alias("_stored"))
-    return per_key.agg(
-        F.sum(F.when(~F.col("_stored"), 1).otherwise(0)).cast("bigint").alias("inserted"),
-        F.sum(F.when(F.col("_stored"), F.col("_n")).otherwise(F.col("_n") - 1))
+    """Append incoming rows whose key is not stored yet; within the batch the first row per
+    key wins (nulls are equal). Returns the new table contents; columns only the batch has
+    are added (null for stored rows). With ``handle_duplicates=False`` a clash raises instead
+    (checked by one ``limit(1)`` probe)."""
+    tagged = tag_stored(target, incoming, keys, order_by)
+    if not handle_duplicates and tagged.where("_stored").limit(1).count():
+        raise ValueError("duplicate key in insert")
+    fresh = tagged.where("NOT _stored").drop("_n", "_stored")
+    return target.unionByName(fresh, allowMissingColumns=True)
+
+
+def insert_counts(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
+                  order_by: Sequence[str]) -> DataFrame:
+    """inserted / duplicate counts of ``insert_ignore``, from the same tagged rows."""
+    return tag_stored(target, incoming, keys, order_by).agg(
+        F.coalesce(F.sum(F.when(~F.col("_stored"), 1).otherwise(0)), F.lit(0))
+         .cast("bigint").alias("inserted"),
+        F.coalesce(F.sum(F.when(F.col("_stored"), F.col("_n")).otherwise(F.col("_n") - 1)), F.lit(0))
          .cast("bigint").alias("duplicates"))
 
 
@@ -70,16 +85,17 @@ def upsert_merge(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
     """Keyed upsert: rows with a null key are skipped; the batch's rows for one key are
     applied in ``arrival`` order like sequential ``$set`` updates — each field takes its
     last present value (with a fixed schema "present" means non-null); an existing row
-    keeps the fields no incoming row sets; new keys are inserted. ``updated_at`` is
-    stamped on touched rows, ``created_at`` kept or set to ``as_of``.
+    keeps the fields no incoming row sets; new keys are inserted; columns that only the batch
+    has (other than ``arrival``) are added. ``updated_at`` is stamped on touched rows, ``created_at`` kept or set to ``as_of``.
 
     Plan: one aggregate collapses the batch per key (``max_by`` per field, partial
     map-side, so a key updated many times costs one row per task), then one full-outer
     join on the key."""
-    fields = [c for c in target.columns if c not in keys and c not in ("created_at",
-                                                                       "updated_at")]
+    held = {*keys, "created_at", "updated_at"}
+    fields = [c for c in target.columns if c not in held]
+    added = [c for c in incoming.columns if c not in {*held, *fields, *arrival}]
     order = F.struct(*[F.col(a) for a in arrival])
-    upd = [c for c in fields if c in incoming.columns]
+    upd = [c for c in fields if c in incoming.columns] + added
     batch = incoming.where(_not_null(keys)).groupBy(*keys).agg(
         F.lit(True).alias("_in"),
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in upd])
@@ -97,6 +113,7 @@ def upsert_merge(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
             out.append(F.coalesce(F.col(f"n.{c}"), F.col(f"t.{c}")).alias(c))
         else:
             out.append(F.col(f"t.{c}").alias(c))
+    out += [F.col(f"n.{c}").alias(c) for c in added]
     created = F.col("t.created_at") if "created_at" in target.columns else F.lit(None)
     updated = F.col("t.updated_at") if "updated_at" in target.columns else F.lit(None)
     out.append(F.coalesce(created.cast("timestamp"), ts).alias("created_at"))
@@ -133,19 +150,19 @@ def ttl_sweep(df: DataFrame, as_of: str, col: str = "created_at",
 
 def mark_expiring(df: DataFrame, ids: DataFrame, key: str, as_of: str,
                   ttl_hours: int = 24) -> DataFrame:
-    """Stamp ``created_at = as_of`` on the rows whose key is in ``ids`` and set
-    ``expires_at`` (the reference ignores ``ttl_hours``; it is honoured here). ``ids``
-    is joined (left, deduplicated), so any number of ids scales."""
+    """Stamp ``created_at = as_of`` and ``expires_at = as_of + ttl_hours`` on the rows whose
+    key is in ``ids``; other rows keep both as they are (no ``expires_at``: null). ``ids`` is
+    joined (left, deduplicated), so any number of ids scales."""
     marks = ids.select(F.col(key).alias("_mk")).distinct().withColumn("_m", F.lit(True))
     j = df.join(marks, F.col(key) == F.col("_mk"), "left")
     ts = F.lit(as_of).cast("timestamp")
-    old = F.col("created_at").cast("timestamp") if "created_at" in df.columns else \
-        F.lit(None).cast("timestamp")
-    created = F.when(F.col("_m").isNotNull(), ts).otherwise(old)
-    return (j.withColumn("created_at", created)
-             .withColumn("expires_at", F.col("created_at") +
-                         F.make_dt_interval(hours=F.lit(ttl_hours)))
-             .drop("_mk", "_m"))
+
+    def stamped(col: str, value: Column) -> Column:
+        old = F.col(col).cast("timestamp") if col in df.columns else F.lit(None).cast("timestamp")
+        return F.when(F.col("_m").isNotNull(), value).otherwise(old)
+    return j.withColumns({"created_at": stamped("created_at", ts),
+                          "expires_at": stamped("expires_at", ts + F.make_dt_interval(
+                              hours=F.lit(ttl_hours)))}).drop("_mk", "_m")
 
 
 # ---------------------------------------------------------------- K08-K10, A13
@@ -165,19 +182,18 @@ def removed_count(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def duplicate_groups(df: DataFrame, key: str, id_col: str) -> DataFrame:
-    """Keys held by more than one row: count and the id range (no id list: a hot key
-    would put an unbounded list in one row). Partial aggregation map-side."""
-    return (df.where(F.col(key).isNotNull())
-              .groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min(id_col).alias("first_id"),
+    """Keys held by more than one row (null is a key): count and the id range. The ids
+    themselves are ``duplicate_members``, one row each: a list per key could be unbounded."""
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min(id_col).alias("first_id"),
                                 F.max(id_col).alias("last_id"))
               .where(F.col("n") > 1))
 
 
 def duplicate_members(df: DataFrame, key: str, id_col: str) -> DataFrame:
-    """(key, id) for every row of a duplicated key: counts per key joined back (AQE
-    splits a hot key's partition in the skew join)."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return df.join(counts, key, "left_semi").select(key, id_col)
+    """(key, id) for every row of a duplicated key (null is a key): counts per key joined back
+    (AQE splits a hot key's partition in the skew join)."""
+    counts = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return df.join(counts, F.col(key).eqNullSafe(F.col("_k")), "left_semi").select(key, id_col)
 
 
 def uniqueness_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -196,10 +212,14 @@ def dup_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 # ---------------------------------------------------------------- K11, K03
 
 def valid_docs(df: DataFrame, col: str) -> DataFrame:
-    """Flag JSON texts that can be a document (a JSON object); the rest are for the
-    quarantine sink. PERMISSIVE parse: bad text gives null, never an error."""
-    parsed = F.from_json(F.col(col), "map<string,string>")
-    is_obj = F.ltrim(F.col(col)).startswith("{") & parsed.isNotNull()
+    """Flag JSON texts that can be a document: exactly one object and nothing after it, with
+    double-quoted strings. The rest are for the quarantine sink."""
+    text = F.ltrim(F.col(col))
+    # inside brackets, a text that goes on after its object is no array of one object
+    strict = {"allowSingleQuotes": "false", "mode": "PERMISSIVE"}
+    one = F.from_json(F.concat(F.lit("["), F.col(col), F.lit("]")), "array<map<string,string>>", strict)
+    is_obj = text.startswith("{") & F.rtrim(text).endswith("}") & (F.size(one) == 1) & \
+        F.get(one, 0).isNotNull()
     return df.withColumn("is_valid", F.coalesce(is_obj, F.lit(False)))
 
 

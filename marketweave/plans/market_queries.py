@@ -91,8 +91,9 @@ def q_ols_trend(spark, sf):
 
 
 @query("dual_series", f"""
-    SELECT symbol, {D('date', 'date')}, price, {R('sentiment_score', 'sentiment_score')}
-    FROM v_sent_price ORDER BY symbol, date""", ("v_sent_price",))
+    SELECT symbol, {D('date', 'date')}, price, {R('sentiment_score', 'sentiment_score')},
+           row_number() OVER (PARTITION BY symbol ORDER BY v_sent_price.date) AS row_number
+    FROM v_sent_price""", ("v_sent_price",))
 def q_dual_series(spark, sf):
     return report(A.dual_series(fx.sent_price(spark, sf)), round_cols=("sentiment_score",),
                   date_cols=("date",))
@@ -460,13 +461,16 @@ def q_regression_metrics_overall(spark, sf):
 
 
 @query("confusion_matrix", """
+    SELECT r.actual, coalesce(predicted_up, 0) AS predicted_up,
+           coalesce(predicted_down, 0) AS predicted_down
+    FROM (VALUES ('Actual Up'), ('Actual Down')) r(actual) LEFT JOIN (
     SELECT actual, count(*) FILTER (WHERE pred = 'Predicted Up') AS predicted_up,
            count(*) FILTER (WHERE pred = 'Predicted Down') AS predicted_down
     FROM (SELECT CASE WHEN actual_return > 0 THEN 'Actual Up' ELSE 'Actual Down' END AS actual,
                  CASE WHEN predicted_return > 0 THEN 'Predicted Up' ELSE 'Predicted Down' END
                    AS pred
           FROM v_preds WHERE actual_return IS NOT NULL AND predicted_return IS NOT NULL)
-    GROUP BY actual""", ("v_preds",))
+    GROUP BY actual) c ON c.actual = r.actual""", ("v_preds",))
 def q_confusion_matrix(spark, sf):
     return A.confusion_matrix(fx.predictions(spark, sf))
 
@@ -502,6 +506,9 @@ def q_metrics_long(spark, sf):
 
 
 @query("confusion_wide", """
+    SELECT r.actual, coalesce(predicted_up, 0) AS predicted_up,
+           coalesce(predicted_down, 0) AS predicted_down
+    FROM (VALUES ('Actual Up'), ('Actual Down')) r(actual) LEFT JOIN (
     SELECT actual, count(*) FILTER (WHERE pred = 'Predicted Up') AS predicted_up,
            count(*) FILTER (WHERE pred = 'Predicted Down') AS predicted_down
     FROM (SELECT symbol, CASE WHEN actual_return > 0 THEN 'Actual Up' ELSE 'Actual Down' END
@@ -510,7 +517,7 @@ def q_metrics_long(spark, sf):
                    AS pred
           FROM v_preds WHERE actual_return IS NOT NULL AND predicted_return IS NOT NULL
             AND symbol IN ('Brand#1', 'Brand#2', 'Brand#3'))
-    GROUP BY actual""", ("v_preds",))
+    GROUP BY actual) c ON c.actual = r.actual""", ("v_preds",))
 def q_confusion_wide(spark, sf):
     """The 2x2 pivot restricted to a selection of symbols (the page's stock picker)."""
     p = S.symbol_filter(fx.predictions(spark, sf), ("Brand#1", "Brand#2", "Brand#3"))

@@ -51,8 +51,9 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "v_news_raw": ((), f"""
         SELECT doc_id,
                CASE WHEN doc_id % 13 = 0 THEN NULL ELSE split_part(text, chr(10), 1) END AS title,
-               CASE WHEN doc_id % 11 = 0 THEN ' ' || chr(9) || ' ' ELSE split_part(text, chr(10), 2) END
-                 AS description,
+               CASE WHEN doc_id % 11 = 0 THEN ' ' || chr(9) || ' '
+                    WHEN strpos(text, chr(10)) > 0 THEN substr(text, strpos(text, chr(10)) + 1)
+                    ELSE '' END AS description,
                CASE doc_id % 6
                  WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ')
                  WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.000Z')
@@ -91,13 +92,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                      coalesce(list(struct_pack(pos := turn, comment_text := text,
                                                comment_score := CAST(length(text) % 50 AS BIGINT))
                                    ORDER BY turn) FILTER (WHERE turn > 0), []) AS comments
-              FROM (SELECT * FROM conversations WHERE turn = 0
-                    UNION ALL
-                    SELECT * EXCLUDE (rk) FROM (
-                      SELECT *, row_number() OVER (PARTITION BY conv_id
-                                                   ORDER BY length(text) % 50 DESC, turn) AS rk
-                      FROM conversations WHERE turn > 0) WHERE rk <= 5)
-              GROUP BY conv_id)"""),
+              FROM conversations GROUP BY conv_id)"""),
     "v_econ_raw": ((), """
         SELECT indicator, country, date,
                CASE WHEN n % 7 = 0 THEN 'n/a' ELSE CAST(v AS VARCHAR) END AS value
@@ -110,10 +105,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                           JOIN nation ON c_nationkey = n_nationkey
               GROUP BY 1, 2, 3)"""),
     "v_event_prices": (("v_bars",), """
-        SELECT symbol, date, price FROM (
-          SELECT symbol, date, close AS price,
-                 row_number() OVER (PARTITION BY symbol ORDER BY date) AS rn FROM v_bars)
-        WHERE rn <= 30"""),
+        SELECT symbol, date, close AS price FROM v_bars"""),
     "v_preds": (("v_bars",), """
         SELECT symbol, date, actual_price, predicted_price, actual_return, predicted_return
         FROM (SELECT *, lag(actual_return) OVER (PARTITION BY symbol ORDER BY date)

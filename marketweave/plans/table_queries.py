@@ -8,7 +8,8 @@ from marketweave.operators import tables as TB
 from marketweave.plans.catalog import R, TS, query, report
 from marketweave.session import scratch_path
 from marketweave.sources import fixtures as fx
-from marketweave.sources.json_io import normalise_root, scan_json_records, write_json_arrays
+from marketweave.sources.json_io import (malformed_roots, normalise_root, scan_json_records,
+                                         write_json_arrays)
 from marketweave.sources.tables import read_table
 
 AS_OF = "2024-01-15 00:00:00"
@@ -17,54 +18,62 @@ CUST_COLS = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 def _customer_batches(spark, sf):
     """Stored table and an incoming batch of customers (two arrivals per key), from the
-    customer table split three ways by key: stored only, both, incoming only."""
+    customer table split three ways by key: stored only, both, incoming only. Every tenth
+    key of the batch is null, and the batch has a column the stored table lacks."""
     c = read_table(spark, sf, "customer", *CUST_COLS)
     target = c.where(F.col("c_custkey") % 3 != 0)
     inc = c.where(F.col("c_custkey") % 3 != 1)
     seg = F.when(F.col("c_custkey") % 5 == 0, F.lit(None).cast("string")) \
         .otherwise(F.col("c_mktsegment"))
+    key = F.when(F.col("c_custkey") % 10 != 0, F.col("c_custkey"))
     a1 = inc.withColumns({"c_acctbal": F.col("c_acctbal") + 100, "c_mktsegment": seg,
-                          "arrival": F.lit(1)})
+                          "c_tier": F.lit("basic"), "arrival": F.lit(1),
+                          "seq": F.col("c_custkey"), "c_custkey": key})
     a2 = inc.withColumns({"c_acctbal": F.col("c_acctbal") + 200, "c_mktsegment": seg,
-                          "c_name": F.lit(None).cast("string"), "arrival": F.lit(2)})
+                          "c_name": F.lit(None).cast("string"),
+                          "c_tier": F.when(F.col("c_custkey") % 2 == 0, F.lit("plus")),
+                          "arrival": F.lit(2), "seq": F.col("c_custkey"), "c_custkey": key})
     return target, a1.unionByName(a2)
 
 
 _BATCH_SQL = """
     t AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
           WHERE c_custkey % 3 <> 0),
-    inc AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal + 100 AS c_acctbal,
-                   CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment,
-                   1 AS arrival
+    arrivals AS (
+            SELECT c_custkey AS seq, c_name, c_nationkey, c_acctbal + 100 AS c_acctbal,
+                   c_mktsegment, 'basic' AS c_tier, 1 AS arrival
             FROM customer WHERE c_custkey % 3 <> 1
             UNION ALL
-            SELECT c_custkey, NULL AS c_name, c_nationkey, c_acctbal + 200 AS c_acctbal,
-                   CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment,
-                   2 AS arrival
-            FROM customer WHERE c_custkey % 3 <> 1)"""
+            SELECT c_custkey, NULL, c_nationkey, c_acctbal + 200, c_mktsegment,
+                   CASE WHEN c_custkey % 2 = 0 THEN 'plus' END, 2
+            FROM customer WHERE c_custkey % 3 <> 1),
+    inc AS (SELECT CASE WHEN seq % 10 <> 0 THEN seq END AS c_custkey, c_name, c_nationkey, c_acctbal,
+                   CASE WHEN seq % 5 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment,
+                   c_tier, arrival, seq
+            FROM arrivals),
+    firsts AS (SELECT * FROM inc
+               QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY arrival, seq) = 1),
+    fresh AS (SELECT * FROM firsts WHERE NOT EXISTS
+              (SELECT 1 FROM t WHERE t.c_custkey IS NOT DISTINCT FROM firsts.c_custkey))"""
 
 
 @query("insert_ignore", f"""
     WITH {_BATCH_SQL}
-    SELECT * FROM t
+    SELECT *, NULL::VARCHAR AS c_tier FROM t
     UNION ALL
-    SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM inc
-    WHERE arrival = 1 AND c_custkey NOT IN (SELECT c_custkey FROM t)""")
+    SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, c_tier FROM fresh""")
 def q_insert_ignore(spark, sf):
     target, incoming = _customer_batches(spark, sf)
-    return TB.insert_ignore(target, incoming, ["c_custkey"], ["arrival"])
+    return TB.insert_ignore(target, incoming, ["c_custkey"], ["arrival", "seq"]).drop("arrival", "seq")
 
 
 @query("insert_counts", f"""
     WITH {_BATCH_SQL}
-    SELECT CAST(count(DISTINCT c_custkey) FILTER (WHERE c_custkey NOT IN (SELECT c_custkey FROM t))
-                AS BIGINT) AS inserted,
-           CAST(count(*) - count(DISTINCT c_custkey) FILTER (WHERE c_custkey NOT IN
-                (SELECT c_custkey FROM t)) AS BIGINT) AS duplicates
-    FROM inc""")
+    SELECT (SELECT count(*) FROM fresh) AS inserted,
+           (SELECT count(*) FROM inc) - (SELECT count(*) FROM fresh) AS duplicates""")
 def q_insert_counts(spark, sf):
     target, incoming = _customer_batches(spark, sf)
-    return TB.insert_counts(target, incoming, ["c_custkey"])
+    return TB.insert_counts(target, incoming, ["c_custkey"], ["arrival", "seq"])
 
 
 _MERGE_SQL = f"""
@@ -75,13 +84,14 @@ _MERGE_SQL = f"""
                    AS c_nationkey,
                  arg_max(c_acctbal, arrival) FILTER (WHERE c_acctbal IS NOT NULL) AS c_acctbal,
                  arg_max(c_mktsegment, arrival) FILTER (WHERE c_mktsegment IS NOT NULL)
-                   AS c_mktsegment
-          FROM inc GROUP BY c_custkey)
+                   AS c_mktsegment,
+                 arg_max(c_tier, arrival) FILTER (WHERE c_tier IS NOT NULL) AS c_tier
+          FROM inc WHERE c_custkey IS NOT NULL GROUP BY c_custkey)
     SELECT coalesce(t.c_custkey, b.c_custkey) AS c_custkey,
            coalesce(b.c_name, t.c_name) AS c_name,
            coalesce(b.c_nationkey, t.c_nationkey) AS c_nationkey,
            coalesce(b.c_acctbal, t.c_acctbal) AS c_acctbal,
-           coalesce(b.c_mktsegment, t.c_mktsegment) AS c_mktsegment,
+           coalesce(b.c_mktsegment, t.c_mktsegment) AS c_mktsegment, b.c_tier,
            {TS(f"TIMESTAMP '{AS_OF}'", 'created_at')},
            CASE WHEN b.c_custkey IS NOT NULL THEN {TS(f"TIMESTAMP '{AS_OF}'")} END AS updated_at,
            CASE WHEN b.c_custkey IS NOT NULL AND t.c_custkey IS NULL THEN 'insert'
@@ -91,7 +101,7 @@ _MERGE_SQL = f"""
 
 def _merged(spark, sf):
     target, incoming = _customer_batches(spark, sf)
-    return TB.upsert_merge(target, incoming, ["c_custkey"], ["arrival"], AS_OF)
+    return TB.upsert_merge(target, incoming, ["c_custkey"], ["arrival", "seq"], AS_OF)
 
 
 @query("upsert_merge", _MERGE_SQL)
@@ -122,8 +132,10 @@ def q_ttl_sweep(spark, sf):
 
 
 @query("mark_expiring", f"""
-    SELECT event_id, {TS('c', 'created_at')}, {TS("c + INTERVAL 24 HOUR", 'expires_at')}
-    FROM (SELECT event_id, CASE WHEN event_type = 'error' THEN TIMESTAMP '{AS_OF}' ELSE ts END AS c
+    SELECT event_id, {TS('c', 'created_at')},
+           CASE WHEN event_type = 'error' THEN {TS("c + INTERVAL 24 HOUR")} END AS expires_at
+    FROM (SELECT event_id, event_type,
+                 CASE WHEN event_type = 'error' THEN TIMESTAMP '{AS_OF}' ELSE ts END AS c
           FROM events)""")
 def q_mark_expiring(spark, sf):
     e = read_table(spark, sf, "events", "event_id", "ts", "event_type")
@@ -152,21 +164,27 @@ def q_removed_count(spark, sf):
     return TB.removed_count(d, after)
 
 
+def _some_null_texts(spark, sf):
+    d = read_table(spark, sf, "documents", "doc_id", "text")
+    return d.withColumn("text", F.when(F.col("doc_id") % 50 != 7, F.col("text")))
+
+
 @query("duplicate_groups", """
-    SELECT md5(text) AS key_hash, count(*) AS n, min(doc_id) AS first_id,
-           max(doc_id) AS last_id
-    FROM documents WHERE text IS NOT NULL GROUP BY text HAVING count(*) > 1""")
+    SELECT md5(t) AS key_hash, count(*) AS n, min(doc_id) AS first_id, max(doc_id) AS last_id
+    FROM (SELECT doc_id, CASE WHEN doc_id % 50 <> 7 THEN text END AS t FROM documents)
+    GROUP BY t HAVING count(*) > 1""")
 def q_duplicate_groups(spark, sf):
-    g = TB.duplicate_groups(read_table(spark, sf, "documents", "doc_id", "text"), "text", "doc_id")
+    """Equal texts; every fiftieth text is null here, and null is one group."""
+    g = TB.duplicate_groups(_some_null_texts(spark, sf), "text", "doc_id")
     return g.select(F.md5("text").alias("key_hash"), "n", "first_id", "last_id")
 
 
 @query("duplicate_members", """
-    SELECT md5(text) AS key_hash, doc_id FROM documents
-    WHERE text IN (SELECT text FROM documents GROUP BY text HAVING count(*) > 1)""")
+    SELECT md5(t) AS key_hash, doc_id
+    FROM (SELECT doc_id, CASE WHEN doc_id % 50 <> 7 THEN text END AS t FROM documents)
+    QUALIFY count(*) OVER (PARTITION BY t) > 1""")
 def q_duplicate_members(spark, sf):
-    m = TB.duplicate_members(read_table(spark, sf, "documents", "doc_id", "text"), "text",
-                             "doc_id")
+    m = TB.duplicate_members(_some_null_texts(spark, sf), "text", "doc_id")
     return m.select(F.md5("text").alias("key_hash"), "doc_id")
 
 
@@ -179,13 +197,17 @@ def q_uniqueness_check(spark, sf):
 
 
 _JUNK_PROPS = """CASE WHEN event_id % 13 = 0 THEN 'not json' WHEN event_id % 17 = 0 THEN '[1, 2]'
-                      WHEN event_id % 19 = 0 THEN '42' ELSE props END"""
+                      WHEN event_id % 19 = 0 THEN '42'
+                      WHEN event_id % 23 = 0 THEN props || ' trailing'
+                      WHEN event_id % 29 = 0 THEN '{''k'': 1}' ELSE props END"""
 
 
 def _junk_props(e):
     k = F.col("event_id")
     return e.withColumn("props", F.when(k % 13 == 0, F.lit("not json"))
                         .when(k % 17 == 0, F.lit("[1, 2]")).when(k % 19 == 0, F.lit("42"))
+                        .when(k % 23 == 0, F.concat("props", F.lit(" trailing")))
+                        .when(k % 29 == 0, F.lit("{'k': 1}"))
                         .otherwise(F.col("props")))
 
 
@@ -283,18 +305,34 @@ def q_write_csv(spark, sf):
 
 
 @query("scan_json_records", """
-    SELECT event_id, event_type, value FROM events""")
+    SELECT event_id, event_type, CASE WHEN event_id % 11 <> 0 THEN value END AS value FROM events""")
 def q_scan_json_records(spark, sf):
-    """Events landed as JSON-array files (one per type and day) and scanned back."""
+    """Events landed as JSON-array files (one per type and day) and scanned back; every
+    eleventh value was landed as the text ``n/a`` and comes back null, alone."""
     path = scratch_path(spark, "events-json")
     e = read_table(spark, sf, "events", "event_id", "ts", "event_type", "value")
-    e = e.withColumn("part", F.concat_ws("_", "event_type",
-                                         F.date_format("ts", "yyyyMMdd")))
-    write_json_arrays(e, path, "part", F.struct("event_id", "event_type", "value"))
+    e = e.withColumn("part", F.concat_ws("_", "event_type", F.date_format("ts", "yyyyMMdd")))
+    mixed = F.when(F.col("event_id") % 11 == 0, F.parse_json(F.lit('"n/a"'))) \
+        .otherwise(F.col("value").cast("variant"))
+    write_json_arrays(e, path, "part", F.struct("event_id", "event_type", mixed.alias("value")))
     r = scan_json_records(spark, path, "event_id bigint, event_type string, value double")
     return r.select("event_id", "event_type", "value")
 
 
+@query("malformed_roots", """
+    SELECT event_id FROM events
+    WHERE event_id % 7 IN (1, 2) AND props IS NOT NULL""")
+def q_malformed_roots(spark, sf):
+    """Event payloads of which two in seven are cut short (an object without its end, an
+    array without its end): the ones to quarantine."""
+    e = read_table(spark, sf, "events", "event_id", "props")
+    k = F.col("event_id") % 7
+    cut = F.when(k == 1, F.expr("left(props, length(props) - 1)")) \
+        .when(k == 2, F.concat(F.lit("["), "props")).when(k == 3, F.concat(F.lit("["), "props", F.lit("]"))) \
+        .otherwise(F.col("props"))
+    return malformed_roots(e.withColumn("props", cut), "props").select("event_id")
+
+
 @query("normalise_root", """
     SELECT event_id, json_extract_string(props, '$.k') AS k FROM events""")
 def q_normalise_root(spark, sf):

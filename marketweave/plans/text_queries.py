@@ -123,12 +123,14 @@ def q_clean_news(spark, sf):
     return report(c, ts_cols=("publishedAt",))
 
 
-@query("default_row_if_empty", _CLEAN_NEWS_SQL, ("v_news_raw",))
+@query("default_row_if_empty", """
+    SELECT 'No Title' AS title, 'No Description' AS description WHERE NOT EXISTS
+      (SELECT 1 FROM v_news_raw WHERE doc_id < 0)""", ("v_news_raw",))
 def q_default_row_if_empty(spark, sf):
-    """Cleaned news with the placeholder rule applied (it adds a row only when the
-    cleaned set is empty)."""
-    c = report(N.clean_news(fx.news_raw(spark, sf), AS_OF), ts_cols=("publishedAt",))
-    return N.default_row_if_empty(c)
+    """Cleaned news of an id range that holds none: the placeholder row alone."""
+    c = N.clean_news(fx.news_raw(spark, sf).where("doc_id < 0"), AS_OF)
+    return N.default_row_if_empty(c.select("title", "description"),
+                                  {"title": "No Title", "description": "No Description"})
 
 
 @query("unnest_articles", """
@@ -482,10 +484,13 @@ def q_clean_macro(spark, sf):
     return report(M.clean_macro(fx.econ_raw(spark, sf)), ts_cols=("date",))
 
 
-@query("sort_macro", _CLEAN_MACRO_SQL + " ORDER BY d DESC NULLS LAST, country ASC NULLS LAST",
-       ("v_econ_raw",))
+@query("sort_macro", f"""
+    SELECT *, row_number() OVER (ORDER BY date DESC NULLS LAST, country NULLS LAST, indicator NULLS LAST)
+                AS row_number
+    FROM ({_CLEAN_MACRO_SQL})""", ("v_econ_raw",))
 def q_sort_macro(spark, sf):
-    return report(M.sort_macro(M.clean_macro(fx.econ_raw(spark, sf))), ts_cols=("date",))
+    """The macro table in its order, numbered: one number per row of a small aggregate."""
+    return M.number_macro(report(M.clean_macro(fx.econ_raw(spark, sf)), ts_cols=("date",)))
 
 
 @query("year_range", f"""

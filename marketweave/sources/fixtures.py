@@ -19,8 +19,7 @@ from marketweave.sources.tables import read_table
 
 # Fixed values of the fixtures: the four search terms used to tag short messages and
 # the small lexicon / term tables (parameters of the sentiment and keyword jobs).
-SEARCH_TERMS = ["global economic crisis", "natural disaster", "political unrest",
-                "inflation trends"]
+SEARCH_TERMS = ["interest rates", "supply chain", "quarterly earnings", "energy prices"]
 LEXICON_ROWS = [("the", 1.9), ("of", -1.5), ("and", 0.8), ("is", -2.2), ("that", 2.5),
                 ("was", -3.1), ("de", 0.6), ("la", -1.2)]
 POLARITY_ROWS = [("the", 0.3, 0.5), ("of", -0.2, 0.1), ("and", 0.1, 0.9),
@@ -31,7 +30,6 @@ NEGATION_WORDS = ["in", "un", "die"]
 BOOSTER_WORDS = {"to": 0.293, "le": -0.293, "for": 0.293}
 TERM_ROWS = [("t1", "the"), ("t1", "was"), ("t2", "from"), ("t2", "this"), ("t2", "are")]
 BASE_TS = "2024-01-01 00:00:00"
-TOP_COMMENTS = 5  # fixed value: comments kept per post by the collector
 
 
 def _base_ts(minutes: Column) -> Column:
@@ -94,9 +92,9 @@ def sent_price(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def news_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """News articles from documents: title = first line, description = second line
-    (whole lines), with missing titles, blank descriptions, null authors and publishedAt
-    written in six ways (4 formats, junk, null)."""
+    """News articles from documents: title = first line, description = all that follows,
+    with missing titles, blank descriptions, null authors and publishedAt written in six
+    ways (4 formats, junk, null)."""
     return news_from_documents(read_table(spark, sf_dir, "documents", "doc_id", "text",
                                           "source"))
 
@@ -114,8 +112,8 @@ def news_from_documents(d: DataFrame) -> DataFrame:
         "doc_id",
         F.when(k % 13 == 0, F.lit(None).cast("string"))
          .otherwise(F.substring_index("text", "\n", 1)).alias("title"),
-        F.when(k % 11 == 0, F.lit(" \t ")).otherwise(F.split_part("text", F.lit("\n"), F.lit(2)))
-         .alias("description"),
+        F.when(k % 11 == 0, F.lit(" \t ")).when(F.instr("text", "\n") > 0, F.expr(
+            "substring(text, instr(text, '\\n') + 1)")).otherwise(F.lit("")).alias("description"),
         published.alias("publishedAt"),
         F.when(k % 4 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("author"), (k % 37).cast("string"))).alias("author"),
@@ -144,19 +142,12 @@ def tweets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def posts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forum threads from conversations: turn 0 is the post, later turns its comments.
 
-    As the collector does, a post keeps only its top ``TOP_COMMENTS`` comments by score
-    (ties: earlier turn first); the cut is a per-thread ``row_number() <= 5`` that Spark
-    runs as a WindowGroupLimit before the shuffle, so however long a thread is, at most
-    six rows per thread reach the grouping that builds the comment array (ordered by
-    turn with ``array_sort``).
+    Every comment stays (``top_comments`` makes the collector's cut); a thread's comments
+    are one array ordered by turn, as the threads are delivered.
     """
-    c = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
+    rows = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
     k = F.col("conv_id")
     score = (F.length("text") % 50).cast("bigint")
-    w = Window.partitionBy("conv_id").orderBy(score.desc(), F.col("turn"))
-    top = (c.where(F.col("turn") > 0).withColumn("_rk", F.row_number().over(w))
-            .where(F.col("_rk") <= TOP_COMMENTS).drop("_rk"))
-    rows = c.where(F.col("turn") == 0).unionByName(top)
     cm = F.struct(F.col("turn").alias("pos"), F.col("text").alias("comment_text"),
                   score.alias("comment_score"))
     g = (rows.groupBy("conv_id")
@@ -197,10 +188,8 @@ def econ_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First 30 bars per symbol with the close as price (input of the event page)."""
-    w = Window.partitionBy("symbol").orderBy("date")
-    b = bars(spark, sf_dir).select("symbol", "date", F.col("close").alias("price"))
-    return b.withColumn("_rn", F.row_number().over(w)).where("_rn <= 30").drop("_rn")
+    """All bars per symbol with the close as price (input of the event page)."""
+    return bars(spark, sf_dir).select("symbol", "date", F.col("close").alias("price"))
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """JSON sources: record-array files, root-shape normalisation, corrupt-record handling.
 
-Files are read by Spark's JSON source with an explicit schema (no inference pass); a
-corrupt file is dropped (or kept as a ``_corrupt`` row for a quarantine sink) instead of
-failing the job.
+Files are read by Spark's JSON source with an explicit schema (no inference pass) and every
+field as text first, so a value of the wrong type costs that value alone; a file that does not
+parse is counted and can be kept as a ``_corrupt`` row for a quarantine sink.
 """
 
 from __future__ import annotations
@@ -15,39 +15,63 @@ from pyspark.sql import types as T
 CORRUPT_COL = "_corrupt"
 
 
-def scan_json_records(spark: SparkSession, path: str, schema: T.StructType | str,
-                      keep_corrupt: bool = False) -> DataFrame:
-    """Read JSON-array files (one array of flat records per file). A missing path gives
-    an empty result with the schema instead of an error; a corrupt file contributes no
-    rows (``DROPMALFORMED``). ``keep_corrupt=True`` reads PERMISSIVE instead and keeps
-    corrupt files as rows with the raw text in ``_corrupt`` (for a quarantine sink)."""
-    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
-    r = spark.read.option("multiLine", True)
-    if keep_corrupt:
-        r = (r.schema(T.StructType(list(st.fields) +
-                                   [T.StructField(CORRUPT_COL, T.StringType())]))
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL))
-    else:
-        r = r.schema(st).option("mode", "DROPMALFORMED")
+def _as_text(st: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in st.fields])
+
+
+def _typed(f: T.StructField) -> Column:
+    """A field read as JSON text in its declared type; a value that does not fit is null."""
+    c = F.col(f.name)
+    if isinstance(f.dataType, T.StringType):
+        return c
+    if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.from_json(c, f.dataType).alias(f.name)
+    return c.try_cast(f.dataType).alias(f.name)
+
+
+def _read_arrays(spark: SparkSession, path: str, st: T.StructType) -> DataFrame:
+    """Every record with its fields as text, and the raw text of files that do not parse."""
+    st = T.StructType([*_as_text(st).fields, T.StructField(CORRUPT_COL, T.StringType())])
     try:
-        return r.json(path)
+        return (spark.read.schema(st).option("multiLine", True).option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", CORRUPT_COL).json(path))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return spark.createDataFrame([], st)
         raise
 
 
+def scan_json_records(spark: SparkSession, path: str, schema: T.StructType | str,
+                      keep_corrupt: bool = False) -> DataFrame:
+    """Read JSON-array files (one array of flat records per file). A value of the wrong type
+    makes that field null and loses nothing else; a missing path gives an empty result with
+    the schema. A file that does not parse gives no rows here: ``corrupt_files`` counts them,
+    and ``keep_corrupt=True`` keeps each as a row with its raw text in ``_corrupt``."""
+    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    raw = _read_arrays(spark, path, st)
+    cols = [_typed(f) for f in st.fields]
+    if keep_corrupt:
+        return raw.select(*cols, CORRUPT_COL)
+    return raw.where(F.col(CORRUPT_COL).isNull()).select(*cols)
+
+
+def corrupt_files(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """``(n_files)``: files under ``path`` that do not parse (the ones to quarantine)."""
+    rows = scan_json_records(spark, path, schema, keep_corrupt=True)
+    return rows.agg(F.count(CORRUPT_COL).alias("n_files"))
+
+
 def write_json_arrays(df: DataFrame, path: str, group: str, record: Column,
-                      max_records: int = 100_000) -> None:
+                      max_bytes: int = 32 << 20) -> None:
     """Write the records as JSON-array files (the collectors' landing format) under
-    ``group=<value>/_part=<b>/``, one array per file. A group holding more than
-    ``max_records`` records is split into ``ceil(n / max_records)`` hash buckets, so no
-    array (and no task) holds an unbounded group however hot the group value is."""
-    sizes = df.groupBy(group).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(max_records)).cast("int").alias("_nb"))
-    rec = F.to_json(record)
-    j = df.select(group, rec.alias("_r")).join(sizes, group)
-    j = j.withColumn("_part", F.pmod(F.xxhash64("_r"), F.col("_nb")).cast("int"))
+    ``group=<value>/_part=<b>/``, one array per file of about ``max_bytes`` of text. The rows of
+    a group are numbered per input task and dealt out in turn, so neither a hot group nor many
+    equal records gather in one array."""
+    sizes = df.select(group, F.octet_length(F.to_json(record)).alias("_b")).groupBy(group).agg(
+        F.ceil(F.sum("_b") / F.lit(max_bytes)).cast("int").alias("_nb"))
+    j = df.select(group, F.to_json(record).alias("_r"),
+                  F.monotonically_increasing_id().alias("_i")).join(sizes, group)
+    j = j.withColumn("_part", F.pmod("_i", F.greatest("_nb", F.lit(1))).cast("int"))
     arrays = (j.groupBy(group, "_part")
                 .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("_r")), F.lit("]"))
                      .alias("value")))
@@ -56,6 +80,15 @@ def write_json_arrays(df: DataFrame, path: str, group: str, record: Column,
            .write.mode("overwrite").partitionBy(group, "_part").text(path))
 
 
+def malformed_roots(df: DataFrame, text: str) -> DataFrame:
+    """Rows whose ``text`` opens an array or an object but does not parse: the ones that
+    ``normalise_root`` gives no records for (for a quarantine sink)."""
+    t = F.ltrim(F.col(text))
+    broken = ((t.startswith("[") & F.from_json(F.col(text), "array<string>").isNull())
+              | (t.startswith("{") & F.from_json(F.col(text), "map<string,string>").isNull()))
+    return df.where(broken)
+
+
 def normalise_root(text: str | Column) -> Column:
     """JSON root → array of record texts: an array root gives its elements, an object
     root gives its values (the reference turns a dict into its values), any other
