@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketweave.functions.dates import parse_generic
-from marketweave.session import bounded_broadcast
 
 # Country codes with their names (unknown codes map to null).
 COUNTRY_NAMES = {"US": "United States", "GB": "United Kingdom", "CN": "China", "IN": "India"}
@@ -46,11 +45,10 @@ def country_code_name(df: DataFrame, country: str = "country",
 
 
 def key_lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str,
-               values: Sequence[str], max_dim_rows: int = 200_000) -> DataFrame:
-    """Left lookup of ``values`` from a dimension; broadcast only when the dimension is
-    provably small (``bounded_broadcast``), shuffled join otherwise."""
+               values: Sequence[str]) -> DataFrame:
+    """Left lookup of ``values`` from a dimension; the planner broadcasts a dimension it
+    measures to be small and shuffles otherwise."""
     d = dim.select(F.col(dim_key).alias("_lk"), *values)
-    d = bounded_broadcast(d, max_dim_rows)
     return df.join(d, F.col(key).eqNullSafe(F.col("_lk")) & F.col(key).isNotNull(),
                    "left").drop("_lk")
 

@@ -12,23 +12,47 @@ task. This operator gets the same numbers in two bounded passes:
    bracket holds about ``4·n/accuracy`` rows), then a running count over the bracket
    finds the two order statistics to interpolate.
 
-When a bracket misses its ranks (the sketch's guarantee failed), the sketch value is
-returned and ``exact`` is false for that row.
+When a bracket misses its ranks (the sketch's guarantee failed), its group is tried again
+with a bracket sixteen times as wide, and so on to the whole value range: no approximate
+value is ever returned. The check reads one number, so it costs a pass only where it fails.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketweave.session import cut_lineage
+
 DEFAULT_ACCURACY = 100_000
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     by: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Long result: ``(*by, column, p, value, exact)`` for every column and probability."""
+    """Long result ``(*by, column, p, value)`` for every column and probability."""
+    found = cut_lineage(_bracketed(df, cols, probs, by, accuracy))
+    keys = [*by, "column"]
+    while (missed := found.where("NOT exact").select(*keys).distinct()).limit(1).count():
+        # the missed groups' values are read again under wider brackets; at accuracy 1 the
+        # bracket is the whole range and holds every rank
+        if accuracy == 1:
+            raise RuntimeError("a bracket over the whole range missed its ranks")
+        accuracy = max(1, accuracy // 16)
+        same = reduce(lambda a, b: a & b, [F.col(f"_m.{k}").eqNullSafe(F.col(f"_f.{k}")) for k in keys])
+        again = _bracketed(df, cols, probs, by, accuracy)
+        again = again.alias("_f").join(missed.alias("_m"), same, "left_semi")
+        found = cut_lineage(found.alias("_f").join(missed.alias("_m"), same, "left_anti")
+                            .unionByName(again))
+    return found.drop("exact")
+
+
+def _bracketed(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str],
+               accuracy: int) -> DataFrame:
+    """One try with brackets ``2 / accuracy`` wide on either side of each rank; ``exact`` tells
+    whether the bracket held it."""
     by = list(by)
     eps = 2.0 / accuracy
     edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
@@ -39,14 +63,12 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
     # pass 1: n and the sketch per (group, column)
     sk = stacked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
-                                    F.percentile_approx("x", edges, accuracy).alias("_a"),
-                                    F.percentile_approx("x", list(probs), accuracy).alias("_m"))
+                                    F.percentile_approx("x", edges, accuracy).alias("_a"))
     tgt = sk.select(*keys, "n", F.posexplode(F.array(*[
         F.struct(F.lit(float(p)).alias("p"),
                  F.col("_a")[edges.index(min(1.0, max(0.0, p - eps)))].alias("lo"),
-                 F.col("_a")[edges.index(min(1.0, max(0.0, p + eps)))].alias("hi"),
-                 F.col("_m")[i].alias("approx"))
-        for i, p in enumerate(probs)])).alias("i", "t")).select(*keys, "n", "i", "t.*")
+                 F.col("_a")[edges.index(min(1.0, max(0.0, p + eps)))].alias("hi"))
+        for p in probs])).alias("i", "t")).select(*keys, "n", "i", "t.*")
 
     # pass 2: below-bracket counts and per-value counts inside each bracket. Without
     # groups the bracket table has len(cols) x len(probs) rows: a proven-small broadcast.
@@ -88,5 +110,5 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     x_hi = order_stat(rh, F.col("in_hi"))
     ok = x_lo.isNotNull() & x_hi.isNotNull()
     val = x_lo + (hh - rl) * (x_hi - x_lo)
-    return res.select(*keys, "p", F.when(ok, val).otherwise(F.col("approx")).alias("value"),
+    return res.select(*keys, "p", F.when(ok, val).alias("value"),
                       F.coalesce(ok, F.lit(False)).alias("exact"))

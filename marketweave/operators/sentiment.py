@@ -1,16 +1,11 @@
 """Lexicon sentiment and keyword tagging as Spark jobs.
 
 The third-party scorers the reference calls are not available; the lexicon is a table
-the caller supplies (token, valence) or (token, polarity, subjectivity). Two plans:
-
-* lexicon up to ``MAP_LEXICON_ROWS`` entries (all published sentiment lexicons): the
-  lexicon becomes one constant map in the expression (the same bytes a broadcast join
-  would ship), and each text is scored in place with higher-order functions over its
-  token array — no explode, no shuffle, no join back; the text never moves.
-* larger lexicons: texts are tokenised, exploded, joined to the lexicon (shuffled), and
-  aggregated per text with map-side partial aggregation; scores are joined back by id.
-
-Both round the valence sums identically, so they give the same numbers.
+the caller supplies (token, valence) or (token, polarity, subjectivity). Texts are tokenised
+JVM-side, exploded, joined to the lexicon on the token (the planner broadcasts a lexicon it
+knows or measures to be small and splits a hot token's partition otherwise) and aggregated
+per text with map-side partial aggregation; scores are joined back by id. The same path
+serves a lexicon of any size, with or without context rules.
 
 Valence formulas (rule-based valence scoring as published by Hutto & Gilbert, 2014; the
 optional context rules scale a valence by ``N_SCALAR`` after a negation within three
@@ -28,7 +23,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketweave.functions.text import tokens
-from marketweave.session import bounded_broadcast
 
 # The column preference of the scorer, and the label bins.
 TEXT_COLUMN_ORDER = ("text", "cleaned_text", "title", "description", "combined_text")
@@ -42,8 +36,6 @@ ALPHA = 15.0
 N_SCALAR = -0.74
 BOOSTER_DECAY = (1.0, 0.95, 0.9)
 SUM_DIGITS = 6
-MAX_LEXICON_ROWS = 500_000
-MAP_LEXICON_ROWS = 100_000
 
 
 def pick_text_column(columns: Sequence[str]) -> str | None:
@@ -59,10 +51,6 @@ def _z(c: Column) -> Column:
     return F.when(c == 0, F.lit(0.0)).otherwise(c)
 
 
-def _token_rows(df: DataFrame, id_cols: Sequence[str], text: str) -> DataFrame:
-    return df.select(*id_cols, F.explode(tokens(text)).alias("token"))
-
-
 def _clean_lexicon(lexicon: DataFrame, value_cols: Sequence[str]) -> DataFrame:
     """Lower-cased tokens (texts are lower-cased when tokenised), one entry per token
     (duplicates keep their largest entry), values as double."""
@@ -72,117 +60,49 @@ def _clean_lexicon(lexicon: DataFrame, value_cols: Sequence[str]) -> DataFrame:
                .select("token", *[F.col(f"_v.{c}").alias(c) for c in value_cols]))
 
 
-def _lexicon_maps(lexicon: DataFrame, value_cols: Sequence[str]) -> dict[str, Column] | None:
-    """The lexicon as constant ``map<token, value>`` columns (one per value column) when
-    it has at most ``MAP_LEXICON_ROWS`` rows (checked by fetching at most one row more);
-    None above the bound. Tokens are lower-cased, duplicates keep their largest entry
-    (as ``_clean_lexicon``). Array literals keep the plan compact."""
-    rows = (lexicon.select(F.lower("token").alias("token"),
-                           *[F.col(c).cast("double").alias(c) for c in value_cols])
-            .limit(MAP_LEXICON_ROWS + 1).collect())
-    if len(rows) > MAP_LEXICON_ROWS:
-        return None
-    best: dict[str, tuple] = {}
-    for r in rows:
-        if r.token is None:
-            continue
-        v = tuple(getattr(r, c) for c in value_cols)
-        key = tuple((x is not None, x if x is not None else 0.0) for x in v)
-        if r.token not in best or key > best[r.token][0]:
-            best[r.token] = (key, v)
-    toks = sorted(best)
-    out = {}
-    for i, c in enumerate(value_cols):
-        out[c] = F.map_from_arrays(F.lit(toks).cast("array<string>"),
-                                   F.lit([best[t][1][i] for t in toks]).cast("array<double>"))
-    return out
-
-
-def _context_valences(toks: Column, lexmap: Column, negations: Column | None,
-                      boosters: Column | None) -> Column:
-    """Per token: lexicon valence adjusted by the three preceding tokens (boosters, then
-    negation), computed with the element index inside ``transform`` — the in-row
-    counterpart of ``lag(token, 1..3)``. Tokens without a valence stay null."""
-    def one(t, i):
-        v = F.try_element_at(lexmap, t)
-        prev = [F.when(i - k >= 0, F.element_at(toks, i - k + 1)) for k in (1, 2, 3)]
-        if boosters is not None:
-            for k, p in enumerate(prev):
-                b = F.coalesce(F.try_element_at(boosters, p), F.lit(0.0)) * BOOSTER_DECAY[k]
-                # a booster counts only when the word before is not itself in the lexicon
-                b = F.when(F.try_element_at(lexmap, p).isNull(), b).otherwise(F.lit(0.0))
-                v = F.when(v.isNull() | (v == 0), v).otherwise(
-                    v + F.when(v < 0, -b).otherwise(b))
-        if negations is not None:
-            neg = F.lit(False)
-            for p in prev:
-                neg = neg | F.coalesce(F.array_contains(negations, p), F.lit(False))
-            v = F.when(neg, v * N_SCALAR).otherwise(v)
-        return v
-    return F.transform(toks, one)
-
-
-def valence_expr(text: Column, lexmap: Column, sum_digits: int = SUM_DIGITS,
-                 negations: Column | None = None, boosters: Column | None = None,
-                 toks: Column | None = None) -> Column:
-    """``struct<neg, neu, pos, compound>`` of one text, computed in place: the token
-    array is mapped to valences once (optionally with negation / booster context) and
-    folded in a single ``aggregate`` pass. Usable on a column or inside a higher-order
-    function (e.g. per comment). With context rules pass ``toks`` as a column computed
-    beforehand, so the look-back reads it instead of re-tokenising."""
-    toks = tokens(text) if toks is None else toks
-    if negations is None and boosters is None:
-        vals = F.transform(toks, lambda t: F.try_element_at(lexmap, t))
-    else:
-        vals = _context_valences(toks, lexmap, negations, boosters)
-    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("p"), F.lit(0.0).alias("n"),
-                    F.lit(0).alias("z"))
-
-    def step(acc, x):
-        return F.struct((acc["s"] + F.coalesce(x, F.lit(0.0))).alias("s"),
-                        (acc["p"] + F.when(x > 0, x + 1).otherwise(F.lit(0.0))).alias("p"),
-                        (acc["n"] + F.when(x < 0, x - 1).otherwise(F.lit(0.0))).alias("n"),
-                        (acc["z"] + F.when(x.isNull() | (x == 0), 1).otherwise(0)).alias("z"))
-
-    def finish(acc):
-        sv = _z(F.round(acc["s"], sum_digits))
-        pv = F.round(acc["p"], sum_digits)
-        nv = F.abs(F.round(acc["n"], sum_digits))
-        tot = pv + nv + acc["z"]
-        some = tot > 0
-        return F.struct(
-            F.when(some, _z(nv / tot)).otherwise(F.lit(0.0)).alias("neg"),
-            F.when(some, _z(acc["z"] / tot)).otherwise(F.lit(0.0)).alias("neu"),
-            F.when(some, _z(pv / tot)).otherwise(F.lit(0.0)).alias("pos"),
-            F.when(some, _z(sv / F.sqrt(sv * sv + F.lit(ALPHA)))).otherwise(F.lit(0.0))
-             .alias("compound"))
-
-    zeros = F.struct(*[F.lit(0.0).alias(k) for k in ("neg", "neu", "pos", "compound")])
-    return F.coalesce(F.aggregate(vals, zero, step, finish), zeros)
-
-
-def _valence_in_row(df: DataFrame, text: str, lexmap: Column, p: str, sum_digits: int,
-                    negations: Column | None = None, boosters: Column | None = None
-                    ) -> DataFrame:
-    if negations is None and boosters is None:
-        out = df.withColumn("_vx", valence_expr(F.col(text), lexmap, sum_digits))
-    else:
-        # tokens as their own column: the look-back reads it by index (no re-tokenising)
-        out = df.withColumn("_toks", tokens(text)).withColumn(
-            "_vx", valence_expr(F.col(text), lexmap, sum_digits, negations, boosters,
-                                toks=F.col("_toks"))).drop("_toks")
-    return out.withColumns({f"{p}_{k}": F.col(f"_vx.{k}")
-                            for k in ("neg", "neu", "pos", "compound")}).drop("_vx")
+def _word_table(lexicon: DataFrame, negations: Sequence[str] | None,
+                boosters: dict[str, float] | None) -> DataFrame:
+    """One row per known token: ``valence`` (null outside the lexicon), ``boost``, ``negates``."""
+    words = _clean_lexicon(lexicon, ["valence"]).select(
+        "token", "valence", F.lit(0.0).alias("boost"), F.lit(False).alias("negates"))
+    rows = [(w.lower(), None, float(x), False) for w, x in (boosters or {}).items()]
+    rows += [(w.lower(), None, 0.0, True) for w in negations or ()]
+    if rows:
+        words = words.unionByName(lexicon.sparkSession.createDataFrame(
+            rows, "token string, valence double, boost double, negates boolean"))
+    return words.groupBy("token").agg(F.max("valence").alias("valence"),
+                                      F.sum("boost").alias("boost"), F.max("negates").alias("negates"))
+
+
+def _in_context(t: DataFrame, id_cols: Sequence[str]) -> DataFrame:
+    """Valences adjusted by the three tokens before (``lag`` per text): boosters first, then
+    negation. A booster counts only when it has no valence of its own."""
+    w = Window.partitionBy(*id_cols).orderBy("_pos")
+    boost = F.when(F.col("valence").isNull(), F.col("boost"))
+    t = t.withColumns({f"_b{k}": F.coalesce(F.lag(boost, k).over(w), F.lit(0.0)) * BOOSTER_DECAY[k - 1]
+                       for k in (1, 2, 3)} |
+                      {f"_n{k}": F.coalesce(F.lag("negates", k).over(w), F.lit(False)) for k in (1, 2, 3)})
+    for k in (1, 2, 3):
+        v, b = F.col("valence"), F.col(f"_b{k}")
+        t = t.withColumn("valence", F.when(v < 0, v - b).when(v > 0, v + b).otherwise(v))
+    negated = F.col("_n1") | F.col("_n2") | F.col("_n3")
+    return t.withColumn("valence", F.when(negated, F.col("valence") * N_SCALAR)
+                        .otherwise(F.col("valence")))
 
 
 def valence_scores(df: DataFrame, id_cols: Sequence[str], text: str, lexicon: DataFrame,
-                   prefix: str | None = None, sum_digits: int = SUM_DIGITS) -> DataFrame:
+                   prefix: str | None = None, sum_digits: int = SUM_DIGITS,
+                   negations: Sequence[str] | None = None,
+                   boosters: dict[str, float] | None = None) -> DataFrame:
     """Per id: ``<prefix>_neg/_neu/_pos/_compound``. Ids whose text has no tokens are
     absent (``lexicon_valence`` fills them with 0). Sums are rounded to ``sum_digits``
-    decimals so results do not depend on summation order (partitioning)."""
+    decimals so results do not depend on summation order (partitioning). ``negations``
+    (words) and ``boosters`` (word → increment) switch on the context rules."""
     p = prefix or text
-    lex = bounded_broadcast(_clean_lexicon(lexicon, ["valence"]), MAX_LEXICON_ROWS)
-    t = _token_rows(df, id_cols, text).join(lex, "token", "left")
+    t = df.select(*id_cols, F.posexplode(tokens(text)).alias("_pos", "token"))
+    t = t.join(_word_table(lexicon, negations, boosters), "token", "left")
+    if negations or boosters:
+        t = _in_context(t, id_cols)
     v = F.col("valence")
     g = t.groupBy(*id_cols).agg(
         F.round(F.sum(F.coalesce(v, F.lit(0.0))), sum_digits).alias("_s"),
@@ -202,23 +122,12 @@ def valence_scores(df: DataFrame, id_cols: Sequence[str], text: str, lexicon: Da
 def lexicon_valence(df: DataFrame, id_cols: Sequence[str], lexicon: DataFrame,
                     text: str | None = None, negations: Sequence[str] | None = None,
                     boosters: dict[str, float] | None = None) -> DataFrame:
-    """Add the four valence scores of the picked text column (null/empty text → 0).
-    ``negations`` (words) and ``boosters`` (word → increment) switch on the context
-    rules (in-row path only: they need the lexicon as a map)."""
+    """Add the four valence scores of the picked text column (null/empty text → 0);
+    ``negations`` and ``boosters`` as in ``valence_scores``."""
     col = text or pick_text_column(df.columns)
     if col is None:
         return df
-    maps = _lexicon_maps(lexicon, ["valence"])
-    neg = F.lit(sorted({w.lower() for w in negations})).cast("array<string>") \
-        if negations else None
-    boo = F.map_from_arrays(F.lit(sorted(boosters)).cast("array<string>"),
-                            F.lit([float(boosters[k]) for k in sorted(boosters)])
-                            .cast("array<double>")) if boosters else None
-    if maps is not None:
-        return _valence_in_row(df, col, maps["valence"], col, SUM_DIGITS, neg, boo)
-    if neg is not None or boo is not None:
-        raise ValueError("context rules need a lexicon of at most MAP_LEXICON_ROWS entries")
-    sc = valence_scores(df, id_cols, col, lexicon)
+    sc = valence_scores(df, id_cols, col, lexicon, negations=negations, boosters=boosters)
     out = df.join(sc, list(id_cols), "left")
     return out.na.fill(0.0, subset=[f"{col}_{s}" for s in ("neg", "neu", "pos", "compound")])
 
@@ -227,9 +136,8 @@ def polarity_scores(df: DataFrame, id_cols: Sequence[str], text: str, lexicon: D
                     prefix: str | None = None, sum_digits: int = SUM_DIGITS) -> DataFrame:
     """Per id: mean polarity and subjectivity of the tokens found in the lexicon."""
     p = prefix or text
-    lex = bounded_broadcast(_clean_lexicon(lexicon, ["polarity", "subjectivity"]),
-                            MAX_LEXICON_ROWS)
-    t = _token_rows(df, id_cols, text).join(lex, "token", "inner")
+    t = (df.select(*id_cols, F.explode(tokens(text)).alias("token"))
+         .join(_clean_lexicon(lexicon, ["polarity", "subjectivity"]), "token"))
     g = t.groupBy(*id_cols).agg(F.round(F.sum("polarity"), sum_digits).alias("_ps"),
                                 F.round(F.sum("subjectivity"), sum_digits).alias("_ss"),
                                 F.count(F.lit(1)).alias("_k"))
@@ -239,20 +147,10 @@ def polarity_scores(df: DataFrame, id_cols: Sequence[str], text: str, lexicon: D
 
 def lexicon_polarity(df: DataFrame, id_cols: Sequence[str], lexicon: DataFrame,
                      text: str | None = None) -> DataFrame:
+    """Add mean polarity and subjectivity of the picked text column (no known token → 0)."""
     col = text or pick_text_column(df.columns)
     if col is None:
         return df
-    maps = _lexicon_maps(lexicon, ["polarity", "subjectivity"])
-    if maps is not None:
-        toks = F.filter(tokens(col), lambda t: F.try_element_at(maps["polarity"], t).isNotNull())
-        k = F.size(toks)
-
-        def mean(field):
-            vals = F.transform(toks, lambda t: F.try_element_at(maps[field], t))
-            tot = F.round(F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x), SUM_DIGITS)
-            return F.when(F.col(col).isNull() | (k == 0), F.lit(0.0)).otherwise(_z(tot / k))
-        return df.withColumns({f"{col}_polarity": mean("polarity"),
-                               f"{col}_subjectivity": mean("subjectivity")})
     sc = polarity_scores(df, id_cols, col, lexicon)
     out = df.join(sc, list(id_cols), "left")
     return out.na.fill(0.0, subset=[f"{col}_polarity", f"{col}_subjectivity"])
@@ -283,39 +181,34 @@ def post_sentiment(df: DataFrame, model: str = "valence") -> DataFrame:
 
 
 def comment_sentiment(posts: DataFrame, id_col: str, lexicon: DataFrame,
-                      comments: str = "comments", flat: bool = False) -> DataFrame:
-    """Valence scores of every comment, written into the comment structs (``flat=True``:
-    one row per comment with its position). With a map-sized lexicon the comments are
-    scored inside the array; otherwise exploded, scored by the join path and regrouped
-    per post (a post's comments are one bounded thread)."""
-    cols = [f"comment_{s}" for s in ("neg", "neu", "pos", "compound")]
-    maps = _lexicon_maps(lexicon, ["valence"])
-    if maps is not None:
-        # scored inside the array: no explode, no regroup, no join back
-        def score(c):
-            v = valence_expr(c["comment_text"], maps["valence"])
-            out = c
-            for k in ("neg", "neu", "pos", "compound"):
-                out = out.withField(f"comment_{k}", v[k])
-            return out
-        scored = posts.withColumn(comments, F.transform(comments, score))
-        if not flat:
-            return scored
-        e = scored.select(id_col, F.posexplode(comments).alias("pos", "_c"))
-        return e.select(id_col, "pos", *[F.col(f"_c.{c}").alias(c) for c in cols])
+                      comments: str = "comments", flat: bool = False,
+                      model: str = "valence") -> DataFrame:
+    """Scores of every comment (``model``: the four valence scores, or ``polarity`` and
+    ``subjectivity``), written into the comment structs (``flat=True``: one row per comment
+    with its position). Comments are exploded and scored like texts; only the scores are
+    regrouped per post, which holds its comments in one array already."""
+    if model == "valence":
+        names, score = ("neg", "neu", "pos", "compound"), valence_scores
+    else:
+        names, score = ("polarity", "subjectivity"), polarity_scores
+    cols = [f"comment_{s}" for s in names]
     e = posts.select(id_col, F.posexplode(comments).alias("_i", "_c"))
-    e = e.select(id_col, "_i", F.col("_c.comment_text").alias("comment_text"), "_c")
-    sc = valence_scores(e, [id_col, "_i"], "comment_text", lexicon, prefix="comment")
-    j = e.join(sc, [id_col, "_i"], "left").na.fill(0.0, subset=cols)
+    e = e.select(id_col, "_i", F.col("_c.comment_text").alias("comment_text"))
+    sc = score(e, [id_col, "_i"], "comment_text", lexicon, prefix="comment")
     if flat:
-        return j.select(id_col, F.col("_i").alias("pos"), *cols)
-    nested = j.select(id_col, F.struct(F.col("_i").alias("_i"), "_c", *cols).alias("_x"))
-    g = nested.groupBy(id_col).agg(F.array_sort(F.collect_list("_x")).alias("_xs"))
-    rebuilt = g.select(id_col, F.transform("_xs", lambda x: x["_c"].withField(
-        "comment_neg", x["comment_neg"]).withField("comment_neu", x["comment_neu"])
-        .withField("comment_pos", x["comment_pos"])
-        .withField("comment_compound", x["comment_compound"])).alias(comments))
-    return posts.drop(comments).join(rebuilt, id_col, "left")
+        return e.join(sc, [id_col, "_i"], "left").na.fill(0.0, subset=cols).select(
+            id_col, F.col("_i").alias("pos"), *cols)
+    per_post = sc.groupBy(id_col).agg(F.map_from_entries(F.collect_list(
+        F.struct("_i", F.struct(*cols).alias("v")))).alias("_scores"))
+    zero = F.struct(*[F.lit(0.0).alias(c) for c in cols])
+
+    def scored(c, i):
+        v = F.coalesce(F.try_element_at("_scores", i), zero)
+        for name in cols:
+            c = c.withField(name, v[name])
+        return c
+    return (posts.join(per_post, id_col, "left")
+            .withColumn(comments, F.transform(comments, scored)).drop("_scores"))
 
 
 def daily_sentiment(df: DataFrame, ts: str, score: str, by: Sequence[str]) -> DataFrame:
@@ -324,20 +217,17 @@ def daily_sentiment(df: DataFrame, ts: str, score: str, by: Sequence[str]) -> Da
               .agg(F.avg(score).alias("sentiment_score"), F.count(F.lit(1)).alias("volume")))
 
 
-def keyword_tag(df: DataFrame, id_col: str, text: str, terms: DataFrame,
-                max_term_rows: int = MAX_LEXICON_ROWS) -> DataFrame:
+def keyword_tag(df: DataFrame, id_col: str, text: str, terms: DataFrame) -> DataFrame:
     """(id, term) for every term whose tokens all occur in the text (token-set
     containment); a text matched by two terms gives two rows.
 
-    Distinct tokens per text are exploded and equi-joined to the term-token table
-    (broadcast when provably small): hot tokens never concentrate in one task because
-    the token side is not shuffled; only matching (id, term, token) rows continue to a
+    Distinct tokens per text are exploded and equi-joined to the term-token table, which the
+    planner broadcasts when it is small; only matching (id, term, token) rows continue to a
     per-(id, term) count compared with the term's size.
     """
     tt = terms.select("term", F.lower("token").alias("token")).distinct()
-    # the term table is a small parameter table: its per-term size is a window over it
+    # the size of a term is a window over its own tokens
     tt = tt.withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy("term")))
-    tt = bounded_broadcast(tt, max_term_rows)
     d = df.select(id_col, F.explode(F.array_distinct(tokens(text))).alias("token"))
     hits = d.join(tt, "token")
     g = hits.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("_n"), F.max("_k").alias("_k"))

@@ -66,37 +66,14 @@ def calendar_features(df: DataFrame, date: str = "date") -> DataFrame:
 
 
 def iqr_bounds(df: DataFrame, cols: Sequence[str] = PRICE_COLS, by: Sequence[str] = (),
-               k: float = FENCE_K, exact: bool | None = None) -> DataFrame:
+               k: float = FENCE_K) -> DataFrame:
     """Q1, Q3 (linear interpolation), IQR and fences ``Q1 - k*IQR``, ``Q3 + k*IQR`` of each
-    column: one row per (group, column).
-
-    ``exact=None`` (default): exact values with bounded memory (``exact_quantiles``: a
-    sketch brackets the ranks, a second pass resolves them) — safe at any size.
-    ``exact=True``: one-pass ``percentile`` (equals SQL ``quantile_cont``); its final
-    merge holds a group's distinct values in one task, so use it only where the input is
-    bounded (e.g. a bar table of a fixed symbol set). ``exact=False``: the
-    ``percentile_approx`` sketch alone.
-    """
-    if exact is None:
-        q = exact_quantiles(df, cols, [0.25, 0.75], by)
-        out = q.groupBy(*by, "column").agg(
-            F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
-            F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q3"))
-        iqr = F.col("q3") - F.col("q1")
-        return out.withColumns({"iqr": iqr, "lower": F.col("q1") - F.lit(k) * iqr,
-                                "upper": F.col("q3") + F.lit(k) * iqr})
-    aggs = []
-    for c in cols:
-        if exact:
-            q = F.percentile(F.col(c).cast("double"), [0.25, 0.75])
-        else:
-            q = F.percentile_approx(F.col(c).cast("double"), [0.25, 0.75], 100000)
-        aggs.append(q.alias(f"_q_{c}"))
-    g = (df.groupBy(*by) if by else df.groupBy()).agg(*aggs)
-    stacked = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"_q_{c}")[0].alias("q1"),
-                 F.col(f"_q_{c}")[1].alias("q3")) for c in cols])).alias("_s")
-    out = g.select(*by, stacked).select(*by, "_s.*")
+    column: one row per (group, column). Exact values with bounded memory at any size
+    (``exact_quantiles``: a sketch brackets the ranks, a second pass resolves them)."""
+    q = exact_quantiles(df, cols, [0.25, 0.75], by)
+    out = q.groupBy(*by, "column").agg(
+        F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
+        F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     return out.withColumns({"iqr": iqr, "lower": F.col("q1") - F.lit(k) * iqr,
                             "upper": F.col("q3") + F.lit(k) * iqr})
@@ -104,7 +81,7 @@ def iqr_bounds(df: DataFrame, cols: Sequence[str] = PRICE_COLS, by: Sequence[str
 
 def outlier_ffill(df: DataFrame, cols: Sequence[str] = PRICE_COLS, ticker: str = "symbol",
                   order_by: Sequence[str] = ("date",), fence_by: str | None = None,
-                  k: float = FENCE_K, exact: bool | None = None) -> DataFrame:
+                  k: float = FENCE_K) -> DataFrame:
     """Values outside the ``k``·IQR fences become null and are forward-filled.
 
     Fences are computed over all tickers together by default (``fence_by=None``, as the
@@ -117,7 +94,7 @@ def outlier_ffill(df: DataFrame, cols: Sequence[str] = PRICE_COLS, ticker: str =
     global, a join with one row per fence group otherwise — then one window per ticker.
     """
     by = [fence_by] if fence_by else []
-    fences = iqr_bounds(df, cols, by, k, exact)
+    fences = iqr_bounds(df, cols, by, k)
     wide = fences.groupBy(*by).agg(*[
         F.first(F.when(F.col("column") == c, F.struct("lower", "upper")), ignorenulls=True)
          .alias(f"_f_{c}") for c in cols])
@@ -152,11 +129,11 @@ def daily_return(df: DataFrame, close: str = "close", ticker: str = "symbol",
 
 
 def clean_bars(df: DataFrame, ticker: str = "symbol", date: str = "date",
-               fence_by: str | None = None, exact: bool | None = None) -> DataFrame:
+               fence_by: str | None = None) -> DataFrame:
     """The stock cleaner: drop incomplete bars → outlier fences + fill → daily return →
-    calendar names. ``exact`` as in ``iqr_bounds`` (None: decided by a size probe)."""
+    calendar names."""
     out = drop_incomplete_bars(df)
-    out = outlier_ffill(out, ticker=ticker, order_by=(date,), fence_by=fence_by, exact=exact)
+    out = outlier_ffill(out, ticker=ticker, order_by=(date,), fence_by=fence_by)
     out = daily_return(out, ticker=ticker, order_by=(date,))
     return out.withColumns({"day_of_week": F.date_format(date, "EEEE"),
                             "month": F.date_format(date, "MMMM")})

@@ -100,8 +100,7 @@ def q_process_posts(spark, sf):
            dayname(date) AS day_of_week, monthname(date) AS month
     FROM ({_ffill_sql(_CLEAN_SRC)})""", ("v_bars_dirty",))
 def q_process_stock(spark, sf):
-    # the bar view is bounded by brands x days: exact fences without a size probe
-    p = process_kind(fx.bars_dirty(spark, sf), "stock", AS_OF, exact_quantiles=True)
+    p = process_kind(fx.bars_dirty(spark, sf), "stock", AS_OF)
     return report(p, round_cols=("daily_return",))
 
 
@@ -128,8 +127,7 @@ def q_process_all_kinds(spark, sf):
     frames = {"stock": fx.bars_dirty(spark, sf), "news": fx.news_raw(spark, sf),
               "messages": fx.tweets_raw(spark, sf), "posts": fx.posts_raw(spark, sf),
               "macro": fx.econ_raw(spark, sf)}
-    status = process_all(frames, root, AS_OF, fx.lexicon(spark), {"posts": "conv_id"},
-                         exact_quantiles=True)
+    status = process_all(frames, root, AS_OF, fx.lexicon(spark), {"posts": "conv_id"})
     failed = [s for s in status if s[2] != "ok"]
     if failed:
         raise RuntimeError(f"kinds failed: {failed}")

@@ -11,10 +11,6 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Rows above which a "small" side is no longer broadcast but shuffled.
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
 def build_session(master: str | None = None, app: str = "marketweave",
                   shuffle_partitions: int | None = None) -> SparkSession:
     """A session with AQE on, UTC, no UI. ``master`` only for local runs."""
@@ -44,17 +40,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
     On a cluster that setting names shared storage and is used as is. Only when it is
-    unset (local tests) a private temporary folder is created and registered.
+    unset (local tests) a private temporary folder is made, once a session.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    if d:
+        spark.sparkContext.setCheckpointDir(d)
+        return d
+    d = spark.sparkContext.getCheckpointDir()
     if not d:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        d = tempfile.mkdtemp(prefix="mw-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="mw-ckpt-"))
+        d = spark.sparkContext.getCheckpointDir()
     return d
 
 
@@ -64,20 +61,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only if it provably holds at most ``max_rows`` rows.
-
-    Used for user-supplied parameter tables (lexicon, search terms) whose size is not
-    known statically. The check is one cheap ``limit(max_rows + 1).count()``; above the
-    bound the table is returned unhinted and the join shuffles (AQE may still convert it
-    at run time from measured sizes).
-    """
-    from pyspark.sql import functions as F
-
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (for intermediate tables)."""
     import uuid

@@ -29,12 +29,18 @@ def _typed(f: T.StructField) -> Column:
     return c.try_cast(f.dataType).alias(f.name)
 
 
-def _read_arrays(spark: SparkSession, path: str, st: T.StructType) -> DataFrame:
-    """Every record with its fields as text, and the raw text of files that do not parse."""
-    st = T.StructType([*_as_text(st).fields, T.StructField(CORRUPT_COL, T.StringType())])
+def _read_arrays(spark: SparkSession, path: str, st: T.StructType, keep_corrupt: bool) -> DataFrame:
+    """Every record with its fields as text, so that only a file that does not parse is
+    malformed; ``keep_corrupt`` adds such files as rows with their raw text."""
+    st = _as_text(st)
+    r = spark.read.option("multiLine", True)
+    if keep_corrupt:
+        st = st.add(CORRUPT_COL, T.StringType())
+        r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL)
+    else:
+        r = r.option("mode", "DROPMALFORMED")
     try:
-        return (spark.read.schema(st).option("multiLine", True).option("mode", "PERMISSIVE")
-                .option("columnNameOfCorruptRecord", CORRUPT_COL).json(path))
+        return r.schema(st).json(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return spark.createDataFrame([], st)
@@ -48,30 +54,35 @@ def scan_json_records(spark: SparkSession, path: str, schema: T.StructType | str
     the schema. A file that does not parse gives no rows here: ``corrupt_files`` counts them,
     and ``keep_corrupt=True`` keeps each as a row with its raw text in ``_corrupt``."""
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
-    raw = _read_arrays(spark, path, st)
+    raw = _read_arrays(spark, path, st, keep_corrupt)
+    named = {f.name for f in st.fields}
     cols = [_typed(f) for f in st.fields]
+    cols += [F.col(c) for c in raw.columns if c not in named and c != CORRUPT_COL]  # of the folders
     if keep_corrupt:
         return raw.select(*cols, CORRUPT_COL)
-    return raw.where(F.col(CORRUPT_COL).isNull()).select(*cols)
+    return raw.select(*cols)
 
 
 def corrupt_files(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """``(n_files)``: files under ``path`` that do not parse (the ones to quarantine)."""
+    """``(n_files, n_values)``: files under ``path`` that do not parse (the ones to quarantine),
+    and present values of the schema's first field in the others."""
     rows = scan_json_records(spark, path, schema, keep_corrupt=True)
-    return rows.agg(F.count(CORRUPT_COL).alias("n_files"))
+    return rows.agg(F.count(CORRUPT_COL).alias("n_files"), F.count(rows.columns[0]).alias("n_values"))
 
 
 def write_json_arrays(df: DataFrame, path: str, group: str, record: Column,
                       max_bytes: int = 32 << 20) -> None:
     """Write the records as JSON-array files (the collectors' landing format) under
-    ``group=<value>/_part=<b>/``, one array per file of about ``max_bytes`` of text. The rows of
-    a group are numbered per input task and dealt out in turn, so neither a hot group nor many
-    equal records gather in one array."""
+    ``group=<value>/_part=<b>/``, one array per file of about ``max_bytes`` of text. Records
+    are dealt to the files of their group by a hash of the record and, where it repeats, of its
+    number among its equals, so neither a hot group nor many equal records gather in one
+    array, and a task that is run again deals alike."""
     sizes = df.select(group, F.octet_length(F.to_json(record)).alias("_b")).groupBy(group).agg(
         F.ceil(F.sum("_b") / F.lit(max_bytes)).cast("int").alias("_nb"))
-    j = df.select(group, F.to_json(record).alias("_r"),
-                  F.monotonically_increasing_id().alias("_i")).join(sizes, group)
-    j = j.withColumn("_part", F.pmod("_i", F.greatest("_nb", F.lit(1))).cast("int"))
+    each = df.select(group, F.to_json(record).alias("_r")).groupBy(group, "_r").agg(
+        F.count(F.lit(1)).alias("_n")).withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+    j = each.join(sizes, group).withColumn(
+        "_part", F.pmod(F.xxhash64("_r", "_k"), F.greatest("_nb", F.lit(1))).cast("int"))
     arrays = (j.groupBy(group, "_part")
                 .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("_r")), F.lit("]"))
                      .alias("value")))
