@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from marketweave.operators.collect import collect_run
 from marketweave.operators.process import process_all, process_kind
 from marketweave.plans.catalog import D, R, query, report
 from marketweave.plans.market_queries import _CLEAN_SRC, _ffill_sql
@@ -147,20 +148,74 @@ def q_process_all_kinds(spark, sf):
     LEFT JOIN ({valence_sql(_NEWS, 'doc_id', 'title', 'title')}) sc ON c.doc_id = sc.doc_id""",
        ("v_news_raw", "v_lexicon"))
 def q_stream_process_news(spark, sf):
-    """The collection loop as a stream: new document files are shaped into articles and
-    each micro-batch is cleaned, scored and stored (``foreachBatch``, one version per
-    batch id). The cleaner's keep-first dedup acts within a micro-batch; duplicates
-    across runs are the job of ``stream_dedup`` / ``cross_run_dedup``."""
+    """The collection loop as a stream: document files (three here, in order of their ids) are
+    shaped into articles, and each micro-batch is cleaned, scored and stored; an article whose
+    title and description were stored by an earlier batch is dropped, so the table equals
+    the batch form."""
+    from marketweave.plans.stream_queries import _landed
     from marketweave.streaming import jobs as J
 
     out = scratch_path(spark, "news-stream")
     lex = fx.lexicon(spark)
-    s = J.read_table_stream(spark, sf, "documents").select("doc_id", "text", "source")
+    d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source")
+    part = (F.col("doc_id").cast("double") / (d.select(F.max("doc_id")).scalar() + 1) * 3).cast("int")
+    raw = _landed(spark, fx.news_from_documents(d).withColumn("part", part), 3)
+    store = J.dedup_sink(out, ["raw_title", "raw_description"], ["doc_id"])
 
     def sink(batch, batch_id):
-        process_kind(fx.news_from_documents(batch), "news", AS_OF, lex) \
-            .write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    q = J.start(s, sink, scratch_path(spark, "stream-ckpt"))
-    q.awaitTermination()
-    return report(spark.read.parquet(out).drop("batch"), round_cols=_ROUND)
+        # the cleaner compares articles as collected, so the raw pair is the key
+        keyed = batch.select("doc_id", F.col("title").alias("raw_title"),
+                             F.col("description").alias("raw_description"))
+        done = process_kind(batch, "news", AS_OF, lex)
+        store(done.join(keyed, "doc_id"), batch_id)
+
+    J.finish(J.start(raw, sink, scratch_path(spark, "stream-ckpt")))
+    t = spark.read.parquet(out).drop("batch", "raw_title", "raw_description")
+    return report(t, round_cols=_ROUND)
+
+
+# ------------------------------------------------------------ the end-to-end run
+
+def _two_runs(kind: str, first: str, every: str, key: str, upsert: bool) -> str:
+    """Write counts of two runs: the first over part of the records, the second over all."""
+    if upsert:
+        return f"""
+    SELECT 1 AS run, '{kind}' AS kind, 'insert' AS action, count(*) AS n FROM ({first})
+    UNION ALL SELECT 2, '{kind}', 'update', count(*) FROM ({first})
+    UNION ALL SELECT 2, '{kind}', 'insert', (SELECT count(*) FROM ({every})) - count(*) FROM ({first})"""
+    return f"""
+    SELECT 1 AS run, '{kind}' AS kind, 'insert' AS action, count(DISTINCT {key}) AS n FROM ({first})
+    UNION ALL SELECT 1, '{kind}', 'duplicate', count(*) - count(DISTINCT {key}) FROM ({first})
+    UNION ALL SELECT 2, '{kind}', 'insert', (SELECT count(DISTINCT {key}) FROM ({every})
+                                             WHERE {key} NOT IN (SELECT {key} FROM ({first})))
+    UNION ALL SELECT 2, '{kind}', 'duplicate', (SELECT count(*) FROM ({every})) -
+      (SELECT count(DISTINCT {key}) FROM ({every}) WHERE {key} NOT IN (SELECT {key} FROM ({first})))"""
+
+
+_HALF_TWEETS = _TWEETS.replace("FROM v_tweets_raw)", "FROM v_tweets_raw WHERE doc_id % 2 = 0)")
+_ECON_KEY = "SELECT DISTINCT indicator, country, date FROM v_econ_raw"
+_RUNS_SQL = " UNION ALL ".join((
+    _two_runs("messages", _HALF_TWEETS, _TWEETS, "text", False),
+    _two_runs("macro", _ECON_KEY + " WHERE indicator <> 'P'", _ECON_KEY, "", True)))
+
+
+@query("collect_run", f"SELECT * FROM ({_RUNS_SQL}) WHERE n > 0", ("v_tweets_raw", "v_econ_raw"))
+def q_collect_run(spark, sf):
+    """Two collection runs, processed, hashed, deduplicated against what is stored, routed to
+    upsert (macro) or insert-ignore (messages), with the write counts of each run. The first
+    run sees half of the records, the second all of them."""
+    lex, out, stored = fx.lexicon(spark), None, {}
+    tweets, econ = fx.tweets_raw(spark, sf), fx.econ_raw(spark, sf)
+    runs = ({"messages": tweets.where("doc_id % 2 = 0"), "macro": econ.where("indicator <> 'P'")},
+            {"messages": tweets, "macro": econ})
+    for i, frames in enumerate(runs, 1):
+        written, failed = collect_run(frames, stored, AS_OF, lex)
+        if failed:
+            raise RuntimeError(f"kinds failed: {failed}")
+        for kind, w in written.items():
+            path = scratch_path(spark, f"run{i}-{kind}")
+            w.table.write.parquet(path)
+            stored[kind] = spark.read.parquet(path)
+            n = w.counts.select(F.lit(i).alias("run"), "kind", "action", F.col("n").cast("bigint").alias("n"))
+            out = n if out is None else out.unionByName(n)
+    return out.where("n > 0")

@@ -10,17 +10,9 @@ from marketweave.operators import tables as TB
 from marketweave.plans.catalog import R, TS, query, report
 from marketweave.plans.table_queries import AS_OF, _JUNK_PROPS, _junk_props
 from marketweave.session import scratch_path
-from marketweave.sources import fixtures as fx
 from marketweave.streaming import jobs as J
 
 
-def latest_version(spark, path):
-    """The newest ``batch=<id>`` version of a table written by a versioned sink."""
-    t = spark.read.parquet(path)
-    newest = t.select(F.max("batch")).scalar()
-    return t.where(F.col("batch") == newest).drop("batch")
-
-
 @query("stream_ingest", """
     SELECT event_id,
            strftime(ts, '%Y-%m-%dT%H:%M:%S') ||
@@ -30,21 +22,40 @@ def latest_version(spark, path):
 def q_stream_ingest(spark, sf):
     out = scratch_path(spark, "ingest")
     s = J.read_table_stream(spark, sf, "events").select("event_id", "ts", "value", "props")
-    J.run_to_table(J.stream_ingest(s), out)
+    J.run_to_table(J.stream_ingest(s), out, scratch_path(spark, "stream-ckpt"))
     return spark.read.parquet(out).drop("batch")
 
 
+def _landed(spark, df, parts, newest_first=False):
+    """``df(.., part)`` landed file by file in a fresh folder, and a stream that reads one file
+    per micro-batch."""
+    folder = scratch_path(spark, "landing")
+    for i in sorted(range(parts), reverse=newest_first):
+        df.where(F.col("part") == i).drop("part").write.mode("append").parquet(folder)
+    schema = df.drop("part").schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 @query("stream_dedup", """
-    SELECT DISTINCT md5('text:' || text) AS content_hash FROM documents""")
+    SELECT a.arrival, h.content_hash
+    FROM (SELECT DISTINCT md5('text:' || text) AS content_hash FROM documents) h,
+         (VALUES ('newest first'), ('oldest first')) a(arrival)""")
 def q_stream_dedup(spark, sf):
-    """Collected documents (event time = collection minute) deduplicated by content hash
-    with 24 h of state."""
-    out = scratch_path(spark, "dedup")
-    s = J.read_table_stream(spark, sf, "documents").select("doc_id", "text")
-    s = TB.with_content_hash(s).withColumn(
-        "ts", F.timestamp_add("MINUTE", F.col("doc_id"), F.lit(fx.BASE_TS).cast("timestamp")))
-    J.run_to_table(J.stream_dedup(s, ["content_hash"]).select("content_hash"), out)
-    return spark.read.parquet(out).drop("batch")
+    """Collected documents landed as four files, in both orders of arrival, deduplicated by
+    content hash across micro-batches: every text is stored once and none is lost."""
+    d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    d = TB.with_content_hash(d).select("doc_id", "content_hash", (
+        F.col("doc_id").cast("double") / (d.select(F.max("doc_id")).scalar() + 1) * 4).cast("int")
+        .alias("part"))
+    out = None
+    for label, newest in (("newest first", True), ("oldest first", False)):
+        table = scratch_path(spark, "dedup")
+        s = _landed(spark, d, 4, newest)
+        J.finish(J.start(s, J.dedup_sink(table, ["content_hash"], ["doc_id"]),
+                         scratch_path(spark, "stream-ckpt")))
+        t = spark.read.parquet(table).select(F.lit(label).alias("arrival"), "content_hash")
+        out = t if out is None else out.unionByName(t)
+    return out
 
 
 @query("stream_upsert", f"""
@@ -62,19 +73,22 @@ def q_stream_dedup(spark, sf):
     FROM t FULL OUTER JOIN b ON t.c_custkey = b.c_custkey""")
 def q_stream_upsert(spark, sf):
     """Stored customers (one third of keys new to the stream) upserted by a stream of
-    changed customer rows, one merge per micro-batch."""
+    changed customer rows landed as three files: each micro-batch is appended to the log, and
+    the compaction writes the new base."""
     cols = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
-    initial = scratch_path(spark, "cust-initial")
-    spark.read.parquet(f"{sf}/customer.parquet").select(*cols) \
-        .where(F.col("c_custkey") % 3 != 0).write.parquet(initial)
-    table = scratch_path(spark, "cust-table")
-    s = (J.read_table_stream(spark, sf, "customer").select(*cols)
-         .where(F.col("c_custkey") % 3 != 1)
-         .withColumn("c_acctbal", F.col("c_acctbal") + 100))
-    q = J.start(s, J.upsert_sink(table, ["c_custkey"], ["c_custkey"], AS_OF, initial),
-                scratch_path(spark, "stream-ckpt"))
-    q.awaitTermination()
-    return report(latest_version(spark, table), ts_cols=("created_at", "updated_at"))
+    c = spark.read.parquet(f"{sf}/customer.parquet").select(*cols)
+    table = scratch_path(spark, "cust-log")
+    stamp = F.lit(AS_OF).cast("timestamp")
+    c.where(F.col("c_custkey") % 3 != 0).withColumns(
+        {"created_at": stamp, "updated_at": F.lit(None).cast("timestamp")}) \
+        .write.parquet(f"{table}/batch=-1")
+    changed = (c.where(F.col("c_custkey") % 3 != 1)
+               .withColumns({"c_acctbal": F.col("c_acctbal") + 100, "created_at": stamp,
+                             "updated_at": stamp, "part": (F.col("c_custkey") % 7 % 3).cast("int")}))
+    J.finish(J.start(_landed(spark, changed, 3), J.upsert_log_sink(table),
+                     scratch_path(spark, "stream-ckpt")))
+    t = J.compact_log(spark, table, scratch_path(spark, "cust-base"), ["c_custkey"])
+    return report(t.select(*cols, "created_at", "updated_at"), ts_cols=("created_at", "updated_at"))
 
 
 @query("stream_upsert_log", """
@@ -108,11 +122,25 @@ def q_stream_upsert_log(spark, sf):
     SELECT event_id, {TS('ts', 'created_at')} FROM events
     WHERE ts IS NULL OR ts > TIMESTAMP '{AS_OF}' - INTERVAL 86400 SECOND""")
 def q_stream_ttl(spark, sf):
+    """All events are stored as they arrive; the sweep of the stored table then lets the ones
+    go that have aged past the retention."""
     out = scratch_path(spark, "ttl")
     s = J.read_table_stream(spark, sf, "events").select(
         "event_id", F.col("ts").cast("timestamp").alias("created_at"))
-    J.run_to_table(s, out, transform=J.stream_ttl(AS_OF))
-    return report(spark.read.parquet(out).drop("batch"), ts_cols=("created_at",))
+    J.run_to_table(s, out, scratch_path(spark, "stream-ckpt"))
+    swept = J.sweep_table(spark, out, scratch_path(spark, "ttl-swept"), AS_OF)
+    return report(swept.drop("batch"), ts_cols=("created_at",))
+
+
+def _windowed(spark, agg):
+    """Window aggregates in update mode, each micro-batch appended to the log; the current
+    value of a window is its latest."""
+    table = scratch_path(spark, "windows")
+    J.finish(J.start(agg, J.upsert_log_sink(table), scratch_path(spark, "stream-ckpt"),
+                     output_mode="update"))
+    t = J.resolve_upserts(spark.read.parquet(table), ["window_start", "event_type"], ["batch"])
+    return report(t.select("window_start", "event_type", "sentiment_score", "volume"),
+                  round_cols=("sentiment_score",), ts_cols=("window_start",))
 
 
 @query("stream_daily_sentiment", f"""
@@ -122,20 +150,8 @@ def q_stream_ttl(spark, sf):
 def q_stream_daily_sentiment(spark, sf):
     """Per event type and day: mean value and volume, maintained in update mode and
     upserted per micro-batch (late rows past the 1 h watermark are dropped)."""
-    table = scratch_path(spark, "daily")
-    initial = scratch_path(spark, "daily-initial")
-    spark.createDataFrame([], "window_start timestamp, event_type string, "
-                              "window_end timestamp, sentiment_score double, volume bigint") \
-        .write.parquet(initial)
-    s = J.read_table_stream(spark, sf, "events")
-    agg = J.stream_window_sentiment(s, "value", ["event_type"])
-    q = J.start(agg, J.upsert_sink(table, ["window_start", "event_type"], ["window_end"],
-                                   AS_OF, initial),
-                scratch_path(spark, "stream-ckpt"), output_mode="update")
-    q.awaitTermination()
-    t = latest_version(spark, table)
-    return report(t.select("window_start", "event_type", "sentiment_score", "volume"),
-                  round_cols=("sentiment_score",), ts_cols=("window_start",))
+    return _windowed(spark, J.stream_window_sentiment(
+        J.read_table_stream(spark, sf, "events"), "value", ["event_type"]))
 
 
 _QUARTER = "date_trunc('hour', ts) + CAST(floor(minute(ts) / 15) * 15 AS INTEGER) * INTERVAL 1 MINUTE"
@@ -149,21 +165,8 @@ _QUARTER = "date_trunc('hour', ts) + CAST(floor(minute(ts) / 15) * 15 AS INTEGER
     GROUP BY ws, event_type""")
 def q_stream_sliding_sentiment(spark, sf):
     """1-hour windows sliding every 15 minutes, per event type."""
-    table = scratch_path(spark, "sliding")
-    initial = scratch_path(spark, "sliding-initial")
-    spark.createDataFrame([], "window_start timestamp, event_type string, "
-                              "window_end timestamp, sentiment_score double, volume bigint") \
-        .write.parquet(initial)
-    s = J.read_table_stream(spark, sf, "events")
-    agg = J.stream_window_sentiment(s, "value", ["event_type"], window="1 hour",
-                                    slide="15 minutes")
-    q = J.start(agg, J.upsert_sink(table, ["window_start", "event_type"], ["window_end"],
-                                   AS_OF, initial),
-                scratch_path(spark, "stream-ckpt"), output_mode="update")
-    q.awaitTermination()
-    t = latest_version(spark, table)
-    return report(t.select("window_start", "event_type", "sentiment_score", "volume"),
-                  round_cols=("sentiment_score",), ts_cols=("window_start",))
+    return _windowed(spark, J.stream_window_sentiment(
+        J.read_table_stream(spark, sf, "events"), "value", ["event_type"], window="1 hour", slide="15 minutes"))
 
 
 @query("fault_isolation", f"""

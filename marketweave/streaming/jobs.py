@@ -4,20 +4,21 @@ windows and per-kind fault isolation.
 
 Production runs use ``trigger(processingTime='15 minutes')`` (the reference's poll
 cadence); tests and the registered queries use ``availableNow`` to drain what is there
-and stop. Checkpoints live under the shared ``spark.checkpoint.dir``, so a restarted
-query resumes where it stopped and micro-batches are replayed idempotently.
+and stop. The checkpoint folder is an argument (on shared storage), so a restarted query
+resumes where it stopped and micro-batches are replayed idempotently.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketweave.operators import tables as TB
-from marketweave.session import scratch_path
+from marketweave.operators.dedup import keep_first
 
 POLL_INTERVAL = "15 minutes"  # fixed value: the collection cadence
 DEDUP_HORIZON = "24 hours"    # state kept for cross-run dedup (reference: 24 h retention)
@@ -52,23 +53,25 @@ def start(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str
     return w.start()
 
 
-def run_to_table(df: DataFrame, path: str, output_mode: str = "append",
+def finish(query) -> None:
+    """Wait for a draining query and raise what stopped it, if anything did."""
+    query.awaitTermination()
+    ex = query.exception()
+    if ex is not None:
+        raise RuntimeError(str(ex))
+
+
+def run_to_table(df: DataFrame, path: str, checkpoint: str, output_mode: str = "append",
                  transform: Callable[[DataFrame, int], DataFrame] | None = None) -> None:
     """Drain ``df`` into a parquet table at ``path``. Each micro-batch is written to its
     own ``batch=<id>`` folder with overwrite, so a replayed batch replaces itself
-    (idempotent by batch id)."""
-    spark = df.sparkSession
-    ckpt = scratch_path(spark, "stream-ckpt")
-
+    (idempotent by batch id). A later call with the same ``checkpoint`` goes on where this
+    one stopped."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch, batch_id) if transform else batch
         out.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    q = start(df, sink, ckpt, output_mode)
-    q.awaitTermination()
-    ex = q.exception()
-    if ex is not None:
-        raise RuntimeError(str(ex))
+    finish(start(df, sink, checkpoint, output_mode))
 
 
 def stream_ingest(events: DataFrame) -> DataFrame:
@@ -79,12 +82,38 @@ def stream_ingest(events: DataFrame) -> DataFrame:
 
 def stream_dedup(df: DataFrame, keys: Sequence[str], ts: str = "ts",
                  horizon: str = DEDUP_HORIZON) -> DataFrame:
-    """T02: drop a record whose keys were seen within ``horizon`` of event time. State is
-    bounded by the watermark (time-bounded instead of the reference's 10,000-entry set)."""
+    """T02 with bounded state: drop a record whose keys were seen within ``horizon`` of event
+    time. The watermark also drops records that arrive later than ``horizon``; where none may
+    be lost, use ``dedup_sink``. ``late_rows`` counts what a finished query dropped."""
     return event_time(df, ts).withWatermark(ts, horizon).dropDuplicatesWithinWatermark(
         list(keys))
 
 
+def late_rows(query) -> int:
+    """Rows that a query's watermark has dropped so far, from its progress reports."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress
+               for op in p["stateOperators"])
+
+
+def dedup_sink(table_path: str, keys: Sequence[str], order_by: Sequence[str]
+               ) -> Callable[[DataFrame, int], None]:
+    """T02 without a time bound: a ``foreachBatch`` sink that stores the first record of every
+    key (nulls equal each other), whatever the order and delay of arrival. A micro-batch is
+    reduced to one row per key, anti-joined with the keys of the earlier batches and written
+    as ``batch=<id>``; a replay reads only earlier batches and rewrites its own."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        fresh = keep_first(batch, keys, order_by)
+        try:
+            stored = batch.sparkSession.read.parquet(table_path).where(F.col("batch") < batch_id)
+            seen = stored.select(*[F.col(k).alias(f"_s_{k}") for k in keys])
+            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys])
+            fresh = fresh.join(seen, same, "left_anti")
+        except AnalysisException:  # the first batch: no table yet
+            pass
+        fresh.write.mode("overwrite").parquet(f"{table_path}/batch={batch_id}")
+    return sink
+
+
 def _previous_version(spark: SparkSession, table_path: str, batch_id: int, initial: str
                       ) -> str:
     """The newest ``batch=<id>`` version below ``batch_id`` (or ``initial``). Only the
@@ -135,6 +164,36 @@ def resolve_upserts(log: DataFrame, keys: Sequence[str], order: Sequence[str]) -
         F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordc)).alias(c) for c in fields])
 
 
+def compact_log(spark: SparkSession, table_path: str, out_path: str, keys: Sequence[str],
+                as_of: str | None = None, ttl_col: str = "created_at") -> DataFrame:
+    """Write the current state of an upsert log as a new base under ``out_path`` (as its
+    ``batch=-1``) and return it; with ``as_of``, rows past the retention are left out, so a
+    stored row that has aged goes at the next compaction. The caller publishes the new path."""
+    state = resolve_upserts(spark.read.parquet(table_path), keys, ["batch"])
+    if as_of is not None:
+        state = TB.ttl_sweep(state, as_of, ttl_col)
+    state.write.mode("overwrite").parquet(f"{out_path}/batch=-1")
+    return spark.read.parquet(out_path).drop("batch")
+
+
+def run_kinds(starters: dict[str, Callable[[], object]]) -> list[tuple[str, str]]:
+    """Start one query per kind, side by side, and wait for all: ``(kind, status)`` each. A
+    kind that fails, at its start or later, leaves the others running."""
+    running, status = {}, {}
+    for kind, go in starters.items():
+        try:
+            running[kind] = go()
+        except Exception as e:  # noqa: BLE001 - isolate one kind's failure
+            status[kind] = f"failed: {type(e).__name__}: {str(e)[:5000]}"
+    for kind, q in running.items():
+        try:
+            finish(q)
+            status[kind] = "ok"
+        except Exception as e:  # noqa: BLE001
+            status[kind] = f"failed: {type(e).__name__}: {str(e)[:5000]}"
+    return [(k, status[k]) for k in starters]
+
+
 def insert_ignore_sink(table_path: str, keys: Sequence[str], order_by: Sequence[str],
                        initial: str) -> Callable[[DataFrame, int], None]:
     """T03 for append-only kinds: insert-ignore each micro-batch (versions as in
@@ -149,9 +208,12 @@ def insert_ignore_sink(table_path: str, keys: Sequence[str], order_by: Sequence[
     return sink
 
 
-def stream_ttl(as_of: str, col: str = "created_at") -> Callable[[DataFrame, int], DataFrame]:
-    """T04: the retention rule applied to every micro-batch before it is stored."""
-    return lambda batch, _id: TB.ttl_sweep(batch, as_of, col)
+def sweep_table(spark: SparkSession, table_path: str, out_path: str, as_of: str,
+                col: str = "created_at") -> DataFrame:
+    """T04: the retention rule applied to the stored table (not to what arrives): rows older
+    than it are left out of the new snapshot at ``out_path``, which is returned."""
+    TB.ttl_sweep(spark.read.parquet(table_path), as_of, col).write.mode("overwrite").parquet(out_path)
+    return spark.read.parquet(out_path)
 
 
 def stream_window_sentiment(df: DataFrame, value: str, by: Sequence[str], ts: str = "ts",
@@ -172,8 +234,12 @@ def fault_isolated_sink(good_path: str, bad_path: str, is_valid: str
     """T06: valid rows to the table, the rest to a quarantine table — a bad record never
     fails the batch. Run one query per kind so one kind's failure leaves the others."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.where(F.col(is_valid)).drop(is_valid).write.mode("overwrite").parquet(
-            f"{good_path}/batch={batch_id}")
-        batch.where(~F.col(is_valid)).drop(is_valid).write.mode("overwrite").parquet(
-            f"{bad_path}/batch={batch_id}")
+        batch.persist()  # read once, written twice; recomputed if lost
+        try:
+            batch.where(F.col(is_valid)).drop(is_valid).write.mode("overwrite").parquet(
+                f"{good_path}/batch={batch_id}")
+            batch.where(~F.col(is_valid)).drop(is_valid).write.mode("overwrite").parquet(
+                f"{bad_path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
     return sink

@@ -79,9 +79,73 @@ def test_dedup_state_spans_micro_batches(spark):
     s = TB.with_content_hash(s).withColumn(
         "ts", F.timestamp_add("MINUTE", F.col("doc_id"), F.lit(fx.BASE_TS).cast("timestamp")))
     out = scratch_path(spark, "dedup-out")
-    J.run_to_table(J.stream_dedup(s, ["content_hash"]).select("content_hash"), out)
+    J.run_to_table(J.stream_dedup(s, ["content_hash"]).select("content_hash"), out,
+                   scratch_path(spark, "ckpt"))
     got = spark.read.parquet(out)
     assert got.select("batch").distinct().count() == 3
     want = TB.with_content_hash(d).select("content_hash").distinct()
     assert sorted(r[0] for r in got.select("content_hash").collect()) == \
         sorted(r[0] for r in want.collect())
+
+
+def test_dedup_sink_loses_nothing_and_restarts(spark):
+    """Late files, copies across batches, a null key, and a stop and restart on one checkpoint."""
+    folder, table, ckpt = (scratch_path(spark, n) for n in ("late", "late-table", "ckpt"))
+    schema = "k string, n int"
+    batches = [[("c", 30), ("a", 31), (None, 32)], [("b", 1), ("a", 2), (None, 3)], [("d", 20), ("c", 21)]]
+
+    def run():
+        s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        J.finish(J.start(s, J.dedup_sink(table, ["k"], ["n"]), ckpt))
+
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+        if i == 1:
+            run()  # stops after two files and goes on from there
+    run()
+    run()
+    got = sorted(((r["k"] or "", r["n"]) for r in spark.read.parquet(table).collect()))
+    assert got == [("", 32), ("a", 31), ("b", 1), ("c", 30), ("d", 20)]
+
+
+def test_late_rows_are_counted(spark):
+    folder, out = scratch_path(spark, "late"), scratch_path(spark, "late-out")
+    schema = "k string, ts timestamp"
+    for day in ("2024-03-10", "2024-03-20", "2024-01-01"):
+        spark.sql(f"SELECT '{day}' AS k, timestamp'{day}' AS ts").coalesce(1).write.mode("append") \
+            .parquet(folder)
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    q = J.start(J.stream_dedup(s, ["k"]), lambda b, i: b.write.mode("overwrite").parquet(f"{out}/batch={i}"),
+                scratch_path(spark, "ckpt"))
+    J.finish(q)
+    assert J.late_rows(q) == 1
+    assert spark.read.parquet(out).count() == 2
+
+
+def test_compaction_drops_what_has_aged(spark):
+    log, base = scratch_path(spark, "log"), scratch_path(spark, "base")
+    schema = "k int, v string, created_at timestamp"
+    spark.sql("SELECT 1 AS k, 'old' AS v, timestamp'2024-01-01' AS created_at UNION ALL "
+              "SELECT 2, 'kept', timestamp'2024-01-09 12:00:00'").write.parquet(f"{log}/batch=-1")
+    spark.createDataFrame([(2, "new", None)], schema).write.parquet(f"{log}/batch=0")
+    t = J.compact_log(spark, log, base, ["k"], "2024-01-10 00:00:00")
+    assert [(r["k"], r["v"]) for r in t.collect()] == [(2, "new")]
+    assert [r["v"] for r in J.resolve_upserts(spark.read.parquet(base), ["k"], ["batch"]).collect()] == ["new"]
+
+
+def test_one_kind_failing_leaves_the_others(spark):
+    folder = scratch_path(spark, "kinds")
+    spark.range(5).write.parquet(folder)
+    s = spark.readStream.schema("id long").parquet(folder)
+    out = scratch_path(spark, "kinds-out")
+
+    def bad(batch, i):
+        raise ValueError("broken kind")
+
+    status = dict(J.run_kinds({
+        "bad": lambda: J.start(s, bad, scratch_path(spark, "ckpt")),
+        "good": lambda: J.start(s, J.upsert_log_sink(out), scratch_path(spark, "ckpt")),
+        "never": lambda: 1 / 0}))
+    assert status["good"] == "ok" and "broken kind" in status["bad"]
+    assert status["never"].startswith("failed: ZeroDivisionError")
+    assert spark.read.parquet(out).count() == 5
