@@ -11,8 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -47,14 +45,24 @@ MODEL_NAMES = ("linear", "ridge", "lasso", "elastic_net", "random_forest", "gbt"
 
 
 def horizon_rows(features: DataFrame, by: str = "symbol", order: str = "date",
-                 max_h: int = MAX_HORIZON, with_target: bool = True) -> DataFrame:
+                 max_h: int = MAX_HORIZON, with_target: bool = True,
+                 split_col: str = "split") -> DataFrame:
     """(ticker, day, h) rows; the target is the daily return ``h`` days ahead. Feature
-    nulls (start of history) are filled with 0."""
+    nulls (start of history) are filled with 0. Where the days are split, a row whose target
+    lies in another split than its day is left out, so no label of the training rows reaches
+    into the validation or test period."""
     w = Window.partitionBy(by).orderBy(order)
-    base = features.na.fill(0.0, subset=[c for c in FEATURES if c in features.columns])
+    base = features
+    if with_target:
+        ahead = []
+        for h in range(1, max_h + 1):
+            label = F.lead("daily_return", h).over(w)
+            if split_col in features.columns:
+                label = F.when(F.lead(split_col, h).over(w) == F.col(split_col), label)
+            ahead.append(label)
+        base = base.withColumn("_targets", F.array(*ahead))
+    base = base.na.fill(0.0, subset=[c for c in FEATURES if c in features.columns])
     if with_target:
-        base = base.withColumn("_targets", F.array(*[F.lead("daily_return", h).over(w)
-                                                     for h in range(1, max_h + 1)]))
         e = base.select("*", F.posexplode("_targets").alias("_i", "label")).drop("_targets")
         e = e.where(F.col("label").isNotNull())
     else:
@@ -78,10 +86,11 @@ def model_stages(name: str, by: str = "symbol") -> Pipeline:
 
 def train_models(rows: DataFrame, names: Sequence[str] = MODEL_NAMES,
                  split_col: str = "split") -> dict[str, PipelineModel]:
-    """Fit every named model on the train split. The feature stages (indexer, scaler —
-    statistics from train only) are fitted once; the assembled training vectors are
-    checkpointed into the shared folder and every estimator fits on them."""
-    train = rows.where(F.col(split_col) == "train")
+    """Fit every named model on the train split. The rows are checkpointed before any fit, the
+    feature stages (indexer, scaler — statistics from train only) are fitted once, and every
+    estimator fits on the assembled training vectors."""
+    train = cut_lineage(rows.where(F.col(split_col) == "train")
+                        .select("symbol", *FEATURES, "h", "label"))
     feats = feature_stages().fit(train)
     vectors = cut_lineage(feats.transform(train).select("features", "label"))
     return {n: PipelineModel(stages=[*feats.stages, _estimator(n).fit(vectors)])
@@ -90,16 +99,20 @@ def train_models(rows: DataFrame, names: Sequence[str] = MODEL_NAMES,
 
 def evaluate(models: dict[str, PipelineModel], rows: DataFrame, split_col: str = "split"
              ) -> DataFrame:
-    """RMSE, MAE, R² and directional accuracy per model and split (valid/test)."""
-    out = None
-    for name, m in models.items():
-        p = m.transform(rows.where(F.col(split_col) != "train")).select(
-            F.lit(name).alias("model"), split_col, F.col("label").alias("actual_return"),
-            F.col("prediction").alias("predicted_return"))
-        met = regression_metrics(p, by=("model", split_col), actual="actual_return",
-                                 predicted="predicted_return")
-        out = met if out is None else out.unionByName(met)
-    return out
+    """RMSE, MAE, R², directional accuracy and row count per model and split (valid/test): the
+    feature stages, which all models share, run once and every model scores their vectors."""
+    scored = rows.where(F.col(split_col) != "train")
+    scored = PipelineModel(stages=next(iter(models.values())).stages[:-1]).transform(scored)
+    scored = scored.select(split_col, "label", "features")
+    for i, m in enumerate(models.values()):
+        scored = m.stages[-1].copy().setPredictionCol(f"_p{i}").transform(scored)
+    each = F.explode(F.array(*[
+        F.struct(F.lit(n).alias("model"), F.col(f"_p{i}").alias("predicted_return"))
+        for i, n in enumerate(models)])).alias("_e")
+    p = scored.select(split_col, F.col("label").alias("actual_return"), each).select(
+        "_e.model", split_col, "actual_return", "_e.predicted_return")
+    return regression_metrics(p, by=("model", split_col), actual="actual_return",
+                              predicted="predicted_return")
 
 
 def select_best(metrics: DataFrame, split: str = "valid", by: str = "accuracy") -> DataFrame:
@@ -134,29 +147,37 @@ def forecast(model: PipelineModel, features: DataFrame, last_close: DataFrame,
         F.lit(model_name).alias("model_used"))
 
 
-def per_ticker_ols(rows: DataFrame, by: str = "symbol", split_col: str = "split") -> DataFrame:
-    """One ordinary-least-squares model per ticker (grouped map with numpy): a ticker's
-    rows are bounded by its trading days. A failing ticker yields a status row instead
-    of stopping the others."""
-    cols = [by, split_col, "label", "h", *FEATURES]
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        sym = pdf[by].iloc[0]
-        try:
-            tr = pdf[pdf[split_col] == "train"]
-            te = pdf[pdf[split_col] != "train"]
-            if len(tr) < len(FEATURES) + 2:
-                raise ValueError("too few training rows")
-            x = np.column_stack([np.ones(len(tr)), tr[[*FEATURES, "h"]].to_numpy(float)])
-            beta, *_ = np.linalg.lstsq(x, tr["label"].to_numpy(float), rcond=None)
-            xt = np.column_stack([np.ones(len(te)), te[[*FEATURES, "h"]].to_numpy(float)])
-            err = xt @ beta - te["label"].to_numpy(float)
-            rmse = float(np.sqrt(np.mean(err ** 2))) if len(te) else float("nan")
-            return pd.DataFrame({by: [sym], "n_train": [len(tr)], "n_eval": [len(te)],
-                                 "rmse": [rmse], "status": ["ok"]})
-        except Exception as e:  # noqa: BLE001 - isolate one ticker's failure
-            return pd.DataFrame({by: [sym], "n_train": [0], "n_eval": [0],
-                                 "rmse": [float("nan")], "status": [f"failed: {e}"]})
-
-    schema = f"{by} string, n_train long, n_eval long, rmse double, status string"
-    return rows.select(*cols).groupBy(by).applyInPandas(fit, schema)
+TICKER_FEATURES = ("daily_return", "volume_ratio")
+MIN_TRAIN_ROWS = 10
+
+
+def per_ticker_ols(rows: DataFrame, by: str = "symbol", split_col: str = "split",
+                   x: tuple[str, str] = TICKER_FEATURES) -> DataFrame:
+    """One ordinary-least-squares model per ticker, label on two features, solved from the
+    variances and covariances that one grouped aggregate gives (map-side partial sums; a
+    ticker's rows never meet in one task). A ticker without enough rows or with features
+    that do not vary apart has a status instead of a model; the others are unaffected."""
+    x1, x2 = x
+    train = F.col(split_col) == "train"
+    on = lambda c: F.when(train, F.col(c))
+    g = rows.groupBy(by).agg(
+        F.count(on("label")).alias("n_train"),
+        F.avg(on(x1)).alias("m1"), F.avg(on(x2)).alias("m2"), F.avg(on("label")).alias("my"),
+        F.var_pop(on(x1)).alias("v1"), F.var_pop(on(x2)).alias("v2"),
+        F.covar_pop(on(x1), on(x2)).alias("c12"), F.covar_pop(on(x1), on("label")).alias("c1y"),
+        F.covar_pop(on(x2), on("label")).alias("c2y"))
+    det = F.col("v1") * F.col("v2") - F.col("c12") * F.col("c12")
+    ok = (F.col("n_train") >= MIN_TRAIN_ROWS) & (det > 1e-12 * F.col("v1") * F.col("v2"))
+    b1 = F.try_divide(F.col("c1y") * F.col("v2") - F.col("c2y") * F.col("c12"), det)
+    b2 = F.try_divide(F.col("c2y") * F.col("v1") - F.col("c1y") * F.col("c12"), det)
+    model = (g.withColumns({"b1": F.when(ok, b1), "b2": F.when(ok, b2)})
+             .withColumn("b0", F.col("my") - F.col("b1") * F.col("m1") - F.col("b2") * F.col("m2"))
+             .withColumn("status", F.when(ok, "ok").when(F.col("n_train") < MIN_TRAIN_ROWS, "too few rows")
+                         .otherwise("singular"))
+             .select(F.col(by).alias("_by"), "n_train", "b0", "b1", "b2", "status"))
+    err = F.col("b0") + F.col("b1") * F.col(x1) + F.col("b2") * F.col(x2) - F.col("label")
+    # the few rows of a ticker's model travel to its rows, which are aggregated where they are
+    return (rows.join(model, F.col(by) == F.col("_by"))
+            .groupBy(by, "n_train", "b0", "b1", "b2", "status")
+            .agg(F.count_if(~train).alias("n_eval"),
+                 F.sqrt(F.avg(F.when(~train, err * err))).alias("rmse")))

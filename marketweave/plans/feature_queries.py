@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketweave.operators import features as FE
 from marketweave.operators import models as MO
 from marketweave.operators import tables as TB
 from marketweave.plans.catalog import D, R, query, report
+from marketweave.session import cut_lineage
 from marketweave.sources import fixtures as fx
 
 W = "PARTITION BY symbol ORDER BY date"
@@ -137,12 +139,38 @@ def q_trading_signal(spark, sf):
     return report(t.select("symbol", "date", "signal"), date_cols=("date",))
 
 
-# ------------------------------------------------------------ MLlib (rows-only checks)
+# ------------------------------------------------------------ models
 
 def _model_rows(spark, sf):
     return MO.horizon_rows(FE.time_split(_features(spark, sf)))
 
 
+# (ticker, day, h) rows whose target day lies in the split of the day
+_ROWS_SQL = f"""
+    SELECT symbol, date, split, h, label, coalesce(daily_return, 0) AS daily_return,
+           coalesce(volume_ratio, 0) AS volume_ratio
+    FROM (SELECT s.*, h,
+                 CASE h WHEN 1 THEN lead(daily_return, 1) OVER w WHEN 2 THEN lead(daily_return, 2) OVER w
+                        WHEN 3 THEN lead(daily_return, 3) OVER w WHEN 4 THEN lead(daily_return, 4) OVER w
+                        ELSE lead(daily_return, 5) OVER w END AS label,
+                 CASE h WHEN 1 THEN lead(split, 1) OVER w WHEN 2 THEN lead(split, 2) OVER w
+                        WHEN 3 THEN lead(split, 3) OVER w WHEN 4 THEN lead(split, 4) OVER w
+                        ELSE lead(split, 5) OVER w END AS there
+          FROM ({_SPLIT_SQL}) s, (SELECT unnest(range(1, 6)) AS h)
+          WINDOW w AS (PARTITION BY symbol, h ORDER BY date))
+    WHERE label IS NOT NULL AND there = split"""
+
+
+@query("model_rows", f"""
+    SELECT symbol, {D('date', 'date')}, split, h, {R('label', 'label')} FROM ({_ROWS_SQL})""",
+       ("v_bars", "v_sent"))
+def q_model_rows(spark, sf):
+    """Training, validation and test rows, without a label that lies in another split."""
+    r = _model_rows(spark, sf).select("symbol", "date", "split", F.col("h").cast("bigint").alias("h"),
+                                      "label")
+    return report(r, round_cols=("label",), date_cols=("date",))
+
+
 @query("train_models")
 def q_train_models(spark, sf):
     """Six pooled return models (linear, ridge, lasso, elastic net, random forest,
@@ -151,19 +179,35 @@ def q_train_models(spark, sf):
     return MO.evaluate(MO.train_models(rows), rows)
 
 
+@query("train_models_scored", f"""
+    SELECT m.model, s.split, s.n, true AS beats_noise
+    FROM (VALUES {", ".join(f"('{m}')" for m in MO.MODEL_NAMES)}) m(model),
+         (SELECT split, count(*) AS n FROM ({_ROWS_SQL}) WHERE split <> 'train' GROUP BY split) s""",
+       ("v_bars", "v_sent"))
+def q_train_models_scored(spark, sf):
+    """Every model scores every validation and test row, with an error below twice the
+    spread of the returns."""
+    rows = _model_rows(spark, sf)
+    met = MO.evaluate(MO.train_models(rows), rows)
+    spread = rows.where("split <> 'train'").groupBy("split").agg(F.stddev_pop("label").alias("sd"))
+    return met.join(spread, "split").select("model", "split", F.col("n").cast("bigint").alias("n"),
+                                            (F.col("rmse") < 2 * F.col("sd")).alias("beats_noise"))
+
+
 @query("select_best")
 def q_select_best(spark, sf):
     rows = _model_rows(spark, sf)
-    models = MO.train_models(rows, ("linear", "ridge", "random_forest"))
-    return MO.select_best(MO.evaluate(models, rows))
+    return MO.select_best(MO.evaluate(MO.train_models(rows), rows))
 
 
 def _forecasts(spark, sf):
+    """Five days ahead by the best of the six models on the validation split."""
     f = _features(spark, sf)
     rows = MO.horizon_rows(FE.time_split(f))
-    model = MO.train_models(rows, ("ridge",))["ridge"]
+    models = MO.train_models(rows)
+    best = MO.select_best(MO.evaluate(models, rows)).first()["model"]
     last_close = f.groupBy("symbol").agg(F.max_by("close", "date").alias("last_close"))
-    return MO.forecast(model, f, last_close, "ridge")
+    return cut_lineage(MO.forecast(models[best], f, last_close, best))
 
 
 @query("forecast")
@@ -172,19 +216,64 @@ def q_forecast(spark, sf):
     return report(_forecasts(spark, sf), date_cols=("prediction_date",))
 
 
-@query("per_ticker_training")
+@query("forecast_identity", f"""
+    SELECT symbol AS ticker, h, {D('last_date + h::INTEGER', 'prediction_date')}, true AS compounds,
+           true AS best_model
+    FROM (SELECT symbol, max(date) AS last_date FROM v_bars GROUP BY symbol),
+         (SELECT unnest(range(1, 6)) AS h)""", ("v_bars",))
+def q_forecast_identity(spark, sf):
+    """The key set of the forecasts, and per row whether the price compounds the predicted
+    returns from the last close and the model is one of the six."""
+    p = _forecasts(spark, sf)
+    w = Window.partitionBy("ticker").orderBy("h")
+    last = fx.bars(spark, sf).groupBy(F.col("symbol").alias("ticker")).agg(
+        F.max_by("close", "date").alias("last_close"))
+    before = F.coalesce(F.lag("predicted_price").over(w), F.col("last_close"))
+    p = p.join(last, "ticker").select(
+        "ticker", F.col("h").cast("bigint").alias("h"), "prediction_date",
+        (F.abs(F.col("predicted_price") / before - 1 - F.col("predicted_return")) < 1e-9).alias("compounds"),
+        F.col("model_used").isin(*MO.MODEL_NAMES).alias("best_model"))
+    return report(p, date_cols=("prediction_date",))
+
+
+_DET = "(v1 * v2 - c12 * c12)"
+
+
+@query("per_ticker_training", f"""
+    WITH r AS ({_ROWS_SQL}),
+    g AS (SELECT symbol, count(*) AS n_train, avg(daily_return) AS m1, avg(volume_ratio) AS m2,
+                 avg(label) AS my, var_pop(daily_return) AS v1, var_pop(volume_ratio) AS v2,
+                 covar_pop(daily_return, volume_ratio) AS c12, covar_pop(daily_return, label) AS c1y,
+                 covar_pop(volume_ratio, label) AS c2y
+          FROM r WHERE split = 'train' GROUP BY symbol),
+    b AS (SELECT *, (c1y * v2 - c2y * c12) / {_DET} AS b1, (c2y * v1 - c1y * c12) / {_DET} AS b2 FROM g),
+    m AS (SELECT *, my - b1 * m1 - b2 * m2 AS b0 FROM b)
+    SELECT m.symbol, n_train, {R('b0', 'b0')}, {R('b1', 'b1')}, {R('b2', 'b2')}, 'ok' AS status,
+           count(*) AS n_eval,
+           {R('sqrt(avg((b0 + b1 * daily_return + b2 * volume_ratio - label) ** 2))', 'rmse')}
+    FROM m JOIN r ON r.symbol = m.symbol AND r.split <> 'train'
+    GROUP BY ALL""", ("v_bars", "v_sent"))
 def q_per_ticker_training(spark, sf):
-    return MO.per_ticker_ols(_model_rows(spark, sf))
+    return report(MO.per_ticker_ols(_model_rows(spark, sf)), round_cols=("b0", "b1", "b2", "rmse"))
 
 
 @query("store_forecast")
 def q_store_forecast(spark, sf):
-    """Forecasts upserted into the stored forecast table, keyed (ticker, prediction_date):
-    a first run inserts, a second run over the same keys updates."""
-    f = _forecasts(spark, sf).cache()
-    first = TB.upsert_merge(f.limit(0).drop("model_used"), f.drop("model_used"),
-                            ["ticker", "prediction_date"], ["h"], "2024-01-01 00:00:00",
-                            with_action=False)
-    second = TB.upsert_merge(first, f.drop("model_used"), ["ticker", "prediction_date"], ["h"],
-                             "2024-01-02 00:00:00")
+    """Forecasts upserted into the stored forecast table, keyed (ticker, prediction_date), with
+    the model that made them: a first run inserts, a second run over the same keys updates."""
+    f = _forecasts(spark, sf)
+    first = TB.upsert_merge(f.limit(0), f, ["ticker", "prediction_date"], ["h"],
+                            "2024-01-01 00:00:00", with_action=False)
+    second = TB.upsert_merge(first, f, ["ticker", "prediction_date"], ["h"], "2024-01-02 00:00:00")
     return report(second, date_cols=("prediction_date",), ts_cols=("created_at", "updated_at"))
+
+
+@query("store_forecast_keys", f"""
+    SELECT symbol AS ticker, {D('last_date + h::INTEGER', 'prediction_date')}, 'update' AS action,
+           true AS has_model
+    FROM (SELECT symbol, max(date) AS last_date FROM v_bars GROUP BY symbol),
+         (SELECT unnest(range(1, 6)) AS h)""", ("v_bars",))
+def q_store_forecast_keys(spark, sf):
+    """Keys and actions of the second run of ``store_forecast``."""
+    return q_store_forecast(spark, sf).select("ticker", "prediction_date", "action",
+                                              F.col("model_used").isNotNull().alias("has_model"))
