@@ -58,13 +58,34 @@ def unnest_articles(payloads: DataFrame, col: str = "payload",
 _DROP_BLOCKS = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 _TAG = r"<[^>]*>"
 # HTML entities decoded in extracted text (``&amp;`` last).
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
-            ("&amp;", "&"))
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", " "), ("&amp;", "&"))
+
+
+def _numeric_entities(t: Column) -> Column:
+    """``&#8217;`` and ``&#x2019;`` decoded: the text is cut at each and the pieces joined by
+    the characters they name."""
+    pattern = r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+    codes = F.transform(F.regexp_extract_all(t, F.lit(pattern), 1), lambda c: F.when(
+        c.rlike("^[xX]"), F.conv(F.substr(c, F.lit(2)), 16, 10)).otherwise(c).cast("int"))
+    # code points beyond one byte are assembled from their UTF-16 units
+    def unit(n):
+        return F.decode(F.unhex(F.lpad(F.hex(n), 4, "0")), "UTF-16BE")
+
+    def pair(n):
+        hi, lo = F.lit(0xD800) + F.floor((n - 0x10000) / 0x400), F.lit(0xDC00) + (n - 0x10000) % 0x400
+        return F.decode(F.unhex(F.concat(F.hex(hi.cast("int")), F.hex(lo.cast("int")))), "UTF-16BE")
+
+    chars = F.transform(codes, lambda n: F.when((n <= 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF),
+                                                F.lit("\ufffd"))
+                        .when(n < 0x10000, unit(n)).otherwise(pair(n)))
+    pieces = F.split(t, pattern, -1)
+    return F.when(t.rlike(pattern), F.array_join(F.transform(pieces, lambda p, i: F.concat(
+        p, F.coalesce(F.get(chars, i), F.lit("")))), "")).otherwise(t)
 
 
 def html_text(fragment: Column) -> Column:
-    """Tags removed, entities decoded, outer whitespace stripped."""
-    t = F.regexp_replace(fragment, _TAG, "")
+    """Tags removed, named and numeric entities decoded, outer whitespace stripped."""
+    t = _numeric_entities(F.regexp_replace(fragment, _TAG, ""))
     for ent, ch in ENTITIES:
         t = F.replace(t, F.lit(ent), F.lit(ch))
     return ustrip(t)
@@ -83,19 +104,22 @@ def html_article_extract(pages: DataFrame, html: str = "html", url: str = "url",
     the page's origin. Scripts, styles and comments are removed first (they may hold
     ``</p>``). Regex extraction, JVM-side; no per-row Python.
     """
-    body = F.regexp_replace(F.col(html), _DROP_BLOCKS, "")
-    heads = [_first(body, rf"(?is)<{t}(?:\s[^>]*)?>(.*?)</{t}>") for t in title_tags]
-    title_raw = F.coalesce(*[F.when(h != "", h) for h in heads])
-    link = _first(body, r"(?is)<a\s[^>]*?href=\"([^\"]*)\"")
+    # through a generator, so that the cleaned body is computed once and not per expression
+    pages = pages.select(*keep, F.col(url).alias("_page_url"), F.explode(F.array(
+        F.regexp_replace(F.col(html), _DROP_BLOCKS, ""))).alias("_body"))
+    body = F.col("_body")
+    heads = F.coalesce(*[F.nullif(_first(body, rf"(?is)<{t}(?:\s[^>]*)?>(.*?)</{t}>"), F.lit(""))
+                         for t in title_tags])
+    href = F.regexp_extract(body, r"(?is)<a\s[^>]*?href=(\"[^\"]*\"|'[^']*')", 1)
     para = F.regexp_extract(body, r"(?is)<p(?:\s[^>]*)?>(.*?)(?:</p>|<p[\s>]|$)", 0)
-    para_inner = F.regexp_replace(
-        F.regexp_replace(para, r"(?is)^<p(?:\s[^>]*)?>", ""), r"(?is)(?:</p>|<p[\s>])$", "")
-    has_p = F.col(html).isNotNull() & body.rlike(r"(?is)<p(?:\s[^>]*)?>")
-    out = pages.select(
-        *keep,
-        F.coalesce(html_text(title_raw), F.lit(NO_TITLE)).alias("title"),
-        F.when(has_p, html_text(para_inner)).otherwise(F.lit(NO_DESCRIPTION)).alias("description"),
-        link.alias("_link"), F.col(url).alias("_page_url"))
+    found = pages.select(*keep, "_page_url", heads.alias("_title"),
+                         F.substr(href, F.lit(2), F.greatest(F.length(href) - 2, F.lit(0))).alias("_link"),
+                         F.when(body.rlike(r"(?is)<p(?:\s[^>]*)?>"), para).alias("_para"))
+    inner = F.regexp_replace(F.regexp_replace(F.col("_para"), r"(?is)^<p(?:\s[^>]*)?>", ""),
+                             r"(?is)(?:</p>|<p[\s>])$", "")
+    out = found.select(
+        *keep, F.coalesce(html_text(F.col("_title")), F.lit(NO_TITLE)).alias("title"),
+        F.coalesce(html_text(inner), F.lit(NO_DESCRIPTION)).alias("description"), "_link", "_page_url")
     return out.select(*keep, "title", "description",
                       abs_url(F.col("_link"), F.col("_page_url")).alias("url"),
                       F.lit(source_name).alias("source"))

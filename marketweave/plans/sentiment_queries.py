@@ -70,6 +70,27 @@ def q_lexicon_valence(spark, sf):
                   round_cols=tuple(f"text_{s}" for s in SCORES))
 
 
+_LARGE = f"""
+    WITH tok AS (SELECT DISTINCT unnest({tokens_sql('text')}) AS token FROM documents),
+         v_lexicon AS (
+      SELECT token, (('0x' || substr(md5(token), 3, 4))::INT % 81 - 40)::DOUBLE / 10 AS valence
+      FROM tok WHERE ('0x' || substr(md5(token), 1, 2))::INT < 128)"""
+
+
+@query("lexicon_valence_large", f"""
+    {_LARGE}
+    SELECT d.doc_id, {", ".join(_filled(f"sc.text_{s}") for s in SCORES)}
+    FROM documents d LEFT JOIN ({valence_sql('SELECT doc_id, text FROM documents', 'doc_id',
+                                             'text', 'text')}) sc
+      ON d.doc_id = sc.doc_id""")
+def q_lexicon_valence_large(spark, sf):
+    """The same with a lexicon of tens of thousands of entries."""
+    d = read_table(spark, sf, "documents", "doc_id", "text")
+    v = X.lexicon_valence(d, ["doc_id"], fx.large_lexicon(spark, sf))
+    return report(v.select("doc_id", *[f"text_{s}" for s in SCORES]),
+                  round_cols=tuple(f"text_{s}" for s in SCORES))
+
+
 @query("lexicon_polarity", f"""
     SELECT d.doc_id, {_filled('sc.text_polarity')}, {_filled('sc.text_subjectivity')}
     FROM documents d LEFT JOIN ({polarity_sql('SELECT doc_id, text FROM documents', 'doc_id',
@@ -162,6 +183,18 @@ def q_comment_sentiment(spark, sf):
     return report(c.withColumn("pos", F.col("pos").cast("bigint")), round_cols=cols)
 
 
+@query("comment_polarity", f"""
+    SELECT c.conv_id, c.i AS pos, {_filled('sc.comment_polarity')}, {_filled('sc.comment_subjectivity')}
+    FROM ({_COMMENTS_SRC}) c LEFT JOIN ({polarity_sql(_COMMENTS_SRC, 'conv_id, i',
+                                                      'comment_text', 'comment')}) sc
+      ON c.conv_id = sc.conv_id AND c.i = sc.i""", ("v_posts_raw", "v_polarity"))
+def q_comment_polarity(spark, sf):
+    c = X.comment_sentiment(fx.posts_raw(spark, sf), "conv_id", fx.polarity_lexicon(spark), flat=True,
+                            model="polarity")
+    return report(c.withColumn("pos", F.col("pos").cast("bigint")),
+                  round_cols=("comment_polarity", "comment_subjectivity"))
+
+
 _TWEETS_CLEAN = f"""
     SELECT doc_id, text, ts AS created_at, event_type FROM (
       SELECT *, {social_date_sql('created_at')} AS ts FROM v_tweets_raw)

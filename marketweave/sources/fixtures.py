@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from marketweave.functions.text import tokens
 from marketweave.sources.tables import read_table
 
 # Fixed values of the fixtures: the four search terms used to tag short messages and
@@ -209,6 +210,16 @@ def lexicon(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(LEXICON_ROWS, "token string, valence double")
 
 
+def large_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lexicon from the documents themselves: half of all distinct tokens (by their MD5),
+    with valences from -4 to 4; tens of thousands of entries at the smallest scale."""
+    d = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    t = d.select(F.explode(F.array_distinct(tokens("text"))).alias("token")).distinct()
+    bits = lambda a, n: F.conv(F.substring(F.md5("token"), a, n), 16, 10).cast("int")
+    return t.where(bits(1, 2) < 128).select(
+        "token", ((bits(3, 4) % 81 - 40).cast("double") / 10).alias("valence"))
+
+
 def polarity_lexicon(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(POLARITY_ROWS,
                                  "token string, polarity double, subjectivity double")

@@ -7,10 +7,11 @@ import math
 import pytest
 
 import __spark_entry__ as E
+from marketweave.plans import load_all
 from tests.conftest import SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = load_all().REGISTRY
+ORACLE = load_all().ORACLE
 ROWS_ONLY = sorted(set(QUERIES) - set(ORACLE))
 
 
@@ -43,7 +44,7 @@ def test_matches_oracle(spark, duck, name):
     assert _bag(got) == _bag(want)
 
 
-@pytest.mark.parametrize("name", ["per_ticker_training", "forecast"])
+@pytest.mark.parametrize("name", ["forecast", "select_best"])
 def test_rows_only(spark, name):
     assert name in ROWS_ONLY
     df = QUERIES[name](spark, SMALL)
