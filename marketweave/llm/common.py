@@ -32,3 +32,15 @@ def spread(df: DataFrame, *keys: str, tasks: int | None = None) -> DataFrame:
     session's shuffle partitions) before CPU-heavy work on few or uneven input splits."""
     n = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *keys)
+
+
+# Ids that may be broadcast to pick rows of a large table (8 bytes each).
+BROADCAST_IDS = 250_000
+
+
+def rows_of(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is in ``ids(key)``: a broadcast of at most
+    ``BROADCAST_IDS`` ids (counted first), so the wide rows stay where they are, and a shuffled
+    semi join beyond. ``ids`` should be cheap to read twice (a checkpoint)."""
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return df.join(F.broadcast(ids) if few else ids, key, "left_semi")

@@ -1,7 +1,7 @@
 """N-gram Jaccard join over count-vector R-trees.
 
-A text's set of word shingles is hashed into ``GROUPS`` groups; the counts per group are a
-point, and two sets share at most the sum of the smaller coordinates of their points. An
+A text's set of word shingles is hashed into groups (a power of two, about an eighth of the
+set); the counts per group are a point, and two sets share at most the sum of the smaller coordinates of their points. An
 R-tree over points bounds whole boxes of sets the same way (sum of the smaller upper corners),
 so the join descends only into box pairs that could still reach the threshold; the pairs of
 points that survive are verified on the texts.
@@ -16,10 +16,11 @@ by hash otherwise, so the trees of common passages stay nearly empty.
 Plan: (1) one pass over the texts gives set size, a 64-bit set identity, the point, and the
 heavy hitters; equal sets become one node. (2) A second pass lists (shingle, node). (3) Every
 node of a tree is tried against the tree's first node; survivors of the bound are verified
-and joined to components. (4) Only trees with nodes of different components are searched for
-the remaining pairs, split into blocks so that no task holds a whole large tree; survivors
-are verified, and components are taken over all links. Links between nodes that step (3)
-already joined are not enumerated: the components are the same without them.
+and joined to components. (4) Trees with nodes of different components are searched, split
+into blocks so that no task holds a whole large tree: every node proposes its likeliest
+untested partners of other components, these are verified, components grow, and so on until
+no tree has an untested pair of different components that the bound allows. Links between
+nodes of one component are not enumerated: the components are the same without them.
 """
 
 from __future__ import annotations
@@ -33,11 +34,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketweave.llm import words as wd
+from marketweave.llm.common import rows_of
 from marketweave.llm.components import connected_components
 from marketweave.session import cut_lineage
 
-GROUPS = 64
+LEAST_GROUPS, MOST_GROUPS = 16, 4096
 LEAF = 16
+# Groups that the boxes of a tree are built on; the pairs of points use all they have.
+BOX_GROUPS = 128
+# Trees up to this size have one node: all pairs are bounded at once.
+ONE_NODE = 48
+# Untested partners that a node proposes at a time, the likeliest first.
+BEST = 3
+# Shingles that the order puts last, at most (they are broadcast).
+HEAVY = 250_000
 # Rows of a tree that one task takes; larger trees are joined block by block.
 BLOCK = 1024
 
@@ -59,31 +69,101 @@ class Similarity:
         return size - -(-self.num * size // self.den) + 1
 
 
-def shingles(raw: np.ndarray, offsets: np.ndarray, n: int) -> Iterator[np.ndarray]:
-    """The shingle set of every row (lower-cased A-Z)."""
+def sets(raw: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle sets of every row, lower-cased A-Z (see ``words.shingle_sets``)."""
     h, _, _, first = wd.words(raw, offsets, lower=True)
-    for i in range(len(offsets) - 1):
-        yield wd.shingle_set(h[first[i]:first[i + 1]], n)
+    return wd.shingle_sets(h, first, n)
 
 
-def point(s: np.ndarray, groups: int = GROUPS) -> np.ndarray:
-    """Counts of a set's members per group."""
-    return np.bincount((s >> np.uint64(40)).astype(np.int64) % groups, minlength=groups)
-
-
-def set_identity(s: np.ndarray) -> int:
-    """A 64-bit name of a set, signed as Spark stores it (equal sets, equal names)."""
+def _row_sums(values: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Sums of ``values`` per row (0 for a row without any)."""
+    total = np.concatenate([np.zeros(1, values.dtype), np.cumsum(values, dtype=values.dtype)])
     with np.errstate(over="ignore"):
-        total = wd.mix(s).sum(dtype=np.uint64) + np.uint64(len(s)) * wd._BASE
-    return int(wd.mix(np.array([total]))[0].astype(np.int64))
+        return total[start[1:]] - total[start[:-1]]
 
 
-def box_join(points: np.ndarray, sizes: np.ndarray, sim: Similarity, left: np.ndarray,
-             other: np.ndarray | None = None, slab: int = 200_000) -> np.ndarray:
-    """Index pairs ``(i, j)`` whose bound reaches the threshold, found by descending an
-    R-tree of ``points`` with itself. ``left`` flags the rows allowed as ``i``; the rows
-    allowed as ``j`` are ``other`` (default: later rows of any kind); pairs are reported once.
-    """
+def identities(s: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each set, signed as Spark stores it (equal sets, equal names)."""
+    with np.errstate(over="ignore"):
+        return wd.mix(_row_sums(wd.mix(s), start) + np.diff(start).astype(np.uint64) * wd._BASE
+                      ).astype(np.int64)
+
+
+def group_count(size) -> np.ndarray:
+    """Groups of a set's point: the power of two from the size of the set on, between
+    ``LEAST_GROUPS`` and ``MOST_GROUPS``, and more where a count could pass 255."""
+    size = np.asarray(size, dtype=np.int64)
+    g = np.clip(size, LEAST_GROUPS, np.maximum(MOST_GROUPS, size // 64))
+    return (2 ** np.ceil(np.log2(g))).astype(np.int64)
+
+
+def points(s: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(counts, offsets)``: the counts per group of every set, row by row, as bytes. The group
+    is the low bits of a shingle's upper half, so halving the groups folds a point onto
+    itself."""
+    g = group_count(np.diff(start))
+    off = np.concatenate([[0], np.cumsum(g)])
+    row = np.repeat(np.arange(len(g)), np.diff(start))
+    at = off[row] + ((s >> np.uint64(32)).astype(np.int64) & (g[row] - 1))
+    counts = np.bincount(at, minlength=int(off[-1]))
+    if counts.max(initial=0) > 255:  # the mean is 64 at most
+        raise ValueError("shingle hashes are not spread over the groups")
+    return counts.astype(np.uint8), off
+
+
+class Points:
+    """Points of a batch, in one matrix per number of groups."""
+
+    def __init__(self, col: pa.Array):
+        col = col.cast(pa.large_binary())
+        _, off, data = col.buffers()
+        off = np.frombuffer(off, dtype=np.int64)[col.offset:col.offset + len(col) + 1]
+        raw = np.frombuffer(data, dtype=np.uint8)[off[0]:off[-1]] if len(col) else np.zeros(0, np.uint8)
+        self.groups = np.diff(off)
+        self.place = np.zeros(len(col), dtype=np.int64)
+        self.matrix: dict[int, np.ndarray] = {}
+        begin = off[:-1] - off[0] if len(col) else off[:0]
+        for g in np.unique(self.groups).tolist():
+            at = np.flatnonzero(self.groups == g)
+            self.matrix[g] = raw[begin[at][:, None] + np.arange(g)]
+            self.place[at] = np.arange(len(at))
+
+    def take(self, rows: np.ndarray, groups: int) -> np.ndarray:
+        """Points of ``rows`` folded to ``groups``; all rows must have that many or more."""
+        kinds = np.unique(self.groups[rows]).tolist()
+        if kinds == [groups]:
+            return self.matrix[groups][self.place[rows]]
+        out = np.zeros((len(rows), groups), dtype=np.int32)
+        for g in kinds:
+            at = np.flatnonzero(self.groups[rows] == g)
+            out[at] = self.matrix[g][self.place[rows[at]]].reshape(len(at), g // groups, groups).sum(
+                1, dtype=np.int32)
+        return out
+
+
+def overlap_bound(p: Points, i: np.ndarray, q: Points, j: np.ndarray, size_p: np.ndarray,
+                  size_q: np.ndarray, sim: "Similarity") -> np.ndarray:
+    """The most members that sets ``i`` of ``p`` and ``j`` of ``q`` can share (the sum of their
+    smaller coordinates), -1 where that is too few to link."""
+    bound = np.full(len(i), -1, dtype=np.int64)
+    near = np.flatnonzero((sim.den * size_p[i] >= sim.num * size_q[j])
+                          & (sim.den * size_q[j] >= sim.num * size_p[i]))
+    common = np.minimum(p.groups[i[near]], q.groups[j[near]])
+    for g in np.unique(common).tolist():
+        at = near[common == g]
+        step = max(1, (1 << 21) // g)
+        for a in range(0, len(at), step):
+            own = at[a:a + step]
+            inter = np.minimum(p.take(i[own], g), q.take(j[own], g)).sum(1, dtype=np.int64)
+            ok = sim.linked(inter, size_p[i[own]] + size_q[j[own]])
+            bound[own[ok]] = inter[ok]
+    return bound
+
+
+def box_join(points: np.ndarray, sizes: np.ndarray, sim: Similarity,
+             slab: int = 200_000) -> np.ndarray:
+    """Index pairs ``(i, j)`` whose bound reaches the threshold, each once, found by descending
+    an R-tree of ``points`` with itself."""
     k = len(points)
     if k < 2:
         return np.zeros((0, 2), dtype=np.int64)
@@ -120,85 +200,111 @@ def box_join(points: np.ndarray, sizes: np.ndarray, sim: Similarity, left: np.nd
         ok = (a < below) & (b < below) & ((a < b) if depth == 1 else (a <= b))
         if ok.any():
             stack.append((depth - 1, a[ok], b[ok]))
-    pairs = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
-    i, j = pairs[:, 0], pairs[:, 1]
-    if other is None:
-        keep = left[i] | left[j]
-    else:
-        keep = (left[i] & other[j]) | (left[j] & other[i])
-    return pairs[keep]
+    return np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
+
+
+NAMES = ["doc_id", "n_shingles", "node", "point", "heavy"]
+# Shingles that a task of the survey counts at a time.
+COUNTED = 1 << 22
 
 
 def _survey(docs: DataFrame, sim: Similarity) -> DataFrame:
-    """First pass: a row per document ``(doc_id, n_shingles, node, point)`` and rows
-    ``(node = shingle, n_shingles = texts)`` with a null point for shingles that at least
-    one in 64 texts of some run of texts holds."""
+    """First pass: a row per document ``(doc_id, n_shingles, node, point)``, and rows
+    ``(node = shingle, n_shingles = sets)`` flagged ``heavy`` for shingles that three or more
+    different sets hold among some ``COUNTED`` shingles read together."""
+    def counted(kept: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
+        every = np.sort(np.concatenate(kept)) if kept else np.zeros(0, np.uint64)
+        cut = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else \
+            np.zeros(0, np.int64)
+        held = np.diff(np.append(cut, len(every)))
+        many = held >= 3
+        k = int(many.sum())
+        return pa.RecordBatch.from_arrays([
+            pa.nulls(k, kind), pa.array(held[many].astype(np.int64)),
+            pa.array(every[cut[many]].astype(np.int64)), pa.nulls(k, pa.binary()),
+            pa.array(np.ones(k, dtype=bool))], NAMES)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, seen, held, kind = [], set(), 0, None
         for batch in batches:
             key = batch.column(0)
-            for a, b, raw, off in wd.chunks(batch.column(1), wd.CHUNK_BYTES * 2):
-                sets = list(shingles(raw, off, sim.n))
-                names = [set_identity(s) if len(s) else None for s in sets]
-                pts = [point(s).astype("<u4").tobytes() if len(s) else None for s in sets]
+            kind = key.type
+            for a, b, raw, off in wd.chunks(batch.column(1)):
+                s, start = sets(raw, off, sim.n)
+                size, names = np.diff(start), identities(s, start)
+                counts, where = points(s, start)
+                none = size == 0
+                point = pa.Array.from_buffers(pa.binary(), b - a, [
+                    None, pa.py_buffer(where.astype(np.int32)), pa.py_buffer(counts)])
                 yield pa.RecordBatch.from_arrays([
-                    key.slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(names, pa.int64()), pa.array(pts, pa.binary()),
+                    key.slice(a, b - a), pa.array(size), pa.array(names, mask=none), point,
                     pa.array(np.zeros(b - a, dtype=bool))], NAMES)
-                _, one = np.unique(np.array([0 if x is None else x for x in names]),
-                                   return_index=True)  # a set that repeats counts once
-                every = np.sort(np.concatenate([sets[i] for i in one]))
-                cut = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else \
-                    np.zeros(0, np.int64)
-                held = np.diff(np.append(cut, len(every)))
-                many = held >= max(3, (b - a) // 64)
-                yield pa.RecordBatch.from_arrays([
-                    pa.nulls(int(many.sum()), key.type), pa.array(held[many].astype(np.int64)),
-                    pa.array(every[cut[many]].astype(np.int64)),
-                    pa.nulls(int(many.sum()), pa.binary()),
-                    pa.array(np.ones(int(many.sum()), dtype=bool))], NAMES)
+                new = np.zeros(b - a, dtype=bool)  # a set that repeats counts once
+                for i, x in enumerate(names.tolist()):
+                    if x not in seen:
+                        seen.add(x)
+                        new[i] = True
+                kept.append(s[np.repeat(new, size)])
+                held += len(kept[-1])
+                if held >= COUNTED:
+                    yield counted(kept, kind)
+                    kept, seen, held = [], set(), 0
+        if kind is not None:
+            yield counted(kept, kind)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, n_shingles long, node long, point binary, heavy boolean")
 
 
-NAMES = ["doc_id", "n_shingles", "node", "point", "heavy"]
+def prefixes(s: np.ndarray, start: np.ndarray, sim: Similarity, heavy: np.ndarray):
+    """``(shingle, row)`` of every set's prefix in the order (not heavy, hash)."""
+    size = np.diff(start)
+    row = np.repeat(np.arange(len(size)), size)
+    last = np.zeros(len(s), dtype=np.int64)
+    if len(heavy):
+        at = np.minimum(np.searchsorted(heavy, s), len(heavy) - 1)
+        last = (heavy[at] == s).astype(np.int64)
+    before_last = np.cumsum(last) - last
+    before_rest = np.arange(len(s)) - before_last
+    rest = size - _row_sums(last, start)
+    head = start[:-1][row]
+    rank = np.where(last == 1, rest[row] + before_last - np.append(before_last, 0)[head],
+                    before_rest - np.append(before_rest, 0)[head])
+    pick = rank < sim.prefix(size)[row]
+    return s[pick], row[pick]
 
 
 def _listed(docs: DataFrame, sim: Similarity, heavy: np.ndarray) -> DataFrame:
-    """Second pass: ``(shingle, node)`` for the prefix of every set."""
+    """Second pass: ``(shingle, node)`` for the prefix of every set. A tree is named by 40 bits
+    of its shingle: two shingles in one tree cost a few more bounds and lose nothing."""
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = shared.value
         for batch in batches:
             for _, _, raw, off in wd.chunks(batch.column(0)):
-                tokens, names = [], []
-                for s in shingles(raw, off, sim.n):
-                    if not len(s):
-                        continue
-                    k = sim.prefix(len(s))
-                    common = np.isin(s, last, assume_unique=True, kind="sort") if len(last) else None
-                    own = s if common is None else np.concatenate([s[~common], s[common]])
-                    tokens.append(own[:k])
-                    names.append(np.full(min(k, len(s)), set_identity(s), dtype=np.int64))
-                if tokens:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(tokens).astype(np.int64)),
-                         pa.array(np.concatenate(names))], ["shingle", "node"])
+                s, start = sets(raw, off, sim.n)
+                names = identities(s, start)
+                _, one = np.unique(names, return_index=True)  # equal sets list once
+                token, row = prefixes(s, start, sim, shared.value)
+                new = np.zeros(len(names), dtype=bool)
+                new[one] = True
+                token, row = token[new[row]], row[new[row]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((token >> np.uint64(24)).astype(np.int64)), pa.array(names[row])],
+                    ["shingle", "node"])
 
     return docs.select("text").mapInArrow(run, "shingle long, node long")
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, sim: Similarity) -> DataFrame:
     """The pairs ``(u, v)`` of nodes whose texts reach the threshold."""
-    need = (pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-            .join(nodes.select("node", "doc_id"), "node"))
-    # one text per node: rows that repeat a document id may differ, so the node is recomputed
-    texts = cut_lineage(_with_node(
-        docs.select("doc_id", "text").join(need.select("doc_id").distinct(), "doc_id", "left_semi"),
-        sim).join(need.select("node"), "node", "left_semi")
-        .groupBy("node").agg(F.max("text").alias("text")))
+    need = cut_lineage(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+                       .join(nodes.select("node", "doc_id"), "node"))
+    # rows that repeat a document id may differ, so the node of each text is made anew
+    texts = cut_lineage(rows_of(_with_node(rows_of(
+        docs.select("doc_id", "text"), need.select("doc_id").distinct(), "doc_id"), sim),
+        need.select("node"), "node").groupBy("node").agg(F.max("text").alias("text")))
     both = (pairs.join(texts.select(F.col("node").alias("u"), F.col("text").alias("a")), "u")
             .join(texts.select(F.col("node").alias("v"), F.col("text").alias("b")), "v"))
 
@@ -206,15 +312,16 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, sim: Similari
         for batch in batches:
             keep = np.zeros(batch.num_rows, dtype=bool)
             for a, b, raw, off in wd.chunks(batch.column(2)):
-                left = list(shingles(raw, off, sim.n))
+                left, x = sets(raw, off, sim.n)
                 raw2, off2 = wd.text_buffers(batch.column(3).slice(a, b - a))
-                right = shingles(raw2[off2[0]:off2[-1]], off2 - off2[0], sim.n)
-                for i, (x, y) in enumerate(zip(left, right)):
-                    inter = len(x) + len(y) - len(np.union1d(x, y))
-                    keep[a + i] = sim.linked(inter, len(x) + len(y))
+                right, y = sets(raw2[off2[0]:off2[-1]], off2 - off2[0], sim.n)
+                for i in range(b - a):
+                    own = np.concatenate([left[x[i]:x[i + 1]], right[y[i]:y[i + 1]]])
+                    own.sort()
+                    keep[a + i] = sim.linked(int((own[1:] == own[:-1]).sum()), len(own))
+            ok = pa.array(keep)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))],
-                ["u", "v"])
+                [batch.column(0).filter(ok), batch.column(1).filter(ok)], ["u", "v"])
 
     return both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
@@ -223,9 +330,8 @@ def _with_node(docs: DataFrame, sim: Similarity) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, raw, off in wd.chunks(batch.column(0)):
-                names = [set_identity(s) if len(s) else None for s in shingles(raw, off, sim.n)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.int64()), batch.column(0).slice(a, b - a)],
+                    [pa.array(identities(*sets(raw, off, sim.n))), batch.column(0).slice(a, b - a)],
                     ["node", "text"])
 
     return docs.select("text").mapInArrow(run, "node long, text string")
@@ -234,48 +340,122 @@ def _with_node(docs: DataFrame, sim: Similarity) -> DataFrame:
 def _in_bound(pairs: DataFrame, nodes: DataFrame, sim: Similarity) -> DataFrame:
     """The pairs whose points allow the threshold."""
     side = lambda name, c: nodes.select(
-        F.col("node").alias(name), F.col("point").alias(c))
+        F.col("node").alias(name), F.col("point").alias(c), F.col("n_shingles").alias(f"n{c}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p, q = (_points(batch.column(i)) for i in (2, 3))
-            inter, total = np.minimum(p, q).sum(1), p.sum(1) + q.sum(1)
-            ok = pa.array(sim.linked(inter, total))
+            every = np.arange(batch.num_rows)
+            ok = pa.array(overlap_bound(Points(batch.column(2)), every, Points(batch.column(3)), every,
+                                        batch.column(4).to_numpy(), batch.column(5).to_numpy(), sim) >= 0)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)],
                                              ["u", "v"])
 
     both = pairs.join(side("u", "p"), "u").join(side("v", "q"), "v")
-    return both.select("u", "v", "p", "q").mapInArrow(run, "u long, v long")
-
-
-def _points(col: pa.Array) -> np.ndarray:
-    flat = b"".join(x.as_py() for x in col)
-    return np.frombuffer(flat, dtype="<u4").astype(np.int64).reshape(len(col), GROUPS)
+    return both.select("u", "v", "p", "q", "np", "nq").mapInArrow(run, "u long, v long")
+
+
+def tree_pairs(p: Points, sizes: np.ndarray, group: np.ndarray, sim: Similarity, wanted):
+    """``(i, j, bound)`` of the pairs inside each run of equal ``group`` (sorted) that
+    ``wanted(i, j)`` flags and the bound allows."""
+    cut = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    count = np.diff(np.append(cut, len(group)))
+    found = [(np.zeros(0, np.int64),) * 3]
+
+    def bounded(i: np.ndarray, j: np.ndarray) -> None:
+        keep = wanted(i, j)
+        i, j = i[keep], j[keep]
+        bound = overlap_bound(p, i, p, j, sizes, sizes, sim)
+        found.append((i[bound >= 0], j[bound >= 0], bound[bound >= 0]))
+
+    for k in np.unique(count[(count > 1) & (count <= ONE_NODE)]).tolist():
+        x, y = np.triu_indices(k, 1)
+        head = cut[count == k][:, None]
+        bounded((head + x).ravel(), (head + y).ravel())
+    for a, k in zip(cut[count > ONE_NODE].tolist(), count[count > ONE_NODE].tolist()):
+        own = np.arange(a, a + k)
+        boxes = p.take(own, min(BOX_GROUPS, int(p.groups[own].min()))).astype(np.int32)
+        pairs = box_join(boxes, sizes[own], sim) + a
+        bounded(pairs[:, 0], pairs[:, 1])
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def likeliest(i: np.ndarray, j: np.ndarray, score: np.ndarray, tree: np.ndarray, most: int) -> np.ndarray:
+    """Indices of the pairs that are among the ``most`` best of either end within their tree."""
+    each = np.concatenate([i, j])
+    best = np.concatenate([score, score])
+    order = np.lexsort((-best, each, np.concatenate([tree, tree])))
+    key = each[order]
+    head = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    rank = np.arange(len(key)) - np.repeat(head, np.diff(np.append(head, len(key))))
+    return np.unique(order[rank < most] % len(i)) if len(i) else np.zeros(0, np.int64)
+
+
+def pair_key(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """A 64-bit name of the unordered pair."""
+    a, b = wd.mix(np.maximum(u, v).astype(np.uint64)), np.minimum(u, v).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        return wd.mix(a * wd._BASE + wd.mix(b))
 
 
-def _tree_pairs(members: DataFrame, sim: Similarity) -> DataFrame:
-    """Pairs of nodes of different components that one tree's bound allows, from
-    ``members(shingle, node, component, point)``; large trees are joined block by block."""
+def _tree_pairs(members: DataFrame, nodes: DataFrame, tested: DataFrame, sim: Similarity) -> DataFrame:
+    """``(shingle, u, v)``: untested pairs of nodes of different components that some tree's
+    bound allows, the ``BEST`` likeliest of every node in every tree, from
+    ``members(shingle, node, component)``. Large trees are joined block by block; a task reads
+    whole trees (or pairs of blocks) one after another."""
     size = members.groupBy("shingle").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    done = tested.groupBy(F.col("u").alias("node")).agg(F.collect_set("v").alias("done"))
     own = (members.join(size, "shingle")
            .withColumn("x", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
            .withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-           .select("shingle", F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi"), "x",
-                   "node", "component", "point"))
+           .select("shingle", F.xxhash64("shingle", F.least("x", "y"), F.greatest("x", "y")).alias("tree"),
+                   (F.col("x") > F.col("y")).alias("high"), (F.col("x") == F.col("y")).alias("same"),
+                   "node", "component")
+           .join(nodes.select("node", "n_shingles", "point"), "node").join(done, "node", "left")
+           .select("tree", "high", "same", "node", "component", "n_shingles", "point", "done", "shingle"))
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def joined(b: pa.RecordBatch) -> pa.RecordBatch:
+        tree, node, comp, size, shingle = (b.column(i).to_numpy() for i in (0, 3, 4, 5, 8))
+        high, same = (b.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+        lists = b.column(7)
+        before = pair_key(np.repeat(node, lists.value_lengths().fill_null(0).to_numpy()),
+                          lists.flatten().to_numpy())
+
+        def wanted(i, j):
+            ok = (comp[i] != comp[j]) & (same[i] | (high[i] != high[j]))
+            ok[ok] = ~np.isin(pair_key(node[i[ok]], node[j[ok]]), before)
+            return ok
+
+        i, j, bound = tree_pairs(Points(b.column(6)), size, tree, sim, wanted)
+        top = likeliest(i, j, bound / np.maximum(size[i] + size[j] - bound, 1), tree[i], BEST)
+        u, v = node[i[top]], node[j[top]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(shingle[i[top]]), pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))],
+            ["shingle", "u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = None  # a tree goes on in the next batch
+        for batch in batches:
+            if left is not None:
+                batch = pa.Table.from_batches([left, batch]).combine_chunks().to_batches()[0]
+            tree = batch.column(0).to_numpy()
+            whole = int(np.searchsorted(tree, tree[-1]))
+            left = batch.slice(whole)
+            if whole:
+                yield joined(batch.slice(0, whole))
+        if left is not None:
+            yield joined(left)
 
-    def run(pdf):
-        import pandas as pd
+    return (own.repartition(n, "tree").sortWithinPartitions("tree")
+            .mapInArrow(run, "shingle long, u long, v long"))
 
-        pts = np.frombuffer(b"".join(pdf["point"]), dtype="<u4").astype(np.int64).reshape(-1, GROUPS)
-        comp, node = pdf["component"].to_numpy(), pdf["node"].to_numpy()
-        lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
-        low = (pdf["x"] == lo).to_numpy()
-        pairs = box_join(pts, pts.sum(1), sim, low, None if lo == hi else ~low)
-        pairs = pairs[comp[pairs[:, 0]] != comp[pairs[:, 1]]]
-        a, b = node[pairs[:, 0]], node[pairs[:, 1]]
-        return pd.DataFrame({"u": np.maximum(a, b), "v": np.minimum(a, b)})
 
-    return own.groupBy("shingle", "lo", "hi").applyInPandas(run, "u long, v long").distinct()
+def _one_of_equal_trees(members: DataFrame) -> DataFrame:
+    """Of the trees that hold the same nodes, one."""
+    each = members.groupBy("shingle").agg(
+        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"), F.count(F.lit(1)).alias("k"))
+    kept = each.filter("k > 1").groupBy("sum", "k").agg(F.min("shingle").alias("shingle"))
+    return members.join(kept.select("shingle"), "shingle", "left_semi")
 
 
 def jaccard_components(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
@@ -290,14 +470,13 @@ def jaccard_components(docs: DataFrame, sim: Similarity = Similarity()) -> DataF
     """
     spark = docs.sparkSession
     survey = cut_lineage(_survey(docs, sim))
-    rows = survey.filter("NOT heavy").select("doc_id", "n_shingles", "node", "point")
-    n_sets = rows.agg(F.approx_count_distinct("node")).first()[0]
-    # at most a hundred times the longest prefix of shingles can be in a hundredth of the texts
+    rows = survey.filter("NOT heavy").select("doc_id", "n_shingles", "node")
+    # the most frequent shingles; they only set the order, any list gives the same result
     heavy = (survey.filter("heavy").groupBy("node").agg(F.sum("n_shingles").alias("n"))
-             .filter(F.col("n") >= max(8, n_sets // 200)).orderBy(F.desc("n"), "node")
-             .limit(200_000).toPandas())
+             .filter("n >= 8").orderBy(F.desc("n"), "node").limit(HEAVY).select("node").toPandas())
     heavy = np.sort(heavy["node"].to_numpy().astype(np.int64).astype(np.uint64))
-    nodes = cut_lineage(rows.filter("node IS NOT NULL").groupBy("node").agg(
+    # equal sets have equal points, so any one stands for the node
+    nodes = cut_lineage(survey.filter("NOT heavy AND node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles"),
         F.min("point").alias("point")))
     listed = _listed(docs, sim, heavy)
@@ -306,19 +485,27 @@ def jaccard_components(docs: DataFrame, sim: Similarity = Similarity()) -> DataF
         .filter("first < last"), "shingle").select("shingle", "node", "first").distinct())
     tried = (listed.filter("node > first").select(F.col("node").alias("u"), F.col("first").alias("v"))
              .distinct())
-    links = cut_lineage(_verified(cut_lineage(_in_bound(tried, nodes, sim)), nodes, docs, sim))
+    tried = cut_lineage(_in_bound(tried, nodes, sim))
+    links = cut_lineage(_verified(tried, nodes, docs, sim))
     comp = connected_components(links)
-    named = (listed.join(comp, "node", "left")
-             .select("shingle", "node", F.coalesce("component", "node").alias("component"), "first"))
+    tested = cut_lineage(tried.join(links, ["u", "v"], "left_anti"))
     # the first node of a tree has been tried against all others already
-    rest = named.filter("node <> first")
-    mixed = (rest.groupBy("shingle").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-             .filter("a < b").select("shingle"))
-    members = (rest.join(mixed, "shingle", "left_semi").join(nodes.select("node", "point"), "node")
-               .select("shingle", "node", "component", "point"))
-    found = cut_lineage(_tree_pairs(members, sim))
-    more = _verified(found, nodes, docs, sim)
-    comp = connected_components(links.unionByName(more))
+    live = cut_lineage(_one_of_equal_trees(listed.filter("node <> first").select("shingle", "node")))
+    while True:
+        named = (live.join(comp, "node", "left")
+                 .select("shingle", "node", F.coalesce("component", "node").alias("component")))
+        mixed = (named.groupBy("shingle").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+                 .filter("a < b").select("shingle"))
+        found = cut_lineage(_tree_pairs(named.join(mixed, "shingle", "left_semi"), nodes, tested, sim))
+        if found.isEmpty():
+            break
+        pairs = cut_lineage(found.select("u", "v").distinct())
+        more = cut_lineage(_verified(pairs, nodes, docs, sim))
+        tested = cut_lineage(tested.unionByName(pairs.join(more, ["u", "v"], "left_anti")))
+        comp = connected_components(comp.select(F.col("node").alias("u"), F.col("component").alias("v"))
+                                    .unionByName(more))
+        # a tree that proposed nothing has nothing left to propose
+        live = cut_lineage(live.join(found.select("shingle").distinct(), "shingle", "left_semi"))
     named_nodes = nodes.select("node", "doc_id").join(comp, "node", "left").select(
         "node", "doc_id", F.coalesce("component", "node").alias("component"))
     least = named_nodes.groupBy("component").agg(F.min("doc_id").alias("component_id"))

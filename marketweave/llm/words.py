@@ -97,6 +97,12 @@ def words(raw: np.ndarray, offsets: np.ndarray, lower: bool = False):
     return mix(h), start, start + length, first
 
 
+def word_bounds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(start, end)`` of the words of one text."""
+    edge = np.diff(_IS_WORD[raw].astype(np.int8), prepend=0, append=0)
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
 def combine(h: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the runs of ``n`` neighbouring entries of ``h`` (``len(h) - n + 1``)."""
     m = len(h) - n + 1
@@ -115,9 +121,26 @@ def short_hash(h: np.ndarray) -> np.uint64:
         return mix(np.array([(h * _STEP[:len(h)]).sum() + np.uint64(len(h))], dtype=np.uint64))[0]
 
 
-def shingle_set(h: np.ndarray, n: int) -> np.ndarray:
-    """Sorted distinct ``n``-word shingle hashes of one text's word hashes; a shorter text
-    is one shingle, a text without words has none."""
-    if len(h) >= n:
-        return np.unique(combine(h, n))
-    return np.array([short_hash(h)], dtype=np.uint64) if len(h) else np.zeros(0, np.uint64)
+def shingle_sets(h: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(members, start)``: the sorted distinct ``n``-word shingle hashes of every row one after
+    another, and where each row's begin (one entry more than there are rows). ``h`` and
+    ``first`` are those of ``words``; a row shorter than a shingle is one shingle, a row
+    without words has none."""
+    m = np.diff(first)
+    count = np.where(m >= n, m - n + 1, np.minimum(m, 1))
+    ends = np.cumsum(count)
+    at = np.repeat(first[:-1] - (ends - count), count) + np.arange(int(ends[-1]) if len(ends) else 0)
+    every = np.zeros(len(h), dtype=np.uint64)
+    run = combine(h, n)
+    every[:len(run)] = run
+    s = every[at]
+    begin = ends - count
+    for i in np.flatnonzero((m > 0) & (m < n)).tolist():
+        s[begin[i]] = short_hash(h[first[i]:first[i + 1]])
+    for a, b in zip(begin.tolist(), ends.tolist()):
+        s[a:b].sort()
+    keep = np.ones(len(s), dtype=bool)
+    keep[1:] = s[1:] != s[:-1]
+    keep[begin[count > 0]] = True
+    total = np.concatenate([[0], np.cumsum(keep)])
+    return s[keep], total[np.append(begin, len(s))]
