@@ -87,10 +87,16 @@ def _celled(classes: DataFrame, bases, eps: float) -> DataFrame:
 CELLS = [f"c{i}" for i in range(GRID_DIMS)]
 
 
+def _packed(vectors: DataFrame) -> str:
+    """How a block packs its vectors: as they are stored, single or double precision."""
+    return "<f4" if vectors.schema["vec"].dataType.elementType.simpleString() == "float" else "<f8"
+
+
 def _blocks(celled: DataFrame, bases) -> DataFrame:
     """The sorted sequence in blocks of at most ``BLOCK`` classes of one label and first cell:
     ``(block, label, dim, c0, lo, hi, cls, copies, vecs)``, the last three packed."""
     order = ["label", "dim", *CELLS, "cls"]
+    kind = _packed(celled)
     n = int(celled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,12 +117,12 @@ def _blocks(celled: DataFrame, bases) -> DataFrame:
                         "lo": [p.min(0).tolist()], "hi": [p.max(0).tolist()],
                         "cls": [own.column(1).to_numpy().astype("<i8").tobytes()],
                         "copies": [own.column(2).to_numpy().astype("<i8").tobytes()],
-                        "vecs": [v.astype("<f8").tobytes()]})
+                        "vecs": [v.astype(kind).tobytes()]})
                     seq += 1
 
-    kind = celled.schema["label"].dataType.simpleString()
+    label_type = celled.schema["label"].dataType.simpleString()
     return (celled.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(
-        run, f"block long, label {kind}, dim int, c0 int, lo array<double>, hi array<double>, "
+        run, f"block long, label {label_type}, dim int, c0 int, lo array<double>, hi array<double>, "
              "cls binary, copies binary, vecs binary"))
 
 
@@ -167,10 +173,10 @@ class _Join:
             self.edges.append(np.stack([own[moved], root[moved]], axis=1))
 
 
-def _linked(pairs: DataFrame, bases, least: float, eps: float) -> DataFrame:
+def _linked(pairs: DataFrame, bases, least: float, eps: float, kind: str) -> DataFrame:
     """``(u, n, v)``: partial link counts ``n`` of class ``u`` (null ``v``), and edges u-v."""
     def side(r, s, dim):
-        v = np.frombuffer(r[f"vecs_{s}"], dtype="<f8").reshape(-1, dim)
+        v = np.frombuffer(r[f"vecs_{s}"], dtype=kind).astype(np.float64).reshape(-1, dim)
         return (v, unit(v) @ _basis(bases, dim), np.frombuffer(r[f"cls_{s}"], dtype="<i8"),
                 np.frombuffer(r[f"copies_{s}"], dtype="<i8"))
 
@@ -236,7 +242,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98) -> DataFrame:
                                          F.col("copies").alias(f"copies_{s}"),
                                          F.col("vecs").alias(f"vecs_{s}")), s)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    linked = cut_lineage(_linked(pairs.repartition(n, "a", "b"), bases, least, eps))
+    linked = cut_lineage(_linked(pairs.repartition(n, "a", "b"), bases, least, eps,
+                                 _packed(classes)))
     counts = linked.filter("v IS NULL").groupBy(F.col("u").alias("cls")).agg(F.sum("n").alias("others"))
     comp = connected_components(linked.filter("v IS NOT NULL").select("u", "v"))
     named = (classes.select("cls", "copies", "first_id")
