@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame
 
 from marketweave.llm import words as wd
 
-# Words kept by a worker before its table is started anew (bounds its memory).
-TABLE_WORDS = 600_000
+# Words (about 150 bytes each) and transitions kept by a worker before a table is started anew.
+TABLE_WORDS = 1_000_000
+TABLE_STEPS = 1_500_000
 SPACE, LETTER, NUMBER, OTHER = 3, 1, 2, 0
 # The code points Unicode gives the property White_Space.
 WHITE_SPACE = (0x9, 0xA, 0xB, 0xC, 0xD, 0x20, 0x85, 0xA0, 0x1680, 0x2000, 0x2001, 0x2002,
@@ -153,7 +154,7 @@ class MergeAutomaton:
         key = (p, y)
         ok = self.table.get(key)
         if ok is None:
-            if len(self.table) > 4 * TABLE_WORDS:
+            if len(self.table) > TABLE_STEPS:
                 self.table.clear()
             ok = self.table[key] = self._arc(p, y, self.end)
         return ok
