@@ -44,11 +44,13 @@ def test_ttl_monotone_in_as_of(spark):
 
 
 def test_stream_equals_batch_dedup(spark):
-    import __spark_entry__ as E
+    from marketweave.plans import load_all
 
-    s = E.queries()["stream_dedup"](spark, SMALL)
+    s = load_all().REGISTRY["stream_dedup"](spark, SMALL)
     d = TB.with_content_hash(read_table(spark, SMALL, "documents", "doc_id", "text"))
-    assert _rows(s) == _rows(d.select("content_hash").distinct())
+    want = _rows(d.select("content_hash").distinct())
+    for arrival in ("newest first", "oldest first"):
+        assert _rows(s.where(F.col("arrival") == arrival).select("content_hash")) == want
 
 
 def test_upsert_independent_of_partitioning(spark):
