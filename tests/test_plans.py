@@ -52,6 +52,6 @@ def test_scan_prunes_columns(spark):
     assert m and set(re.findall(r"(\w+):", m.group(1))) == {"doc_id", "lang"}
 
 
-@pytest.mark.parametrize("name", ["per_term_cap", "last_n_by_symbol", "combined_text"])
+@pytest.mark.parametrize("name", ["per_term_cap", "last_n_by_symbol"])
 def test_top_n_limited_before_shuffle(spark, name):
     assert "WindowGroupLimit" in _plan(QUERIES[name](spark, SMALL))
