@@ -45,7 +45,7 @@ BOX_GROUPS = 128
 # Trees up to this size have one node: all pairs are bounded at once.
 ONE_NODE = 48
 # Untested partners that a node proposes at a time, the likeliest first.
-BEST = 3
+BEST = 8
 # Shingles that the order puts last, at most (they are broadcast).
 HEAVY = 250_000
 # Rows of a tree that one task takes; larger trees are joined block by block.
@@ -339,8 +339,11 @@ def _with_node(docs: DataFrame, sim: Similarity) -> DataFrame:
 
 def _in_bound(pairs: DataFrame, nodes: DataFrame, sim: Similarity) -> DataFrame:
     """The pairs whose points allow the threshold."""
-    side = lambda name, c: nodes.select(
-        F.col("node").alias(name), F.col("point").alias(c), F.col("n_shingles").alias(f"n{c}"))
+    side = lambda name, c: nodes.select(F.col("node").alias(name), F.col("point").alias(c))
+    size = lambda name, c: nodes.select(F.col("node").alias(name), F.col("n_shingles").alias(c))
+    # sizes first: they travel light and decide most pairs
+    sized = pairs.join(size("u", "np"), "u").join(size("v", "nq"), "v").filter(
+        (sim.den * F.col("np") >= sim.num * F.col("nq")) & (sim.den * F.col("nq") >= sim.num * F.col("np")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -350,7 +353,7 @@ def _in_bound(pairs: DataFrame, nodes: DataFrame, sim: Similarity) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)],
                                              ["u", "v"])
 
-    both = pairs.join(side("u", "p"), "u").join(side("v", "q"), "v")
+    both = sized.join(side("u", "p"), "u").join(side("v", "q"), "v")
     return both.select("u", "v", "p", "q", "np", "nq").mapInArrow(run, "u long, v long")
 
 
