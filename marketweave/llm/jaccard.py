@@ -42,6 +42,8 @@ LEAST_GROUPS, MOST_GROUPS = 16, 4096
 LEAF = 16
 # Groups that the boxes of a tree are built on; the pairs of points use all they have.
 BOX_GROUPS = 128
+# Groups that a point takes along into the trees; pairs found there meet their whole points.
+TREE_GROUPS = 512
 # Trees up to this size have one node: all pairs are bounded at once.
 ONE_NODE = 48
 # Untested partners that a node proposes at a time, the likeliest first.
@@ -111,6 +113,16 @@ def points(s: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return counts.astype(np.uint8), off
 
 
+def folded(point: np.ndarray, most: int) -> bytes | None:
+    """A point folded to ``most`` groups, or to as few as its counts allow; None when it has no
+    more than that."""
+    if len(point) <= most:
+        return None
+    while len(point) > most and point.max() < 128:
+        point = point.reshape(2, -1).sum(0, dtype=np.uint8)
+    return point.tobytes()
+
+
 class Points:
     """Points of a batch, in one matrix per number of groups."""
 
@@ -203,7 +215,7 @@ def box_join(points: np.ndarray, sizes: np.ndarray, sim: Similarity,
     return np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
 
 
-NAMES = ["doc_id", "n_shingles", "node", "point", "heavy"]
+NAMES = ["doc_id", "n_shingles", "node", "point", "coarse", "heavy"]
 # Shingles that a task of the survey counts at a time.
 COUNTED = 1 << 22
 
@@ -222,7 +234,7 @@ def _survey(docs: DataFrame, sim: Similarity) -> DataFrame:
         return pa.RecordBatch.from_arrays([
             pa.nulls(k, kind), pa.array(held[many].astype(np.int64)),
             pa.array(every[cut[many]].astype(np.int64)), pa.nulls(k, pa.binary()),
-            pa.array(np.ones(k, dtype=bool))], NAMES)
+            pa.nulls(k, pa.binary()), pa.array(np.ones(k, dtype=bool))], NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, seen, held, kind = [], set(), 0, None
@@ -238,6 +250,8 @@ def _survey(docs: DataFrame, sim: Similarity) -> DataFrame:
                     None, pa.py_buffer(where.astype(np.int32)), pa.py_buffer(counts)])
                 yield pa.RecordBatch.from_arrays([
                     key.slice(a, b - a), pa.array(size), pa.array(names, mask=none), point,
+                    pa.array([folded(counts[x:y], TREE_GROUPS) for x, y in zip(where, where[1:])],
+                             pa.binary()),
                     pa.array(np.zeros(b - a, dtype=bool))], NAMES)
                 new = np.zeros(b - a, dtype=bool)  # a set that repeats counts once
                 for i, x in enumerate(names.tolist()):
@@ -254,7 +268,7 @@ def _survey(docs: DataFrame, sim: Similarity) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, node long, point binary, heavy boolean")
+        run, f"doc_id {kind}, n_shingles long, node long, point binary, coarse binary, heavy boolean")
 
 
 def prefixes(s: np.ndarray, start: np.ndarray, sim: Similarity, heavy: np.ndarray):
@@ -413,7 +427,8 @@ def _tree_pairs(members: DataFrame, nodes: DataFrame, tested: DataFrame, sim: Si
            .select("shingle", F.xxhash64("shingle", F.least("x", "y"), F.greatest("x", "y")).alias("tree"),
                    (F.col("x") > F.col("y")).alias("high"), (F.col("x") == F.col("y")).alias("same"),
                    "node", "component")
-           .join(nodes.select("node", "n_shingles", "point"), "node").join(done, "node", "left")
+           .join(nodes.select("node", "n_shingles", F.coalesce("coarse", "point").alias("point")), "node")
+           .join(done, "node", "left")
            .select("tree", "high", "same", "node", "component", "n_shingles", "point", "done", "shingle"))
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -481,11 +496,13 @@ def jaccard_components(docs: DataFrame, sim: Similarity = Similarity()) -> DataF
     # equal sets have equal points, so any one stands for the node
     nodes = cut_lineage(survey.filter("NOT heavy AND node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles"),
-        F.min("point").alias("point")))
-    listed = _listed(docs, sim, heavy)
-    listed = cut_lineage(listed.join(
-        listed.groupBy("shingle").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-        .filter("first < last"), "shingle").select("shingle", "node", "first").distinct())
+        F.min("point").alias("point"), F.min("coarse").alias("coarse")))
+    # dealt out once for both the minima and the join
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    listed = _listed(docs, sim, heavy).repartition(n, "shingle")
+    ends = (listed.groupBy("shingle").agg(F.min("node").alias("first"), F.max("node").alias("last"))
+            .filter("first < last").hint("merge"))
+    listed = cut_lineage(listed.join(ends, "shingle").select("shingle", "node", "first").distinct())
     tried = (listed.filter("node > first").select(F.col("node").alias("u"), F.col("first").alias("v"))
              .distinct())
     tried = cut_lineage(_in_bound(tried, nodes, sim))
@@ -503,7 +520,7 @@ def jaccard_components(docs: DataFrame, sim: Similarity = Similarity()) -> DataF
         if found.isEmpty():
             break
         pairs = cut_lineage(found.select("u", "v").distinct())
-        more = cut_lineage(_verified(pairs, nodes, docs, sim))
+        more = cut_lineage(_verified(cut_lineage(_in_bound(pairs, nodes, sim)), nodes, docs, sim))
         tested = cut_lineage(tested.unionByName(pairs.join(more, ["u", "v"], "left_anti")))
         comp = connected_components(comp.select(F.col("node").alias("u"), F.col("component").alias("v"))
                                     .unionByName(more))
