@@ -298,3 +298,49 @@ def test_word_hashes_split_as_the_pattern(odd_rows):
     own = [raw[a:b].tobytes().decode() for a, b in zip(start, end)]
     assert [own[first[i]:first[i + 1]] for i in range(len(texts))] == [brute.words(t) for t in texts]
     assert len(set(zip(own, h.tolist()))) == len(set(own)) == len(set(h.tolist()))
+
+
+def shingles_of(text):
+    raw, off = wd.text_buffers(pa.array([text]))
+    return substrings.shingled(raw, off)
+
+
+def minimum(text, salt):
+    """The shingle that is the minimum of the whole text."""
+    return int(np.argmin(substrings.order_hash(shingles_of(text)[0], salt)))
+
+
+def window_of(text, shingle, salt, width=46):
+    """The widest window in ``text`` around ``shingle`` (0: none)."""
+    sh, start, stop = shingles_of(text)
+    _, left, c, right = substrings.compact_windows(sh, start, stop, width, salt)
+    return max([int(r - x) for x, m, r in zip(left, c, right) if sh[m] == shingle], default=0)
+
+
+def lure(rng, passage, wider=0):
+    """A text without the passage in which its minima under every hash have windows too."""
+    out = []
+    for salt in substrings._SALT:
+        at = minimum(" ".join(passage), salt)
+        shingle = shingles_of(" ".join(passage))[0][at]
+        while True:
+            around = [f"u{rng.randrange(10**6)}" for _ in range(260)]
+            text = around[:130] + passage[at:at + 5] + around[130:]
+            if window_of(" ".join(text), shingle, salt) > wider:
+                break
+        out += text
+    return out
+
+
+def test_copies_between_unrelated_first_and_last(spark):
+    rng = random.Random(12)
+    fresh = lambda n: [f"f{rng.randrange(10**6)}" for _ in range(n)]
+    passage = fresh(50)
+    near = passage[:20] + ["changed"] + passage[21:]
+    for second in (passage, near):
+        texts = [lure(rng, passage), fresh(40) + passage + fresh(70), fresh(90) + second + fresh(9),
+                 fresh(30) + lure(rng, passage)]
+        rows = substrings.repeated_passages(frame(spark, [" ".join(t) for t in texts])).collect()
+        check_passages(rows, dict(enumerate(" ".join(t) for t in texts)), 50)
+        if second is passage:
+            assert {(r["doc_id"], r["match_doc_id"]) for r in rows} == {(2, 1)}
