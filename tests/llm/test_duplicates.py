@@ -344,3 +344,17 @@ def test_copies_between_unrelated_first_and_last(spark):
         check_passages(rows, dict(enumerate(" ".join(t) for t in texts)), 50)
         if second is passage:
             assert {(r["doc_id"], r["match_doc_id"]) for r in rows} == {(2, 1)}
+
+
+def test_passage_in_a_narrower_window_of_the_first_document(spark):
+    rng = random.Random(13)
+    fresh = lambda n: [f"g{rng.randrange(10**6)}" for _ in range(n)]
+    passage = fresh(50)
+    wide = lure(rng, passage, wider=100)
+    texts = [" ".join(t) for t in (passage + wide, fresh(60) + passage + fresh(5))]
+    for salt in substrings._SALT:  # the passage's own window is not the widest
+        shingle = shingles_of(" ".join(passage))[0][minimum(" ".join(passage), salt)]
+        assert window_of(" ".join(passage), shingle, salt) < window_of(" ".join(wide), shingle, salt)
+    rows = substrings.repeated_passages(frame(spark, texts)).collect()
+    must, _ = check_passages(rows, dict(enumerate(texts)), 50)
+    assert set(must) == {1}
