@@ -358,3 +358,49 @@ def test_passage_in_a_narrower_window_of_the_first_document(spark):
     rows = substrings.repeated_passages(frame(spark, texts)).collect()
     must, _ = check_passages(rows, dict(enumerate(texts)), 50)
     assert set(must) == {1}
+
+
+def edited(words, rng):
+    """A near copy: one word in every 50 is another."""
+    out = list(words)
+    for k in range(25, len(out), 50):
+        out[k] = f"e{rng.randrange(10**6)}"
+    return out
+
+
+def covered_by(found, n):
+    out = np.zeros(n, dtype=bool)
+    for i, j, _, _, similar in found:
+        assert similar >= 0.8 and j - i >= 46
+        out[i:j] = True
+    return out
+
+
+def test_near_copies_that_lie_apart_or_in_other_order():
+    rng = random.Random(14)
+    fresh = lambda n: [f"h{rng.randrange(10**6)}" for _ in range(n)]
+    p, q = fresh(100), fresh(100)
+    for a, b in ((p + q, edited(p, rng) + fresh(300) + edited(q, rng)),
+                 (p + q, edited(q, rng) + fresh(120) + edited(p, rng)),
+                 (p + q, edited(p, rng)[:90] + fresh(150) + edited(p + q, rng)[90:]),
+                 (p + q, p[:5] * 8 + fresh(300) + edited(p, rng) + fresh(300) + q[40:60] + edited(q, rng))):
+        sa, sb = (shingles_of(" ".join(t))[0] for t in (a, b))
+        found = substrings.passages(sa, sb, 46, 80, 100)
+        for i, j, u, v, similar in found:
+            x, y = set(sa[i:j].tolist()), set(sb[u:v].tolist())
+            assert len(x & y) / len(x | y) == similar and v - u >= 46
+        got = covered_by(found, len(sa))
+        assert got.mean() >= 0.85, got.mean()
+
+
+def test_one_line_many_times_in_both_is_bounded():
+    sa, sb = (shingles_of(" ".join(["same"] * n))[0] for n in (9000, 60))
+    mixed = np.concatenate([sb, np.arange(9000, dtype=np.uint64), sb])
+    assert covered_by(substrings.by_diagonals(sa[:3000], mixed, 0, 3000, 46, 80, 100), 3000).any()
+
+
+def test_common_runs_of_other_diagonals_stay_apart():
+    place = lambda c: c << 2 * substrings.REACH | 40 << substrings.REACH | 40
+    x, y = np.array([place(100), place(150), place(160)]), np.array([place(100), place(5000), place(170)])
+    rows = substrings.common_runs(x, y, np.array([0, 3]), [None], 46)
+    assert rows == [(0, 60, 141, 60, 151), (0, 110, 81, 4960, 81)]
