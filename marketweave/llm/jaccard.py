@@ -29,6 +29,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -477,8 +478,9 @@ def _one_of_equal_trees(members: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
-    """``(doc_id, n_shingles, node, component_id)`` for every row of ``docs``; the component is
-    the smallest document id reachable by links, itself included.
+    """``(doc_id, n_shingles, node, component_id, component)`` for every row of ``docs``; the
+    component is the smallest document id reachable by links, itself included (``component``:
+    the same as a number of its sets, which tells components without an id apart).
 
     Texts without words (null, empty, blank) have no shingles and are linked with nothing;
     a text shorter than a shingle is one shingle; equal sets are linked whatever their order.
@@ -529,19 +531,43 @@ def jaccard_components(docs: DataFrame, sim: Similarity = Similarity()) -> DataF
     named_nodes = nodes.select("node", "doc_id").join(comp, "node", "left").select(
         "node", "doc_id", F.coalesce("component", "node").alias("component"))
     least = named_nodes.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    by_node = named_nodes.join(least, "component").select("node", "component_id")
+    by_node = named_nodes.join(least, "component").select("node", "component_id", "component")
     return (rows.join(by_node, "node", "left")
             .select("doc_id", "n_shingles", "node",
                     F.when(F.col("node").isNull(), F.col("doc_id"))
-                    .otherwise(F.col("component_id")).alias("component_id")))
+                    .otherwise(F.col("component_id")).alias("component_id"), "component"))
 
 
 def one_of_each(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
-    """``docs`` with one document of each component (the one that names it) and every document
-    without shingles; of rows that repeat an id, one stays. Columns are unchanged."""
-    kept = (jaccard_components(docs, sim)
-            .filter(F.col("node").isNull() | F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select("doc_id").distinct())
-    stay = docs.join(kept.withColumnRenamed("doc_id", "_kept"),
-                     docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
-    return stay.dropDuplicates(["doc_id"])
+    """``docs`` with one row of each component, the one that names it (of rows with that id and
+    the same or another set of the component, any one; where all its ids are null, any row),
+    and every row without shingles. Rows are told apart by id and set of shingles, so those
+    that share an id, or have none, stay where their texts are of different components.
+    Columns are unchanged."""
+    classes = jaccard_components(docs, sim).filter("node IS NOT NULL")
+    # one (id, set) per component; components are told apart by their smallest set
+    kept = (classes.groupBy("component").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("one"))
+        .select("one.*"))
+    named = _named(docs, sim)
+    # plain columns of the id, so that one exchange serves both the join and the choice
+    key = [F.col("doc_id").isNull().alias("_none"),
+           F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id")]
+    names = ["_node", "_none", "_id"]
+    once = (named.filter("_node IS NOT NULL").select("*", *key)
+            .join(kept.select(F.col("node").alias("_node"), *key), names, "left_semi")
+            .dropDuplicates(names).drop("_none", "_id"))
+    return named.filter("_node IS NULL").unionByName(once).select(*docs.columns)
+
+
+def _named(docs: DataFrame, sim: Similarity) -> DataFrame:
+    """``docs`` with the column ``_node``, the identity of the row's set (null: no shingles)."""
+    def node(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for text in texts:
+            out = []
+            for _, _, raw, off in wd.chunks(pa.array(text, pa.string())):
+                s, start = sets(raw, off, sim.n)
+                out.append(pd.Series(identities(s, start), dtype="Int64").mask(np.diff(start) == 0))
+            yield pd.concat(out) if out else pd.Series([], dtype="Int64")
+
+    return docs.withColumn("_node", F.pandas_udf(node, "long")("text"))

@@ -404,3 +404,18 @@ def test_common_runs_of_other_diagonals_stay_apart():
     x, y = np.array([place(100), place(150), place(160)]), np.array([place(100), place(5000), place(170)])
     rows = substrings.common_runs(x, y, np.array([0, 3]), [None], 46)
     assert rows == [(0, 60, 141, 60, 151), (0, 110, 81, 4960, 81)]
+
+
+def test_one_of_each_of_rows_without_or_with_one_id(spark):
+    rng = random.Random(15)
+    fresh = lambda n: " ".join(f"n{rng.randrange(10**6)}" for _ in range(n))
+    a, b, c, d, e = (fresh(30) for _ in range(5))
+    rows = [(None, a), (None, b), (None, b), (None, None), (None, ""), (1, c), (1, d), (1, d),
+            (2, c), (3, e), (None, e), (4, ""), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard.one_of_each(docs, jaccard.Similarity(5, 80, 100)).collect()
+    ids = lambda t: [r["doc_id"] for r in got if r["text"] in t]
+    assert ids([a]) == [None] and ids([b]) == [None] and ids([c]) == [1]
+    assert ids([d]) == [1] and ids([e]) == [3]
+    assert sorted(map(str, ids(["", None]))) == ["4", "4", "None", "None"]
+    assert len(got) == 9
