@@ -317,9 +317,11 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, sim: Similari
     need = cut_lineage(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
                        .join(nodes.select("node", "doc_id"), "node"))
     # rows that repeat a document id may differ, so the node of each text is made anew
-    texts = cut_lineage(rows_of(_with_node(rows_of(
-        docs.select("doc_id", "text"), need.select("doc_id").distinct(), "doc_id"), sim),
-        need.select("node"), "node").groupBy("node").agg(F.max("text").alias("text")))
+    every = docs.select("doc_id", "text")
+    own = rows_of(every, need.select("doc_id").distinct(), "doc_id")
+    if not need.filter("doc_id IS NULL").isEmpty():  # nodes that only rows without an id have
+        own = own.unionByName(every.filter("doc_id IS NULL"))
+    texts = cut_lineage(rows_of(_with_node(own, sim), need.select("node"), "node").groupBy("node").agg(F.max("text").alias("text")))
     both = (pairs.join(texts.select(F.col("node").alias("u"), F.col("text").alias("a")), "u")
             .join(texts.select(F.col("node").alias("v"), F.col("text").alias("b")), "v"))
 

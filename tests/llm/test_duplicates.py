@@ -419,3 +419,17 @@ def test_one_of_each_of_rows_without_or_with_one_id(spark):
     assert ids([d]) == [1] and ids([e]) == [3]
     assert sorted(map(str, ids(["", None]))) == ["4", "4", "None", "None"]
     assert len(got) == 9
+
+
+def test_links_of_rows_without_an_id(spark):
+    rng = random.Random(16)
+    w = [f"m{rng.randrange(10**6)}" for _ in range(130)]
+    rows = [(5, w[:100]), (None, w[8:108]), (7, w[16:116]), (None, w[:60] + ["x"]), (None, ["x"] + w[:60])]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    sim = jaccard.Similarity(5, 80, 100)
+    got = {r["text"]: r["component_id"] for r in docs.join(
+        jaccard.jaccard_components(docs, sim).filter("doc_id IS NOT NULL"), "doc_id").collect()}
+    assert set(got.values()) == {5}  # linked through the row without an id alone
+    kept = sorted((r["doc_id"] or 0, r["text"].split()[0] == "x" or r["text"].split()[-1] == "x")
+                  for r in jaccard.one_of_each(docs, sim).collect())
+    assert kept == [(0, True), (5, False)]
