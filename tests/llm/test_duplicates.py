@@ -433,3 +433,12 @@ def test_links_of_rows_without_an_id(spark):
     kept = sorted((r["doc_id"] or 0, r["text"].split()[0] == "x" or r["text"].split()[-1] == "x")
                   for r in jaccard.one_of_each(docs, sim).collect())
     assert kept == [(0, True), (5, False)]
+
+
+def test_passage_beyond_the_8388608th_word(spark):
+    rng = np.random.default_rng(17)
+    before = " ".join(np.array([f"{i:03x}" for i in range(4096)])[rng.integers(0, 4096, 2**23 + 20)])
+    passage = " ".join(f"z{i}" for i in range(60))
+    rows = substrings.repeated_passages(frame(spark, [passage, f"{before} {passage}"])).collect()
+    assert [(r["doc_id"], r["start_word"], r["n_words"], r["match_doc_id"]) for r in rows] == [
+        (1, 2**23 + 20, 60, 0)]
