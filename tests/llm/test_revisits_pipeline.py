@@ -10,7 +10,7 @@ import corpus_pipeline
 from marketweave.llm import quality, queries, revisits
 from tests.conftest import SMALL
 from tests.llm import brute
-from tests.llm.test_duplicates import check_passages
+from tests.llm.test_duplicates import check_passages, lure
 
 RECORDS = "record_id long, url string, at long, kind string, headers map<string,string>"
 
@@ -145,6 +145,24 @@ def test_substring_stage_leaves_no_repeat(staged):
     assert all(left[i] == whole[i] for i in whole if i == min(whole))
 
 
+def test_substring_stage_leaves_no_repeat_of_50_words(staged):
+    must, _ = check_passages([], texts(staged[3]), 50)
+    assert not must
+
+
+def test_substring_stage_leaves_no_copy_between_shared_anchors(spark):
+    rng = random.Random(18)
+    fresh = lambda n: [f"p{rng.randrange(10**6)}" for _ in range(n)]
+    passage = fresh(50)
+    rows = [lure(rng, passage), fresh(40) + passage + fresh(70), fresh(90) + passage + fresh(9), lure(rng, passage)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string")
+    left = texts(corpus_pipeline.substring_stage(spark, docs, SMALL))
+    assert left == {i: t for i, t in texts(docs).items() if i != 2} | {2: left[2]}
+    assert brute.words(left[2]) == rows[2][:90] + rows[2][140:]
+    must, _ = check_passages([], left, 50)
+    assert not must
+
+
 def test_mixing_and_encoding_stages(staged):
     mixed = staged[4].groupBy("doc_id").count().collect()
     assert {r["doc_id"] for r in mixed} <= set(texts(staged[3])) and all(1 <= r["count"] <= 3 for r in mixed)
