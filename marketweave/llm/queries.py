@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketweave.llm import bpe, embeddings, jaccard, mixing, quality, revisits, sharding, substrings, tokenfiles, toxicity
+from marketweave.llm import (bpe, codes, embeddings, infill, jaccard, licenses, mixing, quality,
+                             revisits, sharding, substrings, tokenfiles, toxicity)
 from marketweave.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -174,3 +175,130 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_embedding_near_dup")
 def op10_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
+
+
+def _words_sql(text: str) -> str:
+    """DuckDB text: the words of a text as the license scan sees them."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return (f"regexp_extract_all(translate({text}, '{upper}', '{upper.lower()}'), "
+            r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+
+def op11_sql() -> str:
+    """The license scan with every block compared with every template of its length."""
+    quoted = [(label, t.replace("'", "''"), licenses.block_step(len(licenses.text_words(t))))
+              for label, t in licenses.TEMPLATES]
+    templates = ",\n  ".join(f"({i}, '{label}', {c}, '{t}')" for i, (label, t, c) in enumerate(quoted))
+    phrases = []
+    for label, t in licenses.PHRASES:
+        w = t.split()
+        same = " AND ".join(f"w[i + {j}] = '{x}'" for j, x in enumerate(w))
+        phrases.append(f"list_transform(list_filter(range(1, len(w) - {len(w) - 2}), lambda i: {same}), "
+                       f"lambda i: {{'p': i - 1, 'label': '{label}'}})")
+    num, den = licenses.SHARE
+    return f"""
+WITH t AS (
+  SELECT tid, label, step, {_words_sql("text")} AS w FROM (VALUES
+  {templates}) AS v(tid, label, step, text)),
+tw AS (SELECT DISTINCT tid, step, unnest(w) AS word FROM t),
+d AS (SELECT row_number() OVER () AS rid, doc_id, {_words_sql("coalesce(text, '')")} AS w FROM documents),
+b AS (SELECT rid, doc_id, len(w)::BIGINT AS n_words,
+             list_concat({", ".join(phrases)}) AS found FROM d),
+u AS (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM d),
+h AS (SELECT DISTINCT rid, c.step, u.word, pos // c.step - back AS block
+      FROM u JOIN (SELECT DISTINCT step, word FROM tw) c ON c.word = u.word,
+           (VALUES (0), (1)) AS s(back) WHERE pos // c.step - back >= 0),
+m AS (SELECT rid, tid, count(*) AS shared FROM h JOIN tw USING (step, word) GROUP BY rid, tid, block),
+s AS (SELECT rid, t.label, max(shared::DOUBLE / len(list_distinct(t.w))) AS part
+      FROM m JOIN t USING (tid) WHERE {den} * shared >= {num} * len(list_distinct(t.w))
+      GROUP BY rid, t.label),
+r AS (SELECT rid, list(label) AS more, max(part) AS part FROM s GROUP BY rid)
+SELECT doc_id, n_words, len(found)::BIGINT AS n_base,
+       list_min(list_transform(found, lambda x: x.p))::BIGINT AS first_word,
+       list_max(list_transform(found, lambda x: x.p))::BIGINT AS last_word,
+       array_to_string(list_sort(list_distinct(list_transform(found, lambda x: x.label))), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(list_transform(found, lambda x: x.label),
+                                                           coalesce(more, [])))), ',') AS labels,
+       CASE WHEN len(found) > 0 THEN 1.0 ELSE coalesce(part, 0.0) END AS score
+FROM b LEFT JOIN r USING (rid)
+"""
+
+
+@query("op11_license_scan", op11_sql())
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("blocks")
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+           FROM documents),
+u AS (SELECT doc_id, t, length(t) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1,
+             ('0x' || substr(h, 9, 8))::BIGINT AS h2, ('0x' || substr(h, 17, 8))::BIGINT AS h3,
+             ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                       OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, substr(t, 1, a) AS pre, substr(t, a + 1, b - a) AS mid, substr(t, b + 1) AS suf FROM c)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN a::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN (b - a)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+                        WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+@query("op12_fill_in_middle", OP12_SQL)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.with_digests(infill.fill_in_middle(
+        infill.store_frames(table(spark, sf_dir, "documents")), seed=1))
+
+
+def op13_sql() -> str:
+    """Lloyd rounds with every part compared with every entry."""
+    n, k = codes.PARTS, codes.ENTRIES
+    steps = [f"""
+k AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS rid, vec_id, label,
+             list_transform(embedding, lambda x: floor({codes.SCALE} * x::DOUBLE)::BIGINT) AS q
+      FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT rid, part, q[part * len(q) // {n} + 1:(part + 1) * len(q) // {n}] AS v
+      FROM k, range({n}) AS r(part)),
+b0 AS (SELECT part, rid AS entry, v FROM p WHERE rid < {k})"""]
+    near = """SELECT rid, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (
+        SELECT rid, p.part, entry, list_sum(list_transform(list_zip(p.v, b.v),
+               lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+        FROM p JOIN b{} b ON b.part = p.part) GROUP BY rid, part"""
+    for i in range(codes.ROUNDS):
+        steps.append(f"""
+a{i} AS MATERIALIZED ({near.format(i)}),
+b{i + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.v, b.v) AS v FROM b{i} b LEFT JOIN (
+    SELECT part, entry, list(mean ORDER BY j) AS v FROM (
+      SELECT part, entry, j, CASE WHEN s >= 0 THEN s // c ELSE -((-s + c - 1) // c) END AS mean FROM (
+        SELECT part, entry, j, sum(x)::BIGINT AS s, count(*) AS c FROM (
+          SELECT a.part, a.entry, unnest(p.v) AS x, generate_subscripts(p.v, 1) AS j
+          FROM a{i} a JOIN p ON p.rid = a.rid AND p.part = a.part) GROUP BY part, entry, j))
+    GROUP BY part, entry) m ON m.part = b.part AND m.entry = b.entry)""")
+    last = codes.ROUNDS
+    steps.append(f"""
+z AS ({near.format(last)}),
+c AS (SELECT rid, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+      FROM z GROUP BY rid),
+e AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256
+      FROM b{last})""")
+    return "WITH" + ",".join(steps) + """
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM c JOIN k USING (rid), e
+"""
+
+
+@query("op13_vector_codes", op13_sql())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, books = codes.compress(table(spark, sf_dir, "embeddings"))
+    return codes.with_label_error(found).select(
+        "vec_id", "code", "error", "label_error",
+        F.lit(codes.books_digest(books)).alias("codebooks_sha256"))

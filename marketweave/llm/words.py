@@ -72,10 +72,11 @@ def chunks(arr: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int,
         a = b
 
 
-def words(raw: np.ndarray, offsets: np.ndarray, lower: bool = False):
+def words(raw: np.ndarray, offsets: np.ndarray, lower: bool = False, is_word: np.ndarray = _IS_WORD):
     """``(hash, start, end, first)``: per word its hash and byte range, per row the index of
-    its first word (``first`` has one entry more than there are rows)."""
-    is_word = _IS_WORD[raw]
+    its first word (``first`` has one entry more than there are rows). ``is_word`` says of
+    each byte whether it belongs to words."""
+    is_word = is_word[raw]
     begin = is_word.copy()
     begin[1:] &= ~is_word[:-1]
     cut = offsets[:-1][offsets[:-1] < len(raw)]
