@@ -1,114 +1,117 @@
-"""Exact quantiles (linear interpolation, as SQL ``quantile_cont``) with bounded memory.
+"""Exact quantiles (linear interpolation, as SQL ``quantile_cont``) by radix selection.
 
-``percentile`` is exact but its final merge holds every distinct value of a group in one
-task. This operator gets the same numbers in two bounded passes:
+``percentile`` is exact but its final merge holds every distinct value of a group in one task.
+Here every value becomes a 64-bit integer code in the order of the values, and the order
+statistics are found digit by digit: a histogram of the leading digit per (group, column) tells
+which digit holds each wanted rank and how many values lie below it; the next histogram
+counts the next digit of the values with that prefix only, until the code is complete.
 
-1. per group: ``count`` and a ``percentile_approx`` sketch (size set by ``accuracy``,
-   merged map-side) giving, for each wanted probability ``p``, a value bracket
-   ``[a(p - 2/accuracy), a(p + 2/accuracy)]`` that contains the order statistics around
-   rank ``p·(n-1)``;
-2. per group and ``p``: the number of values below the bracket, the nearest values just
-   outside it, and a count per distinct value inside it (one partial-aggregated pass; a
-   bracket holds about ``4·n/accuracy`` rows), then a running count over the bracket
-   finds the two order statistics to interpolate.
-
-When a bracket misses its ranks (the sketch's guarantee failed), its group is tried again
-with a bracket sixteen times as wide, and so on to the whole value range: no approximate
-value is ever returned. The check reads one number, so it costs a pass only where it fails.
+A histogram has at most 2^16 bins per (group, column, prefix), whatever the data: counts are
+partially aggregated where the rows are, and no task ever holds a group's values. There is no
+sketch and nothing to retry. All steps are one plan over the input, which is stored once with
+the needed columns only (or has been, by the caller).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketweave.session import cut_lineage
+from marketweave.session import stored
 
-DEFAULT_ACCURACY = 100_000
+DIGIT_BITS = 16
+TOP = 48  # bits below the leading digit
+_MANTISSA = 1 << 52
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    by: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Long result ``(*by, column, p, value)`` for every column and probability."""
-    found = cut_lineage(_bracketed(df, cols, probs, by, accuracy))
-    keys = [*by, "column"]
-    while (missed := found.where("NOT exact").select(*keys).distinct()).limit(1).count():
-        # the missed groups' values are read again under wider brackets; at accuracy 1 the
-        # bracket is the whole range and holds every rank
-        if accuracy == 1:
-            raise RuntimeError("a bracket over the whole range missed its ranks")
-        accuracy = max(1, accuracy // 16)
-        same = reduce(lambda a, b: a & b, [F.col(f"_m.{k}").eqNullSafe(F.col(f"_f.{k}")) for k in keys])
-        again = _bracketed(df, cols, probs, by, accuracy)
-        again = again.alias("_f").join(missed.alias("_m"), same, "left_semi")
-        found = cut_lineage(found.alias("_f").join(missed.alias("_m"), same, "left_anti")
-                            .unionByName(again))
-    return found.drop("exact")
+def order_code(x: Column) -> Column:
+    """A 64-bit integer per double, in the order of the doubles (NaN last, -0.0 equal to 0.0):
+    biased exponent and mantissa of the size, negated for negative numbers."""
+    a = F.abs(x)
+    # log2 may round across a power of two next to one; the powers themselves are exact
+    e = F.greatest(F.floor(F.log2(F.when(a > 0, a))), F.lit(-1022))
+    e = F.when(e > 1023, F.lit(1023)).otherwise(e)
+    e = F.when(F.pow(F.lit(2.0), e) > a, F.greatest(e - 1, F.lit(-1022))) \
+        .when((e < 1023) & (F.pow(F.lit(2.0), e + 1) <= a), e + 1).otherwise(e)
+    unit = F.pow(F.lit(2.0), e)
+    small = a < F.lit(2.0 ** -1022)
+    size = F.when(small, (a * F.lit(2.0 ** 537) * F.lit(2.0 ** 537)).cast("long")) \
+        .otherwise((e + 1023).cast("long") * F.lit(_MANTISSA)
+                   + ((a / unit - 1) * F.lit(float(_MANTISSA))).cast("long"))
+    return (F.when(F.isnan(x), F.lit(2047 * _MANTISSA + 1))
+             .when(a == F.lit(float("inf")), F.when(x > 0, 1).otherwise(-1) * F.lit(2047 * _MANTISSA))
+             .when(a == 0, F.lit(0).cast("long"))
+             .when(x < 0, -size).otherwise(size))
+
 
+def code_value(code: Column) -> Column:
+    """The double of an ``order_code``."""
+    a = F.abs(code)
+    e = F.shiftright(a, 52)
+    part = (a % F.lit(_MANTISSA)).cast("double")
+    size = F.when(e == 0, part / F.lit(2.0 ** 537) / F.lit(2.0 ** 537)) \
+        .otherwise((part / F.lit(float(_MANTISSA)) + 1) * F.pow(F.lit(2.0), F.least(e, F.lit(2046)) - 1023))
+    size = F.when(a > F.lit(2047 * _MANTISSA), F.lit(float("nan"))) \
+        .when(a == F.lit(2047 * _MANTISSA), F.lit(float("inf"))).otherwise(size)
+    return F.when(code < 0, -size).otherwise(size)
 
-def _bracketed(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str],
-               accuracy: int) -> DataFrame:
-    """One try with brackets ``2 / accuracy`` wide on either side of each rank; ``exact`` tells
-    whether the bracket held it."""
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                    by: Sequence[str] = (), is_stored: bool = False) -> DataFrame:
+    """Long result ``(*by, column, p, value)`` for every column and probability: groups are the
+    distinct ``by`` values (null is a value), columns without a non-null value in a group give
+    no row. ``is_stored`` says that ``df`` is cheap to read (a stored table); otherwise it
+    is stored first."""
     by = list(by)
-    eps = 2.0 / accuracy
-    edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
-    stacked = df.select(*by, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols]))
-        .alias("_s")).select(*by, "_s.column", "_s.x").where(F.col("x").isNotNull())
+    if not is_stored:
+        df = stored(df.select(*by, *cols), "quantile-input")
+    rows = df.select(*by, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_x")) for c in cols]))
+        .alias("_s")).select(*by, "_s.column", order_code(F.col("_s._x")).alias("_code")) \
+        .where(F.col("_code").isNotNull())
     keys = [*by, "column"]
+    ranks = [f"_r{i}{end}" for i in range(len(probs)) for end in "ab"]
 
-    # pass 1: n and the sketch per (group, column)
-    sk = stacked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
-                                    F.percentile_approx("x", edges, accuracy).alias("_a"))
-    tgt = sk.select(*keys, "n", F.posexplode(F.array(*[
-        F.struct(F.lit(float(p)).alias("p"),
-                 F.col("_a")[edges.index(min(1.0, max(0.0, p - eps)))].alias("lo"),
-                 F.col("_a")[edges.index(min(1.0, max(0.0, p + eps)))].alias("hi"))
-        for p in probs])).alias("i", "t")).select(*keys, "n", "i", "t.*")
-
-    # pass 2: below-bracket counts and per-value counts inside each bracket. Without
-    # groups the bracket table has len(cols) x len(probs) rows: a proven-small broadcast.
-    j = stacked.join(F.broadcast(tgt) if not by else tgt, keys)
-    inside = (F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi"))
-    cat = F.when(F.col("x") < F.col("lo"), F.lit(-1)).when(inside, F.lit(0)).otherwise(F.lit(1))
-    cnt = (j.groupBy(*keys, "i", cat.alias("cat"), F.when(inside, F.col("x")).alias("v"))
-            .agg(F.count(F.lit(1)).alias("c"), F.max("x").alias("mx"), F.min("x").alias("mn")))
-    # outside the bracket only the neighbours matter: how many are below, the largest
-    # value below and the smallest above (the ranks just outside the bracket)
-    edge = (cnt.where("cat <> 0").groupBy(*keys, "i").agg(
-        F.sum(F.when(F.col("cat") == -1, F.col("c")).otherwise(F.lit(0))).alias("below"),
-        F.max(F.when(F.col("cat") == -1, F.col("mx"))).alias("below_max"),
-        F.min(F.when(F.col("cat") == 1, F.col("mn"))).alias("above_min")))
-    br = cnt.where("cat = 0").join(edge, [*keys, "i"], "left").fillna(0, subset=["below"])
-    w = (Window.partitionBy(*keys, "i").orderBy("v")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    br = br.withColumn("cum", F.col("below") + F.sum("c").over(w))
-    br = br.join(tgt.select(*keys, "i", "n", "p"), [*keys, "i"])
-    h = F.col("p") * (F.col("n") - 1)
-    r_lo = F.floor(h)
-    r_hi = F.least(r_lo + 1, F.col("n") - 1)
-    picked = br.groupBy(*keys, "i").agg(
-        F.min(F.when(F.col("cum") > r_lo, F.col("v"))).alias("in_lo"),
-        F.min(F.when(F.col("cum") > r_hi, F.col("v"))).alias("in_hi"),
-        F.max("cum").alias("top"))
-    res = (tgt.join(edge, [*keys, "i"], "left").fillna(0, subset=["below"])
-              .join(picked, [*keys, "i"], "left"))
-    top = F.coalesce(F.col("top"), F.col("below"))
-    hh = F.col("p") * (F.col("n") - 1)
-    rl = F.floor(hh)
-    rh = F.least(rl + 1, F.col("n") - 1)
+    def picked(bins: DataFrame, part: list[str], wanted: DataFrame | None) -> DataFrame:
+        """The bins (one row per digit of each ``part``) that hold a wanted rank, with the rank
+        among the values of the bin."""
+        w = Window.partitionBy(*part)
+        run = w.orderBy("_digit").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        bins = bins.withColumn("_below", F.sum("_c").over(run) - F.col("_c"))
+        if wanted is None:
+            bins = bins.withColumn("_n", F.sum("_c").over(w))
+            low = {f"_r{i}a": F.floor(F.lit(float(p)) * (F.col("_n") - 1)) for i, p in enumerate(probs)}
+            high = {f"_r{i}b": F.least(low[f"_r{i}a"] + 1, F.col("_n") - 1) for i in range(len(probs))}
+            bins = bins.withColumns(low | high)
+        here = [F.when((F.col(r) >= F.col("_below")) & (F.col(r) < F.col("_below") + F.col("_c")),
+                       F.col(r) - F.col("_below")).alias(r) for r in ranks]
+        prefix = F.col("_digit") if wanted is None else \
+            F.col("_prefix") * F.lit(1 << DIGIT_BITS) + F.col("_digit")
+        return bins.select(*keys, "_n", prefix.alias("_prefix"), *here).where(
+            F.coalesce(*ranks).isNotNull())
 
-    def order_stat(r, inside_val):
-        return (F.when(r == F.col("below") - 1, F.col("below_max"))
-                 .when((r >= F.col("below")) & (r < top), inside_val)
-                 .when(r == top, F.col("above_min")))
-    x_lo = order_stat(rl, F.col("in_lo"))
-    x_hi = order_stat(rh, F.col("in_hi"))
-    ok = x_lo.isNotNull() & x_hi.isNotNull()
-    val = x_lo + (hh - rl) * (x_hi - x_lo)
-    return res.select(*keys, "p", F.when(ok, val).alias("value"),
-                      F.coalesce(ok, F.lit(False)).alias("exact"))
+    bins = rows.groupBy(*keys, F.shiftright("_code", TOP).alias("_digit")).agg(F.count(F.lit(1)).alias("_c"))
+    found = picked(bins, keys, None)
+    for shift in range(TOP - DIGIT_BITS, -1, -DIGIT_BITS):
+        # values with a wanted prefix; the prefixes are a few rows per (group, column)
+        wanted = found.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_n", "_prefix", *ranks)
+        same = F.shiftright("_code", shift + DIGIT_BITS) == F.col("_prefix")
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        bins = (rows.join(wanted if by else F.broadcast(wanted), same)
+                .groupBy(*keys, "_prefix", F.shiftright("_code", shift).bitwiseAND(
+                    F.lit((1 << DIGIT_BITS) - 1)).alias("_digit"))
+                .agg(F.count(F.lit(1)).alias("_c"), *[F.max(c).alias(c) for c in ("_n", *ranks)]))
+        found = picked(bins, [*keys, "_prefix"], wanted)
+    value = code_value(F.col("_prefix"))
+    wide = found.groupBy(*keys).agg(F.max("_n").alias("_n"), *[
+        F.max(F.when(F.col(r).isNotNull(), value)).alias(r) for r in ranks])
+    out = wide.select(*keys, "_n", F.explode(F.array(*[
+        F.struct(F.lit(float(p)).alias("p"), F.col(f"_r{i}a").alias("a"), F.col(f"_r{i}b").alias("b"))
+        for i, p in enumerate(probs)])).alias("_t"))
+    at = F.col("_t.p") * (F.col("_n") - 1)
+    part = at - F.floor(at)
+    gap = F.when(part == 0, F.lit(0.0)).otherwise(part * (F.col("_t.b") - F.col("_t.a")))
+    return out.select(*keys, F.col("_t.p").alias("p"), (F.col("_t.a") + gap).alias("value"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketweave.operators.quantiles import exact_quantiles
+from marketweave.session import stored
 
 PRICE_COLS = ("open", "high", "low", "close")
 ESSENTIAL_COLS = ("open", "high", "low", "close", "volume")
@@ -66,11 +67,11 @@ def calendar_features(df: DataFrame, date: str = "date") -> DataFrame:
 
 
 def iqr_bounds(df: DataFrame, cols: Sequence[str] = PRICE_COLS, by: Sequence[str] = (),
-               k: float = FENCE_K) -> DataFrame:
+               k: float = FENCE_K, is_stored: bool = False) -> DataFrame:
     """Q1, Q3 (linear interpolation), IQR and fences ``Q1 - k*IQR``, ``Q3 + k*IQR`` of each
     column: one row per (group, column). Exact values with bounded memory at any size
-    (``exact_quantiles``: a sketch brackets the ranks, a second pass resolves them)."""
-    q = exact_quantiles(df, cols, [0.25, 0.75], by)
+    (``exact_quantiles``: radix selection over the input, stored once unless it already is)."""
+    q = exact_quantiles(df, cols, [0.25, 0.75], by, is_stored)
     out = q.groupBy(*by, "column").agg(
         F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
         F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q3"))
@@ -90,11 +91,13 @@ def outlier_ffill(df: DataFrame, cols: Sequence[str] = PRICE_COLS, ticker: str =
     borders in list order, which leaks one ticker's price into the next and, as a
     global window, would run in a single task. A leading outlier therefore stays null.
 
-    Plan: one aggregate for all fences (a handful of numbers) — a scalar subquery when
-    global, a join with one row per fence group otherwise — then one window per ticker.
+    Plan: the input is stored once; the fences (a handful of numbers) are selected over it —
+    a scalar subquery when global, a join with one row per fence group otherwise — then one
+    window per ticker.
     """
     by = [fence_by] if fence_by else []
-    fences = iqr_bounds(df, cols, by, k)
+    df = stored(df, "bars")
+    fences = iqr_bounds(df, cols, by, k, is_stored=True)
     wide = fences.groupBy(*by).agg(*[
         F.first(F.when(F.col("column") == c, F.struct("lower", "upper")), ignorenulls=True)
          .alias(f"_f_{c}") for c in cols])

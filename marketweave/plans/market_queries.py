@@ -9,6 +9,7 @@ from marketweave.functions.formatting import fixed2_sql, fixed_sql
 from marketweave.operators import analytics as A
 from marketweave.operators import stock as S
 from marketweave.plans.catalog import NN, D, R, dtxt, query, report
+from marketweave.session import stored
 from marketweave.sources import fixtures as fx
 
 PRICE = ("open", "high", "low", "close")
@@ -166,9 +167,9 @@ def q_iqr_bounds(spark, sf):
     FROM ({_iqr_sql(f"(SELECT * FROM v_bars_dirty WHERE {_COMPLETE})")})""",
        ("v_bars_dirty",))
 def q_iqr_bounds_scalable(spark, sf):
-    """The same fences through the bounded-memory exact quantiles (sketch bracket +
-    resolve pass), the default for inputs of unknown size."""
-    b = S.iqr_bounds(S.drop_incomplete_bars(fx.bars_dirty(spark, sf)))
+    """The same fences over bars that are stored already: the selection reads them as they
+    are, however often, and runs no job of its own."""
+    b = S.iqr_bounds(stored(S.drop_incomplete_bars(fx.bars_dirty(spark, sf)), "bars"), is_stored=True)
     return report(b, round_cols=("q1", "q3", "iqr", "lower", "upper"))
 
 

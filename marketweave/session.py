@@ -68,6 +68,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as a Parquet table under the shared checkpoint folder and read
+    again: lineage is cut, later reads take only the columns they need."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def ensure_parallelism(df: DataFrame, key: str | None = None,
                        min_partitions: int | None = None) -> DataFrame:
     """Spread ``df`` over at least ``min_partitions`` (default: the cluster's default

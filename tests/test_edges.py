@@ -246,21 +246,76 @@ def test_corrupt_json_file_dropped_or_quarantined(spark, tmp_path):
     assert len([r for r in rows if r._corrupt is not None]) == 1
 
 
-def test_bracketed_quantiles_equal_percentile(spark):
+def test_order_codes_keep_order_and_value(spark):
+    import math
+    import random
+    import struct
+
+    rng = random.Random(4)
+    xs = [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(20_000)]
+    xs += [s * v for e in range(-1074, 1024) for v in (2.0 ** e, math.nextafter(2.0 ** e, math.inf),
+                                                       math.nextafter(2.0 ** e, 0.0)) for s in (1, -1)]
+    xs += [0.0, -0.0, math.inf, -math.inf, math.nan, 5e-324, -5e-324, 1.7976931348623157e308, 0.1, 1 / 3]
+    from marketweave.operators.quantiles import code_value, order_code
+
+    df = spark.createDataFrame([(x,) for x in xs] + [(None,)], "x double")
+    rows = df.select("x", order_code(F.col("x")).alias("c")).withColumn("v", code_value(F.col("c"))).collect()
+    assert [(r.c, r.v) for r in rows if r.x is None] == [(None, None)]
+    rows = [r for r in rows if r.x is not None]
+    for r in rows:
+        assert r.v == r.x or (math.isnan(r.v) and math.isnan(r.x)), r
+    rows.sort(key=lambda r: (math.isnan(r.x), r.x))
+    for a, b in zip(rows, rows[1:]):
+        assert a.c < b.c or (a.c == b.c and (a.x == b.x or math.isnan(a.x)))
+
+
+def test_quantiles_of_odd_groups(spark):
+    """Null and hot groups, columns without values, one value, equal values, infinities."""
+    from marketweave.operators.quantiles import exact_quantiles
+
+    inf = float("inf")
+    rows = [(None, 1.5, None), (None, 2.5, None), ("hot", 7.0, 1.0), ("one", -3.25, None),
+            ("inf", -inf, inf), ("inf", inf, inf), ("inf", 0.0, inf)] + [("hot", 7.0, float(i % 3)) for i in range(200)]
+    t = spark.createDataFrame(rows, "g string, v double, u double")
+    got = {(r.g, r.column, r.p): r.value for r in exact_quantiles(t, ["v", "u"], [0.25, 0.5, 1.0], by=["g"]).collect()}
+    assert {k[:2] for k in got} == {(None, "v"), ("hot", "v"), ("hot", "u"), ("one", "v"), ("inf", "v"), ("inf", "u")}
+    assert [got[(None, "v", p)] for p in (0.25, 0.5, 1.0)] == [1.75, 2.0, 2.5]
+    assert {got[("hot", "v", p)] for p in (0.25, 0.5, 1.0)} == {7.0}
+    assert [got[("hot", "u", p)] for p in (0.25, 0.5, 1.0)] == [0.0, 1.0, 2.0]
+    assert got[("one", "v", 0.5)] == -3.25 and got[("inf", "v", 0.5)] == 0.0 and got[("inf", "u", 0.5)] == inf
+    none = exact_quantiles(t.limit(0), ["v"], [0.5])
+    assert none.count() == 0 and none.columns == ["column", "p", "value"]
+
+
+def test_outlier_fill_computes_its_input_once(spark):
+    """The bars are read from their source by one job; the rest reads the stored table."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = [("A", dt.date(2024, 1, 1) + dt.timedelta(d), float(d % 7)) for d in range(100)]
+    df = spark.createDataFrame(rows, "symbol string, date date, close double").coalesce(1)
+    out = S.outlier_ffill(df.mapInArrow(count, df.schema), cols=("close",))
+    assert len(out.collect()) == 100 and seen.value == 100
+
+
+def test_radix_quantiles_equal_percentile(spark):
     from marketweave.operators.quantiles import exact_quantiles
 
     t = spark.range(0, 50000).select((F.col("id") % 4).alias("g"),
                                      ((F.col("id") * 7919) % 1013 / 7.0).alias("v"))
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
-    got = {(r.g, r.p): r for r in exact_quantiles(t, ["v"], probs, by=["g"],
-                                                  accuracy=200).collect()}
+    got = {(r.g, r.p): r for r in exact_quantiles(t, ["v"], probs, by=["g"]).collect()}
     want = {r.g: r.q for r in t.groupBy("g").agg(F.percentile("v", probs).alias("q")).collect()}
     for g in range(4):
         for i, p in enumerate(probs):
             assert got[(g, p)].value == pytest.approx(want[g][i], abs=1e-12)
 
 
-def test_bracketed_quantiles_small_groups(spark):
+def test_radix_quantiles_small_groups(spark):
     from marketweave.operators.quantiles import exact_quantiles
 
     rows = [(g, float(v)) for g in range(1, 7) for v in range(g)]
