@@ -57,6 +57,13 @@ def unnest_articles(payloads: DataFrame, col: str = "payload",
 
 _DROP_BLOCKS = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 _TAG = r"<[^>]*>"
+_QUOTED = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+# A page as a sequence of comments, scripts and styles, tags (quoted values may hold '>'),
+# declarations, and text. The tag without quotes is for tags whose quotes do not pair up.
+_TOKENS = (r"(?is)<!--.*?(?:-->|\z)"
+           rf"|<script\b{_QUOTED}>.*?</script\s*>|<style\b{_QUOTED}>.*?</style\s*>"
+           rf"|</?[a-z]{_QUOTED}>|</?[a-z][^>]*>|<[!?][^>]*>|[^<]+|<")
+_ATTRIBUTES = r"""(?s)[^\s"'>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?"""
 # HTML entities decoded in extracted text (``&amp;`` last).
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", " "), ("&amp;", "&"))
 
@@ -83,46 +90,82 @@ def _numeric_entities(t: Column) -> Column:
         p, F.coalesce(F.get(chars, i), F.lit("")))), "")).otherwise(t)
 
 
-def html_text(fragment: Column) -> Column:
-    """Tags removed, named and numeric entities decoded, outer whitespace stripped."""
-    t = _numeric_entities(F.regexp_replace(fragment, _TAG, ""))
+def _decoded(t: Column) -> Column:
+    """Named and numeric entities decoded. ``t`` is named often: pass a column, not a formula."""
+    t = _numeric_entities(t)
     for ent, ch in ENTITIES:
         t = F.replace(t, F.lit(ent), F.lit(ch))
-    return ustrip(t)
+    return t
 
 
-def _first(html: Column, pattern: str) -> Column:
-    return F.regexp_extract(html, pattern, 1)
+def html_text(fragment: Column) -> Column:
+    """Tags removed, named and numeric entities decoded, outer whitespace stripped."""
+    return ustrip(_decoded(F.regexp_replace(fragment, _TAG, "")))
+
+
+def once(df: DataFrame, keep: Sequence[str], **cols: Column) -> DataFrame:
+    """``keep`` and ``cols``, each of which is computed once a row however often later
+    expressions name it (a generator stands between the two)."""
+    row = F.struct(*[c.alias(n) for n, c in cols.items()])
+    return df.select(*keep, F.explode(F.array(row)).alias("_row")).select(*keep, "_row.*")
+
+
+def html_tokens(pages: DataFrame, html: str, keep: Sequence[str]) -> DataFrame:
+    """``keep`` and, per page, its tags and texts in order: ``_token`` holds them as written,
+    ``_name`` the lower-case names of the tags (``/name`` of an end tag, '' of a text).
+    Comments, scripts, styles and declarations are left out."""
+    tokens = F.filter(F.regexp_extract_all(F.col(html), F.lit(_TOKENS), 0), lambda t: ~t.rlike(
+        r"(?i)^<(?:!|\?|script\b|style\b)"))
+    df = once(pages, keep, _token=tokens)
+    return once(df, [*keep, "_token"], _name=F.transform("_token", lambda t: F.lower(
+        F.regexp_extract(t, "^<(/?[a-zA-Z][a-zA-Z0-9]*)", 1))))
+
+
+def element_text(tag: str, ends: Sequence[str], must_end: bool = True) -> Column:
+    """The raw text inside the first ``tag`` of a token stream, nested tags left out: up to the
+    first of the names ``ends``, or to the end of the page where the element need not end.
+    Null: no such element."""
+    at = F.array_position("_name", tag)
+    size = F.size("_name")
+    after = F.slice("_name", at + 1, size)
+    end = [F.nullif(F.array_position(after, e), F.lit(0)) for e in ends]
+    end = F.least(*end) if len(end) > 1 else end[0]
+    inside = F.slice("_token", at + 1, (end if must_end else F.coalesce(end, size + 1)) - 1)
+    text = F.array_join(F.filter(inside, lambda t: ~t.rlike(r"^</?[a-zA-Z]")), "")
+    return F.when((at > 0) & (end.isNotNull() if must_end else F.lit(True)), text)
+
+
+def first_attribute(tag: str, attribute: str) -> Column:
+    """The value of an attribute of the first ``tag`` as written, quotes removed (null: none).
+    Attributes are read one after another, so a quoted value is never taken for one."""
+    first = F.get("_token", (F.nullif(F.array_position("_name", tag), F.lit(0)) - 1).cast("int"))
+    found = F.get(F.filter(F.regexp_extract_all(first, F.lit(_ATTRIBUTES), 0), lambda x: x.rlike(
+        rf"(?i)^{attribute}\s*=")), 0)
+    return F.regexp_replace(F.regexp_replace(found, r"(?s)^[^=]*=\s*", ""), r"""(?s)^(["'])(.*)\1$""", "$2")
 
 
 def html_article_extract(pages: DataFrame, html: str = "html", url: str = "url",
                          title_tags: Sequence[str] = ("h3", "h1"), source_name: str = "web",
                          keep: Sequence[str] = ("page_id",)) -> DataFrame:
-    """Per page: title = text of the first heading among ``title_tags`` (tried in order),
-    link = first ``<a href>``, description = text of the first ``<p>`` (up to its close
-    or the next ``<p>``), with the reference's fallbacks; the link is made absolute with
-    the page's origin. Scripts, styles and comments are removed first (they may hold
-    ``</p>``). Regex extraction, JVM-side; no per-row Python.
-    """
-    # through a generator, so that the cleaned body is computed once and not per expression
-    pages = pages.select(*keep, F.col(url).alias("_page_url"), F.explode(F.array(
-        F.regexp_replace(F.col(html), _DROP_BLOCKS, ""))).alias("_body"))
-    body = F.col("_body")
-    heads = F.coalesce(*[F.nullif(_first(body, rf"(?is)<{t}(?:\s[^>]*)?>(.*?)</{t}>"), F.lit(""))
-                         for t in title_tags])
-    href = F.regexp_extract(body, r"(?is)<a\s[^>]*?href=(\"[^\"]*\"|'[^']*')", 1)
-    para = F.regexp_extract(body, r"(?is)<p(?:\s[^>]*)?>(.*?)(?:</p>|<p[\s>]|$)", 0)
-    found = pages.select(*keep, "_page_url", heads.alias("_title"),
-                         F.substr(href, F.lit(2), F.greatest(F.length(href) - 2, F.lit(0))).alias("_link"),
-                         F.when(body.rlike(r"(?is)<p(?:\s[^>]*)?>"), para).alias("_para"))
-    inner = F.regexp_replace(F.regexp_replace(F.col("_para"), r"(?is)^<p(?:\s[^>]*)?>", ""),
-                             r"(?is)(?:</p>|<p[\s>])$", "")
-    out = found.select(
-        *keep, F.coalesce(html_text(F.col("_title")), F.lit(NO_TITLE)).alias("title"),
-        F.coalesce(html_text(inner), F.lit(NO_DESCRIPTION)).alias("description"), "_link", "_page_url")
-    return out.select(*keep, "title", "description",
-                      abs_url(F.col("_link"), F.col("_page_url")).alias("url"),
-                      F.lit(source_name).alias("source"))
+    """Per page: title = text of the first heading among ``title_tags`` (tried in order, an
+    empty one counting as none), link = ``href`` of the first ``<a>``, description = text of the
+    first ``<p>`` (up to its end or the next ``<p>``, which ends it), with the reference's
+    fallbacks; the link is made absolute with the page's origin.
+
+    One regex pass makes the page a stream of tags and texts, which array functions walk:
+    attributes may hold ``>`` in quotes or have no quotes, tags inside an element are left
+    out, comments, scripts and styles never count. JVM-side; no per-row Python."""
+    stream = html_tokens(pages.select(*keep, F.col(url).alias("_page_url"), html), html, [*keep, "_page_url"])
+    found = once(stream, [*keep, "_page_url"],
+                 _title=F.coalesce(*[F.nullif(element_text(t, [f"/{t}"]), F.lit("")) for t in title_tags]),
+                 _para=element_text("p", ["/p", "p"], must_end=False),
+                 _link=first_attribute("a", "href"))
+    out = once(found, [*keep, "_page_url"], title=ustrip(_decoded(F.col("_title"))),
+               description=ustrip(_decoded(F.col("_para"))), _link=_decoded(F.col("_link")))
+    return out.select(
+        *keep, F.coalesce("title", F.lit(NO_TITLE)).alias("title"),
+        F.coalesce("description", F.lit(NO_DESCRIPTION)).alias("description"),
+        abs_url(F.col("_link"), F.col("_page_url")).alias("url"), F.lit(source_name).alias("source"))
 
 
 def abs_url(link: Column, page_url: Column | None = None, prefix: str | None = None

@@ -11,6 +11,7 @@ from marketweave.plans.catalog import R, TS, query, report
 from marketweave.plans.table_queries import AS_OF, _JUNK_PROPS, _junk_props
 from marketweave.session import scratch_path
 from marketweave.streaming import jobs as J
+from marketweave.streaming.keyed import KeyedTable, upsert_sink
 
 
 @query("stream_ingest", """
@@ -73,21 +74,21 @@ def q_stream_dedup(spark, sf):
     FROM t FULL OUTER JOIN b ON t.c_custkey = b.c_custkey""")
 def q_stream_upsert(spark, sf):
     """Stored customers (one third of keys new to the stream) upserted by a stream of
-    changed customer rows landed as three files: each micro-batch is appended to the log, and
-    the compaction writes the new base."""
+    changed customer rows landed as three files: each micro-batch rewrites the key-hash buckets
+    that it touches, and no other."""
     cols = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
     c = spark.read.parquet(f"{sf}/customer.parquet").select(*cols)
-    table = scratch_path(spark, "cust-log")
+    initial, table = scratch_path(spark, "cust"), scratch_path(spark, "cust-keyed")
     stamp = F.lit(AS_OF).cast("timestamp")
     c.where(F.col("c_custkey") % 3 != 0).withColumns(
-        {"created_at": stamp, "updated_at": F.lit(None).cast("timestamp")}) \
-        .write.parquet(f"{table}/batch=-1")
+        {"created_at": stamp, "updated_at": F.lit(None).cast("timestamp")}).write.parquet(initial)
     changed = (c.where(F.col("c_custkey") % 3 != 1)
-               .withColumns({"c_acctbal": F.col("c_acctbal") + 100, "created_at": stamp,
-                             "updated_at": stamp, "part": (F.col("c_custkey") % 7 % 3).cast("int")}))
-    J.finish(J.start(_landed(spark, changed, 3), J.upsert_log_sink(table),
+               .withColumns({"c_acctbal": F.col("c_acctbal") + 100,
+                             "part": (F.col("c_custkey") % 7 % 3).cast("int")}))
+    J.finish(J.start(_landed(spark, changed, 3),
+                     upsert_sink(table, ["c_custkey"], ["c_acctbal"], AS_OF, initial, buckets=8),
                      scratch_path(spark, "stream-ckpt")))
-    t = J.compact_log(spark, table, scratch_path(spark, "cust-base"), ["c_custkey"])
+    t = KeyedTable(spark, table, ("c_custkey",), 8).read()
     return report(t.select(*cols, "created_at", "updated_at"), ts_cols=("created_at", "updated_at"))
 
 
@@ -122,23 +123,24 @@ def q_stream_upsert_log(spark, sf):
     SELECT event_id, {TS('ts', 'created_at')} FROM events
     WHERE ts IS NULL OR ts > TIMESTAMP '{AS_OF}' - INTERVAL 86400 SECOND""")
 def q_stream_ttl(spark, sf):
-    """All events are stored as they arrive; the sweep of the stored table then lets the ones
-    go that have aged past the retention."""
+    """All events are stored as they arrive, by the day on which they expire; the sweep lets
+    whole days go unread, and only the border day is filtered."""
     out = scratch_path(spark, "ttl")
     s = J.read_table_stream(spark, sf, "events").select(
         "event_id", F.col("ts").cast("timestamp").alias("created_at"))
-    J.run_to_table(s, out, scratch_path(spark, "stream-ckpt"))
-    swept = J.sweep_table(spark, out, scratch_path(spark, "ttl-swept"), AS_OF)
-    return report(swept.drop("batch"), ts_cols=("created_at",))
+    J.finish(J.start(s, J.expiry_sink(out), scratch_path(spark, "stream-ckpt")))
+    J.sweep_table(spark, out, AS_OF)
+    return report(J.live_rows(spark, out, AS_OF), ts_cols=("created_at",))
 
 
 def _windowed(spark, agg):
-    """Window aggregates in update mode, each micro-batch appended to the log; the current
-    value of a window is its latest."""
-    table = scratch_path(spark, "windows")
-    J.finish(J.start(agg, J.upsert_log_sink(table), scratch_path(spark, "stream-ckpt"),
-                     output_mode="update"))
-    t = J.resolve_upserts(spark.read.parquet(table), ["window_start", "event_type"], ["batch"])
+    """Window aggregates in update mode, upserted into the key-hash buckets of their windows."""
+    keys = ["window_start", "event_type"]
+    initial, table = scratch_path(spark, "no-windows"), scratch_path(spark, "windows")
+    spark.createDataFrame([], agg.schema).write.parquet(initial)
+    J.finish(J.start(agg, upsert_sink(table, keys, ["volume"], AS_OF, initial, buckets=8),
+                     scratch_path(spark, "stream-ckpt"), output_mode="update"))
+    t = KeyedTable(spark, table, tuple(keys), 8).read()
     return report(t.select("window_start", "event_type", "sentiment_score", "volume"),
                   round_cols=("sentiment_score",), ts_cols=("window_start",))
 

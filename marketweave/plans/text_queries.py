@@ -183,18 +183,43 @@ _PAGES_SQL = f"""
     FROM (SELECT *, {_BODY} AS body FROM pages)"""
 
 
-@query("html_article_extract", f"""
+_ARTICLES_SQL = f"""
     SELECT page_id, coalesce({html_text_sql('coalesce(h3, h1)')}, 'No title available') AS title,
            CASE WHEN has_p THEN {html_text_sql(
                "regexp_replace(regexp_replace(para, '(?is)^<p(?:\\s[^>]*)?>', ''), "
                "'(?is)(?:</p>|<p[\\s>])$', '')")}
                 ELSE 'No description available' END AS description,
            {abs_url_sql('link')} AS url, 'web' AS source
-    FROM ({_PAGES_SQL})""")
+    FROM ({_PAGES_SQL})"""
+
+
+@query("html_article_extract", _ARTICLES_SQL)
 def q_html_article_extract(spark, sf):
     return N.html_article_extract(read_table(spark, sf, "pages", "page_id", "url", "html"))
 
 
+@query("html_article_markup", _ARTICLES_SQL)
+def q_html_article_markup(spark, sf):
+    """All pages written in another way that a parser reads alike: ``>`` and ``href`` inside
+    quoted attributes, values in single quotes and without quotes, inline tags in headings,
+    upper-case names, white space in end tags. The articles are those of the pages as given."""
+    p = read_table(spark, sf, "pages", "page_id", "url", "html")
+    h, k = F.col("html"), F.col("page_id") % 3
+
+    def put(c, *pairs):
+        for a, b in pairs:
+            c = F.replace(c, F.lit(a), F.lit(b))
+        return c
+
+    quoted = put(h, ("<h1>", '<h1 title="a>b" data-x=\'</h1>c>d\'>'), ("<p>", '<p class="x>y">'),
+                 ('<a href="', '<a title="no href=/x" data-href="/no" href="'))
+    bare = F.regexp_replace(put(h, ("<h1>", "<H1\n>"), ("</h1>", "</H1 >")),
+                            '<a href="([^"]*)">', "<A class=nav href=$1 >")
+    nested = F.regexp_replace(put(h, ("<h1>", '<h1><b id="q>"><i>'), ("</h1>", "</i></b></h1>")),
+                              '<a href="([^"]*)">', "<a rel='x>y' HREF = '$1'>")
+    return N.html_article_extract(p.withColumn("html", F.when(k == 0, quoted).when(k == 1, bare).otherwise(nested)))
+
+
 @query("abs_url", f"""
     SELECT page_id, link, {abs_url_sql('link')} AS abs_url FROM ({_PAGES_SQL})""")
 def q_abs_url(spark, sf):

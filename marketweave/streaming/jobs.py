@@ -11,14 +11,14 @@ resumes where it stopped and micro-batches are replayed idempotently.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from marketweave.operators import tables as TB
 from marketweave.operators.dedup import keep_first
+from marketweave.sources import folders
 
 POLL_INTERVAL = "15 minutes"  # fixed value: the collection cadence
 DEDUP_HORIZON = "24 hours"    # state kept for cross-run dedup (reference: 24 h retention)
@@ -95,51 +95,49 @@ def late_rows(query) -> int:
                for op in p["stateOperators"])
 
 
-def dedup_sink(table_path: str, keys: Sequence[str], order_by: Sequence[str]
-               ) -> Callable[[DataFrame, int], None]:
+SLOTS = 32
+
+
+def dedup_sink(table_path: str, keys: Sequence[str], order_by: Sequence[str],
+               slots: int = SLOTS) -> Callable[[DataFrame, int], None]:
     """T02 without a time bound: a ``foreachBatch`` sink that stores the first record of every
-    key (nulls equal each other), whatever the order and delay of arrival. A micro-batch is
-    reduced to one row per key, anti-joined with the keys of the earlier batches and written
-    as ``batch=<id>``; a replay reads only earlier batches and rewrites its own."""
+    key (nulls equal each other), whatever the order and delay of arrival.
+
+    A stored row carries a 64-bit hash of its key and lies in a partition of that hash
+    (``batch=<id>/slot=<s>``). A micro-batch is reduced to one row per key and anti-joined with
+    the earlier batches' keys in its own slots: the join is on the hash, the whole key is
+    compared on a hit. A replay reads only earlier batches and rewrites its own."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        fresh = keep_first(batch, keys, order_by)
+        spark = batch.sparkSession
+        fresh = keep_first(batch, keys, order_by).withColumn("_key_hash", F.xxhash64(*keys))
+        fresh = fresh.withColumn("slot", F.pmod("_key_hash", F.lit(slots)).cast("int"))
+        fresh.persist()  # read for its slots and for the join; recomputed if lost
         try:
-            stored = batch.sparkSession.read.parquet(table_path).where(F.col("batch") < batch_id)
-            seen = stored.select(*[F.col(k).alias(f"_s_{k}") for k in keys])
-            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys])
-            fresh = fresh.join(seen, same, "left_anti")
-        except AnalysisException:  # the first batch: no table yet
-            pass
-        fresh.write.mode("overwrite").parquet(f"{table_path}/batch={batch_id}")
+            new = fresh
+            if folders.exists(spark, table_path):
+                own = [r["slot"] for r in fresh.select("slot").distinct().collect()]
+                new = _unseen(fresh, stored_keys(spark, table_path, fresh.schema, own, batch_id), keys)
+            (new.repartition(slots, "slot").sortWithinPartitions("slot", "_key_hash")
+             .write.mode("overwrite").partitionBy("slot").parquet(f"{table_path}/batch={batch_id}"))
+        finally:
+            fresh.unpersist()
     return sink
 
 
-def _previous_version(spark: SparkSession, table_path: str, batch_id: int, initial: str
-                      ) -> str:
-    """The newest ``batch=<id>`` version below ``batch_id`` (or ``initial``). Only the
-    partition column is read, so this is a file listing plus footers."""
-    try:
-        t = spark.read.parquet(table_path)
-    except AnalysisException:
-        return initial
-    last = t.where(F.col("batch") < batch_id).agg(F.max("batch")).first()[0]
-    return initial if last is None else f"{table_path}/batch={last}"
-
-
-def upsert_sink(table_path: str, keys: Sequence[str], arrival: Sequence[str], as_of: str,
-                initial: str) -> Callable[[DataFrame, int], None]:
-    """T03: a ``foreachBatch`` sink merging each micro-batch into the keyed table. Version
-    ``batch=<id>`` is written from the newest earlier version (or ``initial``), so a
-    replay of the same batch id rewrites the same version; empty micro-batches (e.g. the
-    watermark-only batches of update mode) write nothing."""
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        spark = batch.sparkSession
-        target = spark.read.parquet(_previous_version(spark, table_path, batch_id, initial))
-        merged = TB.upsert_merge(target, batch, keys, arrival, as_of, with_action=False)
-        merged.write.mode("overwrite").parquet(f"{table_path}/batch={batch_id}")
-    return sink
+def stored_keys(spark: SparkSession, table_path: str, schema: StructType, own: Sequence[int],
+                batch_id: int) -> DataFrame:
+    """The rows that batches before ``batch_id`` stored in the slots ``own``: both conditions
+    are on partition columns, so no other folder is read."""
+    t = spark.read.schema(StructType([*schema.fields, StructField("batch", LongType())])).parquet(table_path)
+    return t.where((F.col("batch") < batch_id) & F.col("slot").isin(list(own)))
+
+
+def _unseen(fresh: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    seen = stored.select(F.col("_key_hash").alias("_s_hash"), *[F.col(k).alias(f"_s_{k}") for k in keys])
+    same = F.col("_key_hash") == F.col("_s_hash")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
+    return fresh.join(seen, same, "left_anti")
 
 
 def upsert_log_sink(table_path: str, batch_col: str = "batch"
@@ -194,26 +192,37 @@ def run_kinds(starters: dict[str, Callable[[], object]]) -> list[tuple[str, str]
     return [(k, status[k]) for k in starters]
 
 
-def insert_ignore_sink(table_path: str, keys: Sequence[str], order_by: Sequence[str],
-                       initial: str) -> Callable[[DataFrame, int], None]:
-    """T03 for append-only kinds: insert-ignore each micro-batch (versions as in
-    ``upsert_sink``)."""
+def expiry_sink(table_path: str, col: str = "created_at", ttl_seconds: int = TB.TTL_SECONDS
+                ) -> Callable[[DataFrame, int], None]:
+    """T04, storing: rows go to partitions of the day on which they expire
+    (``expires_day=<day>/batch=<id>``; without ``col``: the null day, which never does). A replay
+    replaces its own folders only."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        spark = batch.sparkSession
-        target = spark.read.parquet(_previous_version(spark, table_path, batch_id, initial))
-        out = TB.insert_ignore(target, batch, keys, order_by)
-        out.write.mode("overwrite").parquet(f"{table_path}/batch={batch_id}")
+        day = F.to_date(F.col(col).cast("timestamp") + F.make_dt_interval(secs=F.lit(ttl_seconds)))
+        (batch.withColumns({"expires_day": day, "batch": F.lit(batch_id).cast("long")})
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("expires_day", "batch").parquet(table_path))
     return sink
 
 
-def sweep_table(spark: SparkSession, table_path: str, out_path: str, as_of: str,
-                col: str = "created_at") -> DataFrame:
-    """T04: the retention rule applied to the stored table (not to what arrives): rows older
-    than it are left out of the new snapshot at ``out_path``, which is returned."""
-    TB.ttl_sweep(spark.read.parquet(table_path), as_of, col).write.mode("overwrite").parquet(out_path)
-    return spark.read.parquet(out_path)
+def live_rows(spark: SparkSession, table_path: str, as_of: str, col: str = "created_at",
+              ttl_seconds: int = TB.TTL_SECONDS) -> DataFrame:
+    """The rows of an ``expiry_sink`` table that have not expired: days before ``as_of`` are not
+    read, and only its own day has rows on either side of the border."""
+    t = spark.read.parquet(table_path)
+    t = t.where(F.col("expires_day").isNull() | (F.col("expires_day") >= F.lit(as_of[:10]).cast("date")))
+    return TB.ttl_sweep(t, as_of, col, ttl_seconds).drop("expires_day", "batch")
+
+
+def sweep_table(spark: SparkSession, table_path: str, as_of: str) -> list[str]:
+    """T04, letting go: the folders of all days before ``as_of`` are deleted unread, all other
+    files stay as they are; returns the days that went. The rows of the border day go with
+    the next day's sweep, ``live_rows`` leaves them out at once."""
+    gone = [d for d in folders.partitions(spark, table_path, "expires_day")
+            if d[:4].isdigit() and d < as_of[:10]]
+    for d in gone:
+        folders.remove(spark, f"{table_path}/expires_day={d}")
+    return gone
 
 
 def stream_window_sentiment(df: DataFrame, value: str, by: Sequence[str], ts: str = "ts",

@@ -302,6 +302,28 @@ def test_outlier_fill_computes_its_input_once(spark):
     assert len(out.collect()) == 100 and seen.value == 100
 
 
+def test_html_as_a_parser_reads_it(spark):
+    from marketweave.operators import news as N
+
+    pages = [
+        (1, '<h3 title="a>b">T</h3><p>x</p><a href=/rel>y</a>', "T", "x", "https://h.org/rel"),
+        (2, "<h1>one <b class='>'>two</b>&amp;&#33;</h1><p>a<p>b</p>", "one two&!", "a", ""),
+        (3, "<!-- <h3>no</h3> --><script>'<h3>no</h3>'</script><H3 >Yes</H3\n><P>a < b, 3<4</P>", "Yes", "a < b, 3<4", ""),
+        (4, "<h3></h3><h1>x</h1><a>no link</a><a href='/z'>z</a><p>open to the end<br>of it", "x", "open to the endof it", ""),
+        (5, "<h3>never closed<h1>next</h1>", "next", N.NO_DESCRIPTION, ""),
+        (6, '<a data-href="/n" title="href=/m" HREF = "/a?b=1&amp;c=2">l</a>', N.NO_TITLE, N.NO_DESCRIPTION,
+         "https://h.org/a?b=1&c=2"),
+        (7, '<h3 title="unpaired>T</h3><p>after</p>', "T", "after", ""),
+        (8, "", N.NO_TITLE, N.NO_DESCRIPTION, ""), (9, None, N.NO_TITLE, N.NO_DESCRIPTION, ""),
+        (10, "<h3>a&amp;lt;b</h3><p> \u00a0 padded </p><a href=''>e</a>", "a&lt;b", "padded", ""),
+        (11, "<p>" + "<i class='x'>w</i> " * 5000 + "</p>" + "<br>" * 20000, N.NO_TITLE, ("w " * 5000).strip(), ""),
+    ]
+    df = spark.createDataFrame([(i, "https://h.org/p", h) for i, h, *_ in pages], "page_id int, url string, html string")
+    got = {r.page_id: (r.title, r.description, r.url) for r in N.html_article_extract(df).collect()}
+    for i, _, *want in pages:
+        assert got[i] == tuple(want), i
+
+
 def test_radix_quantiles_equal_percentile(spark):
     from marketweave.operators.quantiles import exact_quantiles
 

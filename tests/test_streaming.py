@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from marketweave.operators import tables as TB
 from marketweave.session import scratch_path
+from marketweave.sources import folders
 from marketweave.streaming import jobs as J
+from marketweave.streaming.keyed import KeyedTable, insert_ignore_sink, upsert_sink
 from tests.conftest import SMALL
 
 COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
@@ -35,23 +37,105 @@ def _stream(spark, folder):
             .parquet(folder))
 
 
-def test_versioned_upserts_chain_over_batches(spark, landing):
-    c = spark.read.parquet(f"{SMALL}/customer.parquet").select(*COLS)
+@pytest.fixture()
+def stored_customers(spark):
+    """The first 50 customers as an initial table."""
     initial = scratch_path(spark, "init")
-    c.where("c_custkey < 50").write.parquet(initial)
-    table = scratch_path(spark, "versions")
-    q = J.start(_stream(spark, landing),
-                J.upsert_sink(table, ["c_custkey"], ["c_custkey"], "2024-01-01 00:00:00",
-                              initial), scratch_path(spark, "ckpt"))
-    q.awaitTermination()
-    versions = spark.read.parquet(table).select("batch").distinct().count()
-    assert versions == 3
-    newest = spark.read.parquet(table).select(F.max("batch")).first()[0]
-    got = spark.read.parquet(table).where(F.col("batch") == newest)
+    spark.read.parquet(f"{SMALL}/customer.parquet").select(*COLS).where("c_custkey < 50").write.parquet(initial)
+    return initial
+
+
+AT = "2024-01-01 00:00:00"
+
+
+def test_bucketed_upserts_chain_over_batches(spark, landing, stored_customers):
+    table = scratch_path(spark, "keyed")
+    J.finish(J.start(_stream(spark, landing),
+                     upsert_sink(table, ["c_custkey"], ["c_custkey"], AT, stored_customers, 8),
+                     scratch_path(spark, "ckpt")))
+    t = KeyedTable(spark, table, ("c_custkey",), 8)
+    assert t.versions() == [-1, 0, 1, 2]
     batch = spark.read.parquet(landing).select(*COLS)
-    want = TB.upsert_merge(spark.read.parquet(initial), batch, ["c_custkey"], ["c_custkey"],
-                           "2024-01-01 00:00:00")
-    assert _rows(got) == _rows(want)
+    want = TB.upsert_merge(spark.read.parquet(stored_customers), batch, ["c_custkey"], ["c_custkey"], AT)
+    assert _rows(t.read()) == _rows(want)
+    # what newer versions replaced can go, the contents stay
+    before = _rows(t.read())
+    assert t.vacuum(keep=1) and _rows(t.read()) == before
+    assert t.vacuum(keep=1) == []
+
+
+def test_a_batch_writes_the_buckets_it_touches(spark, stored_customers):
+    """One key of 50 goes to one of 16 buckets: the second version is a fraction of the first, a
+    replay writes the same, and a version without its success file is not seen."""
+    table = scratch_path(spark, "keyed")
+    sink = upsert_sink(table, ["c_custkey"], ["c_acctbal"], AT, stored_customers, 16)
+    one = spark.createDataFrame([(7, "new name", 1, 5.0, None)],
+                                "c_custkey int, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    c = spark.read.parquet(stored_customers)
+    one = one.select(*[F.col(k).cast(c.schema[k].dataType) if k != "c_custkey" else F.col(k) for k in COLS])
+    sink(one, 0)
+    t = KeyedTable(spark, table, ("c_custkey",), 16)
+    size = {v: sum(n for f, n in folders.files(spark, f"{table}/version={v}") if "bucket=" in f) for v in (-1, 0)}
+    assert len(folders.partitions(spark, f"{table}/version=0", "bucket")) == 1
+    assert size[0] < size[-1] / 4
+    assert all("bucket=3" in f for f in t.read([3]).inputFiles()) and t.read([3]).inputFiles()
+    got = _rows(t.read())
+    assert [r[1] for r in got if r[0] == 7] == ["new name"] and len(got) == 50
+    sink(one, 0)
+    assert _rows(t.read()) == got
+    sink(one.limit(0), 1)
+    assert t.versions() == [-1, 0]
+    one.write.parquet(f"{table}/version=5/bucket=3")
+    assert t.versions() == [-1, 0] and _rows(t.read()) == got
+
+
+def test_bucketed_insert_ignore(spark, stored_customers):
+    table = scratch_path(spark, "keyed")
+    sink = insert_ignore_sink(table, ["c_custkey"], ["c_name"], stored_customers, 4)
+    c = spark.read.parquet(f"{SMALL}/customer.parquet").select(*COLS)
+    batch = c.where("c_custkey between 40 and 60").withColumn("c_name", F.lit("late"))
+    sink(batch.unionByName(batch.withColumn("c_name", F.lit("later"))), 0)
+    sink(batch, 1)
+    got = {r.c_custkey: r.c_name for r in KeyedTable(spark, table, ("c_custkey",), 4).read().collect()}
+    assert len(got) == 61 and got[60] == "late" and got[40] != "late"
+
+
+def test_dedup_reads_its_own_slots(spark):
+    table = scratch_path(spark, "dedup")
+    sink = J.dedup_sink(table, ["id"], ["id"], slots=16)
+    sink(spark.range(100).toDF("id"), 0)
+    few = spark.range(100, 102).toDF("id")
+    hashed = few.withColumn("_key_hash", F.xxhash64("id")).withColumn("slot", F.lit(1))
+    plan = J.stored_keys(spark, table, hashed.schema, [3, 5], 1)._jdf.queryExecution().toString()
+    found = [ln for ln in plan.splitlines() if "PartitionFilters" in ln][-1]
+    assert "slot" in found.split("PartitionFilters")[1] and "batch" in found.split("PartitionFilters")[1]
+    # rows of two keys meet the stored ones; a replay changes nothing
+    again = spark.range(98, 102).toDF("id")
+    for _ in range(2):
+        sink(again, 1)
+        t = spark.read.parquet(table)
+        assert sorted(r.id for r in t.where("batch = 1").collect()) == [100, 101]
+    # an error in the batch is an error, not "no table yet"
+    with pytest.raises(Exception, match="UNRESOLVED|cannot be resolved"):
+        sink(again.withColumnRenamed("id", "x"), 2)
+
+
+def test_retention_deletes_whole_days_and_touches_no_other(spark):
+    table = scratch_path(spark, "ttl")
+    rows = [(1, "2024-01-01 10:00:00"), (2, "2024-01-08 23:59:59"), (3, "2024-01-09 08:00:00"),
+            (4, "2024-01-09 13:00:00"), (5, "2024-01-10 11:00:00"), (6, None)]
+    df = spark.createDataFrame(rows, "id int, at string").select("id", F.col("at").cast("timestamp").alias("created_at"))
+    sink = J.expiry_sink(table)
+    sink(df.where("id < 4"), 0)
+    sink(df.where("id >= 4"), 1)
+    sink(df.where("id >= 4"), 1)  # a replay
+    as_of = "2024-01-10 12:00:00"
+    live = lambda: sorted(r.id for r in J.live_rows(spark, table, as_of).collect())
+    assert live() == [4, 5, 6]
+    kept = [f for f in folders.files(spark, table) if "2024-01-02" not in f[0] and "2024-01-09" not in f[0]]
+    assert J.sweep_table(spark, table, as_of) == ["2024-01-02", "2024-01-09"]
+    assert [f for f in folders.files(spark, table)] == kept
+    assert live() == [4, 5, 6] and J.sweep_table(spark, table, as_of) == []
 
 
 def test_upsert_log_resolves_and_restart_is_idempotent(spark, landing):
