@@ -5,6 +5,7 @@ reported and the others go on."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -27,13 +28,19 @@ class Written:
 
 
 def store(kind: str, records: DataFrame, stored: DataFrame | None, as_of: str,
-          id_col: str) -> Written:
-    """Route processed records into the stored table of their kind (None: not there yet)."""
+          id_col: str, arrival: Sequence[str] = ()) -> Written:
+    """Route processed records into the stored table of their kind (None: not there yet).
+
+    Upserted records of one key are applied in the order of ``arrival``, columns that say where
+    a record stood in its source or when it was loaded (they are not stored); the last one
+    wins, with its nulls, as a processed record has every field of its kind. Such a kind
+    needs them: rows have no order of their own."""
     if kind in UPSERT_KEYS:
+        if not arrival:
+            raise ValueError(f"{kind} records are upserted in order: name their arrival columns")
         keys = UPSERT_KEYS[kind]
-        old = records.limit(0) if stored is None else stored
-        merged = TB.upsert_merge(old, records, keys, [c for c in records.columns if c not in keys][:1],
-                                 as_of)
+        old = records.limit(0).drop(*arrival) if stored is None else stored
+        merged = TB.upsert_merge(old, records, keys, arrival, as_of, whole_rows=True)
         n = TB.write_counts(merged)
         return Written(merged.drop("action"), n.select(
             F.lit(kind).alias("kind"), "action", "n"))
@@ -52,15 +59,16 @@ def store(kind: str, records: DataFrame, stored: DataFrame | None, as_of: str,
 
 def collect_run(frames: dict[str, DataFrame], stored: dict[str, DataFrame], as_of: str,
                 lexicon: DataFrame | None = None, id_cols: dict[str, str] | None = None,
-                sentiment_model: str = "valence") -> tuple[dict[str, Written], dict[str, str]]:
+                sentiment_model: str = "valence", arrival: dict[str, Sequence[str]] | None = None) -> tuple[dict[str, Written], dict[str, str]]:
     """One collection run over ``frames`` (kind → raw records) against the ``stored`` tables:
-    what to write per kind, and the message of every kind that failed."""
+    what to write per kind, and the message of every kind that failed. ``arrival`` names the
+    columns that order the records of an upserted kind."""
     out, failed = {}, {}
     for kind, df in frames.items():
         id_col = (id_cols or {}).get(kind, "doc_id")
         try:
             records = process_kind(df, kind, as_of, lexicon, id_col, sentiment_model)
-            out[kind] = store(kind, records, stored.get(kind), as_of, id_col)
+            out[kind] = store(kind, records, stored.get(kind), as_of, id_col, (arrival or {}).get(kind, ()))
         except Exception as e:  # noqa: BLE001 - isolate one kind's failure
             failed[kind] = f"{type(e).__name__}: {str(e)[:500]}"
     return out, failed

@@ -6,7 +6,7 @@ statistics are found digit by digit: a histogram of the leading digit per (group
 which digit holds each wanted rank and how many values lie below it; the next histogram
 counts the next digit of the values with that prefix only, until the code is complete.
 
-A histogram has at most 2^16 bins per (group, column, prefix), whatever the data: counts are
+A histogram has at most 2^22 bins per (group, column, prefix), whatever the data: counts are
 partially aggregated where the rows are, and no task ever holds a group's values. There is no
 sketch and nothing to retry. All steps are one plan over the input, which is stored once with
 the needed columns only (or has been, by the caller).
@@ -16,38 +16,42 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketweave.session import stored
 
-DIGIT_BITS = 16
-TOP = 48  # bits below the leading digit
+SHIFTS = (42, 21, 0)  # bits below the first, second and last digit
 _MANTISSA = 1 << 52
 
 
-def order_code(x: Column) -> Column:
-    """A 64-bit integer per double, in the order of the doubles (NaN last, -0.0 equal to 0.0):
-    biased exponent and mantissa of the size, negated for negative numbers."""
-    a = F.abs(x)
-    # log2 may round across a power of two next to one; the powers themselves are exact
-    e = F.greatest(F.floor(F.log2(F.when(a > 0, a))), F.lit(-1022))
-    e = F.when(e > 1023, F.lit(1023)).otherwise(e)
-    e = F.when(F.pow(F.lit(2.0), e) > a, F.greatest(e - 1, F.lit(-1022))) \
-        .when((e < 1023) & (F.pow(F.lit(2.0), e + 1) <= a), e + 1).otherwise(e)
-    unit = F.pow(F.lit(2.0), e)
-    small = a < F.lit(2.0 ** -1022)
-    size = F.when(small, (a * F.lit(2.0 ** 537) * F.lit(2.0 ** 537)).cast("long")) \
-        .otherwise((e + 1023).cast("long") * F.lit(_MANTISSA)
-                   + ((a / unit - 1) * F.lit(float(_MANTISSA))).cast("long"))
-    return (F.when(F.isnan(x), F.lit(2047 * _MANTISSA + 1))
-             .when(a == F.lit(float("inf")), F.when(x > 0, 1).otherwise(-1) * F.lit(2047 * _MANTISSA))
-             .when(a == 0, F.lit(0).cast("long"))
-             .when(x < 0, -size).otherwise(size))
+def order_code_sql(rows: str, x: str, keep: str) -> str:
+    """SQL: ``keep`` and ``_code`` of the rows of a subquery, a 64-bit integer per double ``x`` in
+    the order of the doubles (NaN last, -0.0 equal to 0.0, null stays null): biased exponent and
+    mantissa of the size, negated for negative numbers.
+
+    ``log2`` may round across a power of two next to one, so the exponent is corrected by the
+    powers themselves, which are exact. Each step names columns of the one before, and the
+    generator at the end keeps the optimiser from writing them out over and over."""
+    inf, keep = "double('Infinity')", f"{keep}, {x}"
+    return f"""
+    SELECT {keep}, _code FROM (
+      SELECT {keep}, IF({x} < 0, -1, 1) AS _s, CASE
+          WHEN isnan(_a) THEN {2047 * _MANTISSA + 1}L WHEN _a = {inf} THEN {2047 * _MANTISSA}L
+          WHEN _a < {2.0 ** -1022}D THEN CAST(_a * {2.0 ** 537}D * {2.0 ** 537}D AS BIGINT)
+          ELSE CAST(_e + 1023 AS BIGINT) * {_MANTISSA}L
+               + CAST((_a / pow(2.0D, _e) - 1) * {float(_MANTISSA)}D AS BIGINT) END AS _m
+      FROM (SELECT {keep}, _a, CASE WHEN _u > _a AND _e > -1022 THEN _e - 1
+                                    WHEN _u * 2 <= _a AND _e < 1023 THEN _e + 1 ELSE _e END AS _e
+            FROM (SELECT *, pow(2.0D, _e) AS _u
+                  FROM (SELECT *, greatest(least(floor(log2(IF(_a > 0 AND _a < {inf}, _a, 1.0D))),
+                                                 1023), -1022) AS _e
+                        FROM (SELECT *, abs({x}) AS _a FROM {rows})))))
+    LATERAL VIEW explode(array(_s * _m)) AS _code"""
 
 
 def code_value(code: Column) -> Column:
-    """The double of an ``order_code``."""
+    """The double of an order code."""
     a = F.abs(code)
     e = F.shiftright(a, 52)
     part = (a % F.lit(_MANTISSA)).cast("double")
@@ -60,58 +64,60 @@ def code_value(code: Column) -> Column:
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     by: Sequence[str] = (), is_stored: bool = False) -> DataFrame:
-    """Long result ``(*by, column, p, value)`` for every column and probability: groups are the
-    distinct ``by`` values (null is a value), columns without a non-null value in a group give
-    no row. ``is_stored`` says that ``df`` is cheap to read (a stored table); otherwise it
-    is stored first."""
-    by = list(by)
+    """Long result ``(*by, column, p, value)`` for every column and probability (see
+    ``quantile_arrays``)."""
+    each = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("p"), F.col("values").alias("value"))
+    return quantile_arrays(df, cols, probs, by, is_stored).select(*by, "column", F.inline(each))
+
+
+def quantile_arrays(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                    by: Sequence[str] = (), is_stored: bool = False) -> DataFrame:
+    """``(*by, column, values)``, one value per probability: groups are the distinct ``by``
+    values (null is a value), columns without a non-null value in a group give no row.
+    ``is_stored`` says that ``df`` is cheap to read (a stored table); otherwise it is stored
+    first."""
     if not is_stored:
         df = stored(df.select(*by, *cols), "quantile-input")
-    rows = df.select(*by, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_x")) for c in cols]))
-        .alias("_s")).select(*by, "_s.column", order_code(F.col("_s._x")).alias("_code")) \
-        .where(F.col("_code").isNotNull())
-    keys = [*by, "column"]
-    ranks = [f"_r{i}{end}" for i in range(len(probs)) for end in "ab"]
-
-    def picked(bins: DataFrame, part: list[str], wanted: DataFrame | None) -> DataFrame:
-        """The bins (one row per digit of each ``part``) that hold a wanted rank, with the rank
-        among the values of the bin."""
-        w = Window.partitionBy(*part)
-        run = w.orderBy("_digit").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        bins = bins.withColumn("_below", F.sum("_c").over(run) - F.col("_c"))
-        if wanted is None:
-            bins = bins.withColumn("_n", F.sum("_c").over(w))
-            low = {f"_r{i}a": F.floor(F.lit(float(p)) * (F.col("_n") - 1)) for i, p in enumerate(probs)}
-            high = {f"_r{i}b": F.least(low[f"_r{i}a"] + 1, F.col("_n") - 1) for i in range(len(probs))}
-            bins = bins.withColumns(low | high)
-        here = [F.when((F.col(r) >= F.col("_below")) & (F.col(r) < F.col("_below") + F.col("_c")),
-                       F.col(r) - F.col("_below")).alias(r) for r in ranks]
-        prefix = F.col("_digit") if wanted is None else \
-            F.col("_prefix") * F.lit(1 << DIGIT_BITS) + F.col("_digit")
-        return bins.select(*keys, "_n", prefix.alias("_prefix"), *here).where(
-            F.coalesce(*ranks).isNotNull())
-
-    bins = rows.groupBy(*keys, F.shiftright("_code", TOP).alias("_digit")).agg(F.count(F.lit(1)).alias("_c"))
-    found = picked(bins, keys, None)
-    for shift in range(TOP - DIGIT_BITS, -1, -DIGIT_BITS):
-        # values with a wanted prefix; the prefixes are a few rows per (group, column)
-        wanted = found.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_n", "_prefix", *ranks)
-        same = F.shiftright("_code", shift + DIGIT_BITS) == F.col("_prefix")
-        for k in keys:
-            same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-        bins = (rows.join(wanted if by else F.broadcast(wanted), same)
-                .groupBy(*keys, "_prefix", F.shiftright("_code", shift).bitwiseAND(
-                    F.lit((1 << DIGIT_BITS) - 1)).alias("_digit"))
-                .agg(F.count(F.lit(1)).alias("_c"), *[F.max(c).alias(c) for c in ("_n", *ranks)]))
-        found = picked(bins, [*keys, "_prefix"], wanted)
-    value = code_value(F.col("_prefix"))
-    wide = found.groupBy(*keys).agg(F.max("_n").alias("_n"), *[
-        F.max(F.when(F.col(r).isNotNull(), value)).alias(r) for r in ranks])
-    out = wide.select(*keys, "_n", F.explode(F.array(*[
-        F.struct(F.lit(float(p)).alias("p"), F.col(f"_r{i}a").alias("a"), F.col(f"_r{i}b").alias("b"))
-        for i, p in enumerate(probs)])).alias("_t"))
-    at = F.col("_t.p") * (F.col("_n") - 1)
-    part = at - F.floor(at)
-    gap = F.when(part == 0, F.lit(0.0)).otherwise(part * (F.col("_t.b") - F.col("_t.a")))
-    return out.select(*keys, F.col("_t.p").alias("p"), (F.col("_t.a") + gap).alias("value"))
+    names = ["column", *by]
+    keys = ", ".join(f"`{k}`" for k in names)
+    each = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    rows = f"(SELECT {keys}, _x FROM {{t}} LATERAL VIEW stack({len(cols)}, {each}) AS `column`, _x WHERE _x IS NOT NULL)"
+    # r: two ranks per probability, null where they lie in another prefix
+    here = "transform(r, x -> IF(x >= below AND x < below + c, x - below, NULL)) AS r"
+    held = "exists(r, x -> x IS NOT NULL)"
+    at = ", ".join(f"CAST(floor({float(p)!r}D * (n - 1)) AS BIGINT)" for p in probs)
+    first = f"flatten(transform(array({at}), x -> array(x, least(x + 1, n - 1)))) AS r"
+    run = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    top, *lower = SHIFTS
+    # p<i>: per (group, column) the prefixes that hold a wanted rank, with the rank inside them
+    steps = [f"""v AS ({order_code_sql(rows, "_x", keys)})""", f"""
+b0 AS (SELECT {keys}, shiftright(_code, {top}) AS prefix, count(*) AS c
+       FROM v GROUP BY {keys}, shiftright(_code, {top})),
+p0 AS (SELECT * FROM (SELECT {keys}, n, prefix, {here} FROM (
+         SELECT *, {first} FROM (
+           SELECT *, sum(c) OVER (PARTITION BY {keys} ORDER BY prefix {run}) - c AS below,
+                  sum(c) OVER (PARTITION BY {keys}) AS n FROM b0)))
+       WHERE {held})"""]
+    for i, (above, shift) in enumerate(zip(SHIFTS, lower), 1):
+        same = " AND ".join(f"v.`{k}` <=> p.`{k}`" for k in names)
+        own = ", ".join(f"v.`{k}`" for k in names)
+        # without groups the prefixes are a handful of rows, else their number is left to measure
+        hint = "" if by else "/*+ BROADCAST(p) */"
+        steps.append(f"""
+b{i} AS (SELECT {hint} {own}, p.prefix AS parent, n, r, shiftright(_code, {shift}) AS prefix, count(*) AS c
+         FROM v JOIN p{i - 1} p ON {same} AND shiftright(v._code, {above}) = p.prefix
+         GROUP BY {own}, p.prefix, n, r, shiftright(_code, {shift})),
+p{i} AS (SELECT * FROM (SELECT {keys}, n, prefix, {here} FROM (
+           SELECT *, sum(c) OVER (PARTITION BY {keys}, parent ORDER BY prefix {run}) - c AS below
+           FROM b{i})) WHERE {held})""")
+    found = df.sparkSession.sql("WITH " + ",".join(steps) + f" SELECT * FROM p{len(lower)}", t=df)
+    end = lambda i: F.max(F.when(F.col("r")[i].isNotNull(), F.col("prefix")))
+    wide = found.groupBy(*names, "n").agg(*[code_value(end(i)).alias(f"_v{i}") for i in range(2 * len(probs))])
+
+    def between(i: int, p: float) -> Column:
+        at = F.lit(float(p)) * (F.col("n") - 1)
+        part = at - F.floor(at)
+        low, high = F.col(f"_v{2 * i}"), F.col(f"_v{2 * i + 1}")
+        return low + F.when(part == 0, F.lit(0.0)).otherwise(part * (high - low))
+
+    return wide.select(*by, "column", F.array(*[between(i, p) for i, p in enumerate(probs)]).alias("values"))

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketweave.operators.quantiles import exact_quantiles
+from marketweave.operators.quantiles import quantile_arrays
 from marketweave.session import stored
 
 PRICE_COLS = ("open", "high", "low", "close")
@@ -70,11 +70,9 @@ def iqr_bounds(df: DataFrame, cols: Sequence[str] = PRICE_COLS, by: Sequence[str
                k: float = FENCE_K, is_stored: bool = False) -> DataFrame:
     """Q1, Q3 (linear interpolation), IQR and fences ``Q1 - k*IQR``, ``Q3 + k*IQR`` of each
     column: one row per (group, column). Exact values with bounded memory at any size
-    (``exact_quantiles``: radix selection over the input, stored once unless it already is)."""
-    q = exact_quantiles(df, cols, [0.25, 0.75], by, is_stored)
-    out = q.groupBy(*by, "column").agg(
-        F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
-        F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q3"))
+    (``quantile_arrays``: radix selection over the input, stored once unless it already is)."""
+    q = quantile_arrays(df, cols, [0.25, 0.75], by, is_stored)
+    out = q.select(*by, "column", F.col("values")[0].alias("q1"), F.col("values")[1].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     return out.withColumns({"iqr": iqr, "lower": F.col("q1") - F.lit(k) * iqr,
                             "upper": F.col("q3") + F.lit(k) * iqr})
@@ -97,28 +95,24 @@ def outlier_ffill(df: DataFrame, cols: Sequence[str] = PRICE_COLS, ticker: str =
     """
     by = [fence_by] if fence_by else []
     df = stored(df, "bars")
-    fences = iqr_bounds(df, cols, by, k, is_stored=True)
-    wide = fences.groupBy(*by).agg(*[
-        F.first(F.when(F.col("column") == c, F.struct("lower", "upper")), ignorenulls=True)
-         .alias(f"_f_{c}") for c in cols])
+    fences = iqr_bounds(df, cols, by, k, is_stored=True).groupBy(*by).agg(F.struct(*[
+        F.first(F.when(F.col("column") == c, F.struct("lower", "upper")), ignorenulls=True).alias(c)
+        for c in cols]).alias("_fence"))
     if by:
         # one row per ticker: joined on the key, AQE broadcasts it when measured small
-        j = df.join(wide, by, "left")
+        fenced, own = df.join(fences.withColumnRenamed(fence_by, "_by"),
+                              F.col(fence_by).eqNullSafe(F.col("_by")), "left"), F.col("_fence")
     else:
-        # global fences: one scalar subquery yielding a struct of all fences
-        fs = wide.select(F.struct(*[f"_f_{c}" for c in cols]).alias("_fs")).scalar()
-        j = df.withColumns({f"_f_{c}": fs[f"_f_{c}"] for c in cols})
+        # global fences: one scalar subquery yielding a struct of all fences, named once
+        fenced, own = df.select("*", F.explode(F.array(fences.scalar())).alias("_fence")), F.col("_fence")
     w = (Window.partitionBy(ticker).orderBy(*order_by)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = j
-    for c in cols:
-        f = F.col(f"_f_{c}")
-        v = F.col(c)
-        masked = F.when((v < f["lower"]) | (v > f["upper"]), F.lit(None).cast("double")) \
-                  .otherwise(v)
-        out = out.withColumn(c, masked)
-    out = out.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
-    return out.drop(*[f"_f_{c}" for c in cols])
+
+    def filled(c: str) -> Column:
+        outside = (F.col(c) < own[c]["lower"]) | (F.col(c) > own[c]["upper"])
+        return F.last(F.when(outside, F.lit(None).cast("double")).otherwise(F.col(c)), ignorenulls=True).over(w)
+
+    return fenced.select(*[filled(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def daily_return(df: DataFrame, close: str = "close", ticker: str = "symbol",

@@ -59,13 +59,15 @@ def insert_ignore(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
                   order_by: Sequence[str], handle_duplicates: bool = True) -> DataFrame:
     """Append incoming rows whose key is not stored yet; within the batch the first row per
     key wins (nulls are equal). Returns the new table contents; columns only the batch has
-    are added (null for stored rows). With ``handle_duplicates=False`` a clash raises instead
-    (checked by one ``limit(1)`` probe)."""
-    tagged = tag_stored(target, incoming, keys, order_by)
-    if not handle_duplicates and tagged.where("_stored").limit(1).count():
+    are added (null for stored rows). With ``handle_duplicates=False`` a clash with the stored
+    table raises instead (checked by one ``limit(1)`` probe).
+
+    Plan: the batch collapsed per key, then one anti join with the stored keys."""
+    first = keep_first(incoming, keys, order_by).alias("i")
+    stored, same = target.select(*keys).alias("t"), _same_key(keys, "i", "t")
+    if not handle_duplicates and first.join(stored, same, "left_semi").limit(1).count():
         raise ValueError("duplicate key in insert")
-    fresh = tagged.where("NOT _stored").drop("_n", "_stored")
-    return target.unionByName(fresh, allowMissingColumns=True)
+    return target.unionByName(first.join(stored, same, "left_anti"), allowMissingColumns=True)
 
 
 def insert_counts(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
@@ -80,40 +82,72 @@ def insert_counts(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
 
 # ---------------------------------------------------------------- K05 / J05 / K12 / K13
 
+FIELDS = "_fields"  # the names of the fields that a document has
+
+
+def document_fields(text: Column) -> Column:
+    """The field names of a JSON document, null values included: its ``_fields``."""
+    return F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
+
+
 def upsert_merge(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
-                 arrival: Sequence[str], as_of: str, with_action: bool = True) -> DataFrame:
+                 arrival: Sequence[str], as_of: str, with_action: bool = True,
+                 whole_rows: bool = False) -> DataFrame:
     """Keyed upsert: rows with a null key are skipped; the batch's rows for one key are
     applied in ``arrival`` order like sequential ``$set`` updates — each field takes its
-    last present value (with a fixed schema "present" means non-null); an existing row
-    keeps the fields no incoming row sets; new keys are inserted; columns that only the batch
-    has (other than ``arrival``) are added. ``updated_at`` is stamped on touched rows, ``created_at`` kept or set to ``as_of``.
+    last present value; an existing row keeps the fields no incoming row sets; new keys are
+    inserted; columns that only the batch has (other than ``arrival``) are added.
+    ``updated_at`` is stamped on touched rows, ``created_at`` kept or set to ``as_of``.
+
+    Where ``incoming`` has a ``_fields`` column (``document_fields``), a field is present if it is
+    named there, so a field that is set to null differs from one that is absent; a null
+    ``_fields`` sets nothing. The merged table then has ``_fields`` too: those a stored document
+    had and those set since. Without that column, present means non-null, or with
+    ``whole_rows`` every field is present in every row: the last row of a key sets them all.
 
     Plan: one aggregate collapses the batch per key (``max_by`` per field, partial
     map-side, so a key updated many times costs one row per task), then one full-outer
     join on the key."""
-    held = {*keys, "created_at", "updated_at"}
+    named = FIELDS in incoming.columns and not whole_rows
+    held = {*keys, "created_at", "updated_at", FIELDS}
     fields = [c for c in target.columns if c not in held]
     added = [c for c in incoming.columns if c not in {*held, *fields, *arrival}]
     order = F.struct(*[F.col(a) for a in arrival])
     upd = [c for c in fields if c in incoming.columns] + added
-    batch = incoming.where(_not_null(keys)).groupBy(*keys).agg(
-        F.lit(True).alias("_in"),
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in upd])
+
+    def last(c: str) -> Column:
+        """The last present value of a field, where nulls count in a struct (null: never)."""
+        present = F.array_contains(FIELDS, c) if named else F.col(c).isNotNull()
+        return F.max_by(F.struct(F.col(c).alias("v")) if named else F.col(c), F.when(present, order)).alias(c)
+
+    sets = [F.array_distinct(F.flatten(F.collect_set(FIELDS))).alias(FIELDS)] if named else []
+    sets += [F.max_by(F.struct(*upd), order).alias("_row")] if whole_rows else [last(c) for c in upd]
+    batch = incoming.where(_not_null(keys)).groupBy(*keys).agg(F.lit(True).alias("_in"), *sets)
     t = target.alias("t")
     n = batch.alias("n")
     j = t.join(n, _key_cond(keys, "t", "n"), "full_outer")
     ts = F.lit(as_of).cast("timestamp")
     in_new = F.col("n._in").isNotNull()
     in_old = F.coalesce(*[F.col(f"t.{k}").isNotNull() for k in keys])
-    out = []
-    for k in keys:
-        out.append(F.coalesce(F.col(f"t.{k}"), F.col(f"n.{k}")).alias(k))
-    for c in fields:
-        if c in incoming.columns:
-            out.append(F.coalesce(F.col(f"n.{c}"), F.col(f"t.{c}")).alias(c))
-        else:
-            out.append(F.col(f"t.{c}").alias(c))
-    out += [F.col(f"n.{c}").alias(c) for c in added]
+
+    def merged(c: str) -> Column:
+        if c not in upd:
+            return F.col(f"t.{c}")
+        old = F.col(f"t.{c}") if c in fields else F.lit(None)
+        if whole_rows:
+            return F.when(in_new, F.col(f"n._row.{c}")).otherwise(old)
+        if named:
+            return F.when(F.col(f"n.{c}").isNotNull(), F.col(f"n.{c}.v")).otherwise(old)
+        return F.coalesce(F.col(f"n.{c}"), old)
+
+    out = [F.coalesce(F.col(f"t.{k}"), F.col(f"n.{k}")).alias(k) for k in keys]
+    out += [merged(c).alias(c) for c in fields + added]
+    if named:
+        none = F.array().cast("array<string>")
+        old = F.coalesce(F.col(f"t.{FIELDS}"), none) if FIELDS in target.columns else none
+        out.append(F.array_sort(F.array_union(old, F.coalesce(F.col(f"n.{FIELDS}"), none))).alias(FIELDS))
+    elif FIELDS in target.columns:
+        out.append(F.col(f"t.{FIELDS}"))
     created = F.col("t.created_at") if "created_at" in target.columns else F.lit(None)
     updated = F.col("t.updated_at") if "updated_at" in target.columns else F.lit(None)
     out.append(F.coalesce(created.cast("timestamp"), ts).alias("created_at"))

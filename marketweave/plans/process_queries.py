@@ -170,7 +170,7 @@ def q_stream_process_news(spark, sf):
         store(done.join(keyed, "doc_id"), batch_id)
 
     J.finish(J.start(raw, sink, scratch_path(spark, "stream-ckpt")))
-    t = spark.read.parquet(out).drop("batch", "raw_title", "raw_description")
+    t = spark.read.parquet(out).drop("batch", "raw_title", "raw_description", "_key_hash", "slot")
     return report(t, round_cols=_ROUND)
 
 
@@ -199,23 +199,54 @@ _RUNS_SQL = " UNION ALL ".join((
     _two_runs("macro", _ECON_KEY + " WHERE indicator <> 'P'", _ECON_KEY, "", True)))
 
 
-@query("collect_run", f"SELECT * FROM ({_RUNS_SQL}) WHERE n > 0", ("v_tweets_raw", "v_econ_raw"))
-def q_collect_run(spark, sf):
-    """Two collection runs, processed, hashed, deduplicated against what is stored, routed to
-    upsert (macro) or insert-ignore (messages), with the write counts of each run. The first
-    run sees half of the records, the second all of them."""
-    lex, out, stored = fx.lexicon(spark), None, {}
+_LAST_MACRO = """
+    SELECT indicator, country, date || '-01-01T00:00:00' AS date, TRY_CAST(value AS DOUBLE) AS value
+    FROM v_econ_raw"""
+
+
+def _collection_runs(spark, sf):
+    """Two collection runs: the first sees half of the records, the second all of them. Macro
+    records arrive twice in every run, first with a far larger value, so a table that kept any
+    but the last would show it. Yields ``(run, written, stored)``."""
+    lex, stored = fx.lexicon(spark), {}
     tweets, econ = fx.tweets_raw(spark, sf), fx.econ_raw(spark, sf)
+    econ = econ.withColumn("loaded", F.explode(F.array(F.lit(1), F.lit(2))))
+    econ = econ.withColumn("value", F.when(F.col("loaded") == 1, F.lit("9e15")).otherwise(F.col("value")))
     runs = ({"messages": tweets.where("doc_id % 2 = 0"), "macro": econ.where("indicator <> 'P'")},
             {"messages": tweets, "macro": econ})
     for i, frames in enumerate(runs, 1):
-        written, failed = collect_run(frames, stored, AS_OF, lex)
+        written, failed = collect_run(frames, stored, AS_OF, lex, arrival={"macro": ["loaded"]})
         if failed:
             raise RuntimeError(f"kinds failed: {failed}")
         for kind, w in written.items():
             path = scratch_path(spark, f"run{i}-{kind}")
             w.table.write.parquet(path)
             stored[kind] = spark.read.parquet(path)
-            n = w.counts.select(F.lit(i).alias("run"), "kind", "action", F.col("n").cast("bigint").alias("n"))
+        yield i, written, dict(stored)
+
+
+@query("collect_run", f"""
+    SELECT r.*, v.values_sum FROM ({_RUNS_SQL}) r LEFT JOIN (
+      SELECT 1 AS run, 'macro' AS kind, {R('sum(value)', 'values_sum')} FROM ({_LAST_MACRO}) WHERE indicator <> 'P'
+      UNION ALL SELECT 2, 'macro', {R('sum(value)', 'values_sum')} FROM ({_LAST_MACRO})) v USING (run, kind)
+    WHERE n > 0""", ("v_tweets_raw", "v_econ_raw"))
+def q_collect_run(spark, sf):
+    """Two collection runs, processed, hashed, deduplicated against what is stored, routed to
+    upsert (macro) or insert-ignore (messages), with the write counts of each run and the sum
+    of the values that the macro table then holds."""
+    out = None
+    for i, written, stored in _collection_runs(spark, sf):
+        total = stored["macro"].select(F.round(F.sum("value"), 6)).scalar()
+        for kind, w in written.items():
+            n = w.counts.select(F.lit(i).alias("run"), "kind", "action", F.col("n").cast("bigint").alias("n"),
+                                F.when(F.col("kind") == "macro", total).alias("values_sum"))
             out = n if out is None else out.unionByName(n)
     return out.where("n > 0")
+
+
+@query("collect_run_values", _LAST_MACRO, ("v_econ_raw",))
+def q_collect_run_values(spark, sf):
+    """The macro table after two runs: per key the value that arrived last, null where the last
+    record had none."""
+    *_, (_, _, stored) = _collection_runs(spark, sf)
+    return stored["macro"].select("indicator", "country", "date", "value")

@@ -109,6 +109,60 @@ def q_upsert_merge(spark, sf):
     return report(_merged(spark, sf), ts_cols=("created_at", "updated_at"))
 
 
+@query("upsert_fields", f"""
+    WITH t AS (SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 3 <> 0),
+    b AS (SELECT c_custkey,
+                 c_custkey % 4 <> 3 AS has_name, CASE WHEN c_custkey % 4 = 1 THEN NULL ELSE 'renamed' END AS c_name,
+                 CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_acctbal + 200 END AS c_acctbal,
+                 CASE WHEN c_custkey % 2 = 0 THEN 'vip' END AS c_tier
+          FROM customer WHERE c_custkey % 3 <> 1)
+    SELECT coalesce(t.c_custkey, b.c_custkey) AS c_custkey,
+           CASE WHEN b.has_name THEN b.c_name ELSE t.c_name END AS c_name,
+           CASE WHEN b.c_custkey IS NOT NULL THEN b.c_acctbal ELSE t.c_acctbal END AS c_acctbal,
+           t.c_mktsegment, b.c_tier,
+           array_to_string(list_sort(list_distinct(list_concat(
+             CASE WHEN t.c_custkey IS NOT NULL THEN ['c_custkey', 'c_name', 'c_acctbal', 'c_mktsegment'] ELSE [] END,
+             CASE WHEN b.c_custkey IS NOT NULL THEN ['c_custkey', 'c_acctbal'] ELSE [] END,
+             CASE WHEN b.has_name THEN ['c_name'] ELSE [] END,
+             CASE WHEN b.c_custkey % 2 = 0 THEN ['c_tier'] ELSE [] END))), ',') AS fields,
+           CASE WHEN b.c_custkey IS NULL THEN 'keep' WHEN t.c_custkey IS NULL THEN 'insert' ELSE 'update' END AS action
+    FROM t FULL OUTER JOIN b ON t.c_custkey = b.c_custkey""")
+def q_upsert_fields(spark, sf):
+    """Customer documents upserted as JSON: of two arrivals per key the second sets the balance,
+    on every fifth key to null; the name is set, set to null on every fourth key and
+    absent on another fourth; the tier is absent on odd keys. A null that is set replaces the
+    stored value, an absent field leaves it."""
+    c = read_table(spark, sf, "customer", *CUST_COLS)
+    k = F.col("c_custkey")
+    schema = "c_custkey bigint, c_name string, c_acctbal double, c_tier string"
+
+    def documents(doc):
+        """Documents as they come, a null value written as such, with their fields."""
+        text = c.where(k % 3 != 1).select(doc.alias("_d"))
+        return text.select(F.from_json("_d", schema).alias("_r"), TB.document_fields(F.col("_d")).alias(TB.FIELDS)) \
+            .select("_r.*", TB.FIELDS)
+
+    def member(name, value, when=F.lit(True), null=F.lit(False)):
+        v = F.when(null, F.lit("null")).otherwise(value)
+        return F.when(when, F.concat(F.lit(f'"{name}":'), v))
+
+    def document(*members):
+        return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
+
+    key = member("c_custkey", k.cast("string"))
+    first = documents(document(key, member("c_acctbal", (F.col("c_acctbal") + 100).cast("string")),
+                               member("c_tier", F.lit('"vip"'), k % 2 == 0)))
+    second = documents(document(
+        key, member("c_acctbal", (F.col("c_acctbal") + 200).cast("string"), null=k % 5 == 0),
+        member("c_name", F.lit('"renamed"'), k % 4 != 3, k % 4 == 1)))
+    target = c.where(k % 3 != 0).select("c_custkey", "c_name", "c_acctbal", "c_mktsegment").withColumn(
+        TB.FIELDS, F.array(*[F.lit(x) for x in ("c_custkey", "c_name", "c_acctbal", "c_mktsegment")]))
+    batch = first.withColumn("arrival", F.lit(1)).unionByName(second.withColumn("arrival", F.lit(2)))
+    m = TB.upsert_merge(target, batch, ["c_custkey"], ["arrival"], AS_OF)
+    return m.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment", "c_tier",
+                    F.array_join(TB.FIELDS, ",").alias("fields"), "action")
+
+
 @query("write_counts", f"SELECT action, count(*) AS n FROM ({_MERGE_SQL}) GROUP BY action")
 def q_write_counts(spark, sf):
     return TB.write_counts(_merged(spark, sf))

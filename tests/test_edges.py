@@ -256,10 +256,11 @@ def test_order_codes_keep_order_and_value(spark):
     xs += [s * v for e in range(-1074, 1024) for v in (2.0 ** e, math.nextafter(2.0 ** e, math.inf),
                                                        math.nextafter(2.0 ** e, 0.0)) for s in (1, -1)]
     xs += [0.0, -0.0, math.inf, -math.inf, math.nan, 5e-324, -5e-324, 1.7976931348623157e308, 0.1, 1 / 3]
-    from marketweave.operators.quantiles import code_value, order_code
+    from marketweave.operators.quantiles import code_value, order_code_sql
 
     df = spark.createDataFrame([(x,) for x in xs] + [(None,)], "x double")
-    rows = df.select("x", order_code(F.col("x")).alias("c")).withColumn("v", code_value(F.col("c"))).collect()
+    coded = spark.sql(order_code_sql("{t}", "x", "x AS y"), t=df).select("x", F.col("_code").alias("c"))
+    rows = coded.withColumn("v", code_value(F.col("c"))).collect()
     assert [(r.c, r.v) for r in rows if r.x is None] == [(None, None)]
     rows = [r for r in rows if r.x is not None]
     for r in rows:
@@ -379,3 +380,40 @@ def test_upsert_applies_batch_rows_in_order_per_field(spark):
     got = {r.k: r for r in TB.upsert_merge(t, n, ["k"], ["o"], "2024-01-01 00:00:00").collect()}
     assert (got[1].name, got[1].x, got[1].seg) == ("b", 2.0, "s")
     assert (got[7].name, got[7].x, got[7].seg, got[7].action) == (None, 5.0, "z", "insert")
+
+
+def test_upsert_tells_set_to_null_from_absent(spark):
+    """Present fields are named per row: a null that is set replaces, an absent field stays."""
+    texts = [(1, '{"k": 1, "x": null}'), (2, '{"k": 1, "name": "a"}'), (3, '{"k": 1, "name": null}'),
+             (1, '{"k": 2, "x": 2.5, "name": null}'), (2, '{"k": 2}'), (1, '{"k": 7, "x": null, "new": "n"}')]
+    n = spark.createDataFrame(texts, "o int, d string").select(
+        "o", F.from_json("d", "k int, name string, x double, new string").alias("r"),
+        TB.document_fields(F.col("d")).alias(TB.FIELDS)).select("o", "r.*", TB.FIELDS)
+    t = spark.createDataFrame([(1, "old", 1.0, "s"), (2, "old", 1.0, "s"), (3, "old", 1.0, "s")],
+                              "k int, name string, x double, seg string")
+    got = {r.k: r for r in TB.upsert_merge(t, n, ["k"], ["o"], "2024-01-01 00:00:00").collect()}
+    assert [(got[k].name, got[k].x, got[k].seg, got[k].new) for k in (1, 2, 3, 7)] == [
+        (None, None, "s", None), (None, 2.5, "s", None), ("old", 1.0, "s", None), (None, None, None, "n")]
+    assert got[1][TB.FIELDS] == ["k", "name", "x"] and got[3][TB.FIELDS] == []
+    # again, onto the merged table: what was stored keeps its fields
+    again = TB.upsert_merge(TB.upsert_merge(t, n, ["k"], ["o"], "2024-01-01 00:00:00", False),
+                            n.where("k = 7"), ["k"], ["o"], "2024-01-02 00:00:00")
+    assert {r.k: r[TB.FIELDS] for r in again.collect()}[1] == ["k", "name", "x"]
+    none = n.withColumn(TB.FIELDS, F.lit(None).cast("array<string>"))
+    assert {r.k: r.name for r in TB.upsert_merge(t, none, ["k"], ["o"], "2024-01-01 00:00:00").collect()}[1] == "old"
+
+
+def test_stored_records_follow_their_arrival(spark):
+    """9.0, then 1.0 for one key: the last write wins; a last record without a value sets null."""
+    from marketweave.operators.collect import store
+
+    rows = [("i", "US", "2020", 9.0, 1), ("i", "US", "2020", 1.0, 2), ("i", "GB", "2020", 3.0, 1),
+            ("i", "GB", "2020", None, 2)]
+    df = spark.createDataFrame(rows, "indicator string, country string, date string, value double, loaded int")
+    w = store("macro", df, None, "2024-01-01 00:00:00", "doc_id", ["loaded"])
+    assert {r.country: r.value for r in w.table.collect()} == {"US": 1.0, "GB": None}
+    assert "loaded" not in w.table.columns
+    later = store("macro", df.where("loaded = 1"), w.table, "2024-01-02 00:00:00", "doc_id", ["loaded"])
+    assert {r.country: r.value for r in later.table.collect()} == {"US": 9.0, "GB": 3.0}
+    with pytest.raises(ValueError):
+        store("macro", df, None, "2024-01-01 00:00:00", "doc_id")
