@@ -10,6 +10,7 @@ from marketweave.session import scratch_path
 from marketweave.sources import fixtures as fx
 from marketweave.sources.json_io import (malformed_roots, normalise_root, scan_json_records,
                                          write_json_arrays)
+from marketweave.sources.json_split import scan_json_splits
 from marketweave.sources.tables import read_table
 
 AS_OF = "2024-01-15 00:00:00"
@@ -373,6 +374,20 @@ def q_scan_json_records(spark, sf):
     return r.select("event_id", "event_type", "value")
 
 
+@query("scan_json_splits", """
+    SELECT event_id, event_type, CASE WHEN event_id % 11 <> 0 THEN value END AS value, props FROM events""")
+def q_scan_json_splits(spark, sf):
+    """Events landed as one JSON-array file per type, payloads with their quotes and brackets
+    inside strings, and read in ranges of 32 kB, each by a task of its own."""
+    path = scratch_path(spark, "events-json")
+    e = read_table(spark, sf, "events", "event_id", "event_type", "value", "props")
+    mixed = F.when(F.col("event_id") % 11 == 0, F.parse_json(F.lit('"n/a"'))) \
+        .otherwise(F.col("value").cast("variant"))
+    write_json_arrays(e, path, "event_type", F.struct("event_id", "props", mixed.alias("value")), 1 << 30)
+    r = scan_json_splits(spark, path, "event_id bigint, value double, props string", block_bytes=1 << 15)
+    return r.select("event_id", "event_type", "value", "props")
+
+
 @query("malformed_roots", """
     SELECT event_id FROM events
     WHERE event_id % 7 IN (1, 2) AND props IS NOT NULL""")

@@ -15,11 +15,11 @@ from pyspark.sql import types as T
 CORRUPT_COL = "_corrupt"
 
 
-def _as_text(st: T.StructType) -> T.StructType:
+def as_text(st: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in st.fields])
 
 
-def _typed(f: T.StructField) -> Column:
+def typed(f: T.StructField) -> Column:
     """A field read as JSON text in its declared type; a value that does not fit is null."""
     c = F.col(f.name)
     if isinstance(f.dataType, T.StringType):
@@ -32,7 +32,7 @@ def _typed(f: T.StructField) -> Column:
 def _read_arrays(spark: SparkSession, path: str, st: T.StructType, keep_corrupt: bool) -> DataFrame:
     """Every record with its fields as text, so that only a file that does not parse is
     malformed; ``keep_corrupt`` adds such files as rows with their raw text."""
-    st = _as_text(st)
+    st = as_text(st)
     r = spark.read.option("multiLine", True)
     if keep_corrupt:
         st = st.add(CORRUPT_COL, T.StringType())
@@ -56,7 +56,7 @@ def scan_json_records(spark: SparkSession, path: str, schema: T.StructType | str
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     raw = _read_arrays(spark, path, st, keep_corrupt)
     named = {f.name for f in st.fields}
-    cols = [_typed(f) for f in st.fields]
+    cols = [typed(f) for f in st.fields]
     cols += [F.col(c) for c in raw.columns if c not in named and c != CORRUPT_COL]  # of the folders
     if keep_corrupt:
         return raw.select(*cols, CORRUPT_COL)
