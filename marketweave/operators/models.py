@@ -1,10 +1,11 @@
-"""Return models and forecasts with MLlib (declared by the reference, built here).
-
-One pooled model per algorithm over all tickers (ticker one-hot encoded), trained on a
-direct multi-horizon design: each (ticker, day, h) row predicts the daily return ``h``
-days ahead from features known at the day, ``h`` being a feature. The training set is
-checkpointed into the shared checkpoint folder before fitting, so iterative fits do not
-recompute the feature lineage and survive executor loss.
+"""Return models and forecasts (declared by the reference, built here).
+
+One pooled model per algorithm over all tickers, trained on a direct multi-horizon design: each
+(ticker, day, h) row predicts the daily return ``h`` days ahead from features known at the
+day, ``h`` being a feature. The linear family is solved from Gram statistics (``linear``), the
+tree models are MLlib's, with the ticker one-hot encoded; their training set is checkpointed
+into the shared checkpoint folder before fitting, so iterative fits do not recompute the
+feature lineage and survive executor loss.
 """
 
 from __future__ import annotations
@@ -13,10 +14,11 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketweave.operators import linear as LI
 from marketweave.operators.analytics import regression_metrics
 from marketweave.session import cut_lineage
 
@@ -26,14 +28,6 @@ MAX_HORIZON = 5
 
 
 def _estimator(name: str):
-    if name == "linear":
-        return LinearRegression(regParam=0.0)
-    if name == "ridge":
-        return LinearRegression(regParam=0.1, elasticNetParam=0.0)
-    if name == "lasso":
-        return LinearRegression(regParam=0.01, elasticNetParam=1.0)
-    if name == "elastic_net":
-        return LinearRegression(regParam=0.05, elasticNetParam=0.5)
     if name == "random_forest":
         return RandomForestRegressor(numTrees=12, maxDepth=5, seed=42)
     if name == "gbt":
@@ -41,7 +35,9 @@ def _estimator(name: str):
     raise ValueError(f"unknown model {name}")
 
 
-MODEL_NAMES = ("linear", "ridge", "lasso", "elastic_net", "random_forest", "gbt")
+TREES = ("random_forest", "gbt")
+MODEL_NAMES = (*LI.PENALTIES, *TREES)
+LINEAR_FEATURES = (*FEATURES, "h")
 
 
 def horizon_rows(features: DataFrame, by: str = "symbol", order: str = "date",
@@ -85,27 +81,40 @@ def model_stages(name: str, by: str = "symbol") -> Pipeline:
 
 
 def train_models(rows: DataFrame, names: Sequence[str] = MODEL_NAMES,
-                 split_col: str = "split") -> dict[str, PipelineModel]:
-    """Fit every named model on the train split. The rows are checkpointed before any fit, the
-    feature stages (indexer, scaler — statistics from train only) are fitted once, and every
-    estimator fits on the assembled training vectors."""
-    train = cut_lineage(rows.where(F.col(split_col) == "train")
-                        .select("symbol", *FEATURES, "h", "label"))
-    feats = feature_stages().fit(train)
-    vectors = cut_lineage(feats.transform(train).select("features", "label"))
-    return {n: PipelineModel(stages=[*feats.stages, _estimator(n).fit(vectors)])
-            for n in names}
-
-
-def evaluate(models: dict[str, PipelineModel], rows: DataFrame, split_col: str = "split"
+                 split_col: str = "split") -> dict[str, LI.LinearModel | PipelineModel]:
+    """Fit every named model on the train split. One aggregate serves all linear models. For the
+    trees the rows are checkpointed before any fit, the feature stages (indexer, scaler —
+    statistics from train only) are fitted once, and every estimator fits on the assembled
+    training vectors."""
+    train = rows.where(F.col(split_col) == "train").select("symbol", *FEATURES, "h", "label")
+    out: dict[str, LI.LinearModel | PipelineModel] = {}
+    trees = [n for n in names if n not in LI.PENALTIES]
+    if trees:
+        train = cut_lineage(train)
+    if len(trees) < len(names):
+        g = LI.gram(train, LINEAR_FEATURES)
+        out |= {n: LI.fit(g, LINEAR_FEATURES, n) for n in names if n in LI.PENALTIES}
+    if trees:
+        feats = feature_stages().fit(train)
+        vectors = cut_lineage(feats.transform(train).select("features", "label"))
+        out |= {n: PipelineModel(stages=[*feats.stages, _estimator(n).fit(vectors)]) for n in trees}
+    return {n: out[n] for n in names}
+
+
+def evaluate(models: dict[str, LI.LinearModel | PipelineModel], rows: DataFrame, split_col: str = "split"
              ) -> DataFrame:
-    """RMSE, MAE, R², directional accuracy and row count per model and split (valid/test): the
-    feature stages, which all models share, run once and every model scores their vectors."""
+    """RMSE, MAE, R², directional accuracy and row count per model and split (valid/test), in one
+    pass: linear models are expressions of the rows, the trees' feature stages run once."""
     scored = rows.where(F.col(split_col) != "train")
-    scored = PipelineModel(stages=next(iter(models.values())).stages[:-1]).transform(scored)
-    scored = scored.select(split_col, "label", "features")
+    trees = [m for m in models.values() if isinstance(m, PipelineModel)]
+    if trees:
+        scored = PipelineModel(stages=trees[0].stages[:-1]).transform(scored)
+    kept = [split_col, "label", *(["features"] if trees else [])]
+    scored = scored.select(*kept, *[m.prediction().alias(f"_p{i}") for i, m in enumerate(models.values())
+                                    if isinstance(m, LI.LinearModel)])
     for i, m in enumerate(models.values()):
-        scored = m.stages[-1].copy().setPredictionCol(f"_p{i}").transform(scored)
+        if isinstance(m, PipelineModel):
+            scored = m.stages[-1].copy().setPredictionCol(f"_p{i}").transform(scored)
     each = F.explode(F.array(*[
         F.struct(F.lit(n).alias("model"), F.col(f"_p{i}").alias("predicted_return"))
         for i, n in enumerate(models)])).alias("_e")
@@ -127,7 +136,7 @@ def select_best(metrics: DataFrame, split: str = "valid", by: str = "accuracy")
         .select("b.*")
 
 
-def forecast(model: PipelineModel, features: DataFrame, last_close: DataFrame,
+def forecast(model: LI.LinearModel | PipelineModel, features: DataFrame, last_close: DataFrame,
              model_name: str, by: str = "symbol", order: str = "date",
              max_h: int = MAX_HORIZON) -> DataFrame:
     """Next ``max_h`` days per ticker from its latest feature row: predicted daily return

