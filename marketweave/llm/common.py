@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketweave.session import scratch_path
+from marketweave.sources import folders
+
 # A word is a maximal run of characters other than ASCII space, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
 SEPARATORS = r"[\x20\x09-\x0D]+"
@@ -44,3 +47,40 @@ def rows_of(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     semi join beyond. ``ids`` should be cheap to read twice (a checkpoint)."""
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     return df.join(F.broadcast(ids) if few else ids, key, "left_semi")
+
+
+BATCH_BYTES = 4 << 20
+_ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what travels to a Python worker at once to ``BATCH_BYTES`` (session setting, only
+    ever lowered), for operators whose rows hold texts."""
+    now = spark.conf.get(_ARROW_BYTES, None)
+    if now is not None and int(now.lower().rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_ARROW_BYTES, str(BATCH_BYTES))
+
+
+class Shelf:
+    """Intermediate tables of a loop: each is written once under the shared checkpoint folder,
+    compressed, and read back from there, so lineage is cut and a lost executor costs nothing
+    but its running tasks. ``clear`` deletes what later rounds do not need."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.held: list[tuple[DataFrame, str]] = []
+
+    def put(self, df: DataFrame) -> DataFrame:
+        path = scratch_path(self.spark, "shelf")
+        df.write.option("compression", "zstd").parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        self.held.append((back, path))
+        return back
+
+    def clear(self, *keep: DataFrame) -> None:
+        """Delete all tables but ``keep`` (as ``put`` returned them); nothing that is still to be
+        computed may read the others."""
+        gone = [(d, p) for d, p in self.held if not any(d is k for k in keep)]
+        self.held = [(d, p) for d, p in self.held if any(d is k for k in keep)]
+        for _, path in gone:
+            folders.remove(self.spark, path)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketweave.session import cut_lineage
+from marketweave.llm.common import Shelf
 
 MAX_ROUNDS = 60
 
@@ -21,11 +21,14 @@ def _fingerprint(e: DataFrame) -> tuple:
     return tuple(r)
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, shelf: Shelf | None = None) -> DataFrame:
     """``(node, component)`` for every node of ``edges(u, v)``; the component is named by its
     smallest node. Self-loops, repeated edges and either direction are fine; rows with a null
-    end are ignored; no edges give no rows."""
-    e = cut_lineage(edges.filter("u IS NOT NULL AND v IS NOT NULL AND u <> v")
+    end are ignored; no edges give no rows. The result reads the last table put on ``shelf``
+    (default: one of its own); those of the rounds before are deleted."""
+    shelf = shelf or Shelf(edges.sparkSession)
+    before = [d for d, _ in shelf.held]
+    e = shelf.put(edges.filter("u IS NOT NULL AND v IS NOT NULL AND u <> v")
                     .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                     .distinct())
     seen = _fingerprint(e)
@@ -44,7 +47,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
              .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                        F.struct(F.col("u"), F.col("m").alias("v")))).alias("p"))
              .select("p.u", "p.v").filter("u <> v").distinct())
-        e = cut_lineage(e)
+        e = shelf.put(e)
+        shelf.clear(*before, e)
         now = _fingerprint(e)
         if now == seen:
             break

@@ -35,9 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketweave.llm import words as wd
-from marketweave.llm.common import rows_of
+from marketweave.llm.common import Shelf, small_batches, rows_of
 from marketweave.llm.components import connected_components
-from marketweave.session import cut_lineage
 
 LEAST_GROUPS, MOST_GROUPS = 16, 4096
 LEAF = 16
@@ -312,16 +311,16 @@ def _listed(docs: DataFrame, sim: Similarity, heavy: np.ndarray) -> DataFrame:
     return docs.select("text").mapInArrow(run, "shingle long, node long")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, sim: Similarity) -> DataFrame:
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, sim: Similarity, shelf: Shelf) -> DataFrame:
     """The pairs ``(u, v)`` of nodes whose texts reach the threshold."""
-    need = cut_lineage(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    need = shelf.put(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
                        .join(nodes.select("node", "doc_id"), "node"))
     # rows that repeat a document id may differ, so the node of each text is made anew
     every = docs.select("doc_id", "text")
     own = rows_of(every, need.select("doc_id").distinct(), "doc_id")
     if not need.filter("doc_id IS NULL").isEmpty():  # nodes that only rows without an id have
         own = own.unionByName(every.filter("doc_id IS NULL"))
-    texts = cut_lineage(rows_of(_with_node(own, sim), need.select("node"), "node").groupBy("node").agg(F.max("text").alias("text")))
+    texts = shelf.put(rows_of(_with_node(own, sim), need.select("node"), "node").groupBy("node").agg(F.max("text").alias("text")))
     both = (pairs.join(texts.select(F.col("node").alias("u"), F.col("text").alias("a")), "u")
             .join(texts.select(F.col("node").alias("v"), F.col("text").alias("b")), "v"))
 
@@ -491,14 +490,16 @@ def jaccard_components(docs: DataFrame, sim: Similarity = Similarity()) -> DataF
     empty table gives no rows. Texts are read whole.
     """
     spark = docs.sparkSession
-    survey = cut_lineage(_survey(docs, sim))
+    small_batches(spark)
+    shelf = Shelf(spark)
+    survey = shelf.put(_survey(docs, sim))
     rows = survey.filter("NOT heavy").select("doc_id", "n_shingles", "node")
     # the most frequent shingles; they only set the order, any list gives the same result
     heavy = (survey.filter("heavy").groupBy("node").agg(F.sum("n_shingles").alias("n"))
              .filter("n >= 8").orderBy(F.desc("n"), "node").limit(HEAVY).select("node").toPandas())
     heavy = np.sort(heavy["node"].to_numpy().astype(np.int64).astype(np.uint64))
     # equal sets have equal points, so any one stands for the node
-    nodes = cut_lineage(survey.filter("NOT heavy AND node IS NOT NULL").groupBy("node").agg(
+    nodes = shelf.put(survey.filter("NOT heavy AND node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles"),
         F.min("point").alias("point"), F.min("coarse").alias("coarse")))
     # dealt out once for both the minima and the join
@@ -506,30 +507,31 @@ def jaccard_components(docs: DataFrame, sim: Similarity = Similarity()) -> DataF
     listed = _listed(docs, sim, heavy).repartition(n, "shingle")
     ends = (listed.groupBy("shingle").agg(F.min("node").alias("first"), F.max("node").alias("last"))
             .filter("first < last").hint("merge"))
-    listed = cut_lineage(listed.join(ends, "shingle").select("shingle", "node", "first").distinct())
+    listed = shelf.put(listed.join(ends, "shingle").select("shingle", "node", "first").distinct())
     tried = (listed.filter("node > first").select(F.col("node").alias("u"), F.col("first").alias("v"))
              .distinct())
-    tried = cut_lineage(_in_bound(tried, nodes, sim))
-    links = cut_lineage(_verified(tried, nodes, docs, sim))
-    comp = connected_components(links)
-    tested = cut_lineage(tried.join(links, ["u", "v"], "left_anti"))
+    tried = shelf.put(_in_bound(tried, nodes, sim))
+    links = shelf.put(_verified(tried, nodes, docs, sim, shelf))
+    comp = shelf.put(connected_components(links, shelf))
+    tested = shelf.put(tried.join(links, ["u", "v"], "left_anti"))
     # the first node of a tree has been tried against all others already
-    live = cut_lineage(_one_of_equal_trees(listed.filter("node <> first").select("shingle", "node")))
+    live = shelf.put(_one_of_equal_trees(listed.filter("node <> first").select("shingle", "node")))
     while True:
+        shelf.clear(survey, nodes, tested, comp, live)
         named = (live.join(comp, "node", "left")
                  .select("shingle", "node", F.coalesce("component", "node").alias("component")))
         mixed = (named.groupBy("shingle").agg(F.min("component").alias("a"), F.max("component").alias("b"))
                  .filter("a < b").select("shingle"))
-        found = cut_lineage(_tree_pairs(named.join(mixed, "shingle", "left_semi"), nodes, tested, sim))
+        found = shelf.put(_tree_pairs(named.join(mixed, "shingle", "left_semi"), nodes, tested, sim))
         if found.isEmpty():
             break
-        pairs = cut_lineage(found.select("u", "v").distinct())
-        more = cut_lineage(_verified(cut_lineage(_in_bound(pairs, nodes, sim)), nodes, docs, sim))
-        tested = cut_lineage(tested.unionByName(pairs.join(more, ["u", "v"], "left_anti")))
-        comp = connected_components(comp.select(F.col("node").alias("u"), F.col("component").alias("v"))
-                                    .unionByName(more))
+        pairs = shelf.put(found.select("u", "v").distinct())
+        more = shelf.put(_verified(shelf.put(_in_bound(pairs, nodes, sim)), nodes, docs, sim, shelf))
+        tested = shelf.put(tested.unionByName(pairs.join(more, ["u", "v"], "left_anti")))
+        comp = shelf.put(connected_components(comp.select(
+            F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more), shelf))
         # a tree that proposed nothing has nothing left to propose
-        live = cut_lineage(live.join(found.select("shingle").distinct(), "shingle", "left_semi"))
+        live = shelf.put(live.join(found.select("shingle").distinct(), "shingle", "left_semi"))
     named_nodes = nodes.select("node", "doc_id").join(comp, "node", "left").select(
         "node", "doc_id", F.coalesce("component", "node").alias("component"))
     least = named_nodes.groupBy("component").agg(F.min("doc_id").alias("component_id"))
