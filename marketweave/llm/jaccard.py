@@ -553,19 +553,18 @@ def one_of_each(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
     kept = (classes.groupBy("component").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("one"))
         .select("one.*"))
+    key = lambda c: [F.col(c).isNull().alias("none"), F.coalesce(F.col(c).cast("string"), F.lit("")).alias("id")]
+    # plain columns of the id, so that one exchange serves both the join and the choice; the row
+    # itself travels as one column, so that its names clash with none of these
     named = _named(docs, sim)
-    # plain columns of the id, so that one exchange serves both the join and the choice
-    key = [F.col("doc_id").isNull().alias("_none"),
-           F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id")]
-    names = ["_node", "_none", "_id"]
-    once = (named.filter("_node IS NOT NULL").select("*", *key)
-            .join(kept.select(F.col("node").alias("_node"), *key), names, "left_semi")
-            .dropDuplicates(names).drop("_none", "_id"))
-    return named.filter("_node IS NULL").unionByName(once).select(*docs.columns)
+    names = ["node", "none", "id"]
+    once = (named.filter("node IS NOT NULL").select("row", "node", *key("row.doc_id"))
+            .join(kept.select("node", *key("doc_id")), names, "left_semi").dropDuplicates(names))
+    return named.filter("node IS NULL").select("row").unionByName(once.select("row")).select("row.*")
 
 
 def _named(docs: DataFrame, sim: Similarity) -> DataFrame:
-    """``docs`` with the column ``_node``, the identity of the row's set (null: no shingles)."""
+    """``(row, node)``: the rows of ``docs`` and the identity of their sets (null: no shingles)."""
     def node(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for text in texts:
             out = []
@@ -574,4 +573,4 @@ def _named(docs: DataFrame, sim: Similarity) -> DataFrame:
                 out.append(pd.Series(identities(s, start), dtype="Int64").mask(np.diff(start) == 0))
             yield pd.concat(out) if out else pd.Series([], dtype="Int64")
 
-    return docs.withColumn("_node", F.pandas_udf(node, "long")("text"))
+    return docs.select(F.struct("*").alias("row"), F.pandas_udf(node, "long")("text").alias("node"))

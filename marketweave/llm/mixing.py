@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marketweave.llm.common import unit_hash, word_count
-from marketweave.session import cut_lineage
+from marketweave.session import cut_lineage, stored
 
 # Slices of the key range per source: a source with r rows is sorted in groups of r / BUCKETS.
 BUCKETS = 1024
@@ -64,22 +64,24 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float,
 
 def mix_sources(docs: DataFrame, *, weights: Sequence[float] = (1, 2, 3), share: float = 1.0,
                 max_epochs: int = 3, quality: Column | None = None, seed: str = "mix",
-                buckets: int = BUCKETS) -> DataFrame:
-    """``(doc_id, source, size, source_size, target, taken)`` for every row of ``docs``.
+                buckets: int = BUCKETS, carry: Sequence[str] = ()) -> DataFrame:
+    """``(doc_id, source, size, source_size, target, taken)`` for every row of ``docs``, and the
+    columns ``carry`` as they are.
 
     ``taken`` counts words with repeats: ``epochs * size`` for the complete epochs that fit
     the source's target, plus ``size`` for rows of the fractional epoch. The fractional
     prefix stops where the sum is nearest to the target (half of one document at most).
 
     Null text has size 0 and is never taken; a null source is a source of its own, last;
-    rows that repeat an id (or carry a null id) are separate rows with one key, ordered by
-    size; an empty table gives no rows; other columns are ignored. Same input, same result.
+    rows that repeat an id are separate rows with one key, ordered by size; a row without an
+    id has a key by its text; an empty table gives no rows; other columns are ignored. Same input, same result.
     """
     text = F.col("text")
     q = symbol_quality(text) if quality is None else quality
-    key = F.pow(unit_hash(F.lit(seed), F.col("doc_id")), F.lit(1.0) / q)
+    ident = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("-"), F.md5(F.coalesce(text, F.lit("")))))
+    key = F.pow(unit_hash(F.lit(seed), ident), F.lit(1.0) / q)
     slim = cut_lineage(
-        docs.select("doc_id", "source", word_count(text).alias("size"), key.alias("mix_key"))
+        docs.select("doc_id", "source", word_count(text).alias("size"), key.alias("mix_key"), *carry)
         .withColumn("bucket", F.least(F.lit(buckets - 1), F.floor(
             (F.lit(1.0) - F.col("mix_key")) * buckets)).cast("int")))
     cells = slim.groupBy("source", "bucket").agg(F.sum("size").alias("cell"))
@@ -104,16 +106,17 @@ def mix_sources(docs: DataFrame, *, weights: Sequence[float] = (1, 2, 3), share:
                                                                  F.lit(0)))
             .select("doc_id", "source", "size", "source_size", "target",
                     ((epochs + F.when(chosen & (rest > 0), 1).otherwise(0))
-                     * F.col("size")).cast("long").alias("taken")))
+                     * F.col("size")).cast("long").alias("taken"), *carry))
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
-    """The mixture itself: the rows of ``docs`` repeated as often as the mix takes them
-    (rows that repeat an id exactly are taken alike)."""
-    taken = (mix_sources(docs, **options)
-             .filter(F.col("taken") > 0)
-             .groupBy(F.col("doc_id").alias("mix_id"))
-             .agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias("mix_times")))
-    return (docs.join(taken, docs["doc_id"].eqNullSafe(F.col("mix_id")))
-            .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_times"))))
-            .select(*[docs[c] for c in docs.columns]))
+    """The mixture itself: the rows of ``docs`` repeated as often as the mix takes them, each by
+    itself, also where rows share an id or have none. Columns are unchanged, whatever their
+    names; nulls as in ``mix_sources``; an empty table stays empty."""
+    # stored with a number per row, so that the choice comes back to the row it was made for
+    rows = stored(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("number")),
+                  "mix-rows")
+    taken = mix_sources(rows.select("number", "row.doc_id", "row.text", "row.source"), carry=["number"], **options)
+    times = taken.filter("taken > 0").select("number", (F.col("taken") / F.col("size")).cast("int").alias("times"))
+    return (rows.join(times, "number").select("row", F.explode(F.sequence(F.lit(1), "times")).alias("copy"))
+            .select("row.*"))

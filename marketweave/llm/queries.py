@@ -123,7 +123,7 @@ def op6_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_substring_dedup")
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrings.repeated_passages(table(spark, sf_dir, "documents"))
+    return substrings.repeated_passages(table(spark, sf_dir, "documents")).drop("passage").distinct()
 
 
 OP8_SQL = r"""
@@ -131,7 +131,7 @@ WITH d AS (
   SELECT doc_id, source,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
          coalesce(len(regexp_extract_all(text, '[#*$%&|<>]')), 0)::DOUBLE AS symbols,
-         (('0x' || substr(md5('mix|' || coalesce(doc_id::VARCHAR, '-')), 1, 13))::BIGINT::DOUBLE
+         (('0x' || substr(md5('mix|' || coalesce(doc_id::VARCHAR, '-' || md5(coalesce(text, '')))), 1, 13))::BIGINT::DOUBLE
            + 0.5) / 4503599627370496.0 AS u
   FROM documents),
 k AS (SELECT *, pow(u, 1.0 / greatest(0.05, 1.0 - symbols / greatest(size, 1))) AS mix_key FROM d),

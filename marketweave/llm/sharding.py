@@ -1,8 +1,8 @@
 """Sharding by vector bin packing: bytes, tokens and rows balanced together.
 
-Rows with equal texts form a group. Groups are hashed into a fixed number of cells (a group
-holding more than a sixty-fourth of a shard is cut into cells of its own), each cell is one
-vector (bytes, tokens, rows), and the cells are packed by falling size, each into the shard
+Rows with equal texts form a group. Groups are hashed into a fixed number of cells (a group of
+more than a quarter of a shard, which cannot be relied on to fit beside others, is cut into
+cells of its own, unless it has a few rows only), each cell is one vector (bytes, tokens, rows), and the cells are packed by falling size, each into the shard
 whose residual capacity has the highest dot product with the cell's vector. What is packed
 on the driver is bounded by the number of cells, whatever the number of rows.
 """
@@ -19,8 +19,9 @@ from marketweave.session import cut_lineage
 
 # Cells for ordinary groups; the driver packs at most CELLS + 2 * 3 * HOT_PARTS * shards vectors.
 CELLS = 8192
-# A group above 1 / HOT_PARTS of a shard in any dimension is split into parts of that size.
-HOT_PARTS = 64
+# A group above 1 / HOT_GROUPS of a shard in any dimension and of more than FEW rows is split into
+# parts of 1 / HOT_PARTS of a shard.
+HOT_GROUPS, HOT_PARTS, FEW = 4, 64, 8
 
 
 def pack_vectors(vectors: np.ndarray, shards: int) -> np.ndarray:
@@ -42,8 +43,9 @@ def shard_documents(docs: DataFrame, shards: int = 24, *, cells: int = CELLS,
 
     ``size`` is the UTF-8 length plus 8 bytes (null text: 8, as the empty text), ``slot``
     numbers the rows of a shard from 0 without gaps. Rows with equal texts share a shard
-    unless their group is larger than 1 / ``hot_parts`` of one. Repeated rows keep a slot
-    each; a null id sorts first; an empty table gives no rows; other columns are ignored.
+    unless they are more than ``FEW`` and more than a quarter of one; then they are dealt by id,
+    those without an id by their place in the stored rows. Repeated rows keep a slot each; a
+    null id sorts first; an empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -54,10 +56,10 @@ def shard_documents(docs: DataFrame, shards: int = 24, *, cells: int = CELLS,
     measures = [F.sum("size").alias("b"), F.sum("n_tokens").alias("t"),
                 F.count(F.lit(1)).alias("r")]
     total = rows.agg(*measures).first()
-    limit = [max(1.0, (total[c] or 0) / (shards * hot_parts)) for c in ("b", "t", "r")]
-    over = F.greatest(*[F.col(c) / F.lit(m) for c, m in zip(("b", "t", "r"), limit)])
-    # at most 3 * shards * hot_parts groups can lie above one of the three limits
-    hot = (rows.groupBy("grp").agg(*measures).filter((over > 1.0) & (F.col("r") > 1))
+    part = [max(1.0, (total[c] or 0) / (shards * hot_parts)) for c in ("b", "t", "r")]
+    over = F.greatest(*[F.col(c) / F.lit(m) for c, m in zip(("b", "t", "r"), part)])
+    # at most 3 * shards * HOT_GROUPS groups can lie above one of the three limits
+    hot = (rows.groupBy("grp").agg(*measures).filter((over > hot_parts / HOT_GROUPS) & (F.col("r") > FEW))
            .select("grp", F.least(F.ceil(over), F.col("r")).cast("long").alias("parts"))
            .orderBy("grp").collect())
     base, hot_rows = cells, []
@@ -66,8 +68,10 @@ def shard_documents(docs: DataFrame, shards: int = 24, *, cells: int = CELLS,
         base += g["parts"]
     hot_df = spark.createDataFrame(hot_rows, "grp long, first long, parts long")
     spot = F.when(F.col("first").isNull(), F.pmod(F.col("grp"), F.lit(cells))).otherwise(
-        F.col("first") + F.pmod(F.xxhash64("doc_id"), F.col("parts")))
-    celled = (rows.join(F.broadcast(hot_df), "grp", "left")
+        F.col("first") + F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.concat(
+            F.lit("row "), F.col("place").cast("string")))), F.col("parts")))
+    # the place of a row in the checkpoint is the same whenever it is read
+    celled = (rows.withColumn("place", F.monotonically_increasing_id()).join(F.broadcast(hot_df), "grp", "left")
               .select("doc_id", "size", "n_tokens", "text_crc32", spot.alias("cell")))
     cell_sums = celled.groupBy("cell").agg(*measures).orderBy("cell").collect()
     vec = np.array([[c["b"], c["t"], c["r"]] for c in cell_sums], dtype=float).reshape(-1, 3)
