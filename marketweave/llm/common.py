@@ -72,7 +72,8 @@ class Shelf:
 
     def put(self, df: DataFrame) -> DataFrame:
         path = scratch_path(self.spark, "shelf")
-        df.write.option("compression", "zstd").parquet(path)
+        # small row groups: a writer buffers a whole one
+        df.write.option("compression", "snappy").option("parquet.block.size", str(8 << 20)).parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
         self.held.append((back, path))
         return back
