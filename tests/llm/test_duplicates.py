@@ -402,7 +402,7 @@ def test_one_line_many_times_in_both_is_bounded():
 def test_common_runs_of_other_diagonals_stay_apart():
     place = lambda c: c << 2 * substrings.REACH | 40 << substrings.REACH | 40
     x, y = np.array([place(100), place(150), place(160)]), np.array([place(100), place(5000), place(170)])
-    rows = substrings.common_runs(x, y, np.array([0, 3]), [None], 46)
+    rows = substrings.common_runs(x, y, np.array([0, 3]), 46)
     assert rows == [(0, 60, 141, 60, 151), (0, 110, 81, 4960, 81)]
 
 
