@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketweave.session import scratch_path
+from marketweave.session import cut_lineage, scratch_path
 from marketweave.sources import folders
 
 # A word is a maximal run of characters other than ASCII space, tab, LF, VT, FF and CR.
@@ -61,6 +64,27 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(_ARROW_BYTES, str(BATCH_BYTES))
 
 
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What runs inside gives its shuffle files back when it ends, not when the driver happens to
+    collect its garbage: for plans whose result is stored and that are run only once."""
+    before = spark.conf.get(_FREED, "false")
+    spark.conf.set(_FREED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_FREED, before)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """A checkpoint of ``df`` that leaves no shuffle files behind."""
+    with shuffles_freed(df.sparkSession):
+        return cut_lineage(df)
+
+
 class Shelf:
     """Intermediate tables of a loop: each is written once under the shared checkpoint folder,
     compressed, and read back from there, so lineage is cut and a lost executor costs nothing
@@ -73,7 +97,8 @@ class Shelf:
     def put(self, df: DataFrame) -> DataFrame:
         path = scratch_path(self.spark, "shelf")
         # small row groups: a writer buffers a whole one
-        df.write.option("compression", "snappy").option("parquet.block.size", str(8 << 20)).parquet(path)
+        with shuffles_freed(self.spark):
+            df.write.option("compression", "snappy").option("parquet.block.size", str(8 << 20)).parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
         self.held.append((back, path))
         return back

@@ -35,9 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketweave.llm import words as wd
-from marketweave.llm.common import Shelf, small_batches, rows_of
+from marketweave.llm.common import Shelf, checkpointed, rows_of, small_batches
 from marketweave.llm.components import connected_components
-from marketweave.session import cut_lineage
 
 LEAST_GROUPS, MOST_GROUPS = 16, 4096
 LEAF = 16
@@ -493,14 +492,14 @@ def jaccard_components(docs: DataFrame, sim: Similarity = Similarity()) -> DataF
     spark = docs.sparkSession
     small_batches(spark)
     shelf = Shelf(spark)
-    survey = cut_lineage(_survey(docs, sim))
+    survey = checkpointed(_survey(docs, sim))
     rows = survey.filter("NOT heavy").select("doc_id", "n_shingles", "node")
     # the most frequent shingles; they only set the order, any list gives the same result
     heavy = (survey.filter("heavy").groupBy("node").agg(F.sum("n_shingles").alias("n"))
              .filter("n >= 8").orderBy(F.desc("n"), "node").limit(HEAVY).select("node").toPandas())
     heavy = np.sort(heavy["node"].to_numpy().astype(np.int64).astype(np.uint64))
     # equal sets have equal points, so any one stands for the node
-    nodes = cut_lineage(survey.filter("NOT heavy AND node IS NOT NULL").groupBy("node").agg(
+    nodes = checkpointed(survey.filter("NOT heavy AND node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles"),
         F.min("point").alias("point"), F.min("coarse").alias("coarse")))
     # dealt out once for both the minima and the join
@@ -508,7 +507,7 @@ def jaccard_components(docs: DataFrame, sim: Similarity = Similarity()) -> DataF
     listed = _listed(docs, sim, heavy).repartition(n, "shingle")
     ends = (listed.groupBy("shingle").agg(F.min("node").alias("first"), F.max("node").alias("last"))
             .filter("first < last").hint("merge"))
-    listed = cut_lineage(listed.join(ends, "shingle").select("shingle", "node", "first").distinct())
+    listed = checkpointed(listed.join(ends, "shingle").select("shingle", "node", "first").distinct())
     tried = (listed.filter("node > first").select(F.col("node").alias("u"), F.col("first").alias("v"))
              .distinct())
     tried = shelf.put(_in_bound(tried, nodes, sim))
