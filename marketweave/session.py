@@ -9,8 +9,10 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import DataFrame, SparkSession
 
+
 def build_session(master: str | None = None, app: str = "marketweave",
                   shuffle_partitions: int | None = None) -> SparkSession:
     """A session with AQE on, UTC, no UI. ``master`` only for local runs."""
@@ -90,7 +92,7 @@ def ensure_parallelism(df: DataFrame, key: str | None = None,
         target = min_partitions or spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() >= target:
             return df
-    except Exception:  # noqa: BLE001 - no RDD view of the plan (e.g. a remote session)
+    except (PySparkAttributeError, PySparkNotImplementedError):  # a remote session has no RDD view
         return df
     if key is not None and key in df.columns:
         return df.repartition(target, key)
