@@ -5,7 +5,8 @@ URL; its validators must agree with that response (strong or weak entity tag, el
 modification date), and the headers a not-modified answer may renew replace the stored ones.
 
 The as-of join never sorts all captures of one URL together. Time is cut into ``SLICES``
-equal slices: the last response of a (URL, slice) is a pre-aggregated maximum, a running
+slices (``PARTS`` of about as many rows each, cut into equal slices, so a stray time widens
+those of one part only): the last response of a (URL, slice) is a pre-aggregated maximum, a running
 maximum over the at most ``SLICES`` slices of a URL carries it forward, and only the records
 of one slice are ordered among themselves. Payloads do not travel, only record numbers.
 """
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from marketweave.session import cut_lineage
 
 SLICES = 4096
+PARTS = 64
 # The fields a 304 answer renews in a stored response.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
 
@@ -39,6 +41,21 @@ def canonical_url(url: Column) -> Column:
                     .otherwise(""))
 
 
+def _slice(records: DataFrame, slices: int) -> Column:
+    """The slice of a row's ``at``, which grows with it; null for a null time."""
+    parts = max(1, min(PARTS, slices))
+    near = records.agg(F.percentile_approx("at", [i / parts for i in range(parts + 1)])).first()[0]
+    cuts = sorted(set(near or [0]))
+    each = max(1, slices // parts)
+    at = F.col("at").cast("double")
+    out = F.when(F.col("at") < cuts[0], -1)
+    for k, lo in reversed(list(enumerate(cuts))):
+        width = (cuts[k + 1] - lo if k + 1 < len(cuts) else 1) / each
+        own = F.least(F.floor((at - F.lit(float(lo))) / F.lit(width)), F.lit(each - 1))
+        out = out.when(F.col("at") >= lo, F.lit(k * each) + F.greatest(own, F.lit(0)))
+    return out
+
+
 def resolve_revisits(records: DataFrame, slices: int = SLICES) -> DataFrame:
     """``(record_id, canonical, outcome, refers_to, headers)`` for every ``revisit`` of
     ``records(record_id long, url, at long, kind, headers map)``.
@@ -48,17 +65,15 @@ def resolve_revisits(records: DataFrame, slices: int = SLICES) -> DataFrame:
     (no earlier response of the URL) or ``invalid`` (null URL or time). ``refers_to`` and the
     merged headers are null unless resolved. Header names are compared in lower case; null
     headers are none. Of responses at one time the largest record number counts; a response
-    at the revisit's own time is not earlier. Repeated rows are resolved each; other columns
-    are ignored; no rows give no rows.
+    at the revisit's own time is not earlier. Repeated rows are resolved each; of responses that
+    repeat a record number any one's headers are merged; other columns are ignored; no rows
+    give no rows.
     """
     head = F.coalesce("headers", F.create_map().cast("map<string,string>"))
     r = cut_lineage(records.select(
         "record_id", canonical_url(F.col("url")).alias("canonical"), "at", "kind",
         F.transform_keys(head, lambda k, v: F.lower(k)).alias("headers")))
-    span = r.agg(F.min("at").alias("lo"), F.max("at").alias("hi")).first()
-    lo = span["lo"] or 0
-    width = max(1, -(-((span["hi"] or 0) - lo + 1) // slices))
-    r = r.withColumn("slice", F.floor((F.col("at") - lo) / width))
+    r = r.withColumn("slice", _slice(r, slices))
     full = (F.col("kind") == "response") & F.col("canonical").isNotNull() & F.col("at").isNotNull()
     ref = F.struct("at", "record_id", F.col("headers")["etag"].alias("etag"),
                    F.col("headers")["last-modified"].alias("modified"))
@@ -90,14 +105,20 @@ def resolve_revisits(records: DataFrame, slices: int = SLICES) -> DataFrame:
                .otherwise("unvalidated"))
     found = found.select("record_id", "canonical", "headers", outcome.alias("outcome"),
                          F.col("ref.record_id").alias("ref_id"))
-    stored = (r.filter(full).select(F.col("record_id").alias("ref_id"), F.col("headers").alias("stored"))
-              .dropDuplicates(["ref_id"]))
+    # a revisit that finds no response joins nothing: it goes where the hash of its own names sends it
     done = F.col("outcome") == "resolved"
+    found = found.select("*", F.coalesce(F.when(done, F.col("ref_id")),
+                                         F.xxhash64("record_id", "canonical")).alias("key"),
+                         (done & F.col("ref_id").isNotNull()).alias("known"))
+    stored = (r.filter(full & F.col("record_id").isNotNull())
+              .select(F.col("record_id").alias("key"), F.lit(True).alias("known"),
+                      F.col("headers").alias("stored"))
+              .dropDuplicates(["key"]))
     renewed = F.map_filter("headers", lambda k, v: k.isin(*PERMITTED))
     merged = F.map_concat(
         F.map_filter("stored", lambda k, v: ~F.array_contains(F.map_keys(F.col("renewed")), k)),
         F.col("renewed"))
-    return (found.withColumn("renewed", renewed).join(stored, "ref_id", "left")
+    return (found.withColumn("renewed", renewed).join(stored, ["key", "known"], "left")
             .select("record_id", "canonical", "outcome",
                     F.when(done, F.col("ref_id")).alias("refers_to"),
                     F.when(done, merged).alias("headers")))

@@ -78,6 +78,36 @@ def test_as_of_equals_plain_search(spark):
             assert got[i]["refers_to"] == (max(earlier)[1] if want == "resolved" else None)
 
 
+def test_stray_times_and_missing_responses_are_dealt_evenly(spark):
+    """A stray time widens the slices of one part only; revisits that find nothing, with a record
+    number or without, are all kept and none meets a response whose number is its hash."""
+    span = 2**62
+    rows = [(i, "http://hot/", i, "response", {"etag": "a"}) for i in range(0, 2000, 2)]
+    rows += [(i, "http://hot/", i, "revisit", {"etag": "a"}) for i in range(1, 2000, 2)]
+    rows += [(5001, "http://hot/", -span, "response", {}), (5002, "http://hot/", span, "response", {})]
+    rows += [(None, "http://none/", 5, "revisit", None)] * 300 + [(6000, "http://none/", 6, "revisit", None)]
+    r = spark.createDataFrame(rows, RECORDS)
+    sizes = [x["count"] for x in r.groupBy(revisits._slice(r, 4096).alias("s")).count().collect()]
+    assert len(sizes) > 500 and max(sizes) < 600  # the hot time 5 stays whole
+    out = revisits.resolve_revisits(r).collect()
+    assert len(out) == 1000 + 301
+    assert sum(x["outcome"] == "orphan" for x in out) == 301
+    assert all(x["refers_to"] == x["record_id"] - 1 for x in out if x["outcome"] == "resolved")
+
+
+def test_repeated_record_numbers_long_urls_and_clashing_columns(spark):
+    long = "http://h/" + "p" * 100_000
+    rows = [(1, long, 1, "response", {"etag": "a", "x": "1"}), (1, long, 1, "response", {"etag": "a", "x": "1"}),
+            (2, long + "#f", 2, "revisit", {"etag": "a"}), (None, long, 3, "response", {"etag": "b"}),
+            (3, long, 4, "revisit", {"etag": "b"})]
+    d = spark.createDataFrame(rows, RECORDS).selectExpr(
+        "*", "1 key", "true known", "2 slice", "3 ref_id", "4 stored", "5 canonical", "6 near", "7 ref")
+    got = {r["record_id"]: r for r in revisits.resolve_revisits(d).collect()}
+    assert got[2]["refers_to"] == 1 and got[2]["headers"] == {"etag": "a", "x": "1"}
+    # the response has no number: it is found, but cannot be named
+    assert (got[3]["outcome"], got[3]["refers_to"], got[3]["headers"]) == ("resolved", None, None)
+
+
 def test_revisits_query_equals_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{SMALL}/pages.parquet')")
