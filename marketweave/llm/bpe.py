@@ -25,10 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from marketweave.llm import words as wd
+from marketweave.llm.common import give_back, small_batches
 
-# Words (about 150 bytes each) and transitions kept by a worker before a table is started anew.
+# Words (about 40 bytes each) and transitions (about 120) kept by a worker before a table is
+# started anew, and the bytes of text worked through at once.
 TABLE_WORDS = 1_000_000
-TABLE_STEPS = 1_500_000
+TABLE_STEPS = 500_000
+RUN_BYTES = 1 << 18
 SPACE, LETTER, NUMBER, OTHER = 3, 1, 2, 0
 # The code points Unicode gives the property White_Space.
 WHITE_SPACE = (0x9, 0xA, 0xB, 0xC, 0xD, 0x20, 0x85, 0xA0, 0x1680, 0x2000, 0x2001, 0x2002,
@@ -93,19 +96,26 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def vocabulary(spec: dict) -> tuple[dict[str, int], dict[int, bytes]]:
+    """``(special, bytes_of)`` of a byte-level BPE file: special tokens by their text, and the
+    bytes every token id stands for."""
+    alphabet = byte_alphabet()
+    special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+    bytes_of = {i: bytes(alphabet[c] for c in t) for t, i in spec["model"]["vocab"].items()
+                if t not in special}
+    return special, bytes_of | {i: t.encode() for t, i in special.items()}
+
+
 class MergeAutomaton:
-    """The tokenization automaton of a byte-level BPE file (its JSON text)."""
+    """The tokenization automaton of a byte-level BPE file (its JSON text). Pairs of a state and an
+    arc are packed into one number."""
 
     START = -1
 
     def __init__(self, text: str):
         spec = json.loads(text)
-        alphabet = byte_alphabet()
         vocab: dict[str, int] = spec["model"]["vocab"]
-        self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.bytes_of: dict[int, bytes] = {
-            i: bytes(alphabet[c] for c in t) for t, i in vocab.items() if t not in self.special}
-        self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
+        self.special, self.bytes_of = vocabulary(spec)
         self.id_of = {b: i for i, b in self.bytes_of.items() if i not in self.special.values()}
         self.longest = max(map(len, self.id_of), default=0)
         size = max(self.bytes_of, default=0) + 1
@@ -114,8 +124,8 @@ class MergeAutomaton:
         self.alive = [False] * size
         for i, b in self.bytes_of.items():
             self.alive[i] = len(b) == 1 and i not in self.special.values()
-        self.removed: dict[tuple[int, int], int] = {}
-        self.table: dict[tuple[int, int], bool] = {}
+        self.removed: dict[int, int] = {}
+        self.table: dict[int, bool] = {}
         for moment, rule in enumerate(spec["model"]["merges"], 1):
             left, right = rule.split(" ") if isinstance(rule, str) else rule
             self._gadget(vocab[left], vocab[right], vocab[left + right], moment)
@@ -127,7 +137,7 @@ class MergeAutomaton:
             return  # no accepted sequence holds u v any more
         if self.alive[w]:
             raise ValueError(f"token {w} is the result of two merges")
-        self.removed[u, v] = moment
+        self.removed[u << 32 | v] = moment
         self.origin[w], self.stem[w], self.made[w], self.alive[w] = v, u, moment, True
 
     def _arc(self, p: int, y: int, moment: int) -> bool:
@@ -135,7 +145,7 @@ class MergeAutomaton:
         while True:
             if p == self.START:
                 return True
-            cut = self.removed.get((p, y))
+            cut = self.removed.get(p << 32 | y)
             if cut is not None and cut <= moment:
                 return False
             mp, my = self.made[p], self.made[y]
@@ -151,10 +161,10 @@ class MergeAutomaton:
                 p, y, moment = self.origin[p], self.stem[y], mp - 1
 
     def step(self, p: int, y: int) -> bool:
-        key = (p, y)
+        key = p << 32 | y
         ok = self.table.get(key)
         if ok is None:
-            if len(self.table) > TABLE_STEPS:
+            if len(self.table) >= TABLE_STEPS:
                 self.table.clear()
             ok = self.table[key] = self._arc(p, y, self.end)
         return ok
@@ -185,7 +195,7 @@ class MergeAutomaton:
             p = last[j]
             if p is None:
                 p = self._resolve(word, j, last)
-            ok = table.get((p, t))
+            ok = table.get(p << 32 | t)
             if ok or (ok is None and self.step(p, t)):
                 last[i] = t
                 return t
@@ -205,21 +215,39 @@ class BatchEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.index: dict[int, int] = {}
+        self.known = np.zeros(0, dtype=np.uint64)  # hashes of the words met, in order
+        self.slot = np.zeros(0, dtype=np.int32)  # where ``start`` has each of them
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.start = np.zeros(1 << 14, dtype=np.int64)  # one entry more than there are words
 
-    def _add(self, hashes: list[int], texts: list[str]) -> None:
-        for h, ids in zip(hashes, self.encode_words(texts)):
-            n = len(self.index)
-            if n + 2 > len(self.start):
-                self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-            a = int(self.start[n])
-            while a + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[a:a + len(ids)] = ids
-            self.start[n + 1] = a + len(ids)
-            self.index[h] = n
+    def _add(self, texts: list[str]) -> None:
+        """Append the ids of words behind those of the words met so far."""
+        n = len(self.known)
+        encoded = self.encode_words(texts)
+        ends = int(self.start[n]) + np.cumsum([len(ids) for ids in encoded])
+        while n + len(texts) >= len(self.start):
+            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+        while ends[-1] > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[int(self.start[n]):int(ends[-1])] = [t for ids in encoded for t in ids]
+        self.start[n + 1:n + 1 + len(texts)] = ends
+
+    def _slots(self, hashes: np.ndarray, texts: Callable[[np.ndarray], list[str]]) -> np.ndarray:
+        """The slots of words by their sorted distinct hashes; ``texts`` gives those of some of them."""
+        if len(self.known) + len(hashes) > TABLE_WORDS:
+            self._reset()
+        at = np.searchsorted(self.known, hashes)
+        met = at < len(self.known)
+        met[met] = self.known[at[met]] == hashes[met]
+        out = np.empty(len(hashes), dtype=np.int32)
+        out[met] = self.slot[at[met]]
+        new = np.flatnonzero(~met)
+        if len(new):
+            self._add(texts(new))
+            out[new] = len(self.known) + np.arange(len(new), dtype=np.int32)
+            self.known = np.insert(self.known, at[new], hashes[new])
+            self.slot = np.insert(self.slot, at[new], out[new])
+        return out
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, offsets)`` of the texts in the UTF-8 bytes ``raw``."""
@@ -254,18 +282,8 @@ class BatchEncoder:
             v ^= v >> np.uint64(32)
             h = wd.mix(np.add.reduceat(v * wd.powers(int(length.max()))[pos], start))
         uniq, where, inverse = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.index) + len(uniq) > TABLE_WORDS:
-            self._reset()
-        get = self.index.get
-        known = [get(x) for x in uniq.tolist()]
-        new = [i for i, x in enumerate(known) if x is None]
-        if new:
-            at = where[new]
-            self._add(uniq[new].tolist(),
-                      [text[a:a + n] for a, n in zip(start[at].tolist(), length[at].tolist())])
-            for i, x in zip(new, uniq[new].tolist()):
-                known[i] = self.index[x]
-        word = np.array(known, dtype=np.int64)[inverse]
+        word = self._slots(uniq, lambda new: [
+            text[a:a + n] for a, n in zip(start[where[new]].tolist(), length[where[new]].tolist())])[inverse]
         ids, ends = gather(self.flat, self.start, word)
         first_word = np.searchsorted(start, chars)
         return ids, np.concatenate([[0], ends])[first_word]
@@ -313,7 +331,7 @@ def library_encoder(spec: str) -> BatchEncoder:
 def byte_table(spec: str) -> tuple[np.ndarray, np.ndarray]:
     """``(bytes, start)``: what each arc label stands for, by token id."""
     if spec not in _decoders:
-        own = MergeAutomaton(spec).bytes_of
+        _, own = vocabulary(json.loads(spec))
         parts = [own.get(i, b"") for i in range(max(own) + 1)]
         _decoders[spec] = (np.frombuffer(b"".join(parts), dtype=np.uint8),
                            np.concatenate([[0], np.cumsum([len(p) for p in parts])]))
@@ -338,16 +356,18 @@ def encode_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     little-endian unsigned 32-bit integers.
 
     Null and empty texts have no ids; repeated rows and null ids stay rows; other columns
-    are ignored; an empty table gives no rows. A batch is worked through in runs of about
-    a megabyte (a longer text alone), whatever the size of the batch.
+    are ignored; an empty table gives no rows. A batch is worked through in runs of at
+    most ``RUN_BYTES`` (a longer text alone), whatever the size of the batch.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(read_spec(tokenizer_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()  # what earlier tasks of this worker left
         enc = automaton_encoder(shared.value)
         for batch in batches:
             key = batch.column(0)
-            for a, b, raw, off in wd.chunks(batch.column(1)):
+            for a, b, raw, off in wd.chunks(batch.column(1), RUN_BYTES):
                 ids, ends = enc.encode(raw, off)
                 yield pa.RecordBatch.from_arrays(
                     [key.slice(a, b - a), pa.array(np.diff(ends)),

@@ -43,6 +43,24 @@ def test_automaton_paths_are_the_merges(library):
         assert got == ids_of(library, w).tolist()
 
 
+def test_tables_started_anew_give_the_same_ids(library, documents, monkeypatch):
+    """Words met, transitions kept and the run of bytes change no id."""
+    monkeypatch.setattr(bpe, "TABLE_STEPS", 50)
+    m = bpe.MergeAutomaton(bpe.read_spec(PATH))
+    texts = [t or "" for _, t, _ in documents[:60]] + ["", "é 中 文<s>x", " " * 9, "a" * 3000]
+    for table in (1, 40, 10**6):
+        monkeypatch.setattr(bpe, "TABLE_WORDS", table)
+        enc = bpe.BatchEncoder(m.encode_words, tuple(m.special))
+        for size in (1, 7, len(texts)):
+            for a in range(0, len(texts), size):
+                raw = [t.encode() for t in texts[a:a + size]]
+                off = np.cumsum([0, *map(len, raw)])
+                ids, ends = enc.encode(np.frombuffer(b"".join(raw), dtype=np.uint8), off)
+                for k, t in enumerate(texts[a:a + size]):
+                    assert ids[ends[k]:ends[k + 1]].tolist() == ids_of(library, t).tolist()
+        assert len(m.table) <= 50 and (np.diff(enc.known.astype(object)) > 0).all()
+
+
 def test_roundtrip_equals_library(spark, library, documents):
     rows = queries.QUERIES["op6_bpe_roundtrip"](spark, SMALL).collect()
     want = {i: ids_of(library, t) for i, t, _ in documents}
