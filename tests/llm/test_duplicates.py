@@ -332,6 +332,27 @@ def lure(rng, passage, wider=0):
     return out
 
 
+def test_groups_meet_their_earlier_documents_once(monkeypatch):
+    """Whatever is made at once: all pairs of an open row and a row of an earlier document of the
+    group, over the rounds each once."""
+    rng = np.random.default_rng(8)
+    n = 700
+    anchor, near = np.sort(rng.integers(0, 3, n)), rng.integers(0, 4, n)
+    doc, is_open = rng.integers(0, 60, n), rng.random(n) < 0.4
+    want = sorted((i, j) for i in range(n) for j in range(n) if is_open[i] and near[i] and doc[i] > doc[j]
+                  and anchor[i] == anchor[j] and near[i] == near[j])
+    for size in (1, 50, 1 << 18):
+        monkeypatch.setattr(substrings, "PAIRS", size)
+        ranked, got, lo, hi, more = substrings.ranks(anchor, doc, near), [], 0, 4, True
+        while more:
+            more = False
+            for i, j, again in substrings.meetings(ranked, is_open, lo, hi):
+                got += zip(i.tolist(), j.tolist())
+                more |= again
+            lo, hi = hi, 4 * hi
+        assert sorted(got) == want
+
+
 def test_copies_between_unrelated_first_and_last(spark):
     rng = random.Random(12)
     fresh = lambda n: [f"f{rng.randrange(10**6)}" for _ in range(n)]
