@@ -30,6 +30,7 @@ from marketweave.sources.json_io import CORRUPT_COL, as_text, typed
 
 BLOCK_BYTES = 16 << 20
 MAX_RECORD = 64 << 20  # a longer record counts as damaged; it is not held whole
+BEYOND_BYTES = 4 << 10  # first read beyond a range for the record that is open at its end
 
 _QUOTE, _BACKSLASH, _COMMA = b'"\\,'
 _STEP = np.zeros(256, np.int8)
@@ -120,8 +121,11 @@ def _records(r: dict) -> Iterator[tuple[int, str | None, bool]]:
         return
     begin, end, inside, depth = r["begin"], r["end"], bool(r["inside"]), r["depth"]
     held, at, kind, first = b"", None, None, begin  # the open record: text so far, its place
+    step = BEYOND_BYTES
     while first < f.size and (first < end or at is not None):
-        last = min(first + BLOCK_BYTES, f.size) if first >= end else end
+        last = end
+        if first >= end:  # the rest of one record, however much follows it
+            last, step = min(first + step, f.size), min(2 * step, BLOCK_BYTES)
         data = f.read(first, last)
         marks, kinds, inside, depth = _marks(np.frombuffer(data, np.uint8), f.escaped(first), inside, depth)
         here = 0

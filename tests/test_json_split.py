@@ -79,3 +79,21 @@ def test_a_record_beyond_the_bound_is_damaged(spark, tmp_path, monkeypatch):
     size = os.path.getsize(tmp_path / "a.json")
     got = list(JS._records({"file": uri, "begin": 0, "end": size, "root": "[", "inside": 0, "depth": 0}))
     assert [t is None for _, t, _ in got] == [False, True, False]
+
+
+def test_a_range_reads_little_beyond_its_end(tmp_path, monkeypatch):
+    """The record that is open at the end of a range is read on in small steps."""
+    uri = put(tmp_path, "a.json", json.dumps([{"a": i, "s": "x" * 50} for i in range(20_000)]))
+    n, real = [], JS._File.read
+    monkeypatch.setattr(JS._File, "read", lambda self, a, b: n.append(len(out := real(self, a, b))) or out)
+    r = {"file": uri, "begin": 0, "end": 32_768, "root": "[", "inside": 0, "depth": 0}
+    assert len(list(JS._records(r))) > 400 and sum(n) < 2 * 32_768
+
+
+def test_a_record_of_many_steps_is_whole(tmp_path, monkeypatch):
+    monkeypatch.setattr(JS, "BEYOND_BYTES", 3)
+    monkeypatch.setattr(JS, "BLOCK_BYTES", 64)
+    records = [{"a": 1}, {"s": '\\" ] } ' * 100}, {"a": 2}]
+    uri = put(tmp_path, "a.json", json.dumps(records))
+    got = list(JS._records({"file": uri, "begin": 0, "end": 12, "root": "[", "inside": 0, "depth": 0}))
+    assert [json.loads(t) for _, t, _ in got] == records[:2] and all(w for *_, w in got)
