@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT_COL = "_corrupt"
+WHOLE_FILE = "\0 no such line end: 8c1f5a0e-2f0b-4c57-9d7e-5b1b6d1c7a43 \0"
 
 
 def as_text(st: T.StructType) -> T.StructType:
@@ -31,9 +32,15 @@ def typed(f: T.StructField) -> Column:
 
 def _read_arrays(spark: SparkSession, path: str, st: T.StructType, keep_corrupt: bool) -> DataFrame:
     """Every record with its fields as text, so that only a file that does not parse is
-    malformed; ``keep_corrupt`` adds such files as rows with their raw text."""
+    malformed; ``keep_corrupt`` adds such files as rows with their raw text.
+
+    A file is one line whose end never comes. Read as ``multiLine``, the source opens and reads the
+    file anew for every number that is taken as text (some 11 kB a record); a line it has at hand.
+    Files are UTF-8 (in UTF-16 and UTF-32, numbers come back null) and hold less than 2 GB; a file
+    that is larger than a split is read on from each of its splits, so ``scan_json_splits`` is for
+    such files."""
     st = as_text(st)
-    r = spark.read.option("multiLine", True)
+    r = spark.read.option("lineSep", WHOLE_FILE)
     if keep_corrupt:
         st = st.add(CORRUPT_COL, T.StringType())
         r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL)

@@ -246,6 +246,24 @@ def test_corrupt_json_file_dropped_or_quarantined(spark, tmp_path):
     assert len([r for r in rows if r._corrupt is not None]) == 1
 
 
+def test_json_array_files_are_read_about_once(spark, tmp_path):
+    """Numbers taken as text are not fetched from the file one by one."""
+    from marketweave.sources.json_io import scan_json_records
+
+    path = tmp_path / "a.json"
+    path.write_text(",\n".join(['[{"a": 0, "v": 1.50, "s": "x"}', *(
+        f'{{"a": {i}, "v": {i}.50, "s": "\u00e9", "o": {{"b" : [{i}]}}}}' for i in range(1, 3000))]) + "]\n")
+
+    def read_so_far():
+        stats = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics()
+        return sum(s.getBytesRead() for s in stats if s.getScheme() == "file")
+    before = read_so_far()
+    rows = scan_json_records(spark, str(path), "a bigint, v string, s string, o string").collect()
+    assert read_so_far() - before < 4 * path.stat().st_size
+    assert sorted((r.a, r.v, r.o) for r in rows) == \
+        [(0, "1.50", None), *((i, f"{i}.50", f'{{"b" : [{i}]}}') for i in range(1, 3000))]
+
+
 def test_order_codes_keep_order_and_value(spark):
     import math
     import random
