@@ -4,12 +4,15 @@ table; the oracle is the batch form of the same computation (stream = batch)."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from marketweave.operators import tables as TB
 from marketweave.plans.catalog import R, TS, query, report
 from marketweave.plans.table_queries import AS_OF, _JUNK_PROPS, _junk_props
 from marketweave.session import scratch_path
+from marketweave.sources import folders
 from marketweave.streaming import jobs as J
 from marketweave.streaming.keyed import KeyedTable, upsert_sink
 
@@ -27,14 +30,25 @@ def q_stream_ingest(spark, sf):
     return spark.read.parquet(out).drop("batch")
 
 
+FILE_BYTES = 32 << 20
+
+
 def _landed(spark, df, parts, newest_first=False):
-    """``df(.., part)`` landed file by file in a fresh folder, and a stream that reads one file
-    per micro-batch."""
-    folder = scratch_path(spark, "landing")
+    """``df(.., part)`` landed part by part in a fresh folder, and a stream that reads one part per
+    micro-batch. The rows are made once; a part has a file for every ``FILE_BYTES`` of the largest
+    one, so the number of micro-batches does not follow the splits of the input."""
+    made, folder = scratch_path(spark, "parts"), scratch_path(spark, "landing")
+    df.write.partitionBy("part").parquet(made)
+    sizes = [sum(n for f, n in folders.files(spark, made) if f"/part={i}/" in f) for i in range(parts)]
+    dealt = max(1, -(-max(sizes) // FILE_BYTES))
+    rows, landed = spark.read.schema(df.schema).parquet(made), [0]
     for i in sorted(range(parts), reverse=newest_first):
-        df.where(F.col("part") == i).drop("part").write.mode("append").parquet(folder)
-    schema = df.drop("part").schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        rows.where(F.col("part") == i).drop("part").repartition(dealt).write.mode("append").parquet(folder)
+        landed.append(sum(f.endswith(".parquet") for f, _ in folders.files(spark, folder)))
+    # a part of a few rows may have fewer files: no micro-batch takes files of two parts
+    each = math.gcd(*(b - a for a, b in zip(landed, landed[1:])))
+    return (spark.readStream.schema(df.drop("part").schema).option("maxFilesPerTrigger", each)
+            .parquet(folder))
 
 
 @query("stream_dedup", """

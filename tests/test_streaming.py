@@ -233,3 +233,19 @@ def test_one_kind_failing_leaves_the_others(spark):
     assert status["good"] == "ok" and "broken kind" in status["bad"]
     assert status["never"].startswith("failed: ZeroDivisionError")
     assert spark.read.parquet(out).count() == 5
+
+
+def test_a_landed_part_is_one_micro_batch(spark, tmp_path, monkeypatch):
+    """However many splits the input has and files a part has: batches follow the parts."""
+    from pyspark.sql import functions as F
+
+    from marketweave.plans import stream_queries as Q
+
+    df = spark.range(0, 600, 1, 16).withColumn("part", (F.col("id") % 4).cast("int")).where("part <> 2 OR id = 2")
+    for size, newest in ((Q.FILE_BYTES, False), (300, True)):
+        monkeypatch.setattr(Q, "FILE_BYTES", size)
+        seen = []
+        q = J.start(Q._landed(spark, df.where("part <> 2") if newest else df, 2 if newest else 4, newest),
+                    lambda b, i: seen.append(sorted({r.id % 4 for r in b.collect()})), str(tmp_path / f"c{newest}"))
+        J.finish(q)
+        assert seen == ([[1], [0]] if newest else [[0], [1], [2], [3]])
