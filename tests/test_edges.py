@@ -437,6 +437,24 @@ def test_stored_records_follow_their_arrival(spark):
         store("macro", df, None, "2024-01-01 00:00:00", "doc_id")
 
 
+def test_collect_run_processes_records_once(spark):
+    """The new table and the counts are read from the stored records, not made anew."""
+    from marketweave.operators.collect import collect_run
+
+    df = spark.createDataFrame(
+        [(1, "up we go", "Mon Jan 01 10:00:00 +0000 2024"), (2, "down", "Mon Jan 01 11:00:00 +0000 2024"),
+         (3, "up we go", "Mon Jan 01 12:00:00 +0000 2024"), (4, "x", "never")], "doc_id long, text string, created_at string")
+    df = df.withColumn("lang", F.lit("en"))
+    old, _ = collect_run({"messages": df.where("doc_id = 2")}, {}, "2024-01-02 00:00:00")
+    written, failed = collect_run({"messages": df}, {"messages": old["messages"].table}, "2024-01-02 00:00:00")
+    assert not failed
+    w = written["messages"]
+    assert {r.action: r.n for r in w.counts.collect()} == {"insert": 1, "duplicate": 1}
+    assert sorted((r.doc_id, r.text) for r in w.table.collect()) == [(1, "up we go"), (2, "down")]
+    for made in (w.table, w.counts):
+        assert made.inputFiles() and all("records-messages" in f for f in made.inputFiles())
+
+
 def test_models_scored_are_compared_with_the_spread(spark, monkeypatch):
     """A model whose error is beyond twice the spread of the returns is told apart."""
     from marketweave.plans import feature_queries as Q
