@@ -353,6 +353,27 @@ def test_groups_meet_their_earlier_documents_once(monkeypatch):
         assert sorted(got) == want
 
 
+def test_groups_of_the_nearer_neighbour_meet_whole():
+    """Documents that share no shingle but the nearer neighbour meet too, however many they are,
+    and windows that share more than one neighbour meet once."""
+    n = 300
+    doc = np.arange(n)
+    nearer, farther = np.full(n, 7), np.where(doc % 3 == 0, 9, doc + 100)
+    for ahead, behind in ((nearer, 0 * doc), (farther << 32 | nearer, nearer), (0 * doc, farther << 32 | nearer)):
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in (0 * doc, doc, doc, ahead, behind, np.ones(n, dtype=bool))],
+            ["anchor", "doc_id", "place", "ahead", "behind", "open"])
+        got, lo, hi, more = [], 0, substrings.EARLIEST, True
+        while more:
+            more = False
+            for out in substrings._meetings(lo, hi)(iter([batch])):
+                rows = list(zip(*(out.column(k).to_pylist() for k in (0, 1))))
+                more |= (None, None) in rows
+                got += [r for r in rows if r[1] is not None]
+            lo, hi = hi, 4 * hi
+        assert sorted(got) == [(a, b) for a in range(n) for b in range(a)]
+
+
 def test_copies_between_unrelated_first_and_last(spark):
     rng = random.Random(12)
     fresh = lambda n: [f"f{rng.randrange(10**6)}" for _ in range(n)]
