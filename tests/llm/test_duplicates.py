@@ -374,6 +374,56 @@ def test_groups_of_the_nearer_neighbour_meet_whole():
         assert sorted(got) == [(a, b) for a in range(n) for b in range(a)]
 
 
+def met_windows(spark, texts):
+    """``{(a, b): places}`` of the windows of ``texts`` that all meet in one round."""
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(tuple(r) for r in substrings._windows(df, 46, 36).collect())
+    batch = pa.RecordBatch.from_arrays([*(pa.array(c) for c in zip(*rows)), pa.array([True] * len(rows))],
+                                       ["anchor", "doc_id", "place", "ahead", "behind", "open"])
+    met = {}
+    for out in substrings._meetings(0, 10**6, 46)(iter([batch])):
+        for a, b, x, y in zip(*(c.to_pylist() for c in out.columns)):
+            met.setdefault((a, b), []).append((x, y))
+    return met
+
+
+def test_runs_of_one_word_do_not_meet_window_by_window(spark):
+    """Texts that share nothing but one word again and again: none meets another where the run is
+    too short for a passage, and once a hash function where it is not."""
+    rng = random.Random(31)
+    for n, most in ((30, 0), (40, substrings.HASHES)):
+        texts = []
+        for k in range(20):
+            around = [f"u{k}x{rng.randrange(10**6)}" for _ in range(300)]
+            texts.append(" ".join(around[:150] + ["the"] * n + around[150:]))
+        met = met_windows(spark, texts)
+        assert all(len(v) <= most for v in met.values()), n
+
+
+def test_passages_of_runs_meet_whole(spark):
+    """An exact repeat made of runs of one word, whatever stands around it (more of the same word
+    too), lies in a common interval of windows that meet."""
+    rng = random.Random(32)
+    texts, at = [], []
+    for k in range(150):
+        passage = []
+        while len(passage) < 50:
+            passage += [f"p{k}x{rng.randrange(4)}"] * rng.choice((1, 2, 7, 13, 17, 25, 30, 34, 50))
+        passage = passage[:50]
+        for side in "ab":
+            before, after = ([f"{side}{k}x{rng.randrange(9)}" for _ in range(rng.randrange(70))] for _ in range(2))
+            before += passage[:1] * rng.choice((0, 0, 3, 40))
+            after = passage[-1:] * rng.choice((0, 0, 3, 40)) + after
+            texts.append(" ".join(before + passage + after))
+            at.append(len(before))
+    met = met_windows(spark, texts)
+    for k in range(0, len(texts), 2):
+        x, y = (np.array(c, dtype=np.int64) for c in zip(*met[k + 1, k]))
+        runs = substrings.common_runs(x, y, np.array([0, len(x)]), 46)
+        assert any(s <= at[k + 1] and s + n >= at[k + 1] + 46 and u <= at[k] and u + v >= at[k] + 46
+                   for _, s, n, u, v in runs), texts[k:k + 2]
+
+
 def test_copies_between_unrelated_first_and_last(spark):
     rng = random.Random(12)
     fresh = lambda n: [f"f{rng.randrange(10**6)}" for _ in range(n)]
