@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketweave.llm import words as wd
-from marketweave.llm.common import Shelf, checkpointed, rows_of, small_batches
+from marketweave.llm.common import Shelf, checkpointed, lean, rows_of, small_batches
 from marketweave.llm.components import connected_components
 
 LEAST_GROUPS, MOST_GROUPS = 16, 4096
@@ -268,7 +268,7 @@ def _survey(docs: DataFrame, sim: Similarity) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, node long, point binary, coarse binary, heavy boolean")
+        lean(run), f"doc_id {kind}, n_shingles long, node long, point binary, coarse binary, heavy boolean")
 
 
 def prefixes(s: np.ndarray, start: np.ndarray, sim: Similarity, heavy: np.ndarray):
@@ -308,7 +308,7 @@ def _listed(docs: DataFrame, sim: Similarity, heavy: np.ndarray) -> DataFrame:
                     [pa.array((token >> np.uint64(24)).astype(np.int64)), pa.array(names[row])],
                     ["shingle", "node"])
 
-    return docs.select("text").mapInArrow(run, "shingle long, node long")
+    return docs.select("text").mapInArrow(lean(run), "shingle long, node long")
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, sim: Similarity, shelf: Shelf) -> DataFrame:
@@ -339,7 +339,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, sim: Similari
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).filter(ok), batch.column(1).filter(ok)], ["u", "v"])
 
-    return both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
+    return both.select("u", "v", "a", "b").mapInArrow(lean(run), "u long, v long")
 
 
 def _with_node(docs: DataFrame, sim: Similarity) -> DataFrame:
@@ -350,7 +350,7 @@ def _with_node(docs: DataFrame, sim: Similarity) -> DataFrame:
                     [pa.array(identities(*sets(raw, off, sim.n))), batch.column(0).slice(a, b - a)],
                     ["node", "text"])
 
-    return docs.select("text").mapInArrow(run, "node long, text string")
+    return docs.select("text").mapInArrow(lean(run), "node long, text string")
 
 
 def _in_bound(pairs: DataFrame, nodes: DataFrame, sim: Similarity) -> DataFrame:
@@ -370,7 +370,7 @@ def _in_bound(pairs: DataFrame, nodes: DataFrame, sim: Similarity) -> DataFrame:
                                              ["u", "v"])
 
     both = sized.join(side("u", "p"), "u").join(side("v", "q"), "v")
-    return both.select("u", "v", "p", "q", "np", "nq").mapInArrow(run, "u long, v long")
+    return both.select("u", "v", "p", "q", "np", "nq").mapInArrow(lean(run), "u long, v long")
 
 
 def tree_pairs(p: Points, sizes: np.ndarray, group: np.ndarray, sim: Similarity, wanted):
@@ -416,11 +416,28 @@ def pair_key(u: np.ndarray, v: np.ndarray) -> np.ndarray:
         return wd.mix(a * wd._BASE + wd.mix(b))
 
 
+# Names of pairs that a task keeps, to make none twice (8 bytes each).
+MADE = 1 << 20
+
+
+def first_time(keys: np.ndarray, made: list[np.ndarray]) -> np.ndarray:
+    """Which of ``keys`` are not in the sorted ``made[0]`` nor before in ``keys``; they are put
+    there while it holds fewer than ``MADE``."""
+    new = np.zeros(len(keys), dtype=bool)
+    new[np.unique(keys, return_index=True)[1]] = True
+    new &= ~np.isin(keys, made[0])
+    if len(made[0]) < MADE:
+        made[0] = np.union1d(made[0], keys[new])
+    return new
+
+
 def _tree_pairs(members: DataFrame, nodes: DataFrame, tested: DataFrame, sim: Similarity) -> DataFrame:
     """``(shingle, u, v)``: untested pairs of nodes of different components that some tree's
     bound allows, the ``BEST`` likeliest of every node in every tree, from
     ``members(shingle, node, component)``. Large trees are joined block by block; a task reads
-    whole trees (or pairs of blocks) one after another."""
+    whole trees (or pairs of blocks) one after another. Near copies meet in many trees: a pair
+    that a task has made already is not made again, and a tree whose pairs all are such is a row
+    without nodes."""
     size = members.groupBy("shingle").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     done = tested.groupBy(F.col("u").alias("node")).agg(F.collect_set("v").alias("done"))
     own = (members.join(size, "shingle")
@@ -434,7 +451,7 @@ def _tree_pairs(members: DataFrame, nodes: DataFrame, tested: DataFrame, sim: Si
            .select("tree", "high", "same", "node", "component", "n_shingles", "point", "done", "shingle"))
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def joined(b: pa.RecordBatch) -> pa.RecordBatch:
+    def joined(b: pa.RecordBatch, made: list[np.ndarray]) -> pa.RecordBatch:
         tree, node, comp, size, shingle = (b.column(i).to_numpy() for i in (0, 3, 4, 5, 8))
         high, same = (b.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
         lists = b.column(7)
@@ -448,13 +465,16 @@ def _tree_pairs(members: DataFrame, nodes: DataFrame, tested: DataFrame, sim: Si
 
         i, j, bound = tree_pairs(Points(b.column(6)), size, tree, sim, wanted)
         top = likeliest(i, j, bound / np.maximum(size[i] + size[j] - bound, 1), tree[i], BEST)
-        u, v = node[i[top]], node[j[top]]
+        own, u, v = shingle[i[top]], node[i[top]], node[j[top]]
+        new = first_time(pair_key(u, v), made)
+        known = np.setdiff1d(own, own[new])
         return pa.RecordBatch.from_arrays(
-            [pa.array(shingle[i[top]]), pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))],
-            ["shingle", "u", "v"])
+            [pa.array(np.append(own[new], known)),
+             *(pa.concat_arrays([pa.array(x(u[new], v[new])), pa.nulls(len(known), pa.int64())])
+               for x in (np.maximum, np.minimum))], ["shingle", "u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left = None  # a tree goes on in the next batch
+        left, made = None, [np.zeros(0, dtype=np.uint64)]  # a tree goes on in the next batch
         for batch in batches:
             if left is not None:
                 batch = pa.Table.from_batches([left, batch]).combine_chunks().to_batches()[0]
@@ -462,12 +482,12 @@ def _tree_pairs(members: DataFrame, nodes: DataFrame, tested: DataFrame, sim: Si
             whole = int(np.searchsorted(tree, tree[-1]))
             left = batch.slice(whole)
             if whole:
-                yield joined(batch.slice(0, whole))
+                yield joined(batch.slice(0, whole), made)
         if left is not None:
-            yield joined(left)
+            yield joined(left, made)
 
     return (own.repartition(n, "tree").sortWithinPartitions("tree")
-            .mapInArrow(run, "shingle long, u long, v long"))
+            .mapInArrow(lean(run), "shingle long, u long, v long"))
 
 
 def _one_of_equal_trees(members: DataFrame) -> DataFrame:
@@ -525,7 +545,7 @@ def jaccard_components(docs: DataFrame, sim: Similarity = Similarity()) -> DataF
         found = shelf.put(_tree_pairs(named.join(mixed, "shingle", "left_semi"), nodes, tested, sim))
         if found.isEmpty():
             break
-        pairs = shelf.put(found.select("u", "v").distinct())
+        pairs = shelf.put(found.filter("u IS NOT NULL").select("u", "v").distinct())
         more = shelf.put(_verified(shelf.put(_in_bound(pairs, nodes, sim)), nodes, docs, sim, shelf))
         tested = shelf.put(tested.unionByName(pairs.join(more, ["u", "v"], "left_anti")))
         comp = shelf.put(connected_components(comp.select(

@@ -374,6 +374,23 @@ def test_groups_of_the_nearer_neighbour_meet_whole():
         assert sorted(got) == [(a, b) for a in range(n) for b in range(a)]
 
 
+def test_near_copies_are_proposed_once_a_task(spark):
+    """Nodes that meet in many trees: a task makes a pair of them once, and names every tree."""
+    members = np.arange(100, dtype=np.uint64) << np.uint64(33)
+    point = jaccard.points(members, np.array([0, 100]))[0].tobytes()
+    nodes = spark.createDataFrame([(k, 100, point, None) for k in range(6)],
+                                  "node long, n_shingles long, point binary, coarse binary")
+    trees = spark.createDataFrame([(t, k, k) for t in range(60) for k in range(6)],
+                                  "shingle long, node long, component long")
+    tested = spark.createDataFrame([], "u long, v long")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = [tuple(r) for r in jaccard._tree_pairs(trees, nodes, tested, SIM).collect()]
+    assert {r[0] for r in rows} == set(range(60))
+    pairs = [r[1:] for r in rows if r[1] is not None]
+    assert set(pairs) == {(u, v) for u in range(6) for v in range(u)}
+    assert len(pairs) <= 15 * tasks and len(rows) <= 15 * tasks + 60
+
+
 def met_windows(spark, texts):
     """``{(a, b): places}`` of the windows of ``texts`` that all meet in one round."""
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
