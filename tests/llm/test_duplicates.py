@@ -551,3 +551,51 @@ def test_passage_beyond_the_8388608th_word(spark):
     rows = substrings.repeated_passages(frame(spark, [passage, f"{before} {passage}"])).collect()
     assert [(r["doc_id"], r["start_word"], r["n_words"], r["match_doc_id"]) for r in rows] == [
         (1, 2**23 + 20, 60, 0)]
+
+
+def test_copies_of_one_passage_are_not_paired_all_with_all(spark):
+    """A passage, or one word again and again, in many texts that share nothing else: each is
+    compared with the first that has it and not with all others, and each is found."""
+    rng = random.Random(41)
+    fresh = lambda n: [f"q{rng.randrange(10**7)}" for _ in range(n)]
+    passage = fresh(62)
+    for own, short in ((passage, passage[:20]), (["again"] * 70, ["again"] * 12)):
+        texts = [fresh(80) + short + fresh(80)]  # shares the anchors, not the passage
+        texts += [fresh(rng.randrange(60, 120)) + own + fresh(rng.randrange(60, 120)) for _ in range(120)]
+        rows = substrings.repeated_passages(frame(spark, [" ".join(t) for t in texts])).collect()
+        must, _ = check_passages(rows, dict(enumerate(" ".join(t) for t in texts)), 50)
+        assert set(must) == set(range(2, 121))
+        assert len(rows) <= 4 * len(texts)
+
+
+def test_what_goes_on_beyond_a_known_passage_is_found(spark):
+    """Texts that share a passage with the first one, and more of it with one another."""
+    rng = random.Random(42)
+    fresh = lambda n: [f"r{rng.randrange(10**7)}" for _ in range(n)]
+    passage, more = fresh(70), fresh(30)
+    changed = ["other"] + more[1:]
+    for before, after in ((more, []), ([], more), (more[:-1] + ["other"], []), ([], changed)):
+        longer = before + passage + after
+        texts = [fresh(90) + passage + fresh(90)]
+        texts += [fresh(90) + passage + fresh(90) for _ in range(40)]
+        texts += [fresh(90) + (more + passage if before else passage + more) + fresh(90), fresh(70) + longer + fresh(80)]
+        rows = substrings.repeated_passages(frame(spark, [" ".join(t) for t in texts])).collect()
+        check_passages(rows, dict(enumerate(" ".join(t) for t in texts)), 50)
+        most = max(r["n_words"] for r in rows if (r["doc_id"], r["match_doc_id"]) == (42, 41))
+        assert most >= 95, (most, len(before), len(after))
+
+
+def test_what_cannot_be_similar_is_not_tried(monkeypatch):
+    """A phrase again and again, with one word in it exchanged: no run of it is similar, which the
+    shingles that the other text lacks show before any pair of runs is compared."""
+    phrase = [f"s{k}" for k in range(30)]
+    sa, sb = (shingles_of(" ".join(p * 40))[0] for p in (phrase, phrase[:12] + ["other"] + phrase[13:]))
+    calls, of = [], substrings._Alike.of
+    monkeypatch.setattr(substrings._Alike, "of", lambda self, *a: calls.append(a) or of(self, *a))
+    assert substrings.by_diagonals(sa, sb, 0, len(sa), 46, 80, 100) == [] and not calls
+    rng = np.random.default_rng(43)
+    for _ in range(50):
+        own, n, width = rng.integers(0, 9, 60), rng.integers(46, 60), 20
+        mark = np.isin(own[:n], [1, 4, 7])
+        want = [len(set(own[k:k + width][mark[k:k + width]].tolist())) for k in range(n - width + 1)]
+        assert substrings.distinct_in_runs(own[:n], mark, width).tolist() == want
