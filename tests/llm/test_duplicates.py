@@ -599,3 +599,38 @@ def test_what_cannot_be_similar_is_not_tried(monkeypatch):
         mark = np.isin(own[:n], [1, 4, 7])
         want = [len(set(own[k:k + width][mark[k:k + width]].tolist())) for k in range(n - width + 1)]
         assert substrings.distinct_in_runs(own[:n], mark, width).tolist() == want
+
+
+def test_texts_that_share_a_line_are_not_compared_all_with_all(spark, monkeypatch):
+    """A line too short for a passage, in many texts: beyond the first of them only those are compared
+    that share more around it, and these are all found."""
+    rng = random.Random(44)
+    fresh = lambda n: [f"v{rng.randrange(10**7)}" for _ in range(n)]
+    line = fresh(18)
+    passage = fresh(20) + line + fresh(20)
+    texts = [fresh(rng.randrange(60, 90)) + (passage if k in (31, 37, 44) else line) + fresh(rng.randrange(60, 90))
+             for k in range(45)]
+    tested, run = [], substrings._tested
+    monkeypatch.setattr(substrings, "EARLIEST", 2)
+    monkeypatch.setattr(substrings, "_tested", lambda cuts, *a: tested.append(
+        cuts.filter("b IS NOT NULL").count()) or run(cuts, *a))
+    texts = [" ".join(t) for t in texts]
+    rows = substrings.repeated_passages(frame(spark, texts)).collect()
+    check_passages(rows, dict(enumerate(texts)), 50)
+    assert {r["doc_id"] for r in rows} == {37, 44}
+    assert len(tested) > 5 and sum(tested[4:]) <= 20, tested
+
+
+def test_surroundings_of_windows(spark):
+    text = " ".join(f"w{k}" for k in range(80))
+    docs = spark.createDataFrame([(1, text), (1, "short"), (2, f"new {text}"), (None, text), (3, None)],
+                                 "doc_id long, text string")
+    left = spark.createDataFrame([(1, 30 << 32), (1, 0), (2, 31 << 32), (2, 3 << 32)], "doc_id long, place long")
+    got = {(r["doc_id"], r["place"] >> 32): np.frombuffer(bytes(r["around"]), dtype=np.uint16)
+           for r in substrings._surrounded(left, docs, 46).collect()}
+    around = np.stack([got[k] for k in ((1, 30), (2, 31), (1, 0), (2, 3))])
+    assert around.shape == (4, 93) and not around[2][:46].any() and around[2][46:].all()
+    assert np.array_equal(around[0][16:], around[1][16:])
+    i, j = np.array([0, 0, 0, 2]), np.array([1, 2, 3, 3])
+    assert substrings.alike_around(around, i, j, 31).tolist() == [True, False, False, True]
+    assert substrings.alike_around(around, i[:1], j[:1], 94).tolist() == [False]
